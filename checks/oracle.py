@@ -82,7 +82,7 @@ def _volatility(name: str, staged: str, min_periods: int = 1) -> None:
         SELECT * FROM (
           SELECT ticker, trade_date, daily_return,
             CASE WHEN count(daily_return) OVER w >= {min_periods}
-              THEN round(stddev_pop(daily_return) OVER w * sqrt(252), 8) END AS realized_vol_20d
+              THEN round(stddev_pop(daily_return) OVER w * sqrt(252), 7) END AS realized_vol_20d
           FROM {staged}
           WINDOW w AS (PARTITION BY ticker ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
         WHERE realized_vol_20d IS NOT NULL""")
@@ -140,13 +140,13 @@ RELATIONS["gap_sides"] = (("by_regime",), """
       max(avg_normalized_volume) FILTER (WHERE vol_regime = 'low') AS low
     FROM by_regime GROUP BY minutes_since_open""")
 
-_CURVE = "round(avg_normalized_volume, 8) AS avg_normalized_volume, " \
-    "round(median_normalized_volume, 8) AS median_normalized_volume, " \
-    "round(stddev_normalized_volume, 8) AS stddev_normalized_volume"
+_CURVE = "round(avg_normalized_volume, 10) AS avg_normalized_volume, " \
+    "round(median_normalized_volume, 10) AS median_normalized_volume, " \
+    "round(stddev_normalized_volume, 10) AS stddev_normalized_volume"
 _SLOT = "minutes_since_open, bar_hour, bar_minute, sample_size"
 _DAY_FEED = """SELECT ticker, trade_date, open, high, low, close, volume,
     TIMESTAMP '2024-02-02 03:04:05' AS ingested_at FROM raw_daily"""
-_VOL = "SELECT ticker, trade_date, round(daily_return, 8) AS daily_return, realized_vol_20d, vol_regime FROM "
+_VOL = "SELECT * FROM "
 _DEFAULTS = """coalesce(company_name, '') AS company_name, coalesce(industry, '') AS industry,
     market_cap, coalesce(country, '') AS country, coalesce(currency, 'USD') AS currency"""
 
@@ -214,21 +214,18 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
           ingested_at
         FROM (SELECT *, bar_time - INTERVAL 5 HOUR AS local FROM raw_intraday)
         WHERE hour(local) >= 9 AND hour(local) < 16 AND volume > 0 AND close > 0"""),
-    "stg_daily": (("stg_daily",), "SELECT * REPLACE (round(daily_return, 8) AS daily_return) FROM stg_daily"),
+    "stg_daily": (("stg_daily",), "SELECT * FROM stg_daily"),
     "stg_metadata": (("latest_metadata",), "SELECT * FROM latest_metadata WHERE ticker <> ''"),
     "daily_total_volume": (("totals",), "SELECT * FROM totals"),
-    "avg_daily_volume": (("averages",),
-        "SELECT ticker, round(avg_daily_volume, 4) AS avg_daily_volume FROM averages"),
-    "normalized_volume": (("normalized",), """
-        SELECT * REPLACE (round(avg_daily_volume, 4) AS avg_daily_volume,
-          round(normalized_volume, 8) AS normalized_volume) FROM normalized"""),
+    "avg_daily_volume": (("averages",), "SELECT * FROM averages"),
+    "normalized_volume": (("normalized",), "SELECT * FROM normalized"),
     "curve_overall": (("overall",), f"""
-        SELECT {_SLOT}, {_CURVE}, round(upper_band, 8) AS upper_band, round(lower_band, 8) AS lower_band
+        SELECT {_SLOT}, {_CURVE}, round(upper_band, 10) AS upper_band, round(lower_band, 10) AS lower_band
         FROM overall"""),
     "curve_by_sector": (("by_sector",), f"SELECT sector, {_SLOT}, {_CURVE} FROM by_sector"),
     "curve_by_cap": (("by_cap",), f"SELECT market_cap_band, {_SLOT}, {_CURVE} FROM by_cap"),
     "curve_by_regime": (("by_regime",), f"""
-        SELECT vol_regime, {_SLOT}, {_CURVE}, round(avg_realized_vol, 6) AS avg_realized_vol
+        SELECT vol_regime, {_SLOT}, {_CURVE}, round(avg_realized_vol, 3) AS avg_realized_vol
         FROM by_regime"""),
     "vol_threshold": (("threshold",), "SELECT * FROM threshold"),
     "daily_volatility": (("volatility",), _VOL + "volatility"),

@@ -20,13 +20,13 @@ from sessionvol.sources.sinks import write_csv, write_raw
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_TIME = "2024-02-02 03:04:05"
-PRECISION = 8  # decimals of volatilities, before they are compared
+PRECISION = 7  # decimals of volatilities, before they are compared
 
-# Decimals of computed columns; other engines differ in the last bits.
+# Decimals of columns whose last bits depend on the order of additions.
 DECIMALS = {
-    "avg_daily_volume": 4, "normalized_volume": 8, "avg_normalized_volume": 8,
-    "median_normalized_volume": 8, "stddev_normalized_volume": 8, "upper_band": 8, "lower_band": 8,
-    "avg_realized_vol": 6, "daily_return": 8, "realized_vol_20d": 8, "vol_threshold": 8,
+    "avg_normalized_volume": 10,
+    "median_normalized_volume": 10, "stddev_normalized_volume": 10, "upper_band": 10, "lower_band": 10,
+    "avg_realized_vol": 3,
     "peak_normalized_volume": 8, "midday_trough": 8, "open_to_midday_ratio": 6,
     "large": 8, "mid": 8, "small": 8, "unknown": 8,
     "high_close": 8, "low_close": 8, "close_gap": 8, "close_ratio": 6,
@@ -70,7 +70,7 @@ def volatility_long(min_periods: int) -> Query:
 
 
 def regime_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sv.curve_by_regime(normalized(spark, sf_dir), settle(volatility(spark, sf_dir)))
+    return sv.curve_by_regime(normalized(spark, sf_dir), volatility(spark, sf_dir))
 
 
 def sector_curve(spark: SparkSession, sf_dir: str, sectors: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionvol.plans.joins import lookup_join
+from sessionvol.plans.joins import lookup_join, measured_bytes
 from sessionvol.plans.middle import SORT_ROWS, group_summary
 
 SLOT = ("minutes_since_open", "bar_hour", "bar_minute")
@@ -73,12 +73,15 @@ def curve_by_cap(normalized: DataFrame, **options) -> DataFrame:
     return volume_curve(normalized, by=["market_cap_band"], **options)
 
 
-def bars_with_regime(normalized: DataFrame, volatility: DataFrame) -> DataFrame:
-    """Bars of rated days with the day's regime.  Unrated bars drop out."""
+def bars_with_regime(normalized: DataFrame, volatility: DataFrame, size: int | None = None) -> DataFrame:
+    """Bars of rated days with the day's regime.  Unrated bars drop out.
+
+    ``size``: bytes of ``volatility``, if it was measured before.
+    """
     days = volatility.select(
         "ticker", "trade_date", "vol_regime", F.col("realized_vol_20d").alias("realized_vol")
     )
-    joined = lookup_join(normalized, days, ["ticker", "trade_date"], settled=True)
+    joined = lookup_join(normalized, days, ["ticker", "trade_date"], size=size)
     return joined.where(F.col("vol_regime").isNotNull()).select(
         "ticker", "sector", "market_cap_band", *SLOT, "trade_date", "normalized_volume",
         "vol_regime", "realized_vol",
@@ -88,21 +91,21 @@ def bars_with_regime(normalized: DataFrame, volatility: DataFrame) -> DataFrame:
 def curve_by_regime(normalized: DataFrame, volatility: DataFrame, **options) -> DataFrame:
     """Curve per volatility regime, with the mean volatility behind each point.
 
-    ``volatility`` is read several times: pass a table or a settled frame.  The second
-    look of the median first cuts the bars to the value range of their slot, so that
-    only about one bar in thirty goes through the join again.
+    ``volatility`` is read up to three times: give a table or what ``daily_volatility``
+    returns.  The second look of the median first cuts the bars to the value range of
+    their slot, so that only a few bars in a hundred go through the join again.
     """
+    size = measured_bytes(volatility)
+
     def near_the_middle(brackets: DataFrame) -> DataFrame:
         per_slot = brackets.groupBy(*SLOT).agg(F.min("_from").alias("_least"), F.max("_to").alias("_most"))
         near = lookup_join(normalized, per_slot, SLOT, "inner")
         value = F.col("normalized_volume")
         near = near.where(value.between(F.col("_least"), F.col("_most")))
-        return bars_with_regime(near, volatility)
+        return bars_with_regime(near, volatility, size)
 
-    if options.get("approx"):
-        near_the_middle = None
     return volume_curve(
-        bars_with_regime(normalized, volatility),
+        bars_with_regime(normalized, volatility, size),
         by=["vol_regime"],
         averages=["realized_vol"],
         candidates=near_the_middle,

@@ -3,29 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from sessionvol.session import settle
+from sessionvol.session import settle_measured
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of a row: measured for texts, 16 for every other (flat) column."""
-    sizes = [
-        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("bigint") + 16
-        if isinstance(f.dataType, (StringType, BinaryType))
-        else F.lit(16).cast("bigint")
-        for f in df.schema.fields
-    ]
-    return sum(sizes[1:], sizes[0])
+def total_bytes(df: DataFrame) -> Column:
+    """Aggregate over all rows: measured bytes for texts, 16 for every other (flat) column."""
+    sizes = [F.lit(16).cast("bigint")]
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(field.name), F.lit(0)).cast("bigint"))
+        sizes.append(F.lit(16).cast("bigint"))
+    return F.coalesce(F.sum(reduce(Column.__add__, sizes)), F.lit(0))
 
 
-def measured_bytes(settled: DataFrame) -> int:
-    return settled.agg(F.sum(_row_bytes(settled)).alias("bytes")).first()["bytes"] or 0
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a stored table or settled frame."""
+    return df.agg(total_bytes(df).alias("bytes")).first()["bytes"]
 
 
 def lookup_join(
@@ -34,21 +35,22 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
-    settled: bool = False,
+    size: int | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``left`` with ``lookup``, which has at most one row per key.
 
-    The lookup is computed once and its bytes are summed.  Up to ``limit`` it is
-    broadcast, so the large side is neither shuffled nor affected by hot keys.
-    Beyond it both sides are shuffled by key, and adaptive execution splits the
-    partitions of hot keys on the large side.
+    The lookup is computed once and its bytes are summed; ``size`` says that this was
+    done before.  Up to ``limit`` it is broadcast, so the large side is neither shuffled
+    nor affected by hot keys.  Beyond it both sides are shuffled by key, and adaptive
+    execution splits the partitions of hot keys on the large side.
     """
-    lookup = lookup if settled else settle(lookup)
-    right = F.broadcast(lookup) if measured_bytes(lookup) <= limit else lookup
+    if size is None:
+        lookup, facts = settle_measured(lookup, size=total_bytes(lookup))
+        size = facts["size"]
+    right = F.broadcast(lookup) if size <= limit else lookup
     if not null_safe:
         return left.join(right, list(on), how)
-    for key in on:
-        right = right.withColumnRenamed(key, f"_right_{key}")
+    right = right.withColumnsRenamed({key: f"_right_{key}" for key in on})
     match = [left[key].eqNullSafe(right[f"_right_{key}"]) for key in on]
     return left.join(right, match, how).drop(*[f"_right_{key}" for key in on])

@@ -10,7 +10,8 @@ from sessionvol.functions.clock import UTC_SESSION, TradingSession
 from sessionvol.operators import curves, staging
 from sessionvol.operators.normalize import normalized_volume
 from sessionvol.operators.volatility import daily_volatility
-from sessionvol.sources.scans import read_raw
+from sessionvol.schemas import RAW
+from sessionvol.sources.scans import PARTITIONED_BY, read_raw
 from sessionvol.sources.sinks import clustered, raw_writer
 
 LAYERS = ("raw", "staging", "marts")
@@ -26,6 +27,14 @@ MARTS = {
 }
 
 
+# Marts that are joined by ticker and day, and can share buckets on them.
+JOINED_BY_DAY = ("mart_normalized_volume", "mart_daily_volatility")
+
+# Time of the load, for rows inserted without one.
+_NOW = "cast(to_utc_timestamp(current_timestamp(), current_timezone()) as timestamp_ntz)"
+_STAMPS = ("ingested_at", "fetched_at")
+
+
 def database_name(layer: str | None, default: str, prefix: str = "") -> str:
     """The layer's name as given, without blanks around it; the default where there is none."""
     return prefix + (layer.strip() if layer is not None else default)
@@ -37,6 +46,11 @@ class Layers:
 
     ``prefix`` is put before the database names; ``location`` is a folder for the
     databases (default: the session's warehouse).  Every build replaces what was there.
+
+    ``partitions`` is the number of range partitions per table.  ``buckets`` stores the
+    two marts that are joined by day in that many buckets of (ticker, trade_date): the
+    regime curve then reads both without a shuffle.  It pays where the volatility is too
+    large to broadcast; a single ticker-day stays in one bucket.
     """
 
     spark: SparkSession
@@ -45,6 +59,7 @@ class Layers:
     session: TradingSession = UTC_SESSION
     precision: int | None = None
     partitions: int | None = None
+    buckets: int | None = None
 
     def name(self, layer: str, relation: str) -> str:
         return f"{database_name(layer, 'default', self.prefix)}.{relation}"
@@ -55,6 +70,23 @@ class Layers:
             place = f" LOCATION '{self.location}/{database}'" if self.location else ""
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
+    def create_raw_tables(self) -> None:
+        """Empty raw tables where there are none, with comments and a default load time."""
+        for relation, schema in RAW.items():
+            columns = [
+                f"`{f.name}` {f.dataType.simpleString()}"
+                + (f" DEFAULT {_NOW}" if f.name in _STAMPS else "")
+                + f" COMMENT '{f.metadata['comment'].replace(chr(39), chr(92) + chr(39))}'"
+                for f in schema.fields
+            ]
+            part = PARTITIONED_BY.get(relation, (None,))[0]
+            if part:
+                columns.append(f"`{part}` int")
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.name('raw', relation)} ({', '.join(columns)}) USING parquet"
+                + (f" PARTITIONED BY ({part})" if part else "")
+            )
+
     def load_raw(self, relation: str, df: DataFrame, mode: str = "overwrite") -> None:
         """Write a raw table; ``mode='append'`` adds a load to it."""
         raw_writer(df, relation, mode, self.partitions).saveAsTable(self.name("raw", relation))
@@ -87,8 +119,13 @@ class Layers:
         self._save(days, "staging", "stg_daily_bars", ("ticker", "trade_date"))
 
     def _save(self, df: DataFrame, layer: str, relation: str, order: tuple[str, ...]) -> None:
-        ready = clustered(df, order, self.partitions)
-        ready.write.mode("overwrite").format("parquet").saveAsTable(self.name(layer, relation))
+        if self.buckets and relation in JOINED_BY_DAY:
+            day = ("ticker", "trade_date")
+            ready = df.repartition(self.buckets, *day).sortWithinPartitions(*day, *order)
+            writer = ready.write.bucketBy(self.buckets, *day).sortBy(*day)
+        else:
+            writer = clustered(df, order, self.partitions).write
+        writer.mode("overwrite").format("parquet").saveAsTable(self.name(layer, relation))
 
     def build_marts(self) -> None:
         """Normalised bars and volatility first; the four curves read their tables."""

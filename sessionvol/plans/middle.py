@@ -14,8 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionvol.plans.joins import lookup_join
-from sessionvol.session import settle
+from sessionvol.plans.joins import lookup_join, total_bytes
+from sessionvol.session import settle, settle_measured
 
 CELLS_PER_OCTAVE = 32  # first pass: cells 2.2 % wide, few enough to combine well map-side
 CELLS = 4096           # later passes: cells of equal width inside one first-pass cell
@@ -78,10 +78,17 @@ def _bracket() -> list[Column]:
     ]
 
 
-def _inside(rows: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _settled(found: DataFrame) -> tuple[DataFrame, int, int]:
+    """Cell results, their bytes, and the distinct values of the largest open bracket."""
+    facts = {"size": total_bytes(found), "largest": F.coalesce(F.max("_size"), F.lit(0))}
+    settled, facts = settle_measured(found, **facts)
+    return settled, facts["size"], facts["largest"]
+
+
+def _inside(rows: DataFrame, brackets: DataFrame, size: int, keys: Sequence[str]) -> DataFrame:
     """Rows whose value lies in their group's bracket, with the bracket attached."""
     bounds = brackets.select(*keys, *_BOUNDS)
-    joined = lookup_join(rows, bounds, keys, "inner", null_safe=True, settled=True)
+    joined = lookup_join(rows, bounds, keys, "inner", null_safe=True, size=size)
     return joined.where(F.col("_value").between(F.col("_from"), F.col("_to")))
 
 
@@ -149,7 +156,7 @@ def group_summary(
     held = _holding(cells, keys, F.lit(0), F.sum("_n").over(group)).withColumn("_group_mean", mean)
     apart = F.col("_mean") - F.col("_group_mean")
     spread = F.sum(F.col("_n") * (F.col("_var") + apart * apart)) / F.nullif(F.sum("_n"), F.lit(0))
-    summary = settle(
+    summary, size, largest = _settled(
         held.groupBy(*keys).agg(
             F.sum("_rows").alias("rows"),
             F.max("_group_mean").alias("mean"),
@@ -163,39 +170,29 @@ def group_summary(
     )
     facts = [*keys, "rows", "mean", "deviation", *averages]
     middles = [*keys, F.col("_lower").alias("lower"), F.col("_upper").alias("upper")]
-    brackets = summary.where(F.col("_from").isNotNull())
-    largest = _largest(brackets)
-    if largest is None:
-        return summary.select(*facts, "_lower", "_upper").withColumnsRenamed(
-            {"_lower": "lower", "_upper": "upper"}
-        )
+    if not largest:
+        return summary.select(*facts, *middles[len(keys):])
 
+    brackets = summary.where(F.col("_from").isNotNull())
     source = candidates(brackets.select(*keys, "_from", "_to")) if candidates else df
     counts = (
-        _inside(source.select(*keys, number.alias("_value")), brackets, keys)
+        _inside(source.select(*keys, number.alias("_value")), brackets, size, keys)
         .groupBy(*keys, "_value", *_BOUNDS)
         .agg(F.count(F.lit(1)).alias("_weight"))
     )
     found = summary.where(F.col("_from").isNull()).select(*middles)
-    while largest is not None and largest > sort_rows:
+    while largest > sort_rows:
         counts = settle(counts)
-        narrowed = settle(_narrowed(counts, keys))
+        narrowed, size, largest = _settled(_narrowed(counts, keys))
         found = found.unionByName(narrowed.where(F.col("_from").isNull()).select(*middles))
-        brackets = narrowed.where(F.col("_from").isNotNull())
-        largest = _largest(brackets)
-        counts = _inside(counts.drop(*_BOUNDS), brackets, keys)
-    if largest is not None:
+        counts = _inside(counts.drop(*_BOUNDS), narrowed.where(F.col("_from").isNotNull()), size, keys)
+    if largest:
         found = found.unionByName(_ranked(counts, keys).select(*middles))
     return _per_group(summary.select(*facts), found, keys)
 
 
-def _largest(brackets: DataFrame) -> int | None:
-    return brackets.agg(F.max("_size").alias("size")).first()["size"]
-
-
 def _per_group(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Both sides have one row per group; Spark picks the join from their sizes."""
-    for key in keys:
-        right = right.withColumnRenamed(key, f"_right_{key}")
+    right = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
     match = [left[key].eqNullSafe(right[f"_right_{key}"]) for key in keys]
     return left.join(right, match, "left").drop(*[f"_right_{key}" for key in keys])

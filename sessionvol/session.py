@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings the plans in this package are written for.  AQE measures shuffle
 # output at run time, coalesces small partitions and splits skewed ones.
@@ -52,7 +52,19 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once and keep in the shared folder, so that later passes and
-    lost executors do not start again from the source."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Compute once and keep as a table in the shared folder, so that later passes and
+    lost executors do not start again from the source.
+
+    Parquet keeps large frames small, lets later passes read single columns, and gives
+    the planner the true size.
+    """
+    folder = new_folder(df.sparkSession, "settled")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def settle_measured(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+    """``settle``, with aggregates over the rows taken on the way."""
+    watch = Observation()
+    named = [measure.alias(name) for name, measure in measures.items()]
+    return settle(df.observe(watch, *named)), watch.get
