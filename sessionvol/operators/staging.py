@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +14,10 @@ from sessionvol.plans.ordered import BLOCK_ROWS, block_window, ordered_blocks, o
 # NaN passes "> 0" in Spark, so it is named.
 TRADED = "volume > 0 and close > 0 and not isnan(close)"
 
-# Order of a ticker's days; the columns after the date only settle ties between
-# several loads of one day.
-DAY_ORDER = ("trade_date", "ingested_at", "close", "volume", "open", "high", "low")
+# Order of a ticker's days.  Several loads of one day follow each other by load time; the
+# returns depend on nothing behind the close, which is why volatility leaves that out.
+CLOSE_ORDER = ("trade_date", "ingested_at", "close")
+DAY_ORDER = (*CLOSE_ORDER, "volume", "open", "high", "low")
 
 
 def intraday_columns(session: TradingSession = UTC_SESSION) -> dict[str, str]:
@@ -40,7 +43,9 @@ def month_number(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
-def day_blocks(days: DataFrame, lookback: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def day_blocks(
+    days: DataFrame, lookback: int, block_rows: int = BLOCK_ROWS, order: Sequence[str] = DAY_ORDER
+) -> DataFrame:
     """Traded days in blocks, with the return on the previous traded day.
 
     The filter comes first: the previous close skips days without volume.  A ticker's
@@ -48,7 +53,7 @@ def day_blocks(days: DataFrame, lookback: int, block_rows: int = BLOCK_ROWS) ->
     """
     traded = days.where(TRADED).withColumn("volume", F.col("volume").cast("bigint"))
     blocks = ordered_blocks(
-        traded, "ticker", DAY_ORDER, month_number(F.col("trade_date")), lookback, block_rows
+        traded, "ticker", order, month_number(F.col("trade_date")), lookback, block_rows
     )
     previous = F.lag("close").over(block_window("ticker"))
     return blocks.withColumn("daily_return", F.col("close") / previous - 1)

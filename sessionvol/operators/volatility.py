@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionvol.functions.values import annualised
-from sessionvol.operators.staging import day_blocks
+from sessionvol.operators.staging import CLOSE_ORDER, day_blocks
 from sessionvol.plans.joins import lookup_join
 from sessionvol.plans.middle import SORT_ROWS, group_summary
 from sessionvol.plans.ordered import BLOCK_ROWS, block_window, own_rows
@@ -31,9 +31,8 @@ def realized_volatility(
     if precision is not None:
         value = F.round(value, precision)
     enough = F.count("daily_return").over(frame) >= min_periods
-    rolled = day_blocks(days, lookback=FRAME_ROWS, block_rows=block_rows).withColumn(
-        "realized_vol_20d", F.when(enough, value)
-    )
+    blocks = day_blocks(days, FRAME_ROWS, block_rows, CLOSE_ORDER)
+    rolled = blocks.withColumn("realized_vol_20d", F.when(enough, value))
     return (
         own_rows(rolled)
         .where(F.col("realized_vol_20d").isNotNull())

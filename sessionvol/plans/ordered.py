@@ -29,7 +29,8 @@ def ordered_blocks(
     A row's position is its rank within (key, period) plus the rows of the key's
     earlier periods.  ``period`` must rise with the first order column; it bounds the
     rows that are ranked together.  The periods are counted by a partial aggregation,
-    so only one row per (key, period) is ever grouped by key alone.
+    so only one row per (key, period) is ever grouped by key alone.  Key and period must
+    not be NULL.
     """
     if block_rows < lookback:
         raise ValueError("a block must hold at least the rows it passes on")
