@@ -227,6 +227,9 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "curve_by_regime": (("by_regime",), f"""
         SELECT vol_regime, {_SLOT}, {_CURVE}, round(avg_realized_vol, 3) AS avg_realized_vol
         FROM by_regime"""),
+    "curves_together": (("overall", "by_sector", "by_cap"), " UNION ALL ".join(
+        f"SELECT {name} AS \"grouping\", {_SLOT}, {_CURVE} FROM {source}" for name, source in (
+            ("'all'", "overall"), ("sector", "by_sector"), ("market_cap_band", "by_cap")))),
     "vol_threshold": (("threshold",), "SELECT * FROM threshold"),
     "daily_volatility": (("volatility",), _VOL + "volatility"),
     "daily_volatility_long": (("volatility_long",), _VOL + "volatility_long"),

@@ -77,6 +77,17 @@ def sector_curve(spark: SparkSession, sf_dir: str, sectors: list[str] | None = N
     return sv.curve_by_sector(normalized(spark, sf_dir), sectors)
 
 
+def all_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three curves that share their passes, under each other."""
+    overall, by_sector, by_cap = sv.curves_together(normalized(spark, sf_dir))
+    named = [
+        overall.drop("upper_band", "lower_band").withColumn("grouping", F.lit("all")),
+        by_sector.withColumnRenamed("sector", "grouping"),
+        by_cap.withColumnRenamed("market_cap_band", "grouping"),
+    ]
+    return reduce(DataFrame.unionByName, named)
+
+
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = normalized(spark, sf_dir)
     return sv.kpi_cards(sv.curve_overall(bars), bars)
@@ -200,6 +211,7 @@ QUERIES: dict[str, Query] = {
     "curve_by_sector": sector_curve,
     "curve_by_cap": lambda s, d: sv.curve_by_cap(normalized(s, d)),
     "curve_by_regime": regime_curve,
+    "curves_together": all_curves,
     "vol_threshold": threshold,
     "daily_volatility": volatility,
     "daily_volatility_long": volatility_long(1),

@@ -8,6 +8,7 @@ from sessionvol.operators.curves import (
     curve_by_regime,
     curve_by_sector,
     curve_overall,
+    curves_together,
     volume_curve,
 )
 from sessionvol.operators.metadata import (
@@ -28,7 +29,7 @@ from sessionvol.session import spark_session
 
 __all__ = [
     "Layers", "NEW_YORK_SESSION", "TradingSession", "UTC_SESSION", "avg_daily_volume", "bars_with_regime",
-    "cap_band", "curve_by_cap", "curve_by_regime", "curve_by_sector", "curve_cap_pivot", "curve_overall",
+    "cap_band", "curve_by_cap", "curve_by_regime", "curve_by_sector", "curve_cap_pivot", "curve_overall", "curves_together",
     "daily_total_volume", "daily_volatility", "database_name", "feed_counts", "kpi_cards",
     "latest_metadata", "missing_feeds", "normalized_volume", "quality_checks", "realized_volatility",
     "regime_close_gap", "sector_spikes", "spark_session", "stg_daily_bars", "stg_intraday_bars",

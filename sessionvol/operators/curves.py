@@ -7,8 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionvol.functions.values import REGIMES
 from sessionvol.plans.joins import lookup_join, measured_bytes
-from sessionvol.plans.middle import SORT_ROWS, group_summary
+from sessionvol.plans.middle import SORT_ROWS, group_summaries, group_summary
 
 SLOT = ("minutes_since_open", "bar_hour", "bar_minute")
 
@@ -35,14 +36,18 @@ def volume_curve(
         summary = normalized.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("rows"),
             F.avg(value).alias("mean"),
-            F.percentile_approx(value, 0.5).alias("median"),
+            F.percentile_approx(value, 0.5).alias("lower"),
             F.stddev_pop(value).alias("deviation"),
             *[F.avg(c).alias(c) for c in averages],
-        )
+        ).withColumn("upper", F.col("lower"))
     else:
         summary = group_summary(
             normalized, keys, "normalized_volume", averages, candidates, sort_rows
-        ).withColumn("median", (F.col("lower") + F.col("upper")) / 2)
+        )
+    return _curve(summary, keys, bands, averages)
+
+
+def _curve(summary: DataFrame, keys: Sequence[str], bands: bool = False, averages: Sequence[str] = ()) -> DataFrame:
     edges = [
         (F.col("mean") + F.col("deviation")).alias("upper_band"),
         (F.col("mean") - F.col("deviation")).alias("lower_band"),
@@ -51,13 +56,21 @@ def volume_curve(
         *keys,
         F.col("rows").alias("sample_size"),
         F.col("mean").alias("avg_normalized_volume"),
-        F.col("median").alias("median_normalized_volume"),
+        ((F.col("lower") + F.col("upper")) / 2).alias("median_normalized_volume"),
         F.col("deviation").alias("stddev_normalized_volume"),
         *(edges if bands else []),
         *[F.col(c).alias(f"avg_{c}") for c in averages],
     )
 
 
+def curves_together(normalized: DataFrame, sort_rows: int = SORT_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Overall, sector and cap curve, from two passes over the bars instead of six."""
+    key_sets = [list(SLOT), ["sector", *SLOT], ["market_cap_band", *SLOT]]
+    found = group_summaries(normalized, key_sets, "normalized_volume", sort_rows=sort_rows)
+    overall, by_sector, by_cap = zip(found, key_sets, strict=True)
+    return _curve(*overall, bands=True), _curve(*by_sector), _curve(*by_cap)
+
+
 def curve_overall(normalized: DataFrame, **options) -> DataFrame:
     return volume_curve(normalized, bands=True, **options)
 
@@ -92,17 +105,20 @@ def curve_by_regime(normalized: DataFrame, volatility: DataFrame, **options) ->
     """Curve per volatility regime, with the mean volatility behind each point.
 
     ``volatility`` is read up to three times: give a table or what ``daily_volatility``
-    returns.  The second look of the median first cuts the bars to the value range of
+    returns.  The second look of the median first cuts the bars to the value ranges of
     their slot, so that only a few bars in a hundred go through the join again.
     """
     size = measured_bytes(volatility)
 
     def near_the_middle(brackets: DataFrame) -> DataFrame:
-        per_slot = brackets.groupBy(*SLOT).agg(F.min("_from").alias("_least"), F.max("_to").alias("_most"))
-        near = lookup_join(normalized, per_slot, SLOT, "inner")
+        spans = [
+            F.max(F.when(F.col("vol_regime") == regime, F.col(end))).alias(f"{end}_{regime}")
+            for regime in REGIMES for end in ("_from", "_to")
+        ]
+        near = lookup_join(normalized, brackets.groupBy(*SLOT).agg(*spans), SLOT, "inner")
         value = F.col("normalized_volume")
-        near = near.where(value.between(F.col("_least"), F.col("_most")))
-        return bars_with_regime(near, volatility, size)
+        within = [value.between(F.col(f"_from_{regime}"), F.col(f"_to_{regime}")) for regime in REGIMES]
+        return bars_with_regime(near.where(within[0] | within[1]), volatility, size)
 
     return volume_curve(
         bars_with_regime(normalized, volatility, size),

@@ -129,22 +129,20 @@ class Layers:
 
     def build_marts(self) -> None:
         """Normalised bars and volatility first; the four curves read their tables."""
-        for mart, order in MARTS.items():
-            self._save(self._mart(mart), "marts", mart, order)
-
-    def _mart(self, mart: str) -> DataFrame:
-        if mart == "mart_normalized_volume":
-            return normalized_volume(self.table("staging", "stg_intraday_bars"))
-        if mart == "mart_daily_volatility":
-            return daily_volatility(self.table("staging", "stg_daily_bars"), precision=self.precision)
+        bars = normalized_volume(self.table("staging", "stg_intraday_bars"))
+        self._save_mart("mart_normalized_volume", bars)
+        days = daily_volatility(self.table("staging", "stg_daily_bars"), precision=self.precision)
+        self._save_mart("mart_daily_volatility", days)
         bars = self.table("marts", "mart_normalized_volume")
-        if mart == "mart_volume_curve":
-            return curves.curve_overall(bars)
-        if mart == "mart_volume_curve_by_sector":
-            return curves.curve_by_sector(bars)
-        if mart == "mart_volume_curve_by_market_cap":
-            return curves.curve_by_cap(bars)
-        return curves.curve_by_regime(bars, self.table("marts", "mart_daily_volatility"))
+        days = self.table("marts", "mart_daily_volatility")
+        overall, by_sector, by_cap = curves.curves_together(bars)
+        self._save_mart("mart_volume_curve", overall)
+        self._save_mart("mart_volume_curve_by_sector", by_sector)
+        self._save_mart("mart_volume_curve_by_market_cap", by_cap)
+        self._save_mart("mart_volume_curve_by_vol_regime", curves.curve_by_regime(bars, days))
+
+    def _save_mart(self, mart: str, df: DataFrame) -> None:
+        self._save(df, "marts", mart, MARTS[mart])
 
     def build(self, raw: dict[str, DataFrame]) -> None:
         """All layers from raw frames."""

@@ -10,6 +10,7 @@ the rows of that cell are looked at again.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -123,24 +124,28 @@ def _ranked(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _holding(cells, keys, F.col("_start"), F.col("_all")).groupBy(*keys).agg(*_bracket())
 
 
-def group_summary(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    averages: Sequence[str] = (),
-    candidates: Callable[[DataFrame], DataFrame] | None = None,
-    sort_rows: int = SORT_ROWS,
-) -> DataFrame:
-    """One row per group: rows, mean, deviation, lower, upper and one mean per ``averages``.
+@dataclass
+class _Look:
+    """First look at one set of keys: a row per group, its bytes, its largest open bracket."""
 
-    ``rows`` counts all rows; the rest skips NULL and NaN.  ``lower`` and ``upper`` are
-    the two middle values, equal for odd counts.  ``candidates`` may give a cheaper frame
-    for the second look: called with the brackets (keys, _from, _to), it must return at
-    least the rows of ``df`` inside them.
-    """
-    keys = list(keys)
-    number = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
-    cells = df.groupBy(*keys, _first_cell(number).alias("_cell")).agg(
+    keys: list[str]
+    summary: DataFrame
+    size: int
+    largest: int
+
+    @property
+    def brackets(self) -> DataFrame:
+        return self.summary.where(F.col("_from").isNotNull())
+
+    def middles(self, found: DataFrame) -> DataFrame:
+        """Groups whose two middle values are known."""
+        return found.where(F.col("_from").isNull()).select(
+            *self.keys, F.col("_lower").alias("lower"), F.col("_upper").alias("upper")
+        )
+
+
+def _first_cells(df: DataFrame, keys: Sequence[str], number: Column, averages: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys, _first_cell(number).alias("_cell")).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count(number).alias("_n"),
         F.avg(number).alias("_mean"),
@@ -150,45 +155,151 @@ def group_summary(
         *[F.sum(c).alias(f"_sum_{c}") for c in averages],
         *[F.count(c).alias(f"_count_{c}") for c in averages],
     )
-    cells = cells.withColumn("_distinct", F.col("_n"))  # an upper bound
+
+
+def _mean_over(keys: Sequence[str]) -> Column:
     group = Window.partitionBy(*keys)
-    mean = F.sum(F.col("_n") * F.col("_mean")).over(group) / F.nullif(F.sum("_n").over(group), F.lit(0))
-    held = _holding(cells, keys, F.lit(0), F.sum("_n").over(group)).withColumn("_group_mean", mean)
-    apart = F.col("_mean") - F.col("_group_mean")
-    spread = F.sum(F.col("_n") * (F.col("_var") + apart * apart)) / F.nullif(F.sum("_n"), F.lit(0))
-    summary, size, largest = _settled(
-        held.groupBy(*keys).agg(
-            F.sum("_rows").alias("rows"),
-            F.max("_group_mean").alias("mean"),
-            F.sqrt(spread).alias("deviation"),
-            *[
-                (F.sum(f"_sum_{c}") / F.nullif(F.sum(f"_count_{c}"), F.lit(0))).alias(c)
-                for c in averages
-            ],
-            *_bracket(),
-        )
+    return F.sum(F.col("_n") * F.col("_mean")).over(group) / F.nullif(F.sum("_n").over(group), F.lit(0))
+
+
+def _spread_around(mean: str) -> Column:
+    """Variance of merged cells from their own variances and the distance of their means."""
+    apart = F.col("_mean") - F.col(mean)
+    return F.sum(F.col("_n") * (F.col("_var") + apart * apart)) / F.nullif(F.sum("_n"), F.lit(0))
+
+
+def _merged(cells: DataFrame, keys: Sequence[str], averages: Sequence[str]) -> DataFrame:
+    """Cells of finer groups merged to cells of ``keys``."""
+    sums = [c for name in averages for c in (f"_sum_{name}", f"_count_{name}")]
+    return cells.withColumn("_merged_mean", _mean_over([*keys, "_cell"])).groupBy(*keys, "_cell").agg(
+        F.sum("_rows").alias("_rows"),
+        F.sum("_n").alias("_n"),
+        F.max("_merged_mean").alias("_mean"),
+        _spread_around("_merged_mean").alias("_var"),
+        F.min("_low").alias("_low"),
+        F.max("_high").alias("_high"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
+
+
+def _first_look(cells: DataFrame, keys: Sequence[str], averages: Sequence[str]) -> _Look:
+    cells = cells.withColumn("_distinct", F.col("_n"))  # an upper bound
+    total = F.sum("_n").over(Window.partitionBy(*keys))
+    held = _holding(cells, keys, F.lit(0), total).withColumn("_group_mean", _mean_over(keys))
+    found = held.groupBy(*keys).agg(
+        F.sum("_rows").alias("rows"),
+        F.max("_group_mean").alias("mean"),
+        F.sqrt(_spread_around("_group_mean")).alias("deviation"),
+        *[
+            (F.sum(f"_sum_{c}") / F.nullif(F.sum(f"_count_{c}"), F.lit(0))).alias(c)
+            for c in averages
+        ],
+        *_bracket(),
     )
-    facts = [*keys, "rows", "mean", "deviation", *averages]
-    middles = [*keys, F.col("_lower").alias("lower"), F.col("_upper").alias("upper")]
-    if not largest:
-        return summary.select(*facts, *middles[len(keys):])
-
-    brackets = summary.where(F.col("_from").isNotNull())
-    source = candidates(brackets.select(*keys, "_from", "_to")) if candidates else df
-    counts = (
-        _inside(source.select(*keys, number.alias("_value")), brackets, size, keys)
-        .groupBy(*keys, "_value", *_BOUNDS)
+    return _Look(list(keys), *_settled(found))
+
+
+def _second_look(source: DataFrame, look: _Look) -> DataFrame:
+    """Counts of the distinct values inside one look's brackets."""
+    inside = _inside(source.select(*look.keys, "_value"), look.brackets, look.size, look.keys)
+    return inside.groupBy(*look.keys, "_value", *_BOUNDS).agg(F.count(F.lit(1)).alias("_weight"))
+
+
+def _second_looks(source: DataFrame, keys: Sequence[str], looks: Sequence[_Look]) -> list[DataFrame]:
+    """The same for several looks in one pass over ``source``.
+
+    A row is counted once for every look that has it in a bracket; keys that are not the
+    look's are blanked.
+    """
+    hits = []
+    for number, look in enumerate(looks):
+        low, high = f"_from_{number}", f"_to_{number}"
+        bounds = look.brackets.select(*look.keys, F.col("_from").alias(low), F.col("_to").alias(high))
+        source = lookup_join(source, bounds, look.keys, "left", null_safe=True, size=look.size)
+        hits.append(F.when(F.col("_value").between(F.col(low), F.col(high)), number))
+    own = [[number for number, look in enumerate(looks) if key in look.keys] for key in keys]
+    counts = settle(
+        source.select(*keys, "_value", F.explode(F.array_compact(F.array(*hits))).alias("_look"))
+        .select(
+            "_look", "_value",
+            *[F.when(F.col("_look").isin(n), F.col(key)).alias(key) for key, n in zip(keys, own, strict=True)],
+        )
+        .groupBy("_look", *keys, "_value")
         .agg(F.count(F.lit(1)).alias("_weight"))
     )
-    found = summary.where(F.col("_from").isNull()).select(*middles)
+    return [
+        _inside(
+            counts.where(F.col("_look") == number).select(*look.keys, "_value", "_weight"),
+            look.brackets, look.size, look.keys,
+        )
+        for number, look in enumerate(looks)
+    ]
+
+
+def _finished(look: _Look, counts: DataFrame | None, averages: Sequence[str], sort_rows: int) -> DataFrame:
+    """Narrow until what is left of each group can be sorted, then rank it."""
+    found, size, largest = look.middles(look.summary), look.size, look.largest
     while largest > sort_rows:
         counts = settle(counts)
-        narrowed, size, largest = _settled(_narrowed(counts, keys))
-        found = found.unionByName(narrowed.where(F.col("_from").isNull()).select(*middles))
-        counts = _inside(counts.drop(*_BOUNDS), narrowed.where(F.col("_from").isNotNull()), size, keys)
+        narrowed, size, largest = _settled(_narrowed(counts, look.keys))
+        found = found.unionByName(look.middles(narrowed))
+        still_open = narrowed.where(F.col("_from").isNotNull())
+        counts = _inside(counts.drop(*_BOUNDS), still_open, size, look.keys)
     if largest:
-        found = found.unionByName(_ranked(counts, keys).select(*middles))
-    return _per_group(summary.select(*facts), found, keys)
+        found = found.unionByName(look.middles(_ranked(counts, look.keys)))
+    facts = look.summary.select(*look.keys, "rows", "mean", "deviation", *averages)
+    return _per_group(facts, found, look.keys)
+
+
+def group_summary(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    averages: Sequence[str] = (),
+    candidates: Callable[[DataFrame], DataFrame] | None = None,
+    sort_rows: int = SORT_ROWS,
+) -> DataFrame:
+    """One row per group: rows, mean, deviation, lower, upper and one mean per ``averages``.
+
+    ``rows`` counts all rows; the rest skips NULL and NaN.  ``lower`` and ``upper`` are
+    the two middle values, equal for odd counts.  ``candidates`` may give a cheaper frame
+    for the second look: called with the brackets (keys, _from, _to), it must return at
+    least the rows of ``df`` inside them.
+    """
+    number = _number(value)
+    look = _first_look(_first_cells(df, keys, number, averages), keys, averages)
+    counts = None
+    if look.largest:
+        source = candidates(look.brackets.select(*keys, "_from", "_to")) if candidates else df
+        counts = _second_look(source.select(*keys, number.alias("_value")), look)
+    return _finished(look, counts, averages, sort_rows)
+
+
+def group_summaries(
+    df: DataFrame,
+    key_sets: Sequence[Sequence[str]],
+    value: str,
+    averages: Sequence[str] = (),
+    sort_rows: int = SORT_ROWS,
+) -> list[DataFrame]:
+    """``group_summary`` for several sets of keys with two passes over ``df`` in all: the
+    cells of all keys together are merged for each set."""
+    keys = list(dict.fromkeys(key for key_set in key_sets for key in key_set))
+    number = _number(value)
+    cells = settle(_first_cells(df, keys, number, averages))
+    looks = [_first_look(_merged(cells, key_set, averages), key_set, averages) for key_set in key_sets]
+    counts = [None] * len(looks)
+    if any(look.largest for look in looks):
+        counts = _second_looks(df.select(*keys, number.alias("_value")), keys, looks)
+    return [
+        _finished(look, counted, averages, sort_rows)
+        for look, counted in zip(looks, counts, strict=True)
+    ]
+
+
+def _number(value: str) -> Column:
+    """The value as a double; NaN becomes NULL."""
+    return F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
 
 
 def _per_group(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

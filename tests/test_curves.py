@@ -94,6 +94,17 @@ def test_median_equals_the_built_in_one(month):
         assert row.median_normalized_volume == pytest.approx(want[row.minutes_since_open], rel=1e-14)
 
 
+def test_curves_together_equal_single_ones(month):
+    bars = sv.normalized_volume(sv.stg_intraday_bars(month))
+    single = (sv.curve_overall(bars), sv.curve_by_sector(bars), sv.curve_by_cap(bars))
+    for one, other in zip(sv.curves_together(bars), single, strict=True):
+        assert one.columns == other.columns
+        key = one.columns[: one.columns.index("sample_size")]
+        for a, b in zip(one.orderBy(*key).collect(), other.orderBy(*key).collect(), strict=True):
+            assert a[: len(key) + 1] == b[: len(key) + 1]
+            assert tuple(a[len(key):]) == pytest.approx(tuple(b[len(key):]), rel=1e-12)
+
+
 def test_regime_curve_has_two_groups_and_no_unrated_bars(spark, month):
     bars = sv.normalized_volume(sv.stg_intraday_bars(month))
     rated = bars.select("ticker", "trade_date").distinct().where("day(trade_date) > 5").selectExpr(

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from sessionvol.plans import middle
-from sessionvol.plans.middle import group_summary
+from sessionvol.plans.middle import group_summaries, group_summary
 
 
 def expected(values):
@@ -87,3 +87,26 @@ def test_empty(spark):
 )
 def test_any_values(spark, groups, sort_rows):
     check(spark, groups, sort_rows=sort_rows)
+
+
+@pytest.mark.parametrize("sort_rows", [4_000_000, 4])
+def test_several_key_sets_in_one_go(spark, sort_rows):
+    rng = random.Random(8)
+    rows = [
+        (rng.choice(["a", "b", None]), rng.choice([1, 2]), rng.choice([0.0, -1.5, rng.gauss(0, 3), None]))
+        for _ in range(700)
+    ]
+    rows += [("hot", 1, 1 + i * 1e-9) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, j int, x double")
+    key_sets = [["k"], ["j"], ["k", "j"]]
+    for keys, got in zip(key_sets, group_summaries(df, key_sets, "x", sort_rows=sort_rows), strict=True):
+        groups = {}
+        for k, j, x in rows:
+            groups.setdefault(tuple({"k": k, "j": j}[key] for key in keys), []).append(x)
+        got = {tuple(r[key] for key in keys): r for r in got.collect()}
+        assert set(got) == set(groups)
+        for key, values in groups.items():
+            n, mean, deviation, lower, upper = expected(values)
+            assert (got[key]["rows"], got[key]["lower"], got[key]["upper"]) == (n, lower, upper)
+            assert got[key]["mean"] == pytest.approx(mean, rel=1e-12, abs=1e-12)
+            assert got[key]["deviation"] == pytest.approx(deviation, rel=1e-9, abs=1e-12)
