@@ -7,8 +7,6 @@ grows with the tables.  ``checks.oracle`` holds the same derivations as SQL.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,17 +149,16 @@ STAGED = {
 }
 
 
-@cache
-def _folder(application: str, sf_dir: str, name: str) -> str:
-    spark = SparkSession.getActiveSession()
-    relation, derive = STAGED[name]
-    return write_raw(derive(spark, sf_dir), relation, new_folder(spark, name))
+_folders: dict[tuple[str, str, str], str] = {}
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A raw table in the layout of the raw layer, written on first use."""
-    folder = _folder(spark.sparkContext.applicationId, sf_dir, name)
-    return read_raw(spark, STAGED[name][0], folder)
+    relation, derive = STAGED[name]
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _folders:
+        _folders[key] = write_raw(derive(spark, sf_dir), relation, new_folder(spark, name))
+    return read_raw(spark, relation, _folders[key])
 
 
 def intraday_feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:

@@ -72,13 +72,14 @@ class TradingSession:
 UTC_SESSION = TradingSession()
 NEW_YORK_SESSION = TradingSession("09:30", "16:00", "America/New_York")
 
-_HAS_OFFSET = r"(Z|[+-]\d{2}:?\d{2})\s*$"
+# A time of day followed by a sign or a letter: an offset, Z or the name of a zone.
+_HAS_ZONE = r"\d:\d{2}(:\d{2}(\.\d+)?)?\s*[A-Za-z+-]\S*\s*$"
 
 
 def utc_wall_time(value: Column, kind: DataType) -> Column:
     """TIMESTAMP_NTZ in UTC from a text, an instant or a wall time.
 
-    Text with an offset names an instant; text without one is taken as UTC.
+    Text with an offset or zone names an instant; text without one is taken as UTC.
     """
     def from_instant(instant: Column) -> Column:
         epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -87,7 +88,7 @@ def utc_wall_time(value: Column, kind: DataType) -> Column:
     if isinstance(kind, TimestampType):
         return from_instant(value)
     if isinstance(kind, StringType):
-        return F.when(value.rlike(_HAS_OFFSET), from_instant(value.cast("timestamp"))).otherwise(
+        return F.when(value.rlike(_HAS_ZONE), from_instant(value.cast("timestamp"))).otherwise(
             value.cast("timestamp_ntz")
         )
     return value.cast("timestamp_ntz")

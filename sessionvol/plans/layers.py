@@ -47,7 +47,8 @@ class Layers:
     ``prefix`` is put before the database names; ``location`` is a folder for the
     databases (default: the session's warehouse).  Every build replaces what was there.
 
-    ``partitions`` is the number of range partitions per table.  ``buckets`` stores the
+    ``partitions`` is the number of range partitions of the tables with a row per bar or
+    day; the others are small.  ``buckets`` stores the
     two marts that are joined by day in that many buckets of (ticker, trade_date): the
     regime curve then reads both without a shuffle.  It pays where the volatility is too
     large to broadcast; a single ticker-day stays in one bucket.
@@ -89,7 +90,8 @@ class Layers:
 
     def load_raw(self, relation: str, df: DataFrame, mode: str = "overwrite") -> None:
         """Write a raw table; ``mode='append'`` adds a load to it."""
-        raw_writer(df, relation, mode, self.partitions).saveAsTable(self.name("raw", relation))
+        partitions = self.partitions if relation in PARTITIONED_BY else None
+        raw_writer(df, relation, mode, partitions).saveAsTable(self.name("raw", relation))
 
     def raw(self, relation: str, **bounds) -> DataFrame:
         return read_raw(self.spark, relation, table=self.name("raw", relation), **bounds)
@@ -124,7 +126,8 @@ class Layers:
             ready = df.repartition(self.buckets, *day).sortWithinPartitions(*day, *order)
             writer = ready.write.bucketBy(self.buckets, *day).sortBy(*day)
         else:
-            writer = clustered(df, order, self.partitions).write
+            partitions = self.partitions if "ticker" in order else None
+            writer = clustered(df, order, partitions).write
         writer.mode("overwrite").format("parquet").saveAsTable(self.name(layer, relation))
 
     def build_marts(self) -> None:

@@ -50,11 +50,10 @@ def _holding(cells: DataFrame, keys: Sequence[str], before: Column, total: Colum
     def holds(rank: Column) -> Column:
         return (F.col("_below") <= rank) & (rank < F.col("_below") + F.col("_n"))
 
-    return (
-        cells.withColumn("_total", total)
-        .withColumn("_below", below)
-        .withColumn("_has_lower", holds(F.floor((F.col("_total") - 1) / 2)))
-        .withColumn("_has_upper", holds(F.floor(F.col("_total") / 2)))
+    return cells.select("*", total.alias("_total"), below.alias("_below")).select(
+        "*",
+        holds(F.floor((F.col("_total") - 1) / 2)).alias("_has_lower"),
+        holds(F.floor(F.col("_total") / 2)).alias("_has_upper"),
     )
 
 
@@ -183,9 +182,9 @@ def _merged(cells: DataFrame, keys: Sequence[str], averages: Sequence[str]) -> D
 
 
 def _first_look(cells: DataFrame, keys: Sequence[str], averages: Sequence[str]) -> _Look:
-    cells = cells.withColumn("_distinct", F.col("_n"))  # an upper bound
-    total = F.sum("_n").over(Window.partitionBy(*keys))
-    held = _holding(cells, keys, F.lit(0), total).withColumn("_group_mean", _mean_over(keys))
+    at_most = F.col("_n").alias("_distinct")
+    cells = cells.select("*", at_most, _mean_over(keys).alias("_group_mean"))
+    held = _holding(cells, keys, F.lit(0), F.sum("_n").over(Window.partitionBy(*keys)))
     found = held.groupBy(*keys).agg(
         F.sum("_rows").alias("rows"),
         F.max("_group_mean").alias("mean"),

@@ -42,22 +42,18 @@ def ordered_blocks(
         .select(key, "_period", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     )
     rank = F.row_number().over(Window.partitionBy(key, "_period").orderBy(*order))
+    position = F.col("_start") + F.col("_rank") - 1
     placed = (
         rows.withColumn("_rank", rank)
         .join(starts, [key, "_period"])
-        .withColumn("_position", F.col("_start") + F.col("_rank") - 1)
+        .select(*df.columns, position.alias("_position"))
     )
     block = F.floor(F.col("_position") / block_rows)
     own = F.struct(block.alias("block"), F.lit(False).alias("context"))
     next_one = F.struct((block + 1).alias("block"), F.lit(True).alias("context"))
     passed_on = F.col("_position") % block_rows >= block_rows - lookback
     copies = F.when(passed_on, F.array(own, next_one)).otherwise(F.array(own))
-    return (
-        placed.withColumn("_copy", F.explode(copies))
-        .withColumn("_block", F.col("_copy.block"))
-        .withColumn("_context", F.col("_copy.context"))
-        .drop("_period", "_start", "_rank", "_copy")
-    )
+    return placed.select("*", F.inline(copies).alias("_block", "_context"))
 
 
 def block_window(key: str) -> WindowSpec:

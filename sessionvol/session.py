@@ -47,8 +47,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing has used before.
+
+    All paths of an application lie in one folder, to be removed when it has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -18,6 +18,9 @@ from sessionvol.schemas import DAILY_BARS, INTRADAY_BARS, RAW, TICKER_METADATA
 
 INTERVAL = "5m"  # fixed value: length of the vendor's bars
 
+# vendor's metadata names, in lower case, and ours.
+METADATA_NAMES = {"symbol": "ticker", "longname": "company_name", "marketcap": "market_cap"}
+
 _FIRST_OF_TUPLE = re.compile(r"""^\(\s*['"]?([^,'"]+)['"]?\s*,.*\)$""")
 
 
@@ -92,7 +95,8 @@ def ingest_metadata(
     feed: DataFrame, universe: DataFrame, run_time: datetime | str | None = None
 ) -> DataFrame:
     """Raw metadata from vendor records: the universe's sector, defaults and the cap band."""
-    df = lookup_join(feed.drop("sector"), universe.select("ticker", "sector"), ["ticker"], "inner")
+    df = feed.toDF(*[feed_name(c) for c in feed.columns]).withColumnsRenamed(METADATA_NAMES)
+    df = lookup_join(df.drop("sector"), universe.select("ticker", "sector"), ["ticker"], "inner")
     df = with_cap_band(with_metadata_defaults(df))
     return _typed(_stamp(df, "fetched_at", run_time), TICKER_METADATA)
 
