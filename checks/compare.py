@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import sys
 import time
 
@@ -23,6 +25,14 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+def plan(df: DataFrame) -> str:
+    """The physical plan with pushed filters and read columns in full."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()
+
+
 def _rows(columns: list[str], rows: list[tuple]) -> tuple[list[str], list[str]]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [columns[i] for i in order], sorted(repr([row[i] for i in order]) for row in rows)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionvol.functions.values import REGIMES
-from sessionvol.plans.joins import lookup_join, measured_bytes
+from sessionvol.plans.joins import SALTS, lookup_join, measured_bytes
 from sessionvol.plans.middle import SORT_ROWS, group_summaries, group_summary
 
 SLOT = ("minutes_since_open", "bar_hour", "bar_minute")
@@ -86,22 +86,28 @@ def curve_by_cap(normalized: DataFrame, **options) -> DataFrame:
     return volume_curve(normalized, by=["market_cap_band"], **options)
 
 
-def bars_with_regime(normalized: DataFrame, volatility: DataFrame, size: int | None = None) -> DataFrame:
+def bars_with_regime(
+    normalized: DataFrame, volatility: DataFrame, size: int | None = None, shared_buckets: bool = False
+) -> DataFrame:
     """Bars of rated days with the day's regime.  Unrated bars drop out.
 
-    ``size``: bytes of ``volatility``, if it was measured before.
+    ``size``: bytes of ``volatility``, if it was measured before.  ``shared_buckets``:
+    both are tables in buckets of (ticker, trade_date), to be joined where they lie.
     """
     days = volatility.select(
         "ticker", "trade_date", "vol_regime", F.col("realized_vol_20d").alias("realized_vol")
     )
-    joined = lookup_join(normalized, days, ["ticker", "trade_date"], size=size)
+    salts = 0 if shared_buckets else SALTS
+    joined = lookup_join(normalized, days, ["ticker", "trade_date"], size=size, salts=salts)
     return joined.where(F.col("vol_regime").isNotNull()).select(
         "ticker", "sector", "market_cap_band", *SLOT, "trade_date", "normalized_volume",
         "vol_regime", "realized_vol",
     )
 
 
-def curve_by_regime(normalized: DataFrame, volatility: DataFrame, **options) -> DataFrame:
+def curve_by_regime(
+    normalized: DataFrame, volatility: DataFrame, shared_buckets: bool = False, **options
+) -> DataFrame:
     """Curve per volatility regime, with the mean volatility behind each point.
 
     ``volatility`` is read up to three times: give a table or what ``daily_volatility``
@@ -118,10 +124,10 @@ def curve_by_regime(normalized: DataFrame, volatility: DataFrame, **options) ->
         near = lookup_join(normalized, brackets.groupBy(*SLOT).agg(*spans), SLOT, "inner")
         value = F.col("normalized_volume")
         within = [value.between(F.col(f"_from_{regime}"), F.col(f"_to_{regime}")) for regime in REGIMES]
-        return bars_with_regime(near.where(within[0] | within[1]), volatility, size)
+        return bars_with_regime(near.where(within[0] | within[1]), volatility, size, shared_buckets)
 
     return volume_curve(
-        bars_with_regime(normalized, volatility, size),
+        bars_with_regime(normalized, volatility, size, shared_buckets),
         by=["vol_regime"],
         averages=["realized_vol"],
         candidates=near_the_middle,

@@ -12,6 +12,7 @@ from pyspark.sql.types import BinaryType, StringType
 from sessionvol.session import settle_measured
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+SALTS = 8
 
 
 def total_bytes(df: DataFrame) -> Column:
@@ -37,20 +38,32 @@ def lookup_join(
     null_safe: bool = False,
     size: int | None = None,
     limit: int = BROADCAST_BYTES,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``left`` with ``lookup``, which has at most one row per key.
 
     The lookup is computed once and its bytes are summed; ``size`` says that this was
     done before.  Up to ``limit`` it is broadcast, so the large side is neither shuffled
-    nor affected by hot keys.  Beyond it both sides are shuffled by key, and adaptive
-    execution splits the partitions of hot keys on the large side.
+    nor affected by hot keys.  Beyond it both sides are shuffled by key and salt.  The
+    salt spreads a hot key, and as no later grouping can reuse that partitioning,
+    adaptive execution is always free to split what is still too large.  ``salts=0``
+    joins by key alone, for tables that are stored in shared buckets.
     """
     if size is None:
         lookup, facts = settle_measured(lookup, size=total_bytes(lookup))
         size = facts["size"]
-    right = F.broadcast(lookup) if size <= limit else lookup
+    names = list(on)
+    if size <= limit:
+        right = F.broadcast(lookup)
+    elif salts:
+        # The number of the input partition is the same when a task is run again.
+        left = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        names.append("_salt")
+    else:
+        right = lookup
     if not null_safe:
-        return left.join(right, list(on), how)
-    right = right.withColumnsRenamed({key: f"_right_{key}" for key in on})
-    match = [left[key].eqNullSafe(right[f"_right_{key}"]) for key in on]
-    return left.join(right, match, how).drop(*[f"_right_{key}" for key in on])
+        return left.join(right, names, how).drop("_salt")
+    right = right.withColumnsRenamed({key: f"_right_{key}" for key in names})
+    match = [left[key].eqNullSafe(right[f"_right_{key}"]) for key in names]
+    return left.join(right, match, how).drop("_salt", *[f"_right_{key}" for key in names])

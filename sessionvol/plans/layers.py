@@ -142,7 +142,8 @@ class Layers:
         self._save_mart("mart_volume_curve", overall)
         self._save_mart("mart_volume_curve_by_sector", by_sector)
         self._save_mart("mart_volume_curve_by_market_cap", by_cap)
-        self._save_mart("mart_volume_curve_by_vol_regime", curves.curve_by_regime(bars, days))
+        by_regime = curves.curve_by_regime(bars, days, shared_buckets=bool(self.buckets))
+        self._save_mart("mart_volume_curve_by_vol_regime", by_regime)
 
     def _save_mart(self, mart: str, df: DataFrame) -> None:
         self._save(df, "marts", mart, MARTS[mart])

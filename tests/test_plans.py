@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
-import io
 import re
 
 import pytest
@@ -11,16 +9,10 @@ from pyspark.sql import functions as F
 
 import sessionvol as sv
 from checks import fixtures, queries
+from checks.compare import plan
 from sessionvol.plans.ordered import ordered_blocks
 
 
-def plan(df):
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain("formatted")
-    return text.getvalue()
-
-
 def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
@@ -30,12 +22,6 @@ def normalized(spark, sf_dir):
     return queries.normalized(spark, sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"layers"}))
-def test_no_python_and_no_cross_join(spark, sf_dir, name):
-    text = plan(queries.QUERIES[name](spark, sf_dir))
-    assert not re.search("Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", text)
-
-
 def test_bars_are_not_shuffled_to_be_normalised(normalized):
     text = plan(normalized)
     assert "BroadcastHashJoin" in text

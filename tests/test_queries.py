@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry_points
-from checks.compare import connect, differences
+from checks.compare import connect, differences, plan
 
 QUERIES = entry_points.queries()
 SQL = entry_points.oracle_sql()
@@ -22,9 +24,11 @@ def test_every_query_has_its_sql():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, sf_dir, connection, name):
-    rows, notes = differences(QUERIES[name](spark, sf_dir), connection, SQL[name])
+    df = QUERIES[name](spark, sf_dir)
+    rows, notes = differences(df, connection, SQL[name])
     assert notes == []
     assert rows > 0
+    assert not re.search("Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", plan(df))
 
 
 def test_entry(spark):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import sessionvol as sv
+from sessionvol.plans.joins import lookup_join
 from sessionvol.schemas import INTRADAY_BARS
 
 
@@ -74,3 +75,42 @@ def test_volatility_of_a_hot_ticker(spark):
         where realized_vol_20d is not null""")
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+@pytest.fixture
+def without_broadcast(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_hot_key_is_spread_when_the_lookup_is_too_large_to_broadcast(spark, without_broadcast):
+    n = F.col("id")
+    left = spark.range(0, 200_000, 1, 8).select(
+        F.when(n % 3 == 0, "HOT").otherwise(F.concat(F.lit("T"), n % 400)).alias("ticker"),
+        F.sha2(n.cast("string"), 256).alias("payload"),
+    )
+    lookup = left.select("ticker").distinct().withColumn("x", F.length("ticker"))
+    joined = lookup_join(left, lookup, ["ticker"], limit=0)
+    spread = joined.where("ticker = 'HOT'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in spread) == 66_667
+    assert len(spread) >= 4 and max(r["count"] for r in spread) < 40_000
+
+    # Even a grouping by the same key leaves adaptive execution free to split further.
+    counted = joined.groupBy("ticker").agg(F.count("x").alias("n"), F.min("payload").alias("least"))
+    got = {r.ticker: (r.n, r.least) for r in counted.collect()}
+    assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    want = left.groupBy("ticker").agg(F.count("*").alias("n"), F.min("payload").alias("least")).collect()
+    assert got == {r.ticker: (r.n, r.least) for r in want}

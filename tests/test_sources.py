@@ -188,6 +188,7 @@ def test_lookup_join_beyond_the_limit(spark):
     try:
         assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        assert small.columns == large.columns
         assert sorted(small.collect(), key=str) == sorted(large.collect(), key=str)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -196,9 +197,10 @@ def test_lookup_join_beyond_the_limit(spark):
 def test_null_safe_lookup(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, x int")
     right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, y int")
-    got = lookup_join(left, right, ["k"], "inner", null_safe=True)
-    assert sorted((r.x, r.y) for r in got.collect()) == [(1, 10), (2, 20)]
-    assert got.columns == ["k", "x", "y"]
+    for limit in (0, 1 << 20):
+        got = lookup_join(left, right, ["k"], "inner", null_safe=True, limit=limit)
+        assert sorted((r.x, r.y) for r in got.collect()) == [(1, 10), (2, 20)]
+        assert got.columns == ["k", "x", "y"]
 
 
 def test_measured_bytes(spark):
