@@ -87,17 +87,16 @@ def curve_by_cap(normalized: DataFrame, **options) -> DataFrame:
 
 
 def bars_with_regime(
-    normalized: DataFrame, volatility: DataFrame, size: int | None = None, shared_buckets: bool = False
+    normalized: DataFrame, volatility: DataFrame, size: int | None = None, salts: int = SALTS
 ) -> DataFrame:
     """Bars of rated days with the day's regime.  Unrated bars drop out.
 
-    ``size``: bytes of ``volatility``, if it was measured before.  ``shared_buckets``:
-    both are tables in buckets of (ticker, trade_date), to be joined where they lie.
+    ``size``: bytes of ``volatility``, if it was measured before.  ``salts=0``: join by
+    key alone, as for tables in shared buckets of (ticker, trade_date).
     """
     days = volatility.select(
         "ticker", "trade_date", "vol_regime", F.col("realized_vol_20d").alias("realized_vol")
     )
-    salts = 0 if shared_buckets else SALTS
     joined = lookup_join(normalized, days, ["ticker", "trade_date"], size=size, salts=salts)
     return joined.where(F.col("vol_regime").isNotNull()).select(
         "ticker", "sector", "market_cap_band", *SLOT, "trade_date", "normalized_volume",
@@ -113,6 +112,8 @@ def curve_by_regime(
     ``volatility`` is read up to three times: give a table or what ``daily_volatility``
     returns.  The second look of the median first cuts the bars to the value ranges of
     their slot, so that only a few bars in a hundred go through the join again.
+    ``shared_buckets``: both are tables in the same buckets of (ticker, trade_date) and
+    are joined where they lie.
     """
     size = measured_bytes(volatility)
 
@@ -124,10 +125,11 @@ def curve_by_regime(
         near = lookup_join(normalized, brackets.groupBy(*SLOT).agg(*spans), SLOT, "inner")
         value = F.col("normalized_volume")
         within = [value.between(F.col(f"_from_{regime}"), F.col(f"_to_{regime}")) for regime in REGIMES]
-        return bars_with_regime(near.where(within[0] | within[1]), volatility, size, shared_buckets)
+        # Few bars are left: copying the volatility for each salt would cost more than it saves.
+        return bars_with_regime(near.where(within[0] | within[1]), volatility, size, salts=0)
 
     return volume_curve(
-        bars_with_regime(normalized, volatility, size, shared_buckets),
+        bars_with_regime(normalized, volatility, size, salts=0 if shared_buckets else SALTS),
         by=["vol_regime"],
         averages=["realized_vol"],
         candidates=near_the_middle,

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import sessionvol as sv
+from sessionvol.operators import curves
 
 CURVE = [
     "minutes_since_open", "bar_hour", "bar_minute", "sample_size", "avg_normalized_volume",
@@ -129,6 +130,22 @@ def test_regime_curve_has_two_groups_and_no_unrated_bars(spark, month):
         )
 
 
+@pytest.mark.parametrize("shared_buckets", [False, True])
+def test_regime_curve_without_broadcast(spark, month, monkeypatch, shared_buckets):
+    bars = sv.normalized_volume(sv.stg_intraday_bars(month))
+    rated = bars.select("ticker", "trade_date").distinct().selectExpr(
+        "ticker", "trade_date", "0.0D as daily_return", "day(trade_date) * 1.0D as realized_vol_20d",
+        "if(day(trade_date) % 2 = 0, 'high', 'low') as vol_regime",
+    )
+    order = ["vol_regime", "minutes_since_open"]
+    want = sv.curve_by_regime(bars, rated).orderBy(*order).collect()
+    monkeypatch.setattr(curves, "measured_bytes", lambda df: 1 << 50)
+    got = sv.curve_by_regime(bars, rated, shared_buckets=shared_buckets).orderBy(*order).collect()
+    for a, b in zip(got, want, strict=True):
+        assert a[:5] == b[:5]
+        assert tuple(a[5:]) == pytest.approx(tuple(b[5:]), rel=1e-12)
+
+
 def test_sector_subset(month):
     bars = sv.normalized_volume(sv.stg_intraday_bars(month))
     assert {r.sector for r in sv.curve_by_sector(bars, ["S1"]).collect()} == {"S1"}

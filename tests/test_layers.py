@@ -108,7 +108,7 @@ def test_shared_buckets_join_without_a_shuffle(spark, raw):
     try:
         joined = bars_with_regime(
             built.table("marts", "mart_normalized_volume"), built.table("marts", "mart_daily_volatility"),
-            size=1 << 50, shared_buckets=True,
+            size=1 << 50, salts=0,
         )
         plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
