@@ -63,10 +63,16 @@ class TradingSession:
         }
 
     def contains(self) -> str:
-        return (
-            f"{self.minute_of_day} >= {self.first_minute} "
-            f"and {self.minute_of_day} < {_minutes(self.close_time)}"
-        )
+        """Condition on the bar.  One look at the hour decides; the minute only matters
+        where the session does not start or end on the hour."""
+        first, end = self.first_minute, _minutes(self.close_time)
+        hours = ", ".join(str(hour) for hour in range(first // 60, (end - 1) // 60 + 1))
+        parts = [f"hour({self.wall_time}) in ({hours})"]
+        if first % 60:
+            parts.append(f"{self.minute_of_day} >= {first}")
+        if end % 60:
+            parts.append(f"{self.minute_of_day} < {end}")
+        return " and ".join(parts)
 
 
 UTC_SESSION = TradingSession()

@@ -29,7 +29,7 @@ def intraday_columns(session: TradingSession = UTC_SESSION) -> dict[str, str]:
 
 
 def intraday_condition(session: TradingSession = UTC_SESSION) -> str:
-    return f"{session.contains()} and {TRADED}"
+    return f"{TRADED} and {session.contains()}"
 
 
 def stg_intraday_bars(bars: DataFrame, session: TradingSession = UTC_SESSION) -> DataFrame:

@@ -19,6 +19,12 @@ def test_session_edges(bars):
     assert minutes(sv.stg_intraday_bars(raw, sv.TradingSession(strict_open=True))) == [0, 385]
 
 
+def test_session_that_ends_within_an_hour(bars):
+    raw = bars(*[("A", f"2024-01-10 {t}:00", 5) for t in ("08:59", "09:00", "09:15", "13:14", "13:15", "13:59")])
+    assert minutes(sv.stg_intraday_bars(raw, sv.TradingSession("09:15", "13:15"))) == [-15, 0, 239]
+    assert minutes(sv.stg_intraday_bars(raw, sv.TradingSession("09:15", "13:15", strict_open=True))) == [0, 239]
+
+
 def test_minutes_count_boundaries(bars):
     assert minutes(sv.stg_intraday_bars(bars(("A", "2024-01-10 14:29:30", 5)))) == [-1]
     assert minutes(sv.stg_intraday_bars(bars(("A", "2024-01-10 20:59:59", 5)))) == [389]
