@@ -40,7 +40,8 @@ def stg_intraday_bars(bars: DataFrame, session: TradingSession = UTC_SESSION) ->
 
 
 def month_number(day: Column) -> Column:
-    return F.year(day) * 12 + F.month(day)
+    """Rises with the day; a missing day sorts first and counts as month 0."""
+    return F.coalesce(F.year(day) * 12 + F.month(day), F.lit(0))
 
 
 def day_blocks(

@@ -84,6 +84,14 @@ def test_share_of_high_days(days):
     assert all(r.high == (r.n - 1) // 2 for r in counts)
 
 
+def test_a_day_without_date_is_kept(days):
+    raw = days(("A", 0, 10.0), ("A", 1, 11.0)).withColumn(
+        "trade_date", F.when(F.col("close") > 10, F.col("trade_date"))
+    )
+    rows = sv.stg_daily_bars(raw).orderBy("trade_date").collect()
+    assert [(r.close, r.daily_return) for r in rows] == [(10.0, None), (11.0, pytest.approx(0.1))]
+
+
 def test_several_loads_of_a_day_are_all_kept(days):
     raw = days(*[("A", i, c) for i, c in enumerate(random_closes(50, 9))] * 3)
     staged = sv.stg_daily_bars(raw)
