@@ -16,6 +16,7 @@ its row key.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionvol.llm import kernels as K
-from sessionvol.llm.rows import K1, K2, keyed, ship
+from sessionvol.llm.rows import K1, K2, row_key, ship
 
 #: Bytes of item texts whose automaton is sent to all tasks at once.
 BLOCK_BYTES = 4 << 20
@@ -165,86 +166,111 @@ class Automaton:
         return list(zip(words.doc[a].tolist(), a.tolist(), (a + size).tolist(), strict=True))
 
 
-def _match(automaton, then=None):
-    """Texts to hits: number of words, spans of hit words, items; ``then`` is what to do with them in the same task."""
-    if then:
-        return lambda batches: then(_match(automaton)(batches))
+def find(auto: Automaton, column: pa.Array) -> tuple[np.ndarray, list[list[tuple[int, int, int]]], list[set[str]]]:
+    """Number of words, spans of hit words and items of each text of a column."""
+    data, offsets = K.buffer(column)
+    n_words, spans, items = [np.zeros(0, np.int64)], [[] for _ in range(len(column))], [set() for _ in range(len(column))]
+    for a, b in K.chunks(offsets):
+        part = K.LOWER[data[offsets[a] : offsets[b]]]
+        words = K.Words(part, offsets[a : b + 1] - offsets[a], K.ALNUM)
+        n_words.append(np.diff(words.first))
+        if not auto.least:
+            continue
+        flat = None
+        for row, lo, hi in auto.candidates(words):
+            flat = flat or part.tobytes()
+            got, hit = auto.stream(
+                [flat[p:q] for p, q in zip(words.starts[lo:hi].tolist(), words.ends[lo:hi].tolist(), strict=True)]
+            )
+            at = lo - int(words.first[row])
+            spans[a + row] += [(p + at, q + at, n) for p, q, n in got]
+            items[a + row] |= hit
+    return np.concatenate(n_words), spans, items
+
+
+def _merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    out: list[tuple[int, int, int]] = []
+    for lo, hi, longest in sorted(spans):
+        if out and lo <= out[-1][1]:
+            a, b, n = out.pop()
+            lo, hi, longest = a, max(b, hi), max(n, longest)
+        out.append((lo, hi, longest))
+    return out
+
+
+_SPANS = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64()), ("longest", pa.int64())]))
+_HITS = f"{K1} long, {K2} long, spans array<struct<lo:long,hi:long,longest:long>>, items array<string>"
+
+
+def _one_pass(automaton, text_col: str, apply):
+    """All texts against the only block of items."""
 
     def run(batches):
-        auto = automaton.value
         for batch in batches:
-            data, offsets = K.buffer(batch.column("text"))
-            n_words, spans, items = [], [[] for _ in range(len(batch))], [set() for _ in range(len(batch))]
-            for a, b in K.chunks(offsets):
-                part = K.LOWER[data[offsets[a] : offsets[b]]]
-                words = K.Words(part, offsets[a : b + 1] - offsets[a], K.ALNUM)
-                n_words.append(np.diff(words.first))
-                if not auto.least:
-                    continue
-                flat = None
-                for row, lo, hi in auto.candidates(words):
-                    flat = flat or part.tobytes()
-                    got, hit = auto.stream(
-                        [flat[p:q] for p, q in zip(words.starts[lo:hi].tolist(), words.ends[lo:hi].tolist(), strict=True)]
-                    )
-                    at = lo - int(words.first[row])
-                    spans[a + row] += [(p + at, q + at, n) for p, q, n in got]
-                    items[a + row] |= hit
-            if len(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(batch.column(c) for c in (K1, K2, "doc_id", "text")),
-                        pa.array(np.concatenate(n_words)),
-                        pa.array([[{"lo": p, "hi": q, "longest": n} for p, q, n in s] for s in spans], _SPANS),
-                        pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-                    ],
-                    names=[K1, K2, "doc_id", "text", "n_words", "spans", "items"],
-                )
+            yield apply(batch, *find(automaton.value, batch.column(batch.schema.get_field_index(text_col))))
 
     return run
 
 
-_SPANS = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64()), ("longest", pa.int64())]))
-_HITS = f"{K1} long, {K2} long, doc_id long, text string, n_words long, spans array<struct<lo:long,hi:long,longest:long>>, items array<string>"
+def _hits(automaton):
+    """Texts that a block of items hits."""
+
+    def run(batches):
+        for batch in batches:
+            _, spans, items = find(automaton.value, batch.column("text"))
+            i = [k for k, s in enumerate(spans) if s]
+            lists = [[{"lo": p, "hi": q, "longest": n} for p, q, n in spans[k]] for k in i]
+            keys = [batch.column(c).take(pa.array(i, pa.int64())) for c in (K1, K2)]
+            yield pa.RecordBatch.from_arrays(
+                [*keys, pa.array(lists, _SPANS), pa.array([sorted(items[k]) for k in i], pa.list_(pa.string()))], names=[K1, K2, "spans", "items"]
+            )
+
+    return run
 
 
-def _digest(keep_text: bool, min_words: int, max_coverage: float):
-    """Hits to the result's columns; with ``keep_text`` also the text without the spans to remove."""
+def _gathered(text_col: str, spans_col: str, items_col: str, apply):
+    """Texts with the spans that all blocks found."""
 
     def run(batches):
+        none = Automaton([], 1)
         for batch in batches:
-            n_hit, digests, texts, covers = [], [], [], []
-            for n, spans, items, text in zip(
-                *(batch.column(c).to_pylist() for c in ("n_words", "spans", "items")),
-                batch.column("text").to_pylist() if keep_text else [None] * len(batch), strict=True,
-            ):
-                merged: list[list[int]] = []
-                for s in sorted((s["lo"], s["hi"], s["longest"]) for s in spans):
-                    if merged and s[0] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], s[1])
-                        merged[-1][2] = max(merged[-1][2], s[2])
-                    else:
-                        merged.append(list(s))
-                hit = sum(b - a for a, b, _ in merged)
-                n_hit.append(hit)
-                digests.append(hashlib.sha256(",".join(sorted(set(items))).encode()).hexdigest())
-                if keep_text:
-                    covers.append(hit / n if n else 0.0)
-                    over = bool(n) and hit / n > max_coverage
-                    gone = [(a, b) for a, b, longest in merged if over or longest >= min_words]
-                    texts.append(_without(text, gone) if gone else text)
-            columns = [batch.column("doc_id"), batch.column("n_words"), pa.array(n_hit, pa.int64())]
-            columns += [pa.array([len(set(x)) for x in batch.column("items").to_pylist()], pa.int64()), pa.array(digests, pa.string())]
-            columns += [pa.array([x > 0 for x in n_hit], pa.bool_())]
-            names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-            if keep_text:
-                columns += [pa.array(covers, pa.float64()), pa.array(texts, pa.string()), batch.column(K1), batch.column(K2)]
-                names += ["coverage", "kept_text", K1, K2]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            found = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (spans_col, items_col)]
+            n_words, _, _ = find(none, batch.column(batch.schema.get_field_index(text_col)))
+            spans = [[(s["lo"], s["hi"], s["longest"]) for x in lists or () for s in x] for lists in found[0]]
+            items = [{i for x in lists or () for i in x} for lists in found[1]]
+            yield apply(batch.drop_columns([spans_col, items_col]), n_words, spans, items)
 
     return run
 
 
+def _digest(batch, n_words, spans, items):
+    merged = [_merged(s) for s in spans]
+    n_hit = [sum(b - a for a, b, _ in s) for s in merged]
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()),
+            pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items], pa.string()), pa.array([n > 0 for n in n_hit], pa.bool_()),
+        ],
+        names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    )
+
+
+def _clean(text_col: str, min_words: int, max_coverage: float):
+    def apply(batch, n_words, spans, items):
+        at = batch.schema.get_field_index(text_col)
+        texts = None
+        for i, found in enumerate(spans):
+            if found:
+                texts = texts or batch.column(at).to_pylist()
+                merged = _merged(found)
+                over = sum(b - a for a, b, _ in merged) > max_coverage * n_words[i]
+                gone = [(a, b) for a, b, longest in merged if over or longest >= min_words]
+                texts[i] = _without(texts[i], gone)
+        return batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)) if texts else batch
+
+    return apply
+
+
 def _without(text: str, gone: list[tuple[int, int]]) -> str:
     """The text without the bytes from the first to the last word of each span; the rest as it is."""
     raw = text.encode()
@@ -257,11 +283,10 @@ def _without(text: str, gone: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def benchmark_hits(
-    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-    item_text_col: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES, then=None, schema: str = _HITS,
+def match(
+    docs: DataFrame, items: DataFrame, apply, schema, text_col: str, key: list, item_id_col: str, item_text_col: str, window: int, block_bytes: int
 ) -> DataFrame:
-    """Per row of ``docs``: row key, doc_id, text, n_words, spans of hit words with their longest match, items.
+    """``apply`` of every batch of ``docs`` and what its texts have of the items.
 
     Rows of items that share an id are one item with several texts; an item without an id counts as the
     item ''. Runs one job over the items when called.
@@ -273,44 +298,43 @@ def benchmark_hits(
     ).filter(F.octet_length("text") > 0)
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = size // block_bytes + 1
-    texts = keyed(docs, id_col, text_col)
-    found = None
-    for block in range(n_blocks):
-        here = known.filter(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == block) if n_blocks > 1 else known
-        automaton = spark.sparkContext.broadcast(Automaton(sorted((r[0], r[1]) for r in here.collect()), window))
-        if n_blocks == 1 and then:
-            return texts.mapInArrow(_match(automaton, then), schema)
-        hits = texts.mapInArrow(_match(automaton), _HITS)
-        found = hits if found is None else found.union(hits.filter(F.size("spans") > 0).withColumn("text", F.lit("")))
-    if n_blocks == 1:
-        return found
-    # The first block's rows stay, and get what the others found for their key.
-    more = found.filter(F.size("spans") > 0).groupBy(K1, K2).agg(
-        F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")
+    block = F.pmod(F.xxhash64("text"), F.lit(n_blocks))
+    found = []
+    for k in range(n_blocks):
+        rows = known.filter(block == k).collect()  # about block_bytes
+        automaton = spark.sparkContext.broadcast(Automaton(sorted((r[0], r[1]) for r in rows), window))
+        if n_blocks == 1:
+            return docs.mapInArrow(_one_pass(automaton, text_col, apply), schema)
+        texts = docs.select(*key, F.col(f"`{text_col}`").alias("text"))
+        found.append(texts.mapInArrow(_hits(automaton), _HITS))
+    hits = reduce(DataFrame.union, found).distinct().groupBy(K1, K2).agg(
+        F.collect_list("spans").alias("__llm_spans"), F.collect_list("items").alias("__llm_items")
     )
-    every = texts.mapInArrow(_match(spark.sparkContext.broadcast(Automaton([], window))), _HITS).drop("spans", "items")
-    none = F.array().cast("array<struct<lo:long,hi:long,longest:long>>")
-    merged = every.join(more, [K1, K2], "left").select(
-        K1, K2, "doc_id", "text", "n_words", F.coalesce("spans", none).alias("spans"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-    )
-    return merged.mapInArrow(then, schema) if then else merged
+    joined = docs.select("*", *(c.alias(f"{n}x") for c, n in zip(key, (K1, K2)))).join(
+        hits, (F.col(f"{K1}x") == F.col(K1)) & (F.col(f"{K2}x") == F.col(K2)), "left"
+    ).drop(K1, K2, f"{K1}x", f"{K2}x")
+    return joined.mapInArrow(_gathered(text_col, "__llm_spans", "__llm_items", apply), schema)
 
 
 def decontaminate(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-    item_text_col: str = "text", window: int = 10, min_words: int = 1, max_coverage: float = 1.0, keep_text: bool = True,
-    block_bytes: int = BLOCK_BYTES,
+    item_text_col: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated; with ``keep_text`` also
-    coverage (n_hit / n_words), kept_text and the row key.
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256 (of the sorted ids, comma-joined), contaminated.
 
-    ``kept_text`` lacks hit spans whose longest match has ``min_words`` words or more, and all hit spans once they
-    cover more than ``max_coverage`` of the text. Words are [0-9a-z] and everything beyond ASCII, A-Z lower-cased.
-    NULL and empty texts have no words and are never hit; items without words are in no result; without items nothing is hit.
+    Words are [0-9a-z] and everything beyond ASCII, A-Z lower-cased. NULL and empty texts have no words and are never hit; items without words are
+    in no result; without items nothing is hit. Equal rows have equal results.
     """
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    if keep_text:
-        schema += f", coverage double, kept_text string, {K1} long, {K2} long"
-    then = _digest(keep_text, min_words, max_coverage)
-    return benchmark_hits(docs, items, id_col, text_col, item_id_col, item_text_col, window, block_bytes, then, schema)
+    return match(rows, items, _digest, schema, "text", row_key("doc_id", "text"), item_id_col, item_text_col, window, block_bytes)
+
+
+def remove_passages(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
+    item_text_col: str = "text", window: int = 10, min_words: int = 1, max_coverage: float = 1.0, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` with all their columns, the text without hit spans whose longest match has ``min_words`` words or more, and
+    without all hit spans once they cover more than ``max_coverage`` of its words. NULL stays NULL."""
+    apply = _clean(text_col, min_words, max_coverage)
+    return match(docs, items, apply, docs.schema, text_col, row_key(id_col, text_col), item_id_col, item_text_col, window, block_bytes)

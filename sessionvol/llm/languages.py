@@ -204,3 +204,21 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
     sent = docs.sparkSession.sparkContext.broadcast(profiles)
     schema = "__llm_k1 long, __llm_k2 long, doc_id long, lang_pred string, score double"
     return keyed(docs, id_col, text_col).mapInArrow(_predict(sent), schema)
+
+
+def _known(profiles, text_col: str, min_score: float):
+    def run(batches):
+        for batch in batches:
+            names, scores = profiles.value.predict(batch.column(batch.schema.get_field_index(text_col)).cast(pa.string()))
+            yield batch.filter(pa.array([n != UNKNOWN and s >= min_score for n, s in zip(names, scores.tolist())], pa.bool_()))
+
+    return run
+
+
+def keep_known(docs: DataFrame, profiles: Profiles, text_col: str = "text", min_score: float = 0.02) -> DataFrame:
+    """The rows, with all their columns, whose language is known with a cosine of at least ``min_score``.
+
+    That turns away texts without letters and those unlike every language, not short or mixed ones.
+    """
+    ship(docs.sparkSession)
+    return docs.mapInArrow(_known(docs.sparkSession.sparkContext.broadcast(profiles), text_col, min_score), docs.schema)

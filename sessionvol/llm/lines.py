@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from sessionvol.llm import counting
 from sessionvol.llm import kernels as K
-from sessionvol.llm.rows import K1, K2, keyed, ship, shuffle_partitions, text_bytes
+from sessionvol.llm.rows import K1, K2, keyed, row_key, ship, shuffle_partitions, text_bytes
 from sessionvol.session import settle
 
 COUNT_BITS = 20
@@ -292,12 +292,15 @@ def similar_lines(docs: DataFrame, id_col: str, text_col: str, threshold: float
     return settle(classes), settle(links)
 
 
-def _apply(keep_text: bool, min_words: int):
+def _apply(text_col: str, stay_col: str, min_words: int, out):
+    """Kept lines of each text to ``out`` of the batch, the texts, and the numbers of lines and of removed ones."""
+
     def run(batches):
         for batch in batches:
-            data, offsets = K.buffer(batch.column("text"))
-            stay = batch.column("stay").to_pylist()
-            n_lines, n_removed, digests, texts = [], [], [], []
+            column = batch.column(batch.schema.get_field_index(text_col))
+            data, offsets = K.buffer(column)
+            stay = batch.column(batch.schema.get_field_index(stay_col)).to_pylist()
+            n_lines, n_removed, texts = [], [], []
             for a, b in K.chunks(offsets):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 lines = Lines(part, at, min_words)
@@ -305,36 +308,39 @@ def _apply(keep_text: bool, min_words: int):
                 row_first = np.searchsorted(lines.row, np.arange(b - a + 1))
                 for r in range(b - a):
                     x, y = row_first[r], row_first[r + 1]
-                    part_of = lines.part[x:y]
-                    numbers = lines.number[x:y][part_of]
-                    kept = set(stay[a + r] or ())
-                    gone = {k for k in numbers.tolist() if k not in kept}
+                    numbers = lines.number[x:y][lines.part[x:y]]
+                    gone = set(numbers.tolist()) - set(stay[a + r] or ())
                     raw = flat[at[r] : at[r + 1]]
                     if gone:
                         raw = b"\n".join(t for k, t in enumerate(raw.split(b"\n")) if k not in gone)
                     n_lines.append(int(y - x))
                     n_removed.append(len(gone))
-                    digests.append(hashlib.sha256(raw).hexdigest())
-                    if keep_text:
-                        texts.append(raw.decode(errors="replace"))
-            columns = [*(batch.column(c) for c in (K1, K2, "doc_id")), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()), batch.column("n_links"), pa.array(digests, pa.string())]
-            names = [K1, K2, "doc_id", "n_lines", "n_removed", "n_links", "kept_sha256"]
-            if keep_text:
-                columns, names = [*columns, pa.array(texts, pa.string())], [*names, "kept_text"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                    texts.append(raw)
+            yield out(batch, texts, n_lines, n_removed)
 
     return run
 
 
-def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, keep_text: bool = True
-) -> DataFrame:
-    """Per document: row key, doc_id, n_lines (with a word), n_removed, n_links (between different lines that begin here and others),
-    kept_sha256, and with ``keep_text`` kept_text.
+def _digest(batch, texts, n_lines, n_removed):
+    digests = [hashlib.sha256(t).hexdigest() for t in texts]
+    columns = [batch.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()), batch.column("n_links"), pa.array(digests, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_lines", "n_removed", "n_links", "kept_sha256"])
 
-    Lines end at \\n and are removed with one line end. Documents without an id come last in the order; equal ids are ordered by a hash of
-    the text. NULL and empty texts have no lines. Lines of fewer than ``min_words`` words stay.
-    """
+
+def _replace(text_col: str, drop: list[str]):
+    def out(batch, texts, n_lines, n_removed):
+        at = batch.schema.get_field_index(text_col)
+        old = batch.column(at)
+        texts = [t.decode(errors="replace") if there else None for t, there in zip(texts, old.is_valid().to_pylist())]
+        batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+        emptied = [n > 0 and n == gone for n, gone in zip(n_lines, n_removed)]
+        return batch.drop_columns(drop).filter(pa.array([not e for e in emptied], pa.bool_()))
+
+    return out
+
+
+def _kept_lines(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_words: int) -> DataFrame:
+    """By row key: numbers of the lines that stay, and links of lines that begin there."""
     classes, links = similar_lines(docs, id_col, text_col, threshold, min_words)
     both = links.select("a1", "a2", "b1", "b2").union(links.select("b1", "b2", "a1", "a2"))
     first = classes.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("first").alias("other"))
@@ -343,9 +349,29 @@ def dedup_lines(
     )
     judged = classes.join(linked, ["s1", "s2"], "left")
     stays = F.col("other").isNull() | (F.col("first") < F.col("other"))
-    per_doc = judged.groupBy(F.col(f"first.{K1}").alias(K1), F.col(f"first.{K2}").alias(K2)).agg(
+    return judged.groupBy(F.col(f"first.{K1}").alias(K1), F.col(f"first.{K2}").alias(K2)).agg(
         F.collect_list(F.when(stays, F.col("first.line"))).alias("stay"), F.sum(F.coalesce("n_links", F.lit(0))).alias("n_links")
     )
-    joined = keyed(docs, id_col, text_col).join(per_doc, [K1, K2], "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
-    schema = f"{K1} long, {K2} long, doc_id long, n_lines long, n_removed long, n_links long, kept_sha256 string" + ", kept_text string" * keep_text
-    return joined.mapInArrow(_apply(keep_text, min_words), schema)
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5) -> DataFrame:
+    """Per document: doc_id, n_lines (with a word), n_removed, n_links (between different lines that begin here and others), kept_sha256.
+
+    Lines end at \\n and are removed with one line end. Documents without an id come last in the order; equal ids are ordered by a hash of
+    the text. NULL and empty texts have no lines. Lines of fewer than ``min_words`` words stay. Rows equal in id and text keep the same lines.
+    """
+    per_doc = _kept_lines(docs, id_col, text_col, threshold, min_words)
+    joined = keyed(docs, id_col, text_col).join(per_doc, [K1, K2], "left").select("doc_id", "text", "stay", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return joined.mapInArrow(_apply("text", "stay", min_words, _digest), "doc_id long, n_lines long, n_removed long, n_links long, kept_sha256 string")
+
+
+def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5) -> DataFrame:
+    """The rows of ``docs`` with all their columns, the text without lines that match an earlier one. A document all of whose lines go is
+    left out; one without lines stays."""
+    per_doc = _kept_lines(docs, id_col, text_col, threshold, min_words).select(
+        F.col(K1).alias("__llm_r1"), F.col(K2).alias("__llm_r2"), F.col("stay").alias("__llm_stay")
+    )
+    joined = docs.select("*", *row_key(id_col, text_col)).join(
+        per_doc, (F.col(K1) == F.col("__llm_r1")) & (F.col(K2) == F.col("__llm_r2")), "left"
+    ).drop(K1, K2, "__llm_r1", "__llm_r2")
+    return joined.mapInArrow(_apply(text_col, "__llm_stay", min_words, _replace(text_col, ["__llm_stay"])), docs.schema)

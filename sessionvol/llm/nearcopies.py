@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sessionvol.llm import kernels as K
 from sessionvol.llm.components import components
-from sessionvol.llm.rows import K1, K2, keyed, ship
+from sessionvol.llm.rows import K1, K2, keyed, row_key, ship
 from sessionvol.session import settle
 
 #: Classes with a candidate whose keys are sent to all tasks rather than joined by shuffle.
@@ -266,3 +266,19 @@ def _neighbours(shared: DataFrame) -> DataFrame:
     rows = shared.withColumn("band", band).withColumn("part", part)
     found = rows.select(F.col("class").alias("a"), F.lag("class").over(before).alias("b"), "n_words", F.lag("n_words").over(before).alias("n_other"))
     return found.filter(F.col("b").isNotNull())
+
+
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, sketches: int = 20, sampled: int = 2, threshold: float = 0.8
+) -> DataFrame:
+    """The rows, with all their columns, of the first document of each class; of rows equal in id and text one stays."""
+    found = settle(near_copies(docs, id_col, text_col, k, sketches, sampled, threshold).select(K1, K2, "is_first"))
+    gone = found.filter(~F.col("is_first")).select(K1, K2).distinct()
+    again = found.filter("is_first").groupBy(K1, K2).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(K1, K2)
+    gone, again = settle(gone), settle(again)
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    again = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
+    left = docs.select("*", *row_key(id_col, text_col)).join(gone, [K1, K2], "left_anti")
+    single = left.join(again, [K1, K2], "left_anti")
+    doubled = left.join(again, [K1, K2], "left_semi").dropDuplicates([K1, K2])
+    return single.select(*docs.columns).union(doubled.select(*docs.columns))

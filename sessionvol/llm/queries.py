@@ -47,8 +47,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.dedup_lines(_read(spark, sf_dir, "documents"), keep_text=False)
-    return found.select("doc_id", "n_lines", "n_removed", "n_links", "kept_sha256")
+    return lines.dedup_lines(_read(spark, sf_dir, "documents"))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +61,7 @@ def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return benchmarks.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), keep_text=False)
+    return benchmarks.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
 def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
