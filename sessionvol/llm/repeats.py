@@ -28,6 +28,10 @@ from sessionvol.session import settle
 
 #: Bytes of packed strings that one bucket should hold.
 BUCKET_BYTES = 24 << 20
+#: A minimiser of fewer super-k-mers is never hot.
+HOT_LEAST = 1000
+#: Bytes of words whose strings are packed together.
+PACK_BYTES = 12 << 20
 #: Packed strings have about this many bytes per byte of text: a super-k-mer of n windows repeats window - 1 words.
 BLOW_UP = 3.3
 
@@ -78,16 +82,28 @@ def _count_minimisers(window: int, minimiser: int, buckets: int):
     return run
 
 
+def _blobs(found: dict[int, tuple[dict[bytes, int], list]], k1: np.ndarray, k2: np.ndarray, codec: pa.Codec) -> pa.RecordBatch:
+    out = []
+    for b, (known, places) in found.items():
+        p = np.array(places, np.int64)
+        head = np.array([len(known), len(p)], np.int64)
+        sizes = np.fromiter(map(len, known), np.int64, len(known))
+        blob = b"".join((head, sizes, p[:, 0].copy(), k1[p[:, 1]], k2[p[:, 1]], p[:, 2].copy(), *known))
+        out.append((b, len(blob), codec.compress(blob, asbytes=True)))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["bucket", "size", "blob"])
+
+
 def _pack(window: int, minimiser: int, buckets: int, hot: np.ndarray):
-    """Texts to one row per (batch, bucket): packed strings, and the places they come from."""
+    """Texts to one row per (PACK_BYTES of words, bucket): packed strings, and the places they come from."""
 
     def run(batches):
         codec = pa.Codec("zstd", 1)
         for batch in batches:
             k1, k2 = (batch.column(c).to_numpy() for c in (K1, K2))
             found: dict[int, tuple[dict[bytes, int], list]] = {}
+            size = 0
             for a, words in _groups(batch.column("text")):
-                first, size, bucket, _ = _super_kmers(words, words.hashes(), window, minimiser, buckets, hot)
+                first, count, bucket, _ = _super_kmers(words, words.hashes(), window, minimiser, buckets, hot)
                 if not len(first):
                     continue
                 tidy, starts, ends = words.tidy()
@@ -95,20 +111,17 @@ def _pack(window: int, minimiser: int, buckets: int, hot: np.ndarray):
                 rows = words.doc[first]
                 at = first - words.first[rows]
                 for lo, hi, b, row, place in zip(
-                    starts[first].tolist(), ends[first + size + window - 2].tolist(), bucket.tolist(),
+                    starts[first].tolist(), ends[first + count + window - 2].tolist(), bucket.tolist(),
                     (rows + a).tolist(), at.tolist(), strict=True,
                 ):
                     known, places = found.setdefault(b, ({}, []))
                     places.append((known.setdefault(flat[lo:hi], len(known)), row, place))
-            out = []
-            for b, (known, places) in found.items():
-                p = np.array(places, np.int64)
-                head = np.array([len(known), len(p)], np.int64)
-                sizes = np.fromiter(map(len, known), np.int64, len(known))
-                blob = b"".join((head, sizes, p[:, 0].copy(), k1[p[:, 1]], k2[p[:, 1]], p[:, 2].copy(), *known))
-                out.append((b, len(blob), codec.compress(blob, asbytes=True)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["bucket", "size", "blob"])
+                size += len(flat)
+                if size > PACK_BYTES:
+                    yield _blobs(found, k1, k2, codec)
+                    found, size = {}, 0
+            if found:
+                yield _blobs(found, k1, k2, codec)
 
     return run
 
@@ -237,7 +250,7 @@ def repeated_spans(
     hot = (
         counts.select(F.explode(F.arrays_zip("low", "many")).alias("x"))
         .groupBy("x.low").agg(F.sum("x.many").alias("n"))
-        .filter(F.col("n") > max(total / (4 * buckets), 1000))
+        .filter(F.col("n") > max(total / (4 * buckets), HOT_LEAST))
         .select("low").collect()  # at most 4 * buckets rows, as each holds that share of all
     )
     hot = np.sort(np.array([r[0] for r in hot], np.int64).view(np.uint64))

@@ -1,9 +1,8 @@
-"""Small texts with every awkward case, and plain versions of the operators to compare with."""
+"""Small tables with every awkward case: nulls, empty and long texts, ties, repeated rows, clashing names."""
 
 from __future__ import annotations
 
 import random
-import re
 
 import pytest
 from pyspark.sql import types as T
@@ -11,10 +10,6 @@ from pyspark.sql import types as T
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def words(text: str | None) -> list[str]:
-    return re.findall("[^\x20\x09-\x0d]+", text or "")
-
-
 def make_documents(n: int = 120, seed: int = 5) -> list[tuple]:
     """Random prose with copies, near copies, shared passages, repeated lines, odd white space and empty texts."""
     draw = random.Random(seed)
@@ -27,28 +22,32 @@ def make_documents(n: int = 120, seed: int = 5) -> list[tuple]:
         return " ".join(word() for _ in range(k)).capitalize() + "."
 
     passage, common = line(60), line(9)
-    texts: list[str | None] = []
+    texts: list[str] = []
     for i in range(n):
         kind = i % 12
         body = [line(draw.choice((3, 8, 15, 40))) for _ in range(draw.randint(1, 8))]
-        if kind == 1 and texts[-1]:
+        text = "\n".join(body)
+        if kind == 1:
             text = texts[-1]
-        elif kind == 2 and texts[0]:
-            w = (texts[draw.randrange(len(texts))] or "a b c").split(" ")
-            w[draw.randrange(len(w))] = word()
+        elif kind == 2:
+            w = texts[draw.randrange(len(texts))].split(" ")
+            for _ in range(1 + len(w) // 40):
+                w[draw.randrange(len(w))] = word()
             text = " ".join(w)
         elif kind == 3:
             text = "\n".join([*body, passage, common, common])
         elif kind == 4:
-            text = "\n".join([line(draw.randint(0, 40) + 1) + " " + passage + " " + line(12), *body])
+            text = "\n".join([line(draw.randint(1, 40)) + " " + passage + " " + line(12), *body])
         elif kind == 5:
             text = " ".join([line(7)] * 12)
         elif kind == 6:
             text = "\t" + "  \n\n ".join(body) + "\x0b \r\n"
-        else:
-            text = "\n".join(body)
+        elif kind == 7:
+            w = common.split(" ")
+            w[draw.randrange(len(w))] = word()
+            text = "\n".join([" ".join(w), *body])
         texts.append(text)
-    rows = [(i, t, "xx" if i % 3 else "yy", f"s{i % 4}", len(t or "")) for i, t in enumerate(texts)]
+    rows = [(i, t, "xx" if i % 3 else "yy", f"s{i % 4}", len(t)) for i, t in enumerate(texts)]
     rows += [
         (n, None, None, None, None), (n + 1, "", "xx", "s", 0), (n + 2, " \n\t ", "xx", "s", 4), (n + 3, "one", "xx", "s", 3),
         (None, texts[0], "xx", None, 5), (7, texts[8], "xx", "s", 1), (7, texts[8], "xx", "s", 1), (9, "!!! ### 12 34", "xx", "s", 1),
@@ -58,13 +57,13 @@ def make_documents(n: int = 120, seed: int = 5) -> list[tuple]:
 
 
 @pytest.fixture(scope="session")
-def documents(spark):
-    return spark.createDataFrame(make_documents(), DOCUMENTS).repartition(5)
+def rows():
+    return make_documents()
 
 
 @pytest.fixture(scope="session")
-def rows():
-    return make_documents()
+def documents(spark, rows):
+    return spark.createDataFrame(rows, DOCUMENTS).repartition(5)
 
 
 @pytest.fixture(scope="session")
@@ -74,7 +73,11 @@ def nothing(spark):
 
 @pytest.fixture(scope="session")
 def clashing(spark):
-    """Columns named like those that operators add or use."""
-    names = ["doc_id", "text", "score", "n_words", "bucket", "spans", "__llm_k1x", "line", "a", "n", "keys", "block", "lang_pred"]
+    """Columns named like those that operators add or use, and only NULL in one row."""
+    names = [
+        "doc_id", "text", "score", "n_words", "bucket", "spans", "line", "a", "n", "keys", "block", "lang_pred", "stay", "items", "first", "class",
+        "kept_text", "toxic", "key", "sequence_id",
+    ]
     schema = T.StructType([T.StructField(c, T.LongType() if c == "doc_id" else T.StringType()) for c in names])
-    return spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta.", *["x"] * (len(names) - 2)), (2, None, *[None] * (len(names) - 2))], schema)
+    rows = [(1, "alpha beta gamma delta epsilon zeta.", *["x"] * (len(names) - 2)), (None,) * len(names)]
+    return spark.createDataFrame(rows, schema)

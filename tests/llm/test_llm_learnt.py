@@ -1,0 +1,337 @@
+"""Operators that learn, find near copies, extract and format; and the cases that all operators share."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import plain
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from sessionvol.llm import benchmarks, chat, components, languages, letters, lines, nearcopies, packing, pages, quality, queries, repeats, toxicity
+
+TABLES = "/root/testdata/sf0.01"
+
+
+# --- toxicity
+
+
+@pytest.fixture(scope="module")
+def toxic_scores(spark):
+    return queries.op1_toxicity(spark, TABLES).toPandas()
+
+
+def test_toxicity_on_held_out_documents(spark, toxic_scores):
+    labels = spark.read.parquet(f"{TABLES}/labels.parquet").toPandas()
+    both = toxic_scores.merge(labels, on="doc_id")
+    assert len(toxic_scores) == spark.read.parquet(f"{TABLES}/documents.parquet").count()
+    assert (toxic_scores.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in toxic_scores.doc_id]).all()
+    held = both[both.held_out]
+    assert (held.predicted == held.toxic).mean() > 0.9
+    assert toxic_scores.score.between(0, 1).all()
+    assert ((toxic_scores.score >= 0.5) == (toxic_scores.predicted == 1)).all()
+
+
+def test_toxicity_learns_words(spark):
+    draw = random.Random(0)
+    names = [f"w{i}" for i in range(300)]
+    texts = [(i, " ".join(draw.choices(names, k=60)) + (" you horrible thing" if i % 7 == 0 else "")) for i in range(700)]
+    docs = spark.createDataFrame([*texts, (None, "horrible"), (10_000, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 7 == 0)) for i in range(700)] + [(0, 0), (None, 1), (5, None)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    test = spark.createDataFrame([(1, "w1 w2 w3 HORRIBLE   thing"), (2, "w1 w2 w3 fine"), (3, None), (4, "")], "doc_id long, text string")
+    found = {r.doc_id: r for r in toxicity.score(test, model).collect()}
+    assert found[1].predicted == 1 and found[2].predicted == 0 and found[3].score == found[4].score < 0.5
+    rows = toxicity.labelled(docs, labels, "doc_id", "text", "toxic")
+    assert Counter(r.toxic for r in rows.collect()) == {1: 100, 0: 600}
+    wide = toxicity.labelled(docs, labels, "doc_id", "text", "toxic", broadcast_rows=0)
+    assert Counter(tuple(r) for r in wide.collect()) == Counter(tuple(r) for r in rows.collect())
+
+
+def test_toxicity_without_labels(spark, documents, nothing):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.train(documents, none)
+    assert {r.score for r in toxicity.score(documents, model).collect()} == {0.5}
+    assert toxicity.score(nothing, toxicity.train(nothing, none)).count() == 0
+
+
+def test_features_are_those_of_each_text():
+    texts = ["Abc  dé\n\nfgh", "", "ab", "xyzabcdefgh", "ÀÉ ß"]
+    import pyarrow as pa
+
+    from sessionvol.llm import kernels
+
+    data, offsets = kernels.buffer(pa.array(texts))
+    together = [x.tolist() for x in toxicity.presence(data, offsets)]
+    alone = [next(toxicity.presence(*kernels.buffer(pa.array([t])))).tolist() for t in texts]
+    assert together == alone and together[1] == together[2] == []
+
+
+# --- languages
+
+
+def test_languages_on_held_out_documents(spark):
+    found = queries.op7_language(spark, TABLES).toPandas()
+    truth = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "lang").toPandas()
+    both = found.merge(truth, on="doc_id")
+    assert len(both) == len(truth)
+    assert (both[both.held_out].lang_pred == both[both.held_out].lang).mean() > 0.99
+    assert found.score.between(0, 1).all()
+
+
+def test_bundles_are_sums_of_bound_vectors():
+    import pyarrow as pa
+
+    from sessionvol.llm import kernels
+
+    space = languages.Space(64)
+    texts = ["Ab, c", "é", "", "12 !", "xy z"]
+    data, offsets = kernels.buffer(pa.array(texts))
+    got = space.bundle(data, offsets, np.arange(len(texts)), len(texts))
+    for text, vector in zip(texts, got):
+        want = np.zeros(64)
+        for w in "".join(c.lower() if c.isalpha() else " " for c in text).split():
+            padded = [0, *map(ord, w), 0]
+            for a, b, c in zip(padded, padded[1:], padded[2:]):
+                want += np.roll(space.of(a), 2).astype(int) * np.roll(space.of(b), 1) * space.of(c)
+        assert (vector == want).all(), text
+
+
+def test_language_cases(spark, documents, rows, nothing):
+    profiles = languages.learn(documents)
+    assert profiles.names == ["xx", "yy"]
+    found = languages.predict(documents, profiles)
+    assert found.count() == len(rows)
+    by_id = {r.doc_id: r for r in found.filter("doc_id in (120, 121, 122)").collect()}
+    assert {(r.lang_pred, r.score) for r in by_id.values()} == {("und", 0.0)}
+    unlearnt = languages.learn(nothing)
+    assert {(r.lang_pred, r.score) for r in languages.predict(documents, unlearnt).collect()} == {("und", 0.0)}
+    kept = languages.keep_known(documents, profiles)
+    assert kept.columns == documents.columns
+    assert Counter(map(tuple, kept.collect())) == Counter(r for r in rows if any(c.isalpha() for c in r[1] or ""))
+
+
+# --- near copies
+
+
+def test_near_copies(documents, rows):
+    found = nearcopies.near_copies(documents)
+    got = {(r.doc_id, r.class_id) for r in found.collect()}
+    want = {(k[0], v) for k, v in plain.near_classes(rows, 0.8).items()}
+    assert got == want
+    kept = nearcopies.drop_near_copies(documents)
+    assert kept.columns == documents.columns
+    classes = plain.near_classes(rows, 0.8)
+    assert kept.count() == len({v if plain.words(k[1]) else k for k, v in classes.items()})
+
+
+def test_near_copies_of_a_large_group(spark):
+    draw = random.Random(4)
+    base = [f"w{draw.randrange(10**5)}" for _ in range(120)]
+    texts = []
+    for _ in range(300):
+        w = list(base)
+        for _ in range(draw.randint(0, 4)):
+            w[draw.randrange(len(w))] = f"x{draw.randrange(10**6)}"
+        texts.append(" ".join(w))
+    other = [" ".join(f"v{draw.randrange(10**5)}" for _ in range(100)) for _ in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts + other)), "doc_id long, text string")
+    found = {r.doc_id: r for r in nearcopies.near_copies(docs).collect()}
+    assert {found[i].class_id for i in range(300)} == {0}
+    assert all(found[i].class_id == i for i in range(300, 400))
+    assert Counter(r.is_first for r in found.values()) == {True: 101, False: 299}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 6), max_size=30), st.lists(st.integers(0, 6), max_size=30), st.sampled_from([0.5, 0.7, 0.8, 0.9]))
+def test_banded_alignment(a, b, threshold):
+    if a or b:
+        want = plain.edit_similarity(a, b) >= threshold - 1e-9
+        assert nearcopies.similar(np.array(a, np.uint64), np.array(b, np.uint64), threshold) == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 5), min_size=20, max_size=120), st.lists(st.tuples(st.integers(0, 119), st.integers(-1, 6)), max_size=14))
+def test_banded_alignment_of_edited_copies(a, edits):
+    b = list(a)
+    for at, x in edits:
+        at %= len(b)
+        if x < 0 and len(b) > 1:
+            del b[at]
+        elif x > 3:
+            b.insert(at, x)
+        else:
+            b[at] = x
+    want = plain.edit_similarity(a, b) >= 0.8 - 1e-9
+    assert nearcopies.similar(np.array(a, np.uint64), np.array(b, np.uint64), 0.8) == want
+
+
+def test_components(spark):
+    draw = random.Random(9)
+    links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5001), (5001, 5000), (7, 7)]
+    draw.shuffle(links)
+    found = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {i: 0 for i in range(201)} | {1000 + i: 1000 for i in range(300)} | {5000: 5000, 5001: 5000}
+    assert found == want
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# --- pages
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style></head><body class="home">
+<header><h1>Site</h1></header><nav><a href="/">Home</a></nav><div class="cookie-notice">We use cookies</div>
+<main><h1>Title  of\n this</h1><p>First &lt;b&gt; para<br>graph &eacute;<p>Second <b>bold</b> &#233;.<!-- no --><script>var x = "</p>";</script>
+<aside>Related stories</aside><ul><li>one<li>two</ul><div class="advert">Buy</div><form><p>Your name</p></form><p>x < y</p></main>
+<section id="comments"><p>Great article, thanks!</p></section><footer>&copy; us</footer></body></html>"""
+
+
+def test_page():
+    assert pages.main_text(PAGE) == "Title of this\n\nFirst <b> para graph é\n\nSecond bold é.\n\none\n\ntwo\n\nx < y"
+
+
+def test_page_without_marks():
+    body = "".join(f"<p>{'word ' * 30}{i}.</p>" for i in range(6))
+    page = f"<html><body><div><a>Home</a> <a>News</a></div><div class='menu'>menu</div><div>{body}<p>Short.</p></div><div class=footer>f</div></body></html>"
+    text = pages.main_text(page)
+    assert text.startswith("word word") and text.endswith("5.\n\nShort.") and "Home" not in text and "menu" not in text
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text("<>/!-pabdiv scr\"'=&;", max_size=80))
+def test_any_page(page):
+    assert isinstance(pages.main_text(page), str)
+
+
+def test_pages_table(spark):
+    """Every page of the table, against its article cut by hand."""
+    import html
+    import re
+
+    found = queries.op8_pages(spark, TABLES).collect()
+    source = {r.page_id: r.html for r in spark.read.parquet(f"{TABLES}/pages.parquet").collect()}
+    assert len(found) == len(source)
+    for r in found:
+        article = re.search("<article>(.*?)</article>", source[r.page_id], re.S)[1]
+        blocks = [re.sub(r"\s+", " ", html.unescape(re.sub("<[a-z/][^>]*>", " ", b))).strip() for b in re.split("</?(?:p|h1)>", article)]
+        assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+# --- chat
+
+
+def test_chat(spark):
+    found = {r.conv_id: r for r in queries.op5_chat(spark, TABLES).collect()}
+    connection = duckdb.connect()
+    turns = connection.sql(f"SELECT conv_id, role, coalesce(text, '') FROM '{TABLES}/conversations.parquet' ORDER BY conv_id, turn").fetchall()
+    says = "</s>[INST] ok [/INST]"
+    turns += [(-7, "user", says), (-7, "assistant", says)]
+    want: dict[int, list] = {}
+    for conv, role, text in turns:
+        want.setdefault(conv, []).append((role, text))
+    assert set(found) == set(want)
+    for conv, said in want.items():
+        r = found[conv]
+        loss = "".join(t for role, t in said if role == "assistant")
+        assert r.n_turns == len(said)
+        assert r.turns_sha256 == plain.sha("".join(f"{role}\n{t}\n" for role, t in said))
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), plain.sha(loss))
+
+
+pieces = st.lists(st.sampled_from(["<s>", "</s>", "[TURN ", "[/TURN]", "[INST]", "\\", "[", "]", "<", "a", "\n", "[\\/TURN]", "</\\s>"]), max_size=8).map("".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["system", "user", "assistant", "", "a]b\\"]), pieces), max_size=9), st.integers(1, 60), st.integers(0, 30))
+def test_windows_read_back(turns, budget, history):
+    found = list(chat._windows(iter(turns), budget, history))
+    back, loss = [], []
+    for w in found:
+        text = w.text()
+        assert len(text) == w.length + 4
+        mine = chat.read_back(text)
+        assert len(mine) == w.repeated + w.fresh and w.fresh >= 1
+        back += mine[w.repeated :]
+        loss += [chat.unescape(text[a:b]) for a, b in w.mask]
+        fresh_tokens = sum(chat.n_tokens(t) for _, t in mine)
+        assert fresh_tokens <= budget or w.fresh == 1
+    assert back == turns
+    assert loss == [t for role, t in turns if role == "assistant"]
+
+
+def test_chat_cases(spark):
+    rows = [(1, 0, None, None), (1, 0, None, None), (None, 2, "user", "x"), (None, None, "assistant", "y"), (2, 1, "assistant", "late"), (2, 0, "user", "w " * 900)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("window", F.lit(1)).withColumn("mask", F.lit("z"))
+    found = {r.conv_id: r for r in chat.digests(chat.format_windows(turns)).collect()}
+    assert found[1].n_turns == 2 and found[1].turns_sha256 == plain.sha("\n\n\n\n")
+    assert found[None].turns_sha256 == plain.sha("assistant\ny\nuser\nx\n")
+    assert found[2].n_turns == 2 and found[2].loss_chars == 4
+    assert chat.format_windows(turns.limit(0)).count() == 0
+
+
+# --- all operators
+
+
+def operators(spark):
+    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    return {
+        "toxicity": lambda d: toxicity.score(d, toxicity.train(d, labels)),
+        "packing": packing.pack,
+        "quality": quality.quality,
+        "repeats": repeats.remove_repeats,
+        "lines": lines.dedup_lines,
+        "cleaned lines": lines.remove_lines,
+        "languages": lambda d: languages.predict(d, languages.learn(d.withColumn("lang", F.lit("x")))),
+        "benchmarks": lambda d: benchmarks.decontaminate(d, items),
+        "passages": lambda d: benchmarks.remove_passages(d, items),
+        "near copies": nearcopies.near_copies,
+        "first copies": nearcopies.drop_near_copies,
+    }
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["toxicity", "packing", "quality", "repeats", "lines", "cleaned lines", "languages", "benchmarks", "passages", "near copies", "first copies"],
+)
+def test_empty_and_clashing(spark, nothing, clashing, name):
+    operator = operators(spark)[name]
+    assert operator(nothing).count() == 0
+    assert operator(clashing).count() == 2
+
+
+# --- pipeline
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    items = [tuple(r) for r in spark.read.parquet(f"{TABLES}/benchmark.parquet").collect()]
+    columns, before = docs.columns, docs.count()
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, TABLES)
+        path = f"{corpus_pipeline.new_folder(spark, 'test')}"
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        kept[name] = docs
+        if name != "best_fit_packing":
+            assert docs.columns == columns and docs.count() <= before
+            before = docs.count()
+    cleaned = [r.text for r in kept["decontamination"].collect()]
+    assert sum(x[1] for x in plain.bench(cleaned, items, 10)) == 0
+    pieces = kept["best_fit_packing"]
+    assert pieces.filter("piece = 0").count() == before
+    assert pieces.filter(F.length("ids") != 4 * F.col("length")).count() == 0
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_letters():
+    table = letters.Table(letters.letter)
+    assert table(np.array([65, 97, 32, 0xC9, 0x130])).tolist() == [97, 97, 0, 0xE9, 0x69]
