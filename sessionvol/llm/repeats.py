@@ -27,11 +27,11 @@ from sessionvol.llm.rows import K1, K2, keyed, ship, shuffle_partitions, text_by
 from sessionvol.session import settle
 
 #: Bytes of packed strings that one bucket should hold.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 16 << 20
 #: A minimiser of fewer super-k-mers is never hot.
 HOT_LEAST = 1000
 #: Bytes of words whose strings are packed together.
-PACK_BYTES = 12 << 20
+PACK_BYTES = 8 << 20
 #: Packed strings have about this many bytes per byte of text: a super-k-mer of n windows repeats window - 1 words.
 BLOW_UP = 3.3
 
@@ -97,7 +97,7 @@ def _pack(window: int, minimiser: int, buckets: int, hot: np.ndarray):
     """Texts to one row per (PACK_BYTES of words, bucket): packed strings, and the places they come from."""
 
     def run(batches):
-        codec = pa.Codec("zstd", 1)
+        codec = pa.Codec("zstd", 3)
         for batch in batches:
             k1, k2 = (batch.column(c).to_numpy() for c in (K1, K2))
             found: dict[int, tuple[dict[bytes, int], list]] = {}
