@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^ \t-\r]+"
-SPACES = " \t\n\x0b\f\r"
-SYMBOLS = "#*$%&|<>"
+SPACE = r"[ \t-\r]"
+SYMBOLS = "[#*$%&|<>]"
 MIN_SENTENCE_WORDS = 5
 #: Phrases of lines that repeat over a site rather than say something.
 BOILERPLATE = (
@@ -37,8 +37,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def count_of(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+def count_of(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern))
 
 
 def repeated_words(words: Column, window: int = 8) -> Column:
@@ -69,16 +69,14 @@ def repeated_words(words: Column, window: int = 8) -> Column:
 
 def line_fails(line: Column) -> Column:
     """Does a line with a word fail one of the rules?"""
-    words = F.size(F.split(F.trim(F.translate(line, "\t\x0b\f\r", "    ")), " +"))
-    low = F.lower(line)
     phrases = "|".join(x.replace("(", r"\(").replace(")", r"\)") for x in BOILERPLATE)
     return let(
-        words,
-        lambda n: (F.lit(4) * count_of(line, "#*$%&<>") > n)
-        | (F.lit(3) * count_of(line, "!?") > n)
-        | (F.lit(3) * count_of(line, "|") >= n)
-        | ((n >= MIN_SENTENCE_WORDS) & (count_of(line, ".!?…:;。！？") == 0))
-        | low.rlike(phrases),
+        count_of(line, WORD),
+        lambda n: (F.lit(4) * count_of(line, "[#*$%&<>]") > n)
+        | (F.lit(3) * count_of(line, "[!?]") > n)
+        | (F.lit(3) * count_of(line, "[|]") >= n)
+        | ((n >= MIN_SENTENCE_WORDS) & ~line.rlike("[.!?…:;。！？]"))
+        | F.lower(line).rlike(phrases),
     )
 
 
@@ -100,25 +98,31 @@ def quality(
             left,
             lambda x: F.struct(
                 (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("dup"),
-                F.length(F.translate(F.array_join(x, ""), SPACES, "")).cast("long").alias("chars"),
+                F.when(F.size(x) < F.size(lines), F.length(F.regexp_replace(F.array_join(x, ""), SPACE, "")).cast("long")).alias("chars"),
                 (F.array_join(x, "\n") if keep_text else F.lit(None).cast("string")).alias("text"),
             ),
         )
 
+    def word_stats(w: Column) -> Column:
+        return F.struct(
+            F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"), repeated_words(w).alias("again")
+        )
+
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
     counted = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-        let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("again"))).alias("w"),
-        let(F.translate(text, SPACES, ""), lambda t: F.struct(F.length(t).cast("long").alias("chars"), count_of(t, SYMBOLS).cast("long").alias("symbols"))).alias("c"),
+        let(words, word_stats).alias("w"),
+        count_of(text, SYMBOLS).cast("long").alias("symbols"),
         let(lines, line_stats).alias("l"),
     )
     n, again = F.col("w.n"), F.col("w.again")
+    left_chars = F.coalesce("l.chars", "w.chars")
     failed = (n < min_words) | (100 * again > max_repeat * n)
     out = counted.select(
-        "doc_id", n.alias("n_words"), F.col("c.chars").alias("word_chars"), F.col("c.symbols").alias("n_symbols"),
+        "doc_id", n.alias("n_words"), F.col("w.chars").alias("word_chars"), F.col("symbols").alias("n_symbols"),
         F.col("l.dup").alias("n_dup_lines"), again.alias("n_repeat_words"), failed.alias("base_failed"),
-        F.col("l.chars").alias("left_chars"),
-        (~failed & (F.col("l.chars") >= min_left * F.col("c.chars"))).alias("kept"),
+        left_chars.alias("left_chars"),
+        (~failed & (left_chars >= min_left * F.col("w.chars"))).alias("kept"),
         F.col("l.text").alias("kept_text"),
     )
     return out if keep_text else out.drop("kept_text")
