@@ -206,19 +206,23 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
     return keyed(docs, id_col, text_col).mapInArrow(_predict(sent), schema)
 
 
-def _known(profiles, text_col: str, min_score: float):
+def _known(profiles, text_col: str, min_score: float, min_bytes: int):
     def run(batches):
         for batch in batches:
-            names, scores = profiles.value.predict(batch.column(batch.schema.get_field_index(text_col)).cast(pa.string()))
-            yield batch.filter(pa.array([n != UNKNOWN and s >= min_score for n, s in zip(names, scores.tolist())], pa.bool_()))
+            column = batch.column(batch.schema.get_field_index(text_col))
+            names, scores = profiles.value.predict(column)
+            size = np.diff(K.buffer(column)[1])
+            known = np.array([n != UNKNOWN for n in names], bool)
+            yield batch.filter(pa.array(known & ((scores >= min_score) | (size < min_bytes)), pa.bool_()))
 
     return run
 
 
-def keep_known(docs: DataFrame, profiles: Profiles, text_col: str = "text", min_score: float = 0.02) -> DataFrame:
-    """The rows, with all their columns, whose language is known with a cosine of at least ``min_score``.
+def keep_known(docs: DataFrame, profiles: Profiles, text_col: str = "text", min_score: float = 0.05, min_bytes: int = 500) -> DataFrame:
+    """The rows, with all their columns, whose language is known.
 
-    That turns away texts without letters and those unlike every language, not short or mixed ones.
+    Turned away are texts without letters, and texts of ``min_bytes`` or more that are like no language: an unrelated text's cosine is about 0,
+    give or take 0.03, while short ones may have few of a language's n-grams.
     """
     ship(docs.sparkSession)
-    return docs.mapInArrow(_known(docs.sparkSession.sparkContext.broadcast(profiles), text_col, min_score), docs.schema)
+    return docs.mapInArrow(_known(docs.sparkSession.sparkContext.broadcast(profiles), text_col, min_score, min_bytes), docs.schema)

@@ -39,6 +39,9 @@ BLOW_UP = 3.3
 def _super_kmers(words: K.Words, h: np.ndarray, window: int, minimiser: int, buckets: int, hot: np.ndarray):
     """First word, number of windows and bucket of each super-k-mer of a group of texts."""
     good = K.within(words.doc, window)
+    if not len(good):
+        none = np.zeros(0, np.int64)
+        return none, none, none, none.view(np.uint64)
     low = K.runs_min(K.runs_hash(h, minimiser), window - minimiser + 1)[: len(good)]
     bucket = (low % np.uint64(buckets)).astype(np.int64)
     cut = np.ones(len(good), bool)

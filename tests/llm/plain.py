@@ -97,7 +97,7 @@ def alike(a: list, b: list, threshold: float) -> bool:
 
 
 def near_classes(rows: list[tuple], threshold: float) -> dict[tuple, tuple]:
-    """(id, text) to the first (id) of its class, by comparing all pairs."""
+    """(id, text) to the first (id, text) of its class, by comparing all pairs."""
     keys = sorted({(r[0], r[1] or "") for r in rows}, key=lambda k: (k[0] is None, k[0] or 0))
     split = {k: words(k[1]) for k in keys}
     root = {k: k for k in keys}
@@ -115,7 +115,7 @@ def near_classes(rows: list[tuple], threshold: float) -> dict[tuple, tuple]:
                 if p != q:
                     first, second = sorted((p, q), key=keys.index)
                     root[second] = first
-    return {k: find(k)[0] for k in keys}
+    return {k: find(k) for k in keys}
 
 
 def least_sequences(lengths: list[int], capacity: int) -> int:
