@@ -9,12 +9,15 @@ hash), then by hash. Lines with the same tokens are one class. Two classes of n
 a token among the first n - ceil(t n) + 1 of either (prefix filter); what comes before their first shared token is in one of
 them only (positional filter); n >= t m (length filter). A token found in more than OFTEN places is no
 good key: if the first shared token is such a one, then so are all shared tokens, and the classes share two of them among
-the first n - ceil(t n) + 2; then pairs of frequent tokens are the keys. Candidates whose 64-bit token maps differ in more bits than the
-sets may are dropped; the others are verified on their tokens.
+the first n - ceil(t n) + 2; then pairs of frequent tokens are the keys. Every token flips one of 64 bits of its class; candidates that differ in more bits than
+the sets may are dropped; the others are verified on their tokens.
+
+A line goes if any earlier class is similar, so not all pairs of a large family are made: under each key a class is paired with its FIRST
+earliest candidates. If those fail and there were more, all candidates of that class are verified in a second round.
 
 Tokens are 48-bit codes. At scale: classes instead of copies are joined, so groups of copies cost one entry per
 batch; entries go in packed blocks to buckets whose number follows the bytes of the table; pairs of a frequent token are split by their other
-token. Only the places of kept lines are joined to the texts.
+token. Only the places of kept lines are joined to the texts that lose some.
 """
 
 from __future__ import annotations
@@ -29,14 +32,17 @@ from pyspark.sql import functions as F
 from sessionvol.llm import counting
 from sessionvol.llm import kernels as K
 from sessionvol.llm.rows import K1, K2, keyed, row_key, ship, shuffle_partitions, text_bytes
-from sessionvol.session import settle
+from sessionvol.session import new_folder, settle
 
 COUNT_BITS = 20
-OFTEN = 256
+OFTEN = 1024
 #: Bytes of entries in a bucket, and entries' bytes per byte of text.
-BUCKET_BYTES, SHARE = 16 << 20, 0.6
-#: Classes with a candidate that are sent to all tasks rather than joined by shuffle.
+BUCKET_BYTES, SHARE = 16 << 20, 0.8
+#: Candidates of a class under one key, before the rest is looked at.
+FIRST = 2
+#: Classes with a candidate, and documents that lose lines, that are sent to all tasks rather than joined by shuffle.
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def _cells(h: np.ndarray) -> np.ndarray:
@@ -53,10 +59,10 @@ def _count(batches):
     yield from counting.send({0: counts})
 
 
-def _ranks(counts: np.ndarray) -> tuple[np.ndarray, int]:
-    """Eight-bit rank of each cell's count, and the first rank whose counts are all over OFTEN."""
+def _ranks(counts: np.ndarray) -> np.ndarray:
+    """Rank of each cell's count, the eight highest of a code's bits."""
     rank = np.minimum(255, (np.log2(np.maximum(counts, 1)) * 6).astype(np.int64) + 1)
-    return (rank.astype(np.uint64) << np.uint64(40)), int(np.log2(OFTEN) * 6) + 2
+    return rank.astype(np.uint64) << np.uint64(40)
 
 
 class Lines:
@@ -109,7 +115,7 @@ _LINES = f"{K1} long, {K2} long, doc_id long, line int, s1 long, s2 long, n int,
 
 def _lines(counts, min_words: int):
     def run(batches):
-        ranks, _ = _ranks(counts.value)
+        ranks = _ranks(counts.value)
         for batch in batches:
             data, offsets = K.buffer(batch.column("text"))
             keys = [batch.column(c) for c in (K1, K2, "doc_id")]
@@ -122,7 +128,7 @@ def _lines(counts, min_words: int):
                 m = K.mix(codes)
                 s1 = np.add.reduceat(m, at[:-1])
                 s2 = np.add.reduceat(K.mix(m ^ np.uint64(0x5851F42D4C957F2D)), at[:-1])
-                bits = np.bitwise_or.reduceat(np.uint64(1) << (m >> np.uint64(58)), at[:-1])
+                bits = np.bitwise_xor.reduceat(np.uint64(1) << (m >> np.uint64(58)), at[:-1])
                 six = np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
                 blobs = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * 6).astype(np.int32)), pa.py_buffer(six)])
                 yield pa.RecordBatch.from_arrays(
@@ -140,7 +146,24 @@ def _wide(six: np.ndarray) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
-_ENTRY = np.dtype([("code", "<u8"), ("s1", "<i8"), ("bits", "<u8"), ("n", "<u2"), ("at", "<u2")])
+#: Fields of an entry: key, class, place (document, line), bits, tokens, place of the token, is every candidate wanted?
+_ENTRY = {"code": "<u8", "s1": "<i8", "doc": "<i8", "line": "<i4", "bits": "<u8", "n": "<u2", "at": "<u2", "all": "u1"}
+_LAST = np.iinfo(np.int64).max
+
+
+def _planes(column: np.ndarray) -> bytes:
+    """A column byte by byte, which compresses better."""
+    return np.ascontiguousarray(column.view(np.uint8).reshape(len(column), -1).T).tobytes()
+
+
+def _columns(raw: bytes, n: int) -> dict[str, np.ndarray]:
+    out, at = {}, 0
+    for name, kind in _ENTRY.items():
+        size = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n)
+        out[name] = np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+        at += n * size
+    return out
 
 
 def _entries(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, threshold: float, often: int):
@@ -165,83 +188,98 @@ def _entries(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, threshold: flo
     return tuple(map(np.concatenate, (lines, keys, places)))
 
 
-def _deal(threshold: float, buckets: int):
+def _deal(threshold: float, buckets: int, often: int):
     """Lines to packed entries: one row per (batch, bucket)."""
 
     def run(batches):
-        codec, often = pa.Codec("zstd", 1), int(np.log2(OFTEN) * 6) + 2
+        codec = pa.Codec("zstd", 1)
         for batch in batches:
-            s1 = batch.column("s1").to_numpy()
-            _, rows = np.unique(s1, return_index=True)
-            if not len(rows):
+            if not len(batch):
                 continue
-            part = batch.take(pa.array(np.sort(rows)))
+            s1, number = batch.column("s1").to_numpy(), batch.column("line").to_numpy()
+            doc = batch.column("doc_id").fill_null(_LAST).to_numpy()
+            by = np.lexsort((number, doc, s1))  # a class's first place in the batch
+            rows = np.sort(by[np.append(True, s1[by][1:] != s1[by][:-1])])
+            part = batch.take(pa.array(rows))
             data, offsets = K.buffer(part.column("codes"))
             n = part.column("n").to_numpy().astype(np.int64)
             line, key, at = _entries(_wide(data), offsets[:-1] // 6, n, threshold, often)
-            entries = np.empty(len(line), _ENTRY)
-            entries["code"], entries["s1"] = key, part.column("s1").to_numpy()[line]
-            entries["bits"] = part.column("bits").to_numpy().view(np.uint64)[line]
-            entries["n"], entries["at"] = np.minimum(n[line], 65535), np.minimum(at, 65535)
             bucket = (K.mix(key) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            entries, bucket = entries[order], bucket[order]
+            line, bucket = line[order], bucket[order]
+            entries = {
+                "code": key[order], "s1": s1[rows][line], "doc": doc[rows][line], "line": number[rows][line],
+                "bits": part.column("bits").to_numpy().view(np.uint64)[line], "n": np.minimum(n[line], 65535).astype(np.uint16),
+                "at": np.minimum(at[order], 65535).astype(np.uint16),
+                "all": part.column("all").to_numpy(zero_copy_only=False).astype(np.uint8)[line],
+            }
             edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
             out = []
             for a, b in zip(edges.tolist(), edges[1:].tolist()):
-                blob = b"".join(entries[a:b][f].tobytes() for f in _ENTRY.names)
+                blob = b"".join(_planes(entries[f][a:b]) for f in _ENTRY)
                 out.append((int(bucket[a]), b - a, codec.compress(blob, asbytes=True)))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["bucket", "n", "blob"])
 
     return run
 
 
-def _pairs_of(blobs: list[tuple[int, bytes]], threshold: float):
-    """Candidate pairs of one bucket, in parts."""
+def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, most: int):
+    """Of one bucket: pairs (class, earlier candidate), in parts, each with whether the class has more candidates under the key.
+
+    With ``rest`` all candidates, for the classes that want them.
+    """
     codec = pa.Codec("zstd")
-    parts = []
-    for n, blob in blobs:
-        raw = codec.decompress(blob, n * _ENTRY.itemsize, asbytes=True)
-        e, p = np.empty(n, _ENTRY), 0
-        for f in _ENTRY.names:
-            kind = _ENTRY[f]
-            e[f] = np.frombuffer(raw, kind, n, p)
-            p += n * kind.itemsize
-        parts.append(e)
-    e = np.concatenate(parts)
-    e = e[np.lexsort((e["s1"], e["n"], e["code"]))]
-    same = np.append(False, (e["code"][1:] == e["code"][:-1]) & (e["s1"][1:] == e["s1"][:-1]))
-    e = e[~same]
-    code, s1, bits, n, at = (np.ascontiguousarray(e[f]) for f in _ENTRY.names)
+    size = sum(np.dtype(k).itemsize for k in _ENTRY.values())
+    parts = [_columns(codec.decompress(blob, n * size, asbytes=True), n) for n, blob in blobs]
+    e = {f: np.concatenate([p[f] for p in parts]) for f in _ENTRY}
+    order = np.lexsort((e["line"], e["doc"], e["s1"], e["code"]))
+    code, s1 = e["code"][order], e["s1"][order]
+    order = order[np.append(True, (code[1:] != code[:-1]) | (s1[1:] != s1[:-1]))]  # a class's first place
+    order = order[np.lexsort((e["line"][order], e["doc"][order], e["code"][order]))]
+    code, s1, bits, n, at, wants, doc, line = (e[f][order] for f in ("code", "s1", "bits", "n", "at", "all", "doc", "line"))
     n, at = n.astype(np.int32), at.astype(np.int32)
-    alone = np.ones(len(e), bool)
-    alone[1:] &= code[1:] != code[:-1]
-    alone[:-1] &= code[:-1] != code[1:]
-    i = np.flatnonzero(~alone)
-    step = 1
+    begins = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(code))))
+    first, end = begins[group], np.append(begins[1:], len(code))[group]
+    i = np.flatnonzero((end - first > 1) & ((wants > 0) | (not rest)))
+    found = np.zeros(len(code), np.int32)
+    step = 0
     while len(i):
-        i = i[i + step < len(e)]
-        j = i + step
-        ok = (code[j] == code[i]) & ((n[i] >= threshold * n[j] - 1e-9) | (n[j] == 65535))
-        i, j = i[ok], j[ok]
+        j = first[i] + step
+        # Equal places (documents of one id) may be earlier, too.
+        go = (j < end[i]) & ((doc[j % len(doc)] < doc[i]) | ((doc[j % len(doc)] == doc[i]) & (line[j % len(doc)] <= line[i])))
+        i, j = i[go], j[go]
         both = n[i] + n[j]
         differ = both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9).astype(np.int32)  # at most so many tokens
-        good = ((at[i] + at[j] <= differ) & (np.bitwise_count(bits[i] ^ bits[j]) <= differ)) | (n[j] == 65535)
+        alike = np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9
+        good = alike & (at[i] + at[j] <= differ) & (np.bitwise_count(bits[i] ^ bits[j]) <= differ)
+        good = (good | (np.maximum(n[i], n[j]) == 65535)) & (i != j)
         if good.any():
-            yield s1[i[good]], s1[j[good]]
+            more = found[i[good]] >= most
+            if rest:
+                yield s1[i[good]], s1[j[good]], np.zeros(int(good.sum()), bool)
+            else:
+                yield s1[i[good]], s1[j[good]], more
+            found[i[good]] += 1
+            i = i[~(good & (found[i] > most))] if not rest else i
         step += 1
 
 
-def _join(threshold: float):
+def _join(threshold: float, rest: bool, most: int):
+    """Buckets to distinct pairs; a pair marked ``more`` only says that class a has more candidates than the ones given."""
+
     def run(batches):
         bucket, blobs = None, []
 
         def done():
-            found = list(_pairs_of(blobs, threshold)) if blobs else []
+            found = list(_candidates(blobs, threshold, rest, most)) if blobs else []
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
-                pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+                a, b, more = (np.concatenate(x) for x in zip(*found))
+                b = np.where(more, 0, b)
+                rows = np.unique(np.stack([a, b, more.astype(np.int64)], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array(rows[:, 2] > 0)], names=["a", "b", "more"]
+                )
 
         for batch in batches:
             for b, n, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "n", "blob"))):
@@ -265,42 +303,66 @@ def _verify(threshold: float):
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
                 keep[i] = shared >= threshold * (len(both) - shared) - 1e-9
-            yield batch.filter(pa.array(keep)).drop_columns(["codes_a", "codes_b"])
+            yield batch.filter(pa.array(keep, pa.bool_())).drop_columns(["codes_a", "codes_b"])
 
     return run
 
 
-def similar_lines(docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, min_words: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Classes (s1, s2, first: place of the first line, lines) and links between them (a1, a2, b1, b2). Runs jobs when called."""
+def _stored(df: DataFrame) -> DataFrame:
+    path = new_folder(df.sparkSession, "lines")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def judged_classes(
+    docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST
+) -> tuple[DataFrame, DataFrame]:
+    """Lines that take part (K1, K2, ...), and their classes: s1, s2, first (place of the first line), stays. Runs jobs when called."""
     spark = docs.sparkSession
     ship(spark)
     texts = keyed(docs, id_col, text_col)
     size = text_bytes(docs, text_col)[1]
     counts = counting.total(texts.select("text").mapInArrow(_count, counting.SENT), {0: 1 << COUNT_BITS})[0]
-    lines = settle(texts.mapInArrow(_lines(spark.sparkContext.broadcast(counts), min_words), _LINES))
-    buckets = max(4 * shuffle_partitions(spark), int(size * SHARE / BUCKET_BYTES) + 1)
-    dealt = lines.select("s1", "n", "bits", "codes").mapInArrow(_deal(threshold, buckets), "bucket long, n long, blob binary")
-    pairs = settle(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_join(threshold), "a long, b long").distinct())
-    ids = settle(pairs.select(F.col("a").alias("s1")).union(pairs.select("b")).distinct())
-    some = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    held = settle(lines.select("s1", "s2", "codes").join(some, "s1", "left_semi").dropDuplicates(["s1", "s2"]))
-    of = lambda x: held.select(F.col("s1").alias(x), F.col("s1").alias(f"{x}1"), F.col("s2").alias(f"{x}2"), F.col("codes").alias(f"codes_{x}"))
-    checked = pairs.join(of("a"), "a").join(of("b"), "b").select("a1", "a2", "b1", "b2", "codes_a", "codes_b")
-    links = checked.mapInArrow(_verify(threshold), "a1 long, a2 long, b1 long, b2 long")
+    lines = _stored(texts.mapInArrow(_lines(spark.sparkContext.broadcast(counts), min_words), _LINES))
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", K2, "line", K1)
-    classes = lines.groupBy("s1", "s2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("lines"))
-    return settle(classes), settle(links)
-
+    classes = settle(lines.groupBy("s1", "s2").agg(F.min(place).alias("first")))
+    buckets = max(4 * shuffle_partitions(spark), int(size * SHARE / BUCKET_BYTES) + 1)
 
-def _apply(text_col: str, stay_col: str, min_words: int, out):
-    """Kept lines of each text to ``out`` of the batch, the texts, and the numbers of lines and of removed ones."""
+    def round_of(rows: DataFrame, rest: bool) -> tuple[DataFrame, DataFrame]:
+        """Classes with a similar earlier one, and classes that have more candidates."""
+        dealt = rows.select("s1", "doc_id", "line", "n", "bits", "codes", "all").mapInArrow(_deal(threshold, buckets, int(np.log2(OFTEN) * 6) + 2), "bucket long, n long, blob binary")
+        found = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_join(threshold, rest, candidates), "a long, b long, more boolean")
+        pairs = settle(found.distinct())
+        more, pairs = pairs.filter("more").select(F.col("a").alias("s1")).distinct(), pairs.filter("not more").select("a", "b")
+        ids = settle(pairs.select(F.col("a").alias("s1")).union(pairs.select("b")).distinct())
+        some = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+        held = settle(lines.select("s1", "s2", "codes").join(some, "s1", "left_semi").dropDuplicates(["s1", "s2"]).join(classes, ["s1", "s2"]))
+        side = lambda x: held.select(
+            F.col("s1").alias(x), F.col("s1").alias(f"{x}1"), F.col("s2").alias(f"{x}2"), F.col("codes").alias(f"codes_{x}"), F.col("first").alias(f"first_{x}")
+        )
+        checked = pairs.join(side("a"), "a").join(side("b"), "b").filter("first_b < first_a").select("a1", "a2", "codes_a", "codes_b")
+        return settle(checked.mapInArrow(_verify(threshold), "a1 long, a2 long").distinct()), more
+
+    gone, more = round_of(lines.withColumn("all", F.lit(False)), False)
+    late = more.join(gone, more["s1"] == gone["a1"], "left_anti").withColumn("all", F.lit(True))
+    late = settle(late)
+    if not late.isEmpty():
+        also, _ = round_of(lines.join(late, "s1", "left").withColumn("all", F.coalesce("all", F.lit(False))), True)
+        gone = gone.union(also).distinct()
+    gone = gone.select(F.col("a1").alias("s1"), F.col("a2").alias("s2"), F.lit(False).alias("found"))
+    judged = classes.join(gone, ["s1", "s2"], "left").withColumn("stays", F.coalesce("found", F.lit(True))).drop("found")
+    return lines, judged
+
+
+def _apply(text_col: str, min_words: int, out):
+    """Kept lines of each text to ``out`` of the batch, the texts, the number of lines and the removed ones."""
 
     def run(batches):
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text_col))
             data, offsets = K.buffer(column)
-            stay = batch.column(batch.schema.get_field_index(stay_col)).to_pylist()
-            n_lines, n_removed, texts = [], [], []
+            stay, whole = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__llm_stay", "__llm_whole"))
+            n_lines, removed, texts = [], [], []
             for a, b in K.chunks(offsets):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 lines = Lines(part, at, min_words)
@@ -308,70 +370,70 @@ def _apply(text_col: str, stay_col: str, min_words: int, out):
                 row_first = np.searchsorted(lines.row, np.arange(b - a + 1))
                 for r in range(b - a):
                     x, y = row_first[r], row_first[r + 1]
-                    numbers = lines.number[x:y][lines.part[x:y]]
-                    gone = set(numbers.tolist()) - set(stay[a + r] or ())
-                    raw = flat[at[r] : at[r + 1]]
-                    if gone:
+                    raw, gone = flat[at[r] : at[r + 1]], set()
+                    if not whole[a + r]:
+                        gone = set(lines.number[x:y][lines.part[x:y]].tolist()) - set(stay[a + r])
                         raw = b"\n".join(t for k, t in enumerate(raw.split(b"\n")) if k not in gone)
                     n_lines.append(int(y - x))
-                    n_removed.append(len(gone))
+                    removed.append(sorted(gone))
                     texts.append(raw)
-            yield out(batch, texts, n_lines, n_removed)
+            yield out(batch.drop_columns(["__llm_stay", "__llm_whole"]), texts, n_lines, removed)
 
     return run
 
 
-def _digest(batch, texts, n_lines, n_removed):
+def _digest(batch, texts, n_lines, removed):
     digests = [hashlib.sha256(t).hexdigest() for t in texts]
-    columns = [batch.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()), batch.column("n_links"), pa.array(digests, pa.string())]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_lines", "n_removed", "n_links", "kept_sha256"])
+    columns = [batch.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(list(map(len, removed)), pa.int64())]
+    columns += [pa.array(removed, pa.list_(pa.int32())), pa.array(digests, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_lines", "n_removed", "removed", "kept_sha256"])
 
 
-def _replace(text_col: str, drop: list[str]):
-    def out(batch, texts, n_lines, n_removed):
+def _replace(text_col: str):
+    def out(batch, texts, n_lines, removed):
         at = batch.schema.get_field_index(text_col)
-        old = batch.column(at)
-        texts = [t.decode(errors="replace") if there else None for t, there in zip(texts, old.is_valid().to_pylist())]
+        texts = [t.decode(errors="replace") if there else None for t, there in zip(texts, batch.column(at).is_valid().to_pylist())]
         batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-        emptied = [n > 0 and n == gone for n, gone in zip(n_lines, n_removed)]
-        return batch.drop_columns(drop).filter(pa.array([not e for e in emptied], pa.bool_()))
+        return batch.filter(pa.array([not n or len(gone) < n for n, gone in zip(n_lines, removed)], pa.bool_()))
 
     return out
 
 
-def _kept_lines(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_words: int) -> DataFrame:
-    """By row key: numbers of the lines that stay, and links of lines that begin there."""
-    classes, links = similar_lines(docs, id_col, text_col, threshold, min_words)
-    both = links.select("a1", "a2", "b1", "b2").union(links.select("b1", "b2", "a1", "a2"))
-    first = classes.select(F.col("s1").alias("b1"), F.col("s2").alias("b2"), F.col("first").alias("other"))
-    linked = both.join(first, ["b1", "b2"]).groupBy(F.col("a1").alias("s1"), F.col("a2").alias("s2")).agg(
-        F.min("other").alias("other"), F.count(F.lit(1)).alias("n_links")
-    )
-    judged = classes.join(linked, ["s1", "s2"], "left")
-    stays = F.col("other").isNull() | (F.col("first") < F.col("other"))
-    return judged.groupBy(F.col(f"first.{K1}").alias(K1), F.col(f"first.{K2}").alias(K2)).agg(
-        F.collect_list(F.when(stays, F.col("first.line"))).alias("stay"), F.sum(F.coalesce("n_links", F.lit(0))).alias("n_links")
-    )
+def _losses(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_words: int, candidates: int) -> DataFrame:
+    """Rows that lose lines: __llm_r1, __llm_r2 (the row key), __llm_stay (numbers of the lines that stay of those that take part)."""
+    lines, judged = judged_classes(docs, id_col, text_col, threshold, min_words, candidates)
+    stay = judged.filter("stays").groupBy(F.col(f"first.{K1}").alias(K1), F.col(f"first.{K2}").alias(K2)).agg(F.collect_list("first.line").alias("stay"))
+    every = lines.groupBy(K1, K2).agg(F.countDistinct("line").alias("n"))
+    found = every.join(stay, [K1, K2], "left").filter(F.coalesce(F.size("stay"), F.lit(0)) < F.col("n"))
+    found = settle(found.select(F.col(K1).alias("__llm_r1"), F.col(K2).alias("__llm_r2"), F.coalesce("stay", F.array().cast("array<int>")).alias("__llm_stay")))
+    size = found.agg(F.sum(F.size("__llm_stay") * 4 + 32)).first()[0] or 0
+    return F.broadcast(found) if size <= BROADCAST_BYTES else found
+
+
+def _joined(docs: DataFrame, losses: DataFrame, keys: list) -> DataFrame:
+    found = docs.select("*", *keys).join(losses, (F.col(K1) == F.col("__llm_r1")) & (F.col(K2) == F.col("__llm_r2")), "left")
+    return found.withColumn("__llm_whole", F.col("__llm_r1").isNull()).drop(K1, K2, "__llm_r1", "__llm_r2")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5) -> DataFrame:
-    """Per document: doc_id, n_lines (with a word), n_removed, n_links (between different lines that begin here and others), kept_sha256.
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST
+) -> DataFrame:
+    """Per document: doc_id, n_lines (with a word), n_removed, removed (their numbers from 0, counting all lines), kept_sha256.
 
     Lines end at \\n and are removed with one line end. Documents without an id come last in the order; equal ids are ordered by a hash of
     the text. NULL and empty texts have no lines. Lines of fewer than ``min_words`` words stay. Rows equal in id and text keep the same lines.
     """
-    per_doc = _kept_lines(docs, id_col, text_col, threshold, min_words)
-    joined = keyed(docs, id_col, text_col).join(per_doc, [K1, K2], "left").select("doc_id", "text", "stay", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return joined.mapInArrow(_apply("text", "stay", min_words, _digest), "doc_id long, n_lines long, n_removed long, n_links long, kept_sha256 string")
+    losses = _losses(docs, id_col, text_col, threshold, min_words, candidates)
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    joined = _joined(rows, losses, row_key("doc_id", "text"))
+    return joined.mapInArrow(_apply("text", min_words, _digest), "doc_id long, n_lines long, n_removed long, removed array<int>, kept_sha256 string")
 
 
-def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5) -> DataFrame:
+def remove_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST
+) -> DataFrame:
     """The rows of ``docs`` with all their columns, the text without lines that match an earlier one. A document all of whose lines go is
     left out; one without lines stays."""
-    per_doc = _kept_lines(docs, id_col, text_col, threshold, min_words).select(
-        F.col(K1).alias("__llm_r1"), F.col(K2).alias("__llm_r2"), F.col("stay").alias("__llm_stay")
-    )
-    joined = docs.select("*", *row_key(id_col, text_col)).join(
-        per_doc, (F.col(K1) == F.col("__llm_r1")) & (F.col(K2) == F.col("__llm_r2")), "left"
-    ).drop(K1, K2, "__llm_r1", "__llm_r2")
-    return joined.mapInArrow(_apply(text_col, "__llm_stay", min_words, _replace(text_col, ["__llm_stay"])), docs.schema)
+    losses = _losses(docs, id_col, text_col, threshold, min_words, candidates)
+    joined = _joined(docs, losses, row_key(id_col, text_col))
+    return joined.mapInArrow(_apply(text_col, min_words, _replace(text_col)), docs.schema)

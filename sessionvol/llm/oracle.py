@@ -75,5 +75,32 @@ FROM docs LEFT JOIN kept k USING (r)"""
 
 
 
+def _benchmarks(window: int = 10) -> str:
+    upper, word = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{word}')"
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents
+), items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, w, least({window}, len(w)) AS n
+  FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) > 0
+), item_windows AS (
+  SELECT DISTINCT item, n, list_slice(w, i, i + n - 1) AS x
+  FROM (SELECT item, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM items)
+), doc_windows AS (
+  SELECT r, i, n, list_slice(w, i, i + n - 1) AS x
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM items) WHERE len(w) >= n)
+), found AS (
+  SELECT r, i, n, item FROM doc_windows JOIN item_windows USING (n, x)
+), words_hit AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM (SELECT r, i, unnest(range(0, n)) AS k FROM found) GROUP BY r
+), items_hit AS (
+  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words_hit h USING (r) LEFT JOIN items_hit i USING (r)"""
+
+
 def registered() -> dict[str, str]:
-    return {"op3_quality": _quality(), "op4_repeats": _repeats()}
+    return {"op3_quality": _quality(), "op4_repeats": _repeats(), "op9_benchmarks": _benchmarks()}

@@ -105,7 +105,7 @@ def best_fit(
     return bins, offsets
 
 
-def _pack(capacity: int, max_docs: int, max_attention: int, weights: tuple[float, float, float], rule: str):
+def _pack(capacity: int, max_docs: int, max_attention: int, weights: tuple[float, float, float], rule: str, size: int):
     def run(batches):
         held: list[pa.RecordBatch] = []
         block, base = None, 0
@@ -124,13 +124,13 @@ def _pack(capacity: int, max_docs: int, max_attention: int, weights: tuple[float
             of = batch.column("__block").to_numpy()
             edges = np.append(np.flatnonzero(np.append(True, of[1:] != of[:-1])), len(of)) if len(of) else ()
             for a, b in zip(edges, edges[1:]):
-                for c in range(a, b, BLOCK):
-                    if of[c] != block or sum(map(len, held)) >= BLOCK:
+                for c in range(a, b, size):
+                    if of[c] != block or sum(map(len, held)) >= size:
                         if held:
                             yield from done()
                         if of[c] != block:
                             block, base = int(of[c]), 0
-                    held.append(batch.slice(c, min(BLOCK, b - c)))
+                    held.append(batch.slice(c, min(size, b - c)))
         if held:
             yield from done()
 
@@ -140,7 +140,7 @@ def _pack(capacity: int, max_docs: int, max_attention: int, weights: tuple[float
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, separator: int = 0,
     max_docs: int | None = None, max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 1 / 64, 1 / 64),
-    rule: str = "norm", tokenizer: str | None = None, with_ids: bool = False,
+    rule: str = "norm", tokenizer: str | None = None, with_ids: bool = False, block_pieces: int = BLOCK,
 ) -> DataFrame:
     """All pieces with their place: doc_id, piece, start, length, ids_crc32 (, ids), sequence_id, offset.
 
@@ -150,10 +150,10 @@ def pack(
     Equal rows are packed as rows of their own. Runs one job when called: the number of rows.
     """
     spark = docs.sparkSession
-    blocks = docs.count() // BLOCK + 1
+    blocks = docs.count() // block_pieces + 1
     rows = pieces(docs, id_col, text_col, capacity, separator, tokenizer, with_ids)
     block = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(blocks)).cast("int")
     dealt = rows.withColumn("__block", block).repartition("__block").sortWithinPartitions("__block")
     limits = (capacity, capacity if max_docs is None else max_docs, capacity**2 if max_attention is None else max_attention)
     schema = _PIECE + _IDS * with_ids + ", sequence_id long, offset long"
-    return dealt.mapInArrow(_pack(*limits, weights, rule), schema)
+    return dealt.mapInArrow(_pack(*limits, weights, rule, block_pieces), schema)

@@ -114,14 +114,16 @@ def test_lines(documents, rows, threshold, min_words):
     assert {(r["doc_id"], r["kept_sha256"]) for r in digest.collect()} == {(k[0], plain.sha(v)) for k, v in want.items()}
 
 
-def test_lines_of_frequent_words(spark, monkeypatch):
-    """All tokens are too frequent to be keys alone."""
+@pytest.mark.parametrize("often,candidates", [(1024, 2), (4, 1), (4, 0)])
+def test_lines_of_frequent_words(spark, monkeypatch, often, candidates):
+    """All tokens are too frequent to be keys alone; classes whose first candidates fail get a second round."""
+    monkeypatch.setattr(lines, "OFTEN", often)
     draw = random.Random(1)
     names = [f"t{i}" for i in range(14)]
     texts = ["\n".join(" ".join(draw.sample(names, draw.randint(1, 12))) for _ in range(6)) for _ in range(80)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want = plain.dedup_lines(list(enumerate(texts)), 0.8, 1)
-    got = lines.dedup_lines(docs, min_words=1)
+    got = lines.dedup_lines(docs, min_words=1, candidates=candidates)
     assert {(r["doc_id"], r["kept_sha256"]) for r in got.collect()} == {(k[0], plain.sha(v)) for k, v in want.items()}
 
 
@@ -177,11 +179,10 @@ def test_packing_under_all_capacities(rule):
         assert sorted(offsets[bins == b].tolist())[0] == 0
 
 
-def test_packing_rounds(spark, monkeypatch):
+def test_packing_rounds(spark):
     """Many equal rows share a block; it is packed in several rounds."""
-    monkeypatch.setattr(packing, "BLOCK", 16)
     docs = spark.createDataFrame([(1, "a b c")] * 100 + [(None, None)] * 3, "doc_id long, text string")
-    found = packing.pack(docs, capacity=64).collect()
+    found = packing.pack(docs, capacity=64, block_pieces=16).collect()
     enc = tokens.encoder(tokens.default_path())
     check_packing(found, [(1, "a b c")] * 100 + [(None, None)] * 3, enc, 64)
 
@@ -189,10 +190,11 @@ def test_packing_rounds(spark, monkeypatch):
 # --- SQL
 
 
-@pytest.mark.parametrize("name", ["op3_quality", "op4_repeats"])
+@pytest.mark.parametrize("name", list(oracle.registered()))
 def test_sql(spark, sf_dir, name):
     connection = duckdb.connect()
-    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     want = connection.sql(oracle.registered()[name])
     got = queries.registered()[name](spark, sf_dir)
     assert Counter(want.fetchall()) == result(got, *want.columns)
