@@ -2,8 +2,8 @@
 
 A text's features are its distinct n-grams of folded characters (lower case, white space as one space), hashed to
 2 ** BITS numbers. The log-count ratio of a feature is log of (its smoothed share of toxic texts over its smoothed share of clean
-texts), counted over all labelled training texts. Features whose ratio isn't clearly different from
-0 by its own standard error are left out of the model. Logistic regression on the scaled features is fitted on a bounded sample of the
+texts), counted over all labelled training texts. Features whose ratio is small, or not clearly different from
+0 by its own standard error, are left out of the model. Logistic regression on the scaled features is fitted on a bounded sample of the
 labelled texts (``fit_rows``), each class in proportion.
 
 At scale: counting is one pass over the labelled texts that sends one small vector block per task and feature range; the model has a
@@ -109,12 +109,14 @@ def presence(data: np.ndarray, offsets: np.ndarray, bits: int = BITS):
             yield found
 
 
-def ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, smooth: float, sure: float) -> np.ndarray:
-    """Log-count ratio of each feature, 0 where it is less than ``sure`` standard errors from 0."""
+def ratios(
+    toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, smooth: float, sure: float, least: float
+) -> np.ndarray:
+    """Log-count ratio of each feature, 0 where it is less than ``sure`` standard errors or ``least`` from 0."""
     p, q = (toxic + smooth) / (n_toxic + 2 * smooth), (clean + smooth) / (n_clean + 2 * smooth)
     r = np.log(p / q)
     error = np.sqrt((1 - p) / (toxic + smooth) + (1 - q) / (clean + smooth))
-    return np.where(np.abs(r) >= sure * error, r, 0.0)
+    return np.where(np.abs(r) >= np.maximum(sure * error, least), r, 0.0)
 
 
 def regression(rows, values, columns, y, n_columns: int, l2: float, steps: int = 200) -> tuple[np.ndarray, float]:
@@ -172,7 +174,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    fit_rows: int = 10_000, smooth: float = 1.0, sure: float = 3.0, l2: float = 0.01,
+    fit_rows: int = 8_000, smooth: float = 1.0, sure: float = 3.0, least: float = 0.8, l2: float = 0.01,
 ) -> Model:
     """Learn from all given documents that have a label 0 or 1.
 
@@ -188,7 +190,7 @@ def train(
     bias = float(np.log((n[1] + 1) / (n[0] + 1)))
     if not (n[0] and n[1]):
         return Model(np.zeros(1 << BITS, np.float64), bias)
-    r = ratios(counts[1], counts[0], n[1], n[0], smooth, sure)
+    r = ratios(counts[1], counts[0], n[1], n[0], smooth, sure, least)
     r[0] = 0
     part = F.pmod(F.xxhash64(F.lit(7), "__llm_k1", "__llm_k2"), F.lit(1_000_000)) < int(1e6 * min(1, fit_rows / sum(n)))
     got = rows.filter(part).select("text", "toxic").mapInArrow(_sample(spark.sparkContext.broadcast(r != 0)), "toxic int, found binary").collect()
