@@ -8,17 +8,23 @@ from pyspark.sql import DataFrame
 
 #: Numbers in a slice.
 SLICE = 1 << 14
+_CODEC = pa.Codec("zstd", 1)
 SENT = "name int, slice int, at binary, n binary"
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return values.nbytes.to_bytes(8, "little") + _CODEC.compress(values.tobytes(), asbytes=True)
+
+
 def send(arrays: dict[int, np.ndarray]):
     """The rows of SENT for the named arrays of a task."""
     out = []
     for name, counts in arrays.items():
         for k in range(0, len(counts), SLICE):
-            at = np.flatnonzero(counts[k : k + SLICE]).astype(np.int32)
+            at = np.flatnonzero(counts[k : k + SLICE])
             if len(at):
-                out.append((name, k // SLICE, at.tobytes(), counts[k + at].astype(np.int64).tobytes()))
+                n = counts[k + at]
+                out.append((name, k // SLICE, _packed(at.astype(np.uint16)), _packed(n.astype(np.int32 if n.max() < 1 << 31 else np.int64))))
     if out:
         kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["name", "slice", "at", "n"])
@@ -28,7 +34,10 @@ def _add(batches):
     sums: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
         for name, part, at, n in zip(*(batch.column(c).to_pylist() for c in ("name", "slice", "at", "n"))):
-            sums.setdefault((name, part), np.zeros(SLICE, np.int64))[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.int64)
+            at = np.frombuffer(_CODEC.decompress(at[8:], int.from_bytes(at[:8], "little"), asbytes=True), np.uint16)
+            size = int.from_bytes(n[:8], "little")
+            n = np.frombuffer(_CODEC.decompress(n[8:], size, asbytes=True), np.int32 if size == 4 * len(at) else np.int64)
+            sums.setdefault((name, part), np.zeros(SLICE, np.int64))[at] += n
     yield from (
         pa.RecordBatch.from_arrays(
             [pa.array([name], pa.int32()), pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["name", "slice", "n"]

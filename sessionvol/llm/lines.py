@@ -12,10 +12,11 @@ good key: if the first shared token is such a one, then so are all shared tokens
 the first n - ceil(t n) + 2; then pairs of frequent tokens are the keys. Every token flips one of 64 bits of its class; candidates that differ in more bits than
 the sets may are dropped; the others are verified on their tokens.
 
-A line goes if any earlier class is similar, so not all pairs of a large family are made: under each key a class is paired with its FIRST
-earliest candidates. If those fail and there were more, all candidates of that class are verified in a second round.
+A line goes if any earlier class is similar, so not all pairs of a large family are made: under each key a class is paired with earlier
+ones, from the first on, until one is CLOSE or there are FIRST. If those fail and there were more, all candidates of that class are verified
+in a second round, which looks at the keys of such classes only.
 
-Tokens are 48-bit codes. At scale: classes instead of copies are joined, so groups of copies cost one entry per
+Tokens are 40-bit codes. At scale: classes instead of copies are joined, so groups of copies cost one entry per
 batch; entries go in packed blocks to buckets whose number follows the bytes of the table; pairs of a frequent token are split by their other
 token. Only the places of kept lines are joined to the texts that lose some.
 """
@@ -38,8 +39,10 @@ COUNT_BITS = 20
 OFTEN = 1024
 #: Bytes of entries in a bucket, and entries' bytes per byte of text.
 BUCKET_BYTES, SHARE = 16 << 20, 0.8
+#: A candidate that differs in so many bits at most is as good as certain: a class needs no other under that key.
+CLOSE = 4
 #: Candidates of a class under one key, before the rest is looked at.
-FIRST = 2
+FIRST = 64
 #: Classes with a candidate, and documents that lose lines, that are sent to all tasks rather than joined by shuffle.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
@@ -62,7 +65,7 @@ def _count(batches):
 def _ranks(counts: np.ndarray) -> np.ndarray:
     """Rank of each cell's count, the eight highest of a code's bits."""
     rank = np.minimum(255, (np.log2(np.maximum(counts, 1)) * 6).astype(np.int64) + 1)
-    return rank.astype(np.uint64) << np.uint64(40)
+    return rank.astype(np.uint64) << np.uint64(32)
 
 
 class Lines:
@@ -89,7 +92,7 @@ class Lines:
         take = self.part[of]
         of = of[take]
         h = self.words.hashes()[take]
-        code = ranks[_cells(h)] | (h & np.uint64((1 << 40) - 1))
+        code = ranks[_cells(h)] | (h & np.uint64((1 << 32) - 1))
         place = np.zeros(len(self.first), np.int64)
         place[lines] = np.arange(len(lines))
         out, begins = [], []
@@ -104,13 +107,13 @@ class Lines:
             key = np.sort(local | code[edges[a] : edges[b]])
             key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
             begins.append(np.searchsorted(key, np.arange(b - a, dtype=np.uint64) << np.uint64(48)) + done)
-            out.append(key & np.uint64((1 << 48) - 1))
+            out.append(key & np.uint64((1 << 40) - 1))
             done += len(key)
         codes = np.concatenate(out) if out else np.zeros(0, np.uint64)
         return codes, np.append(np.concatenate(begins) if begins else np.zeros(0, np.int64), done).astype(np.int64)
 
 
-_LINES = f"{K1} long, {K2} long, doc_id long, line int, s1 long, s2 long, n int, bits long, codes binary"
+_LINES = f"{K1} long, {K2} long, doc_id long, line int, s1 long, s2 long, n int, bits long, codes binary, of int"
 
 
 def _lines(counts, min_words: int):
@@ -129,25 +132,27 @@ def _lines(counts, min_words: int):
                 s1 = np.add.reduceat(m, at[:-1])
                 s2 = np.add.reduceat(K.mix(m ^ np.uint64(0x5851F42D4C957F2D)), at[:-1])
                 bits = np.bitwise_xor.reduceat(np.uint64(1) << (m >> np.uint64(58)), at[:-1])
-                six = np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
-                blobs = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * 6).astype(np.int32)), pa.py_buffer(six)])
+                five = np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+                blobs = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * 5).astype(np.int32)), pa.py_buffer(five)])
+                rows = lines.row[lines.part]
+                of = np.bincount(rows, minlength=b - a)[rows].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [*(k.take(row) for k in keys), pa.array(lines.number[lines.part].astype(np.int32)), pa.array(s1.view(np.int64)),
-                     pa.array(s2.view(np.int64)), pa.array(np.diff(at).astype(np.int32)), pa.array(bits.view(np.int64)), blobs],
-                    names=[K1, K2, "doc_id", "line", "s1", "s2", "n", "bits", "codes"],
+                     pa.array(s2.view(np.int64)), pa.array(np.diff(at).astype(np.int32)), pa.array(bits.view(np.int64)), blobs, pa.array(of)],
+                    names=[K1, K2, "doc_id", "line", "s1", "s2", "n", "bits", "codes", "of"],
                 )
 
     return run
 
 
-def _wide(six: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(six) // 6, 8), np.uint8)
-    out[:, :6] = six.reshape(-1, 6)
+def _wide(five: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(five) // 5, 8), np.uint8)
+    out[:, :5] = five.reshape(-1, 5)
     return out.reshape(-1).view(np.uint64)
 
 
 #: Fields of an entry: key, class, place (document, line), bits, tokens, place of the token, is every candidate wanted?
-_ENTRY = {"code": "<u8", "s1": "<i8", "doc": "<i8", "line": "<i4", "bits": "<u8", "n": "<u2", "at": "<u2", "all": "u1"}
+_ENTRY = {"code": "<u4", "s1": "<i8", "doc": "<i8", "line": "<i4", "bits": "<u8", "n": "<u2", "at": "<u2", "all": "u1"}
 _LAST = np.iinfo(np.int64).max
 
 
@@ -173,7 +178,7 @@ def _entries(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, threshold: flo
     line = np.repeat(np.arange(len(n)), reach)
     at = np.arange(len(line)) - np.repeat(np.cumsum(reach) - reach, reach)
     code = codes[begin[line] + at]
-    rare = (code >> np.uint64(40)).astype(np.int64) < often
+    rare = (code >> np.uint64(32)).astype(np.int64) < often
     single = (at < prefix[line]) & (rare | (n[line] == 1))
     lines, keys, places = [line[single]], [code[single]], [at[single]]
     i = np.flatnonzero(~rare & (n[line] > 1))
@@ -182,49 +187,74 @@ def _entries(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, threshold: flo
         i = i[i + step < len(line)]
         i = i[line[i + step] == line[i]]
         lines.append(line[i])
-        keys.append((K.mix(code[i] * np.uint64(0x9E3779B97F4A7C15) + code[i + step]) >> np.uint64(15)) | np.uint64(1 << 49))
+        keys.append(K.mix(code[i] * np.uint64(0x9E3779B97F4A7C15) + code[i + step]) | np.uint64(1 << 63))
         places.append(at[i])
         step += 1
     return tuple(map(np.concatenate, (lines, keys, places)))
 
 
-def _deal(threshold: float, buckets: int, often: int):
-    """Lines to packed entries: one row per (batch, bucket)."""
+def _first_of_batch(batch: pa.RecordBatch) -> np.ndarray:
+    """Rows of the first place of each class in a batch."""
+    s1, number = batch.column("s1").to_numpy(), batch.column("line").to_numpy()
+    doc = batch.column("doc_id").fill_null(_LAST).to_numpy()
+    by = np.lexsort((number, doc, s1))
+    return np.sort(by[np.append(True, s1[by][1:] != s1[by][:-1])]) if len(s1) else by
+
+
+def _keys(batch: pa.RecordBatch, threshold: float, often: int):
+    data, offsets = K.buffer(batch.column("codes"))
+    n = batch.column("n").to_numpy().astype(np.int64)
+    return _entries(_wide(data), offsets[:-1] // 5, n, threshold, often)
+
+
+def _keys_of(threshold: float, often: int):
+    """Lines to the keys they have."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_keys(batch, threshold, often)[1]).view(np.int64))], names=["key"])
+
+    return run
+
+
+def _deal(threshold: float, buckets: int, often: int, only):
+    """Lines to packed entries, one row per (batch, bucket); with ``only`` those of its keys."""
 
     def run(batches):
         codec = pa.Codec("zstd", 1)
         for batch in batches:
             if not len(batch):
                 continue
-            s1, number = batch.column("s1").to_numpy(), batch.column("line").to_numpy()
-            doc = batch.column("doc_id").fill_null(_LAST).to_numpy()
-            by = np.lexsort((number, doc, s1))  # a class's first place in the batch
-            rows = np.sort(by[np.append(True, s1[by][1:] != s1[by][:-1])])
-            part = batch.take(pa.array(rows))
-            data, offsets = K.buffer(part.column("codes"))
-            n = part.column("n").to_numpy().astype(np.int64)
-            line, key, at = _entries(_wide(data), offsets[:-1] // 6, n, threshold, often)
-            bucket = (K.mix(key) % np.uint64(buckets)).astype(np.int64)
+            part = batch.take(pa.array(_first_of_batch(batch)))
+            line, key, at = _keys(part, threshold, often)
+            if only is not None:
+                use = np.isin(key, only.value)
+                line, key, at = line[use], key[use], at[use]
+            mixed = K.mix(key)
+            bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             line, bucket = line[order], bucket[order]
+            n = part.column("n").to_numpy()
             entries = {
-                "code": key[order], "s1": s1[rows][line], "doc": doc[rows][line], "line": number[rows][line],
-                "bits": part.column("bits").to_numpy().view(np.uint64)[line], "n": np.minimum(n[line], 65535).astype(np.uint16),
-                "at": np.minimum(at[order], 65535).astype(np.uint16),
+                "code": mixed[order].astype(np.uint32),  # keys of one bucket that agree in 32 bits only make more candidates
+                "s1": part.column("s1").to_numpy()[line], "doc": part.column("doc_id").fill_null(_LAST).to_numpy()[line],
+                "line": part.column("line").to_numpy()[line], "bits": part.column("bits").to_numpy().view(np.uint64)[line],
+                "n": np.minimum(n[line], 65535).astype(np.uint16), "at": np.minimum(at[order], 65535).astype(np.uint16),
                 "all": part.column("all").to_numpy(zero_copy_only=False).astype(np.uint8)[line],
             }
-            edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+            edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket)) if len(bucket) else [0]
             out = []
-            for a, b in zip(edges.tolist(), edges[1:].tolist()):
+            for a, b in zip(edges[:-1], edges[1:]):
                 blob = b"".join(_planes(entries[f][a:b]) for f in _ENTRY)
-                out.append((int(bucket[a]), b - a, codec.compress(blob, asbytes=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["bucket", "n", "blob"])
+                out.append((int(bucket[a]), int(b - a), codec.compress(blob, asbytes=True)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["bucket", "n", "blob"])
 
     return run
 
 
-def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, most: int):
-    """Of one bucket: pairs (class, earlier candidate), in parts, each with whether the class has more candidates under the key.
+def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, most: int, close: int):
+    """Of one bucket: pairs (class, earlier class), in parts, each with whether it stands for more candidates, and whether both places are equal.
 
     With ``rest`` all candidates, for the classes that want them.
     """
@@ -232,53 +262,62 @@ def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, mo
     size = sum(np.dtype(k).itemsize for k in _ENTRY.values())
     parts = [_columns(codec.decompress(blob, n * size, asbytes=True), n) for n, blob in blobs]
     e = {f: np.concatenate([p[f] for p in parts]) for f in _ENTRY}
-    order = np.lexsort((e["line"], e["doc"], e["s1"], e["code"]))
-    code, s1 = e["code"][order], e["s1"][order]
-    order = order[np.append(True, (code[1:] != code[:-1]) | (s1[1:] != s1[:-1]))]  # a class's first place
-    order = order[np.lexsort((e["line"][order], e["doc"][order], e["code"][order]))]
-    code, s1, bits, n, at, wants, doc, line = (e[f][order] for f in ("code", "s1", "bits", "n", "at", "all", "doc", "line"))
-    n, at = n.astype(np.int32), at.astype(np.int32)
+    del parts
+    order = np.lexsort((e["line"], e["doc"], e["code"]))
+    code = e["code"][order]
     begins = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
-    group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(code))))
-    first, end = begins[group], np.append(begins[1:], len(code))[group]
-    i = np.flatnonzero((end - first > 1) & ((wants > 0) | (not rest)))
-    found = np.zeros(len(code), np.int32)
+    length = np.diff(np.append(begins, len(code)))
+    big = np.repeat(length > 1, length)  # a class alone under its key is done
+    order = order[big]
+    s1, bits, n, at, wants, doc, line = (e[f][order] for f in ("s1", "bits", "n", "at", "all", "doc", "line"))
+    del e
+    length = length[length > 1]
+    n, at = n.astype(np.int32), at.astype(np.int32)
+    first = np.repeat(np.cumsum(length) - length, length)
+    i = np.flatnonzero(wants > 0) if rest else np.arange(len(s1))
+    end = first + np.repeat(length, length)
+    found = np.zeros(len(s1), np.int32)
     step = 0
     while len(i):
         j = first[i] + step
-        # Equal places (documents of one id) may be earlier, too.
-        go = (j < end[i]) & ((doc[j % len(doc)] < doc[i]) | ((doc[j % len(doc)] == doc[i]) & (line[j % len(doc)] <= line[i])))
-        i, j = i[go], j[go]
+        inside = j < end[i]
+        i, j = i[inside], j[inside]
+        tie = (doc[j] == doc[i]) & (line[j] == line[i])  # documents of one id: either may be earlier
+        go = ((j < i) | tie) & ~((s1[j] == s1[i]) & (j < i))  # a class counts at its first place only
+        i, j, tie = i[go], j[go], tie[go]
         both = n[i] + n[j]
         differ = both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9).astype(np.int32)  # at most so many tokens
-        alike = np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9
-        good = alike & (at[i] + at[j] <= differ) & (np.bitwise_count(bits[i] ^ bits[j]) <= differ)
-        good = (good | (np.maximum(n[i], n[j]) == 65535)) & (i != j)
+        off = np.bitwise_count(bits[i] ^ bits[j])
+        good = (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9) & (at[i] + at[j] <= differ) & (off <= differ)
+        good = (good | (np.maximum(n[i], n[j]) == 65535)) & (s1[i] != s1[j])
         if good.any():
-            more = found[i[good]] >= most
-            if rest:
-                yield s1[i[good]], s1[j[good]], np.zeros(int(good.sum()), bool)
-            else:
-                yield s1[i[good]], s1[j[good]], more
-            found[i[good]] += 1
-            i = i[~(good & (found[i] > most))] if not rest else i
+            g, h = i[good], j[good]
+            found[g] += 1
+            yield s1[g], s1[h], np.zeros(len(g), bool), tie[good]
+            if not rest:
+                done = good & ((found[i] >= most) | ((off <= close) & ~tie))
+                yield s1[i[done]], s1[i[done]], np.ones(int(done.sum()), bool), np.zeros(int(done.sum()), bool)
+                i = i[~done]
         step += 1
 
 
-def _join(threshold: float, rest: bool, most: int):
-    """Buckets to distinct pairs; a pair marked ``more`` only says that class a has more candidates than the ones given."""
+def _join(threshold: float, rest: bool, most: int, close: int):
+    """Buckets to distinct pairs; a row marked ``more`` says that class a has more candidates than those given."""
 
     def run(batches):
         bucket, blobs = None, []
 
         def done():
-            found = list(_candidates(blobs, threshold, rest, most)) if blobs else []
+            found = list(_candidates(blobs, threshold, rest, most, close)) if blobs else []
             if found:
-                a, b, more = (np.concatenate(x) for x in zip(*found))
-                b = np.where(more, 0, b)
-                rows = np.unique(np.stack([a, b, more.astype(np.int64)], axis=1), axis=0)
+                a, b, more, tie = (np.concatenate(x) for x in zip(*found))
+                flags = more.astype(np.int64) + 2 * tie
+                order = np.lexsort((flags, b, a))
+                a, b, flags = a[order], b[order], flags[order]
+                new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (flags[1:] != flags[:-1]))
+                a, b, flags = a[new], b[new], flags[new]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array(rows[:, 2] > 0)], names=["a", "b", "more"]
+                    [pa.array(a), pa.array(b), pa.array((flags & 1) > 0), pa.array((flags & 2) > 0)], names=["a", "b", "more", "tie"]
                 )
 
         for batch in batches:
@@ -315,7 +354,7 @@ def _stored(df: DataFrame) -> DataFrame:
 
 
 def judged_classes(
-    docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST
+    docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST, close: int = CLOSE
 ) -> tuple[DataFrame, DataFrame]:
     """Lines that take part (K1, K2, ...), and their classes: s1, s2, first (place of the first line), stays. Runs jobs when called."""
     spark = docs.sparkSession
@@ -324,30 +363,45 @@ def judged_classes(
     size = text_bytes(docs, text_col)[1]
     counts = counting.total(texts.select("text").mapInArrow(_count, counting.SENT), {0: 1 << COUNT_BITS})[0]
     lines = _stored(texts.mapInArrow(_lines(spark.sparkContext.broadcast(counts), min_words), _LINES))
-    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", K2, "line", K1)
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", K2, "line")
     classes = settle(lines.groupBy("s1", "s2").agg(F.min(place).alias("first")))
     buckets = max(4 * shuffle_partitions(spark), int(size * SHARE / BUCKET_BYTES) + 1)
+    often = int(np.log2(OFTEN) * 6) + 2
 
-    def round_of(rows: DataFrame, rest: bool) -> tuple[DataFrame, DataFrame]:
+    def round_of(rows: DataFrame, rest: bool, only=None) -> tuple[DataFrame, DataFrame]:
         """Classes with a similar earlier one, and classes that have more candidates."""
-        dealt = rows.select("s1", "doc_id", "line", "n", "bits", "codes", "all").mapInArrow(_deal(threshold, buckets, int(np.log2(OFTEN) * 6) + 2), "bucket long, n long, blob binary")
-        found = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_join(threshold, rest, candidates), "a long, b long, more boolean")
+        rows = rows.select("s1", "doc_id", "line", "n", "bits", "codes", "all")
+        dealt = rows.mapInArrow(_deal(threshold, buckets, often, only), "bucket long, n long, blob binary")
+        found = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+            _join(threshold, rest, candidates, close), "a long, b long, more boolean, tie boolean"
+        )
         pairs = settle(found.distinct())
-        more, pairs = pairs.filter("more").select(F.col("a").alias("s1")).distinct(), pairs.filter("not more").select("a", "b")
+        more, pairs = pairs.filter("more").select(F.col("a").alias("s1")).distinct(), pairs.filter("not more").drop("more")
         ids = settle(pairs.select(F.col("a").alias("s1")).union(pairs.select("b")).distinct())
         some = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-        held = settle(lines.select("s1", "s2", "codes").join(some, "s1", "left_semi").dropDuplicates(["s1", "s2"]).join(classes, ["s1", "s2"]))
-        side = lambda x: held.select(
-            F.col("s1").alias(x), F.col("s1").alias(f"{x}1"), F.col("s2").alias(f"{x}2"), F.col("codes").alias(f"codes_{x}"), F.col("first").alias(f"first_{x}")
-        )
-        checked = pairs.join(side("a"), "a").join(side("b"), "b").filter("first_b < first_a").select("a1", "a2", "codes_a", "codes_b")
-        return settle(checked.mapInArrow(_verify(threshold), "a1 long, a2 long").distinct()), more
+        held = settle(lines.select("s1", "s2", "codes").join(some, "s1", "left_semi").dropDuplicates(["s1", "s2"]))
+        side = lambda x: held.select(F.col("s1").alias(x), F.col("s2").alias(f"{x}2"), F.col("codes").alias(f"codes_{x}"))
+        checked = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "a2", "b", "b2", "tie", "codes_a", "codes_b")
+        links = settle(checked.mapInArrow(_verify(threshold), "a long, a2 long, b long, b2 long, tie boolean"))
+        earlier = links.filter("not tie")
+        tied = links.filter("tie")
+        if not tied.isEmpty():
+            order = lambda x: classes.select(F.col("s1").alias(x), F.col("s2").alias(f"{x}2"), F.col("first").alias(f"first_{x}"))
+            tied = tied.join(order("a"), ["a", "a2"]).join(order("b"), ["b", "b2"]).filter("first_b < first_a")
+            earlier = earlier.unionByName(tied.select(*earlier.columns))
+        return settle(earlier.select(F.col("a").alias("a1"), "a2").distinct()), more
 
     gone, more = round_of(lines.withColumn("all", F.lit(False)), False)
-    late = more.join(gone, more["s1"] == gone["a1"], "left_anti").withColumn("all", F.lit(True))
-    late = settle(late)
-    if not late.isEmpty():
-        also, _ = round_of(lines.join(late, "s1", "left").withColumn("all", F.coalesce("all", F.lit(False))), True)
+    late = settle(more.join(gone, more["s1"] == gone["a1"], "left_anti").withColumn("all", F.lit(True)))
+    n_late = late.count()
+    if n_late:
+        late = F.broadcast(late) if n_late <= BROADCAST_ROWS else late
+        again = lines.join(late, "s1", "left").withColumn("all", F.coalesce("all", F.lit(False)))
+        keys = settle(lines.join(late, "s1", "left_semi").select("codes", "n").mapInArrow(_keys_of(threshold, often), "key long").distinct())
+        only = None
+        if keys.count() <= BROADCAST_ROWS:
+            only = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in keys.collect()], np.int64).view(np.uint64)))
+        also, _ = round_of(again, True, only)
         gone = gone.union(also).distinct()
     gone = gone.select(F.col("a1").alias("s1"), F.col("a2").alias("s2"), F.lit(False).alias("found"))
     judged = classes.join(gone, ["s1", "s2"], "left").withColumn("stays", F.coalesce("found", F.lit(True))).drop("found")
@@ -399,11 +453,12 @@ def _replace(text_col: str):
     return out
 
 
-def _losses(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_words: int, candidates: int) -> DataFrame:
+def _losses(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_words: int, candidates: int, close: int) -> DataFrame:
     """Rows that lose lines: __llm_r1, __llm_r2 (the row key), __llm_stay (numbers of the lines that stay of those that take part)."""
-    lines, judged = judged_classes(docs, id_col, text_col, threshold, min_words, candidates)
-    stay = judged.filter("stays").groupBy(F.col(f"first.{K1}").alias(K1), F.col(f"first.{K2}").alias(K2)).agg(F.collect_list("first.line").alias("stay"))
-    every = lines.groupBy(K1, K2).agg(F.countDistinct("line").alias("n"))
+    lines, judged = judged_classes(docs, id_col, text_col, threshold, min_words, candidates, close)
+    key = [F.coalesce("first.doc_id", F.lit(0)).alias(K1), F.col(f"first.{K2}").alias(K2)]
+    stay = judged.filter("stays").groupBy(*key).agg(F.collect_list("first.line").alias("stay"))
+    every = lines.groupBy(K1, K2).agg(F.max("of").alias("n"))
     found = every.join(stay, [K1, K2], "left").filter(F.coalesce(F.size("stay"), F.lit(0)) < F.col("n"))
     found = settle(found.select(F.col(K1).alias("__llm_r1"), F.col(K2).alias("__llm_r2"), F.coalesce("stay", F.array().cast("array<int>")).alias("__llm_stay")))
     size = found.agg(F.sum(F.size("__llm_stay") * 4 + 32)).first()[0] or 0
@@ -416,24 +471,26 @@ def _joined(docs: DataFrame, losses: DataFrame, keys: list) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST,
+    close: int = CLOSE,
 ) -> DataFrame:
     """Per document: doc_id, n_lines (with a word), n_removed, removed (their numbers from 0, counting all lines), kept_sha256.
 
     Lines end at \\n and are removed with one line end. Documents without an id come last in the order; equal ids are ordered by a hash of
     the text. NULL and empty texts have no lines. Lines of fewer than ``min_words`` words stay. Rows equal in id and text keep the same lines.
     """
-    losses = _losses(docs, id_col, text_col, threshold, min_words, candidates)
+    losses = _losses(docs, id_col, text_col, threshold, min_words, candidates, close)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     joined = _joined(rows, losses, row_key("doc_id", "text"))
     return joined.mapInArrow(_apply("text", min_words, _digest), "doc_id long, n_lines long, n_removed long, removed array<int>, kept_sha256 string")
 
 
 def remove_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST,
+    close: int = CLOSE,
 ) -> DataFrame:
     """The rows of ``docs`` with all their columns, the text without lines that match an earlier one. A document all of whose lines go is
     left out; one without lines stays."""
-    losses = _losses(docs, id_col, text_col, threshold, min_words, candidates)
+    losses = _losses(docs, id_col, text_col, threshold, min_words, candidates, close)
     joined = _joined(docs, losses, row_key(id_col, text_col))
     return joined.mapInArrow(_apply(text_col, min_words, _replace(text_col)), docs.schema)

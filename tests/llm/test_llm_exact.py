@@ -114,8 +114,8 @@ def test_lines(documents, rows, threshold, min_words):
     assert {(r["doc_id"], r["kept_sha256"]) for r in digest.collect()} == {(k[0], plain.sha(v)) for k, v in want.items()}
 
 
-@pytest.mark.parametrize("often,candidates", [(1024, 2), (4, 1), (4, 0)])
-def test_lines_of_frequent_words(spark, monkeypatch, often, candidates):
+@pytest.mark.parametrize("often,candidates,close", [(1024, 64, 4), (4, 1, 64), (4, 1, 0)])
+def test_lines_of_frequent_words(spark, monkeypatch, often, candidates, close):
     """All tokens are too frequent to be keys alone; classes whose first candidates fail get a second round."""
     monkeypatch.setattr(lines, "OFTEN", often)
     draw = random.Random(1)
@@ -123,7 +123,7 @@ def test_lines_of_frequent_words(spark, monkeypatch, often, candidates):
     texts = ["\n".join(" ".join(draw.sample(names, draw.randint(1, 12))) for _ in range(6)) for _ in range(80)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want = plain.dedup_lines(list(enumerate(texts)), 0.8, 1)
-    got = lines.dedup_lines(docs, min_words=1, candidates=candidates)
+    got = lines.dedup_lines(docs, min_words=1, candidates=candidates, close=close)
     assert {(r["doc_id"], r["kept_sha256"]) for r in got.collect()} == {(k[0], plain.sha(v)) for k, v in want.items()}
 
 
