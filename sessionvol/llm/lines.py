@@ -9,8 +9,8 @@ hash), then by hash. Lines with the same tokens are one class. Two classes of n
 a token among the first n - ceil(t n) + 1 of either (prefix filter); what comes before their first shared token is in one of
 them only (positional filter); n >= t m (length filter). A token found in more than OFTEN places is no
 good key: if the first shared token is such a one, then so are all shared tokens, and the classes share two of them among
-the first n - ceil(t n) + 2; then pairs of frequent tokens are the keys. Every token flips one of 64 bits of its class; candidates that differ in more bits than
-the sets may are dropped; the others are verified on their tokens.
+the first n - ceil(t n) + 2; then pairs of frequent tokens are the keys. Every token flips one of 64 bits of its class, or of 128 if it has LONG tokens; candidates that differ in
+more bits than the sets may are dropped; the others are verified on their tokens.
 
 A line goes if any earlier class is similar, so not all pairs of a large family are made: under each key a class is paired with earlier
 ones, from the first on, until one is CLOSE or there are FIRST. If those fail and there were more, all candidates of that class are verified
@@ -39,6 +39,8 @@ COUNT_BITS = 20
 OFTEN = 1024
 #: Bytes of entries in a bucket, and entries' bytes per byte of text.
 BUCKET_BYTES, SHARE = 16 << 20, 0.8
+#: Tokens of a class from which on it has a second word of bits.
+LONG = 64
 #: A candidate that differs in so many bits at most is as good as certain: a class needs no other under that key.
 CLOSE = 4
 #: Candidates of a class under one key, before the rest is looked at.
@@ -113,34 +115,52 @@ class Lines:
         return codes, np.append(np.concatenate(begins) if begins else np.zeros(0, np.int64), done).astype(np.int64)
 
 
-_LINES = f"{K1} long, {K2} long, doc_id long, line int, s1 long, s2 long, n int, bits long, codes binary, of int"
+_LINES = f"{K1} long, {K2} long, doc_id long, line int, s1 long, s2 long, n int, bits long, bits2 long, codes binary, of int"
 
 
 def _lines(counts, min_words: int):
+    """Texts to their lines; the codes are given at the first line of each class in a batch only."""
+
     def run(batches):
         ranks = _ranks(counts.value)
         for batch in batches:
             data, offsets = K.buffer(batch.column("text"))
-            keys = [batch.column(c) for c in (K1, K2, "doc_id")]
+            parts = []
             for a, b in K.chunks(offsets, 4 * K.CHUNK):
                 lines = Lines(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], min_words)
                 codes, at = lines.codes(ranks)
                 if len(at) < 2:
                     continue
-                row = pa.array(lines.row[lines.part] + a)
                 m = K.mix(codes)
-                s1 = np.add.reduceat(m, at[:-1])
-                s2 = np.add.reduceat(K.mix(m ^ np.uint64(0x5851F42D4C957F2D)), at[:-1])
-                bits = np.bitwise_xor.reduceat(np.uint64(1) << (m >> np.uint64(58)), at[:-1])
-                five = np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-                blobs = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * 5).astype(np.int32)), pa.py_buffer(five)])
-                rows = lines.row[lines.part]
-                of = np.bincount(rows, minlength=b - a)[rows].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*(k.take(row) for k in keys), pa.array(lines.number[lines.part].astype(np.int32)), pa.array(s1.view(np.int64)),
-                     pa.array(s2.view(np.int64)), pa.array(np.diff(at).astype(np.int32)), pa.array(bits.view(np.int64)), blobs, pa.array(of)],
-                    names=[K1, K2, "doc_id", "line", "s1", "s2", "n", "bits", "codes", "of"],
-                )
+                n, rows = np.diff(at), lines.row[lines.part]
+                flip = np.uint64(1) << (m >> np.uint64(58))
+                second = (m >> np.uint64(57)) & np.uint64(1) > 0
+                second &= np.repeat(n >= LONG, n)
+                parts.append((
+                    rows + a, lines.number[lines.part].astype(np.int32), np.add.reduceat(m, at[:-1]),
+                    np.add.reduceat(K.mix(m ^ np.uint64(0x5851F42D4C957F2D)), at[:-1]), n.astype(np.int32),
+                    np.bitwise_xor.reduceat(np.where(second, np.uint64(0), flip), at[:-1]),
+                    np.bitwise_xor.reduceat(np.where(second, flip, np.uint64(0)), at[:-1]),
+                    np.bincount(rows, minlength=b - a)[rows].astype(np.int32), codes,
+                ))
+            if not parts:
+                continue
+            row, number, s1, s2, n, bits, more, of, codes = map(np.concatenate, zip(*parts))
+            del parts
+            doc = batch.column("doc_id").fill_null(_LAST).to_numpy()[row]
+            by = np.lexsort((number, doc, s2, s1))
+            first = np.zeros(len(s1), bool)
+            first[by[np.append(True, (s1[by][1:] != s1[by][:-1]) | (s2[by][1:] != s2[by][:-1]))]] = True
+            five = np.ascontiguousarray(codes[np.repeat(first, n)].view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+            at = np.zeros(len(n) + 1, np.int32)
+            np.cumsum(np.where(first, n, 0) * 5, out=at[1:])
+            blobs = pa.Array.from_buffers(pa.binary(), len(n), [pa.array(first).buffers()[1], pa.py_buffer(at), pa.py_buffer(five)])
+            keys = [batch.column(c).take(pa.array(row)) for c in (K1, K2, "doc_id")]
+            numbers = [pa.array(x.view(np.int64)) for x in (s1, s2)], [pa.array(x.view(np.int64)) for x in (bits, more)]
+            yield pa.RecordBatch.from_arrays(
+                [*keys, pa.array(number), *numbers[0], pa.array(n), *numbers[1], blobs, pa.array(of)],
+                names=[K1, K2, "doc_id", "line", "s1", "s2", "n", "bits", "bits2", "codes", "of"],
+            )
 
     return run
 
@@ -151,8 +171,8 @@ def _wide(five: np.ndarray) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
-#: Fields of an entry: key, class, place (document, line), bits, tokens, place of the token, is every candidate wanted?
-_ENTRY = {"code": "<u4", "s1": "<i8", "doc": "<i8", "line": "<i4", "bits": "<u8", "n": "<u2", "at": "<u2", "all": "u1"}
+#: Fields of an entry: key, class, place (document, line), two words of bits, tokens, place of the token, is every candidate wanted?
+_ENTRY = {"code": "<u4", "s1": "<i8", "doc": "<i8", "line": "<i4", "bits": "<u8", "bits2": "<u8", "n": "<u2", "at": "<u2", "all": "u1"}
 _LAST = np.iinfo(np.int64).max
 
 
@@ -223,6 +243,7 @@ def _deal(threshold: float, buckets: int, often: int, only):
     def run(batches):
         codec = pa.Codec("zstd", 1)
         for batch in batches:
+            batch = batch.filter(batch.column("codes").is_valid())
             if not len(batch):
                 continue
             part = batch.take(pa.array(_first_of_batch(batch)))
@@ -239,6 +260,7 @@ def _deal(threshold: float, buckets: int, often: int, only):
                 "code": mixed[order].astype(np.uint32),  # keys of one bucket that agree in 32 bits only make more candidates
                 "s1": part.column("s1").to_numpy()[line], "doc": part.column("doc_id").fill_null(_LAST).to_numpy()[line],
                 "line": part.column("line").to_numpy()[line], "bits": part.column("bits").to_numpy().view(np.uint64)[line],
+                "bits2": part.column("bits2").to_numpy().view(np.uint64)[line],
                 "n": np.minimum(n[line], 65535).astype(np.uint16), "at": np.minimum(at[order], 65535).astype(np.uint16),
                 "all": part.column("all").to_numpy(zero_copy_only=False).astype(np.uint8)[line],
             }
@@ -264,40 +286,66 @@ def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, mo
     e = {f: np.concatenate([p[f] for p in parts]) for f in _ENTRY}
     del parts
     order = np.lexsort((e["line"], e["doc"], e["code"]))
-    code = e["code"][order]
+    code, s1 = e["code"][order], e["s1"][order]
+    by = np.lexsort((s1, code))  # keeps the order of places: a class counts at its first one
+    again = np.zeros(len(by), bool)
+    again[by[1:]] = (code[by][1:] == code[by][:-1]) & (s1[by][1:] == s1[by][:-1])
+    order, code = order[~again], code[~again]
     begins = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
     length = np.diff(np.append(begins, len(code)))
-    big = np.repeat(length > 1, length)  # a class alone under its key is done
-    order = order[big]
-    s1, bits, n, at, wants, doc, line = (e[f][order] for f in ("s1", "bits", "n", "at", "all", "doc", "line"))
-    del e
+    order = order[np.repeat(length > 1, length)]  # a class alone under its key is done
     length = length[length > 1]
+    s1, bits, bits2, n, at, wants, doc, line = (e[f][order] for f in ("s1", "bits", "bits2", "n", "at", "all", "doc", "line"))
+    del e
+    if not len(order):
+        return
     n, at = n.astype(np.int32), at.astype(np.int32)
+    both = np.arange(2 * int(n.max()) + 1)
+    allowed = (both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9)).astype(np.int32)  # tokens that may differ
     first = np.repeat(np.cumsum(length) - length, length)
-    i = np.flatnonzero(wants > 0) if rest else np.arange(len(s1))
     end = first + np.repeat(length, length)
+    # Places are equal for documents of one id only; then either may be earlier.
+    same = (doc[1:] == doc[:-1]) & (line[1:] == line[:-1]) & (first[1:] == first[:-1])
+    ties, huge = bool(same.any()), bool((n == 65535).any())
+    i = np.flatnonzero(wants > 0) if rest else np.arange(len(s1))
     found = np.zeros(len(s1), np.int32)
     step = 0
     while len(i):
         j = first[i] + step
-        inside = j < end[i]
-        i, j = i[inside], j[inside]
-        tie = (doc[j] == doc[i]) & (line[j] == line[i])  # documents of one id: either may be earlier
-        go = ((j < i) | tie) & ~((s1[j] == s1[i]) & (j < i))  # a class counts at its first place only
-        i, j, tie = i[go], j[go], tie[go]
-        both = n[i] + n[j]
-        differ = both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9).astype(np.int32)  # at most so many tokens
-        off = np.bitwise_count(bits[i] ^ bits[j])
-        good = (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9) & (at[i] + at[j] <= differ) & (off <= differ)
-        good = (good | (np.maximum(n[i], n[j]) == 65535)) & (s1[i] != s1[j])
-        if good.any():
-            g, h = i[good], j[good]
-            found[g] += 1
-            yield s1[g], s1[h], np.zeros(len(g), bool), tie[good]
-            if not rest:
-                done = good & ((found[i] >= most) | ((off <= close) & ~tie))
-                yield s1[i[done]], s1[i[done]], np.ones(int(done.sum()), bool), np.zeros(int(done.sum()), bool)
-                i = i[~done]
+        if ties:
+            i, j = i[j < end[i]], j[j < end[i]]
+            go = (j < i) | ((j > i) & (doc[j] == doc[i]) & (line[j] == line[i]))
+            wait = go | ((j == i) & (step + first[i] < end[i] - 1))
+            x, y, i = i[go], j[go], i[wait]
+        else:
+            i, j = i[j < i], j[j < i]
+            x, y = i, j
+        apart, limit = np.abs(n[x] - n[y]), allowed[n[x] + n[y]]
+        good = (apart <= limit) & (at[x] + at[y] <= limit)
+        if huge:
+            good |= np.maximum(n[x], n[y]) == 65535
+        g = np.flatnonzero(good)
+        if len(g):
+            x, y, limit = x[g], y[g], limit[g]
+            off = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int32)
+            # Only classes that both have a second word are compared in it; else both words together say less.
+            long = (n[x] >= LONG) & (n[y] >= LONG)
+            mixed = np.bitwise_count(bits[x] ^ bits2[x] ^ bits[y] ^ bits2[y])
+            off = np.where(long, off + np.bitwise_count(bits2[x] ^ bits2[y]), mixed)
+            good = off <= limit
+            if huge:
+                good |= np.maximum(n[x], n[y]) == 65535
+            x, y, off = x[good], y[good], off[good]
+            if len(x):
+                tie = (doc[x] == doc[y]) & (line[x] == line[y])
+                found[x] += 1
+                yield s1[x], s1[y], np.zeros(len(x), bool), tie
+                if not rest:
+                    over = x[(found[x] >= most) | ((off <= close) & ~tie)]
+                    if len(over):
+                        yield s1[over], s1[over], np.ones(len(over), bool), np.zeros(len(over), bool)
+                        found[over] = -1 << 30
+                        i = i[found[i] >= 0]
         step += 1
 
 
@@ -370,7 +418,7 @@ def judged_classes(
 
     def round_of(rows: DataFrame, rest: bool, only=None) -> tuple[DataFrame, DataFrame]:
         """Classes with a similar earlier one, and classes that have more candidates."""
-        rows = rows.select("s1", "doc_id", "line", "n", "bits", "codes", "all")
+        rows = rows.filter("codes is not null").select("s1", "doc_id", "line", "n", "bits", "bits2", "codes", "all")
         dealt = rows.mapInArrow(_deal(threshold, buckets, often, only), "bucket long, n long, blob binary")
         found = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
             _join(threshold, rest, candidates, close), "a long, b long, more boolean, tie boolean"
@@ -379,7 +427,7 @@ def judged_classes(
         more, pairs = pairs.filter("more").select(F.col("a").alias("s1")).distinct(), pairs.filter("not more").drop("more")
         ids = settle(pairs.select(F.col("a").alias("s1")).union(pairs.select("b")).distinct())
         some = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-        held = settle(lines.select("s1", "s2", "codes").join(some, "s1", "left_semi").dropDuplicates(["s1", "s2"]))
+        held = settle(lines.filter("codes is not null").select("s1", "s2", "codes").join(some, "s1", "left_semi").dropDuplicates(["s1", "s2"]))
         side = lambda x: held.select(F.col("s1").alias(x), F.col("s2").alias(f"{x}2"), F.col("codes").alias(f"codes_{x}"))
         checked = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "a2", "b", "b2", "tie", "codes_a", "codes_b")
         links = settle(checked.mapInArrow(_verify(threshold), "a long, a2 long, b long, b2 long, tie boolean"))
@@ -397,7 +445,7 @@ def judged_classes(
     if n_late:
         late = F.broadcast(late) if n_late <= BROADCAST_ROWS else late
         again = lines.join(late, "s1", "left").withColumn("all", F.coalesce("all", F.lit(False)))
-        keys = settle(lines.join(late, "s1", "left_semi").select("codes", "n").mapInArrow(_keys_of(threshold, often), "key long").distinct())
+        keys = settle(lines.filter("codes is not null").join(late, "s1", "left_semi").select("codes", "n").mapInArrow(_keys_of(threshold, often), "key long").distinct())
         only = None
         if keys.count() <= BROADCAST_ROWS:
             only = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in keys.collect()], np.int64).view(np.uint64)))
