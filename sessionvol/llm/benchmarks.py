@@ -209,7 +209,7 @@ def _one_pass(automaton, text_col: str, apply):
         for batch in batches:
             yield apply(batch, *find(automaton.value, batch.column(batch.schema.get_field_index(text_col))))
 
-    return run
+    return K.lean(run)
 
 
 def _hits(automaton):
@@ -225,7 +225,7 @@ def _hits(automaton):
                 [*keys, pa.array(lists, _SPANS), pa.array([sorted(items[k]) for k in i], pa.list_(pa.string()))], names=[K1, K2, "spans", "items"]
             )
 
-    return run
+    return K.lean(run)
 
 
 def _gathered(text_col: str, spans_col: str, items_col: str, apply):
@@ -240,7 +240,7 @@ def _gathered(text_col: str, spans_col: str, items_col: str, apply):
             items = [{i for x in lists or () for i in x} for lists in found[1]]
             yield apply(batch.drop_columns([spans_col, items_col]), n_words, spans, items)
 
-    return run
+    return K.lean(run)
 
 
 def _digest(batch, n_words, spans, items):

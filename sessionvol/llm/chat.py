@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionvol.llm import kernels as K
 from sessionvol.llm.rows import ship
 
 _MARK = r"(?=(?:/?s>|/?INST\]|/?TURN[ \]]|/?SYS>))"
@@ -140,7 +141,7 @@ def _format(budget: int, history: int):
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
-    return run
+    return K.lean(run)
 
 
 def format_windows(
@@ -162,6 +163,7 @@ def format_windows(
     return dealt.mapInArrow(_format(budget, history), _WINDOW)
 
 
+@K.lean
 def _digest(batches):
     """Formatted windows in order, read back, to one row per conversation."""
     from itertools import groupby

@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from sessionvol.llm import kernels as K
+
 #: Numbers in a slice.
 SLICE = 1 << 14
 _CODEC = pa.Codec("zstd", 1)
@@ -30,6 +32,7 @@ def send(arrays: dict[int, np.ndarray]):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["name", "slice", "at", "n"])
 
 
+@K.lean
 def _add(batches):
     sums: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:

@@ -161,7 +161,7 @@ def _learn(dimensions: int):
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()])], names=["lang", "v"])
 
-    return run
+    return K.lean(run)
 
 
 def learn(
@@ -192,7 +192,7 @@ def _predict(profiles):
             columns = [*(batch.column(c) for c in ("__llm_k1", "__llm_k2", "doc_id")), pa.array(names, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, names=["__llm_k1", "__llm_k2", "doc_id", "lang_pred", "score"])
 
-    return run
+    return K.lean(run)
 
 
 def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -215,7 +215,7 @@ def _known(profiles, text_col: str, min_score: float, min_bytes: int):
             known = np.array([n != UNKNOWN for n in names], bool)
             yield batch.filter(pa.array(known & ((scores >= min_score) | (size < min_bytes)), pa.bool_()))
 
-    return run
+    return K.lean(run)
 
 
 def keep_known(docs: DataFrame, profiles: Profiles, text_col: str = "text", min_score: float = 0.05, min_bytes: int = 500) -> DataFrame:

@@ -54,6 +54,7 @@ def _cells(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
 
 
+@K.lean
 def _count(batches):
     counts = np.zeros(1 << COUNT_BITS, np.int64)
     for batch in batches:
@@ -162,7 +163,7 @@ def _lines(counts, min_words: int):
                 names=[K1, K2, "doc_id", "line", "s1", "s2", "n", "bits", "bits2", "codes", "of"],
             )
 
-    return run
+    return K.lean(run)
 
 
 def _wide(five: np.ndarray) -> np.ndarray:
@@ -234,7 +235,7 @@ def _keys_of(threshold: float, often: int):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(_keys(batch, threshold, often)[1]).view(np.int64))], names=["key"])
 
-    return run
+    return K.lean(run)
 
 
 def _deal(threshold: float, buckets: int, often: int, only):
@@ -272,7 +273,7 @@ def _deal(threshold: float, buckets: int, often: int, only):
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["bucket", "n", "blob"])
 
-    return run
+    return K.lean(run)
 
 
 def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, most: int, close: int):
@@ -376,7 +377,7 @@ def _join(threshold: float, rest: bool, most: int, close: int):
                 blobs.append((n, blob))
         yield from done()
 
-    return run
+    return K.lean(run)
 
 
 def _verify(threshold: float):
@@ -392,7 +393,7 @@ def _verify(threshold: float):
                 keep[i] = shared >= threshold * (len(both) - shared) - 1e-9
             yield batch.filter(pa.array(keep, pa.bool_())).drop_columns(["codes_a", "codes_b"])
 
-    return run
+    return K.lean(run)
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -481,7 +482,7 @@ def _apply(text_col: str, min_words: int, out):
                     texts.append(raw)
             yield out(batch.drop_columns(["__llm_stay", "__llm_whole"]), texts, n_lines, removed)
 
-    return run
+    return K.lean(run)
 
 
 def _digest(batch, texts, n_lines, removed):

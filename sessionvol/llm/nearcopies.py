@@ -108,9 +108,10 @@ def _sketches(k: int, sketches: int, sampled: int):
                     names=[K1, K2, "doc_id", "n_words", "d1", "d2", "keys"],
                 )
 
-    return run
+    return K.lean(run)
 
 
+@K.lean
 def _hashed_words(batches):
     for batch in batches:
         for a, b, words, h in _word_groups(batch.column("text")):
@@ -203,7 +204,7 @@ def _verify(threshold: float):
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return K.lean(run)
 
 
 def near_copies(

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionvol.llm import kernels as K
 from sessionvol.llm.rows import keyed, ship
 from sessionvol.llm.tokens import default_path, encoder
 
@@ -51,7 +52,7 @@ def _cut(path: str, capacity: int, separator: int, with_ids: bool):
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
-    return run
+    return K.lean(run)
 
 
 def pieces(
@@ -134,7 +135,7 @@ def _pack(capacity: int, max_docs: int, max_attention: int, weights: tuple[float
         if held:
             yield from done()
 
-    return run
+    return K.lean(run)
 
 
 def pack(

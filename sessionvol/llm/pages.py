@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionvol.llm import kernels as K
 from sessionvol.llm.rows import ship
 
 WINDOW = 3
@@ -147,7 +148,7 @@ def _extract(window: int, threshold: int):
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
-    return run
+    return K.lean(run)
 
 
 def extract(

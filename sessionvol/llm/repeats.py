@@ -82,7 +82,7 @@ def _count_minimisers(window: int, minimiser: int, buckets: int):
                 names=["n", "low", "many"],
             )
 
-    return run
+    return K.lean(run)
 
 
 def _blobs(found: dict[int, tuple[dict[bytes, int], list]], k1: np.ndarray, k2: np.ndarray, codec: pa.Codec) -> pa.RecordBatch:
@@ -126,7 +126,7 @@ def _pack(window: int, minimiser: int, buckets: int, hot: np.ndarray):
             if found:
                 yield _blobs(found, k1, k2, codec)
 
-    return run
+    return K.lean(run)
 
 
 def _same(flat: bytes, lo: np.ndarray, hi: np.ndarray, order: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -230,7 +230,7 @@ def _count(window: int, minimum: int):
                 blobs.append(codec.decompress(blob, size, asbytes=True))
         yield from done()
 
-    return run
+    return K.lean(run)
 
 
 def repeated_spans(
@@ -307,7 +307,7 @@ def _remove(keep_text: bool):
                 columns, names = [*columns, pa.array(kept_texts)], [*names, "kept_text"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return run
+    return K.lean(run)
 
 
 def remove_repeats(

@@ -136,6 +136,7 @@ def regression(rows, values, columns, y, n_columns: int, l2: float, steps: int =
     return w, b
 
 
+@K.lean
 def _count(batches):
     """Labelled texts to counts of texts by feature for either class (0, 1), and of texts (2)."""
     counts, rows = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
@@ -158,7 +159,7 @@ def _sample(r):
                 [pa.array(batch.column("toxic")), pa.array([f.tobytes() for f in found], pa.binary())], names=["toxic", "found"]
             )
 
-    return run
+    return K.lean(run)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, broadcast_rows: int = 2_000_000) -> DataFrame:
@@ -215,7 +216,7 @@ def _score(model):
             columns = [batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "predicted"])
 
-    return run
+    return K.lean(run)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
