@@ -197,6 +197,25 @@ def _layers() -> str:
     )
 
 
+# New York is four hours behind UTC from the second Sunday of March, 7:00 UTC, to the first of November, 6:00 UTC, else five.
+# All test bars lie in 2024.
+_BEHIND = """CASE WHEN bar_time >= TIMESTAMP '2024-03-10 07:00:00' AND bar_time < TIMESTAMP '2024-11-03 06:00:00'
+  THEN INTERVAL 4 HOUR ELSE INTERVAL 5 HOUR END"""
+
+
+def _new_york(hours: int) -> str:
+    return f"""
+        SELECT ticker, sector, market_cap_band, bar_time, CAST(local AS DATE) AS trade_date,
+          CAST(hour(local) AS INTEGER) AS bar_hour, CAST(minute(local) AS INTEGER) AS bar_minute,
+          date_diff('minute', CAST(local AS DATE) + INTERVAL '9 hours 30 minutes', local)
+            AS minutes_since_open,
+          CAST(isodow(local) AS INTEGER) AS day_of_week, open, high, low, close, volume, "interval",
+          ingested_at
+        FROM (SELECT *, bar_time - {_BEHIND} AS local
+              FROM (SELECT * REPLACE (bar_time + INTERVAL {hours} HOUR AS bar_time) FROM raw_intraday))
+        WHERE hour(local) >= 9 AND hour(local) < 16 AND volume > 0 AND close > 0"""
+
+
 # Query -> (relations it reads, SQL).
 FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_intraday": (("raw_intraday",), "SELECT * FROM raw_intraday"),
@@ -204,16 +223,9 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_metadata": (("raw_metadata",), "SELECT * FROM raw_metadata"),
     "stg_intraday": (("stg_intraday",), "SELECT * FROM stg_intraday"),
     "stg_intraday_strict": (("stg_intraday",), "SELECT * FROM stg_intraday WHERE minutes_since_open >= 0"),
-    # All test days lie in winter, when New York is five hours behind UTC.
-    "stg_intraday_new_york": (("raw_intraday",), """
-        SELECT ticker, sector, market_cap_band, bar_time, CAST(local AS DATE) AS trade_date,
-          CAST(hour(local) AS INTEGER) AS bar_hour, CAST(minute(local) AS INTEGER) AS bar_minute,
-          date_diff('minute', CAST(local AS DATE) + INTERVAL '9 hours 30 minutes', local)
-            AS minutes_since_open,
-          CAST(isodow(local) AS INTEGER) AS day_of_week, open, high, low, close, volume, "interval",
-          ingested_at
-        FROM (SELECT *, bar_time - INTERVAL 5 HOUR AS local FROM raw_intraday)
-        WHERE hour(local) >= 9 AND hour(local) < 16 AND volume > 0 AND close > 0"""),
+    "stg_intraday_new_york": (("raw_intraday",), _new_york(0)),
+    "stg_intraday_summer": (("raw_intraday",), _new_york(4_000)),
+    "stg_intraday_change_days": (("raw_intraday",), _new_york(1_600)),
     "stg_daily": (("stg_daily",), "SELECT * FROM stg_daily"),
     "stg_metadata": (("latest_metadata",), "SELECT * FROM latest_metadata WHERE ticker <> ''"),
     "daily_total_volume": (("totals",), "SELECT * FROM totals"),
@@ -225,7 +237,7 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "curve_by_sector": (("by_sector",), f"SELECT sector, {_SLOT}, {_CURVE} FROM by_sector"),
     "curve_by_cap": (("by_cap",), f"SELECT market_cap_band, {_SLOT}, {_CURVE} FROM by_cap"),
     "curve_by_regime": (("by_regime",), f"""
-        SELECT vol_regime, {_SLOT}, {_CURVE}, round(avg_realized_vol, 3) AS avg_realized_vol
+        SELECT vol_regime, {_SLOT}, {_CURVE}, round(avg_realized_vol, 9) AS avg_realized_vol
         FROM by_regime"""),
     "curves_together": (("overall", "by_sector", "by_cap"), " UNION ALL ".join(
         f"SELECT {name} AS \"grouping\", {_SLOT}, {_CURVE} FROM {source}" for name, source in (
@@ -244,7 +256,12 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
         WHERE ticker NOT IN (SELECT ticker FROM raw_intraday)"""),
     "feed_counts": (("raw_intraday",), "SELECT ticker, count(*) AS n_rows FROM raw_intraday GROUP BY ticker"),
     "union_feeds": (("fed",), "SELECT * FROM fed"),
-    "ingest_intraday": (("fed",), "SELECT * FROM fed WHERE CAST(substr(ticker, 2) AS BIGINT) % 2 = 0"),
+    "ingest_intraday": (("fed",), "SELECT * FROM fed"),
+    "ingest_csv": (("fed",), "SELECT * FROM fed"),
+    "foreign_tickers": (("metadata_feed", "raw_daily", "universe"), """
+        SELECT feed, ticker, count(*) AS n_rows
+        FROM (SELECT 'metadata' AS feed, ticker FROM metadata_feed UNION ALL SELECT 'daily', ticker FROM raw_daily)
+        WHERE ticker NOT IN (SELECT ticker FROM universe) GROUP BY feed, ticker"""),
     "ingest_daily": (("raw_daily",), _DAY_FEED),
     "ingest_metadata": (("metadata_feed", "universe"), f"""
         SELECT ticker, sector, {_DEFAULTS}, {BAND} AS market_cap_band,
@@ -253,11 +270,33 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "sink_roundtrip": (("raw_intraday",), """
         SELECT *, CAST(year(bar_time) * 100 + month(bar_time) AS INTEGER) AS bar_month FROM raw_intraday"""),
     "sink_csv": (("raw_daily",), "SELECT * FROM raw_daily"),
+    "sink_csv_bars": (("raw_intraday",), "SELECT * REPLACE (bar_time + INTERVAL 250001 MICROSECONDS AS bar_time) FROM raw_intraday"),
+    "sink_csv_metadata": (("raw_metadata",),
+        "SELECT * REPLACE (fetched_at + INTERVAL 250001 MICROSECONDS AS fetched_at) FROM raw_metadata"),
     "bounded_scan": (("raw_intraday",), """
         SELECT * FROM raw_intraday
         WHERE bar_time >= TIMESTAMP '2024-01-10 00:00:00' AND bar_time < TIMESTAMP '2024-01-20 12:00:00'"""),
     "layers": (("raw_intraday", "raw_metadata", "raw_daily", "stg_intraday", "stg_daily", "latest_metadata",
                 "normalized", "volatility", "overall", "by_sector", "by_cap", "by_regime"), _layers()),
+    "mart_normalized_volume": (("normalized",), "SELECT * FROM normalized"),
+    "mart_daily_volatility": (("volatility",), _VOL + "volatility"),
+    "mart_volume_curve": (("overall",), f"""
+        SELECT {_SLOT}, {_CURVE}, round(upper_band, 10) AS upper_band, round(lower_band, 10) AS lower_band
+        FROM overall"""),
+    "mart_volume_curve_by_sector": (("by_sector",), f"SELECT sector, {_SLOT}, {_CURVE} FROM by_sector"),
+    "mart_volume_curve_by_market_cap": (("by_cap",), f"SELECT market_cap_band, {_SLOT}, {_CURVE} FROM by_cap"),
+    "mart_volume_curve_by_vol_regime": (("by_regime",), f"""
+        SELECT vol_regime, {_SLOT}, {_CURVE}, round(avg_realized_vol, 9) AS avg_realized_vol
+        FROM by_regime"""),
+    # Groups of fewer rows than the sketch's accuracy have their lower middle value as sketched median.
+    "curve_overall_approx": (("normalized",), """
+        SELECT minutes_since_open, bar_hour, bar_minute, count(*) AS sample_size,
+          round(avg(normalized_volume), 10) AS avg_normalized_volume,
+          round(quantile_disc(normalized_volume, 0.5), 10) AS median_normalized_volume,
+          round(stddev_pop(normalized_volume), 10) AS stddev_normalized_volume,
+          round(avg(normalized_volume) + stddev_pop(normalized_volume), 10) AS upper_band,
+          round(avg(normalized_volume) - stddev_pop(normalized_volume), 10) AS lower_band
+        FROM normalized GROUP BY ALL"""),
     "kpi_cards": (("overall", "normalized"), """
         SELECT round(max(avg_normalized_volume), 8) AS peak_normalized_volume,
           round(min(avg_normalized_volume) FILTER (WHERE minutes_since_open BETWEEN 120 AND 240), 8)

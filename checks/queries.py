@@ -13,7 +13,17 @@ import sessionvol as sv
 from checks import fixtures
 from sessionvol.plans.layers import MARTS, Layers
 from sessionvol.session import new_folder, settle
-from sessionvol.sources.feeds import ingest_daily, ingest_intraday, ingest_metadata, instruments, union_feeds
+from sessionvol.operators.curves import SLOT
+from sessionvol.pipeline import FEEDS
+from sessionvol.sources.feeds import (
+    feed_name,
+    ingest_daily,
+    ingest_intraday,
+    ingest_metadata,
+    instruments,
+    read_feed,
+    union_feeds,
+)
 from sessionvol.sources.scans import read_csv, read_raw
 from sessionvol.sources.sinks import write_csv, write_raw
 
@@ -26,7 +36,7 @@ PRECISION = 7  # decimals of volatilities, before they are compared
 DECIMALS = {
     "avg_normalized_volume": 10,
     "median_normalized_volume": 10, "stddev_normalized_volume": 10, "upper_band": 10, "lower_band": 10,
-    "avg_realized_vol": 3,
+    "avg_realized_vol": 9,
     "peak_normalized_volume": 8, "midday_trough": 8, "open_to_midday_ratio": 6,
     "large": 8, "mid": 8, "small": 8, "unknown": 8,
     "high_close": 8, "low_close": 8, "close_gap": 8, "close_ratio": 6,
@@ -46,6 +56,13 @@ def staged(spark: SparkSession, sf_dir: str, session: sv.TradingSession = sv.UTC
     return sv.stg_intraday_bars(fixtures.raw(spark, sf_dir, "intraday_bars"), session)
 
 
+def staged_at(spark: SparkSession, sf_dir: str, hours: int) -> DataFrame:
+    """New York's session for bars moved by a number of hours: into summer, or over the change in March."""
+    bars = fixtures.raw(spark, sf_dir, "intraday_bars")
+    moved = bars.withColumn("bar_time", F.timestamp_add("HOUR", F.lit(hours), F.col("bar_time")))
+    return sv.stg_intraday_bars(moved, sv.NEW_YORK_SESSION)
+
+
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sv.normalized_volume(staged(spark, sf_dir))
 
@@ -69,12 +86,12 @@ def volatility_long(min_periods: int) -> Query:
     )
 
 
-def regime_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sv.curve_by_regime(normalized(spark, sf_dir), volatility(spark, sf_dir))
+def regime_curve(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return sv.curve_by_regime(normalized(spark, sf_dir), volatility(spark, sf_dir), **options)
 
 
-def sector_curve(spark: SparkSession, sf_dir: str, sectors: list[str] | None = None) -> DataFrame:
-    return sv.curve_by_sector(normalized(spark, sf_dir), sectors)
+def sector_curve(spark: SparkSession, sf_dir: str, sectors: list[str] | None = None, **options) -> DataFrame:
+    return sv.curve_by_sector(normalized(spark, sf_dir), sectors, **options)
 
 
 def all_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +106,11 @@ def all_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bars = normalized(spark, sf_dir)
-    return sv.kpi_cards(sv.curve_overall(bars), bars)
+    by_sector = sv.curve_by_sector(normalized(spark, sf_dir), median=False)
+    # A slot's mean over all bars is that over the sectors, weighted by their bars: the bars are read once.
+    weighted = F.sum(F.col("avg_normalized_volume") * F.col("sample_size")) / F.sum("sample_size")
+    by_sector = settle(by_sector)
+    return sv.kpi_cards(by_sector.groupBy(*SLOT).agg(weighted.alias("avg_normalized_volume")), by_sector)
 
 
 def cap_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,8 +144,20 @@ def union_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_feeds(feeds, "daily_bars")
 
 
-def first_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feeds_intraday(spark, sf_dir)[0]
+def csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as vendor CSV files, one folder per ticker and columns in the vendor's order, ingested."""
+    folder = new_folder(spark, "vendor")
+    rows = reduce(DataFrame.unionByName, fixtures.intraday_feeds(spark, sf_dir))
+    rows = rows.toDF(*[feed_name(c) for c in rows.columns])
+    order = [F.col(c).alias(c.title()) for c in ("datetime", "close", "high", "low", "open", "volume")]
+    rows.select(*order, "ticker").write.partitionBy("ticker").option("header", True).csv(folder)
+    known = instruments(fixtures.universe(spark, sf_dir), fixtures.raw(spark, sf_dir, "ticker_metadata"))
+    return ingest_intraday(read_feed(spark, folder, FEEDS["intraday"]), known, RUN_TIME)
+
+
+def foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feeds = {"metadata": fixtures.metadata_feed(spark, sf_dir), "daily": fixtures.raw(spark, sf_dir, "daily_bars")}
+    return sv.foreign_tickers(fixtures.universe(spark, sf_dir), feeds)
 
 
 def missing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,11 +176,18 @@ def bounded_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, "intraday_bars", folder, start="2024-01-10 00:00:00", end="2024-01-20 12:00:00")
 
 
-def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = new_folder(spark, "csv")
-    days = fixtures.raw(spark, sf_dir, "daily_bars")
-    write_csv(days, f"{folder}/daily_bars", "daily_bars")
-    return read_csv(spark, "daily_bars", f"{folder}/daily_bars")
+def csv_roundtrip(relation: str, shift: str | None = None) -> Query:
+    """``shift`` adds microseconds to that column, so that fractions are seen to stay."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_folder(spark, "csv")
+        rows = fixtures.raw(spark, sf_dir, relation)
+        if shift:
+            rows = rows.withColumn(shift, F.timestamp_add("MICROSECOND", F.lit(250_001), F.col(shift)))
+        write_csv(rows, f"{folder}/{relation}", relation)
+        return read_csv(spark, relation, f"{folder}/{relation}")
+
+    return run
 
 
 # Relation -> number that is added up in the report of ``layers``.
@@ -166,12 +205,33 @@ STAGING = ("stg_intraday_bars", "stg_daily_bars", "stg_ticker_metadata")
 RAW = ("intraday_bars", "ticker_metadata", "daily_bars")
 
 
-def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build all layers in databases of their own, report rows and a sum per relation."""
+def build_layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """All layers in databases of their own."""
     built = Layers(
         spark, prefix=f"sv_{uuid.uuid4().hex[:12]}_", location=new_folder(spark, "layers"), precision=PRECISION
     )
     built.build({name: fixtures.raw(spark, sf_dir, name) for name in RAW})
+    return built
+
+
+_built: dict[tuple[str, str], Layers] = {}
+
+
+def mart(name: str) -> Query:
+    """A stored mart, from layers built once per session and folder."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _built:
+            _built[key] = build_layers(spark, sf_dir)
+        return _built[key].table("marts", name)
+
+    return run
+
+
+def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build all layers in databases of their own, report rows and a sum per relation."""
+    built = build_layers(spark, sf_dir)
     report = []
     for layer, relations in (("raw", RAW), ("staging", STAGING), ("marts", tuple(MARTS))):
         for relation in relations:
@@ -223,18 +283,26 @@ QUERIES: dict[str, Query] = {
     "missing_feeds": missing,
     "feed_counts": lambda s, d: sv.feed_counts(fixtures.raw(s, d, "intraday_bars")),
     "union_feeds": union_intraday,
-    "ingest_intraday": first_feed,
+    "ingest_intraday": union_intraday,
+    "ingest_csv": csv_feed,
+    "foreign_tickers": foreign,
     "ingest_daily": union_daily,
     "ingest_metadata": new_metadata,
     "sink_roundtrip": roundtrip,
-    "sink_csv": csv_roundtrip,
+    "sink_csv": csv_roundtrip("daily_bars"),
+    "sink_csv_bars": csv_roundtrip("intraday_bars", "bar_time"),
+    "sink_csv_metadata": csv_roundtrip("ticker_metadata", "fetched_at"),
     "bounded_scan": bounded_scan,
     "layers": layers,
+    **{name: mart(name) for name in MARTS},
+    "curve_overall_approx": lambda s, d: sv.curve_overall(normalized(s, d), approx=True),
+    "stg_intraday_summer": lambda s, d: staged_at(s, d, 4_000),
+    "stg_intraday_change_days": lambda s, d: staged_at(s, d, 1_600),
     "kpi_cards": cards,
     "curve_sector_subset": lambda s, d: sector_curve(s, d, ["S1", "S3"]),
-    "curve_cap_pivot": lambda s, d: sv.curve_cap_pivot(sv.curve_by_cap(normalized(s, d))),
-    "regime_close_gap": lambda s, d: sv.regime_close_gap(regime_curve(s, d)),
-    "sector_spikes": lambda s, d: sv.sector_spikes(sector_curve(s, d)),
+    "curve_cap_pivot": lambda s, d: sv.curve_cap_pivot(sv.curve_by_cap(normalized(s, d), median=False)),
+    "regime_close_gap": lambda s, d: sv.regime_close_gap(regime_curve(s, d, median=False)),
+    "sector_spikes": lambda s, d: sv.sector_spikes(sector_curve(s, d, median=False)),
     "quality_checks": quality,
 }
 

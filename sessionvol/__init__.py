@@ -13,6 +13,7 @@ from sessionvol.operators.curves import (
 )
 from sessionvol.operators.metadata import (
     feed_counts,
+    foreign_tickers,
     latest_metadata,
     missing_feeds,
     universe_join,
@@ -30,7 +31,7 @@ from sessionvol.session import spark_session
 __all__ = [
     "Layers", "NEW_YORK_SESSION", "TradingSession", "UTC_SESSION", "avg_daily_volume", "bars_with_regime",
     "cap_band", "curve_by_cap", "curve_by_regime", "curve_by_sector", "curve_cap_pivot", "curve_overall", "curves_together",
-    "daily_total_volume", "daily_volatility", "database_name", "feed_counts", "kpi_cards",
+    "daily_total_volume", "daily_volatility", "database_name", "feed_counts", "foreign_tickers", "kpi_cards",
     "latest_metadata", "missing_feeds", "normalized_volume", "quality_checks", "realized_volatility",
     "regime_close_gap", "sector_spikes", "spark_session", "stg_daily_bars", "stg_intraday_bars",
     "stg_ticker_metadata", "universe_join", "vol_threshold", "volume_curve", "with_cap_band",

@@ -26,7 +26,7 @@ def main(arguments: list[str] | None = None) -> None:
     if options.step == "ingest":
         for name, report in pipeline.ingest(spark, options.feeds, options.csv).items():
             print(name)
-            report.orderBy("ticker").show(100, truncate=False)
+            report.orderBy(*report.columns).show(100, truncate=False)
         return
     built = pipeline.build(spark, options.csv, Layers(
         spark, prefix=options.prefix, location=options.location,

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionvol.functions.values import REGIMES
-from sessionvol.plans.joins import SALTS, lookup_join, measured_bytes
-from sessionvol.plans.middle import SORT_ROWS, group_summaries, group_summary
+from sessionvol.plans.joins import lookup_join, measured_bytes
+from sessionvol.plans.middle import SORT_ROWS, group_summaries, group_summary, number
+
+APPROX_ACCURACY = 10_000  # the sketch's rank error is at most 1 / this
 
 SLOT = ("minutes_since_open", "bar_hour", "bar_minute")
 
@@ -20,6 +22,7 @@ def volume_curve(
     bands: bool = False,
     averages: Sequence[str] = (),
     approx: bool = False,
+    median: bool = True,
     candidates: Callable[[DataFrame], DataFrame] | None = None,
     sort_rows: int = SORT_ROWS,
 ) -> DataFrame:
@@ -27,19 +30,23 @@ def volume_curve(
 
     ``by`` adds group columns, ``bands`` the mean plus and minus one deviation,
     ``averages`` the means of further columns (name -> avg_name).  The median is exact
-    and interpolates; ``approx`` takes Spark's percentile sketch and one pass instead.
+    and interpolates; ``approx`` takes Spark's percentile sketch and one pass instead,
+    ``median=False`` leaves the median out, which takes one hash aggregation.
     ``candidates`` is passed on to ``group_summary``.  Rows come in no order.
     """
     keys = [*by, *SLOT]
-    value = F.col("normalized_volume")
-    if approx:
+    if approx or not median:
+        value = number("normalized_volume")
+        sketch = [F.percentile_approx(value, 0.5, APPROX_ACCURACY).alias("lower")] if median else []
         summary = normalized.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("rows"),
             F.avg(value).alias("mean"),
-            F.percentile_approx(value, 0.5).alias("lower"),
             F.stddev_pop(value).alias("deviation"),
+            *sketch,
             *[F.avg(c).alias(c) for c in averages],
-        ).withColumn("upper", F.col("lower"))
+        )
+        if median:
+            summary = summary.withColumn("upper", F.col("lower"))
     else:
         summary = group_summary(
             normalized, keys, "normalized_volume", averages, candidates, sort_rows
@@ -56,7 +63,7 @@ def _curve(summary: DataFrame, keys: Sequence[str], bands: bool = False, average
         *keys,
         F.col("rows").alias("sample_size"),
         F.col("mean").alias("avg_normalized_volume"),
-        ((F.col("lower") + F.col("upper")) / 2).alias("median_normalized_volume"),
+        *([((F.col("lower") + F.col("upper")) / 2).alias("median_normalized_volume")] if "lower" in summary.columns else []),
         F.col("deviation").alias("stddev_normalized_volume"),
         *(edges if bands else []),
         *[F.col(c).alias(f"avg_{c}") for c in averages],
@@ -87,7 +94,7 @@ def curve_by_cap(normalized: DataFrame, **options) -> DataFrame:
 
 
 def bars_with_regime(
-    normalized: DataFrame, volatility: DataFrame, size: int | None = None, salts: int = SALTS
+    normalized: DataFrame, volatility: DataFrame, size: int | None = None, salts: int | None = None
 ) -> DataFrame:
     """Bars of rated days with the day's regime.  Unrated bars drop out.
 
@@ -97,7 +104,15 @@ def bars_with_regime(
     days = volatility.select(
         "ticker", "trade_date", "vol_regime", F.col("realized_vol_20d").alias("realized_vol")
     )
-    joined = lookup_join(normalized, days, ["ticker", "trade_date"], size=size, salts=salts)
+    keys = ["ticker", "trade_date"]
+    if salts == 0:
+        # Plain equality keeps the buckets; the few bars without a ticker or a day are joined apart.
+        apart = F.col("ticker").isNull() | F.col("trade_date").isNull()
+        joined = lookup_join(normalized.where(~apart), days, keys, size=size, salts=0).unionByName(
+            lookup_join(normalized.where(apart), days.where(apart), keys, null_safe=True, size=size, spread=("bar_time",))
+        )
+    else:
+        joined = lookup_join(normalized, days, keys, null_safe=True, size=size, salts=salts, spread=("bar_time",))
     return joined.where(F.col("vol_regime").isNotNull()).select(
         "ticker", "sector", "market_cap_band", *SLOT, "trade_date", "normalized_volume",
         "vol_regime", "realized_vol",
@@ -125,11 +140,10 @@ def curve_by_regime(
         near = lookup_join(normalized, brackets.groupBy(*SLOT).agg(*spans), SLOT, "inner")
         value = F.col("normalized_volume")
         within = [value.between(F.col(f"_from_{regime}"), F.col(f"_to_{regime}")) for regime in REGIMES]
-        # Few bars are left: copying the volatility for each salt would cost more than it saves.
-        return bars_with_regime(near.where(within[0] | within[1]), volatility, size, salts=0)
+        return bars_with_regime(near.where(within[0] | within[1]), volatility, size, salts=0 if shared_buckets else None)
 
     return volume_curve(
-        bars_with_regime(normalized, volatility, size, salts=0 if shared_buckets else SALTS),
+        bars_with_regime(normalized, volatility, size, salts=0 if shared_buckets else None),
         by=["vol_regime"],
         averages=["realized_vol"],
         candidates=near_the_middle,

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionvol.functions.clock import UTC_SESSION, TradingSession
-from sessionvol.operators.metadata import latest_metadata
-from sessionvol.plans.ordered import BLOCK_ROWS, block_window, ordered_blocks, own_rows
+from sessionvol.operators.metadata import latest_sql
+from sessionvol.plans.ordered import BLOCK_ROWS, block_window, ordered_blocks
 
 # NaN passes "> 0" in Spark, so it is named.
 TRADED = "volume > 0 and close > 0 and not isnan(close)"
@@ -39,34 +39,54 @@ def stg_intraday_bars(bars: DataFrame, session: TradingSession = UTC_SESSION) ->
     )
 
 
-def month_number(day: Column) -> Column:
-    """Rises with the day; a missing day sorts first and counts as month 0."""
-    return F.coalesce(F.year(day) * 12 + F.month(day), F.lit(0))
-
-
 def day_blocks(
-    days: DataFrame, lookback: int, block_rows: int = BLOCK_ROWS, order: Sequence[str] = DAY_ORDER
+    days: DataFrame, lookback: int, block_rows: int = BLOCK_ROWS, order: Sequence[str] = CLOSE_ORDER
 ) -> DataFrame:
     """Traded days in blocks, with the return on the previous traded day.
 
     The filter comes first: the previous close skips days without volume.  A ticker's
-    first day has no return.
+    first day has no return.  Days without a ticker are those of one ticker.  Only the columns of the order are
+    kept.  Runs a job when called.
     """
-    traded = days.where(TRADED).withColumn("volume", F.col("volume").cast("bigint"))
-    blocks = ordered_blocks(
-        traded, "ticker", order, month_number(F.col("trade_date")), lookback, block_rows
-    )
+    traded = days.where(TRADED).select("ticker", *order)
+    blocks = ordered_blocks(traded, "ticker", order, lookback, block_rows)
     previous = F.lag("close").over(block_window("ticker"))
     return blocks.withColumn("daily_return", F.col("close") / previous - 1)
 
 
-def stg_daily_bars(days: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    return own_rows(day_blocks(days, lookback=1, block_rows=block_rows)).select(
-        "ticker", "trade_date", "open", "high", "low", "close", "volume", "daily_return", "ingested_at"
-    )
+def daily_sql(days: str) -> str:
+    """SQL text of the staged days of a relation.
+
+    The previous close is looked for among the day's own loads first, else it is the last one of the ticker's traded
+    day before.  So a window holds the loads of one day, or one row per day of a ticker.
+    """
+    within = ", ".join(c for c in DAY_ORDER if c != "trade_date")
+    newest = ", ".join(c for c in CLOSE_ORDER if c != "trade_date")
+    return f"""
+        SELECT d.ticker, d.trade_date, open, high, low, close, cast(volume AS bigint) AS volume,
+          close / coalesce(lag(close) OVER (PARTITION BY d.ticker, d.trade_date ORDER BY {within}), close_before) - 1 AS daily_return,
+          ingested_at
+        FROM {days} d JOIN (
+          SELECT ticker, trade_date, lag(last_close) OVER (PARTITION BY ticker ORDER BY trade_date) AS close_before
+          FROM (
+            SELECT ticker, trade_date, max_by(close, struct({newest})) AS last_close
+            FROM {days} WHERE {TRADED} GROUP BY ticker, trade_date
+          )
+        ) b ON d.ticker <=> b.ticker AND d.trade_date <=> b.trade_date
+        WHERE {TRADED}"""
+
+
+def stg_daily_bars(days: DataFrame) -> DataFrame:
+    """Traded days with the return on the previous traded day; the same text as the view of the layers."""
+    return days.sparkSession.sql(daily_sql("{days}"), days=days)
+
+
+def metadata_sql(metadata: str) -> str:
+    """SQL text of the latest version of every named ticker of a relation."""
+    return f"SELECT * FROM ({latest_sql(metadata, where='ticker != ' + repr(''))})"
 
 
 def stg_ticker_metadata(metadata: DataFrame) -> DataFrame:
-    """Latest version of every named ticker."""
-    named = metadata.where("ticker != ''").withColumn("market_cap", F.col("market_cap").cast("double"))
-    return latest_metadata(named)
+    """Latest version of every named ticker; the same text as the view of the layers."""
+    named = metadata.withColumn("market_cap", F.col("market_cap").cast("double"))
+    return metadata.sparkSession.sql(metadata_sql("{metadata}"), metadata=named)

@@ -22,21 +22,27 @@ def _at(minute: int) -> Column:
     return F.max(F.when(F.col("minutes_since_open") == minute, F.col(_VALUE)))
 
 
-def kpi_cards(curve: DataFrame, bars: DataFrame, midday: tuple[int, int] = MIDDAY) -> DataFrame:
-    """One row: peak, midday trough, open-to-midday ratio, number of sectors."""
+def kpi_cards(curve: DataFrame, by_sector: DataFrame, midday: tuple[int, int] = MIDDAY) -> DataFrame:
+    """One row: peak, midday trough, open-to-midday ratio, number of sectors.
+
+    ``curve`` and ``by_sector`` need no median.  ``by_sector`` is only asked for its sectors: any frame with that column will do.
+    """
     in_midday = F.when(F.col("minutes_since_open").between(*midday), F.col(_VALUE))
     shape = curve.agg(
         F.max(_VALUE).alias("peak_normalized_volume"),
         F.min(in_midday).alias("midday_trough"),
         safe_ratio(_at(OPEN_SLOT), F.avg(in_midday)).alias("open_to_midday_ratio"),
     )
-    sectors = bars.select("sector").distinct().agg(F.count("sector").alias("sector_count"))
+    sectors = by_sector.select("sector").distinct().agg(F.count("sector").alias("sector_count"))
     both = shape.unionByName(sectors, allowMissingColumns=True)
     return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def curve_cap_pivot(curve: DataFrame, bands: Sequence[str] = CAP_BANDS) -> DataFrame:
-    """Cap bands side by side, one row per slot."""
+    """Cap bands side by side, one row per slot.
+
+    The bands given are the output's columns; the default holds every band that ``cap_band`` gives.  Slots of other bands alone stay, with NULLs.
+    """
     return curve.groupBy(*SLOT).pivot("market_cap_band", list(bands)).agg(F.max(_VALUE))
 
 

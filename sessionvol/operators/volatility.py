@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionvol.functions.values import annualised
-from sessionvol.operators.staging import CLOSE_ORDER, day_blocks
+from sessionvol.operators.staging import day_blocks
 from sessionvol.plans.joins import lookup_join
 from sessionvol.plans.middle import SORT_ROWS, group_summary
 from sessionvol.plans.ordered import BLOCK_ROWS, block_window, own_rows
@@ -31,7 +31,7 @@ def realized_volatility(
     if precision is not None:
         value = F.round(value, precision)
     enough = F.count("daily_return").over(frame) >= min_periods
-    blocks = day_blocks(days, FRAME_ROWS, block_rows, CLOSE_ORDER)
+    blocks = day_blocks(days, FRAME_ROWS, block_rows)
     rolled = blocks.withColumn("realized_vol_20d", F.when(enough, value))
     return (
         own_rows(rolled)
@@ -49,9 +49,12 @@ def vol_threshold(volatility: DataFrame, sort_rows: int = SORT_ROWS) -> DataFram
 def daily_volatility(
     days: DataFrame, min_periods: int = 1, precision: int | None = None, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Volatility with its regime: 'high' strictly above the ticker's threshold, else 'low'."""
+    """Volatility with its regime: 'high' strictly above the ticker's threshold, else 'low'.
+
+    Runs jobs when called: positions, volatilities and thresholds are stored.
+    """
     rated = settle(realized_volatility(days, min_periods, precision, block_rows))
-    joined = lookup_join(rated, vol_threshold(rated), ["ticker"])
+    joined = lookup_join(rated, vol_threshold(rated), ["ticker"], null_safe=True, spread=("trade_date",))
     value = F.col("realized_vol_20d")
     above = (value > F.col("vol_threshold")) & ~F.isnan(value)
     return joined.withColumn("vol_regime", F.when(above, "high").otherwise("low")).drop("vol_threshold")

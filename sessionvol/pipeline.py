@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionvol.operators.metadata import feed_counts, missing_feeds
+from sessionvol.operators.metadata import feed_counts, foreign_tickers, missing_feeds
 from sessionvol.plans.layers import Layers
 from sessionvol.sources.feeds import (
     ingest_daily,
@@ -19,14 +19,15 @@ from sessionvol.sources.scans import read_csv
 from sessionvol.sources.sinks import write_csv
 from sessionvol.sources.universe import default_universe
 
-PRICES = "Open double, High double, Low double, Close double, Volume bigint, ticker string"
+_PRICES = {"open": "double", "high": "double", "low": "double", "close": "double", "volume": "bigint"}
 
-# Feed -> schema of its files, which lie in folders named ticker=ABC.
+# Feed -> columns of its files, which lie in folders named ticker=ABC, in any order.
 FEEDS = {
-    "metadata": "longName string, industry string, marketCap double, country string, currency string, "
-                "ticker string",
-    "intraday": f"Datetime string, {PRICES}",
-    "daily": f"Date string, {PRICES}",
+    "metadata": {
+        "longname": "string", "industry": "string", "marketcap": "double", "country": "string", "currency": "string",
+    },
+    "intraday": {"datetime": "string", **_PRICES},
+    "daily": {"date": "string", **_PRICES},
 }
 
 
@@ -39,10 +40,11 @@ def ingest(
 ) -> dict[str, DataFrame]:
     """Vendor files below ``feeds`` to the three raw CSV datasets below ``out``.
 
-    Returns two reports on the bars: rows per ticker, and tickers without any.
+    Returns reports: bars per ticker, tickers without any, tickers of bars and metadata that the universe lacks, and the
+    datasets that were empty and so left no files.
     """
     universe = universe if universe is not None else default_universe(spark)
-    vendor = {name: read_feed(spark, f"{feeds}/{name}", schema) for name, schema in FEEDS.items()}
+    vendor = {name: read_feed(spark, f"{feeds}/{name}", columns) for name, columns in FEEDS.items()}
     metadata = ingest_metadata(vendor["metadata"], universe, run_time)
     known = instruments(universe, metadata)
     raw = {
@@ -50,19 +52,20 @@ def ingest(
         "intraday_bars": ingest_intraday(vendor["intraday"], known, run_time),
         "daily_bars": ingest_daily(vendor["daily"], run_time),
     }
-    for relation, df in raw.items():
-        write_csv(df, f"{out}/{relation}", relation)
+    empty = [relation for relation, df in raw.items() if not write_csv(df, f"{out}/{relation}", relation)]
     return {
         "feed_counts": feed_counts(vendor["intraday"]),
         "missing_feeds": missing_feeds(universe, vendor["intraday"]),
+        "foreign_tickers": foreign_tickers(universe, vendor),
+        "empty_datasets": spark.createDataFrame([(relation,) for relation in empty], "relation string"),
     }
 
 
 def build(spark: SparkSession, csv: str, layers: Layers | None = None) -> Layers:
-    """The raw CSV datasets below ``csv`` to raw tables, staging and marts."""
+    """The raw CSV datasets below ``csv`` to raw tables, staging and marts; a dataset without files is empty."""
     layers = layers or Layers(spark)
     layers.build({
-        relation: read_csv(spark, relation, f"{csv}/{relation}")
+        relation: read_csv(spark, relation, f"{csv}/{relation}", absent_is_empty=True)
         for relation in ("intraday_bars", "ticker_metadata", "daily_bars")
     })
     return layers

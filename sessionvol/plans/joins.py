@@ -7,12 +7,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 from sessionvol.session import settle_measured
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 8
+SALTS = 8      # salts of a lookup just too large to broadcast
+MOST_SALTS = 256
 
 
 def total_bytes(df: DataFrame) -> Column:
@@ -30,6 +31,11 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(total_bytes(df).alias("bytes")).first()["bytes"]
 
 
+def salts_for(size: int, limit: int = BROADCAST_BYTES) -> int:
+    """Twice the lookup's size, twice the salts."""
+    return max(SALTS, min(MOST_SALTS, SALTS * size // max(1, limit)))
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
@@ -38,26 +44,33 @@ def lookup_join(
     null_safe: bool = False,
     size: int | None = None,
     limit: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    salts: int | None = None,
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Join ``left`` with ``lookup``, which has at most one row per key.
 
     The lookup is computed once and its bytes are summed; ``size`` says that this was
     done before.  Up to ``limit`` it is broadcast, so the large side is neither shuffled
     nor affected by hot keys.  Beyond it both sides are shuffled by key and salt.  The
-    salt spreads a hot key, and as no later grouping can reuse that partitioning,
-    adaptive execution is always free to split what is still too large.  ``salts=0``
+    salt is a hash of the ``spread`` columns of ``left`` (default: all flat ones), so it is the same when a task is run
+    again and filters on ``left`` still reach its scan.  It spreads a hot key, and as no later grouping can reuse
+    that partitioning, adaptive execution is always free to split what is still too large.  The number of salts rises
+    with the lookup's size, from SALTS to MOST_SALTS, unless ``salts`` gives it.  ``salts=0``
     joins by key alone, for tables that are stored in shared buckets.
+
+    Runs a job when called, unless ``size`` is given.
     """
     if size is None:
         lookup, facts = settle_measured(lookup, size=total_bytes(lookup))
         size = facts["size"]
     names = list(on)
+    if salts is None:
+        salts = salts_for(size, limit)
     if size <= limit:
         right = F.broadcast(lookup)
     elif salts:
-        # The number of the input partition is the same when a task is run again.
-        left = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        flat = [f.name for f in left.schema.fields if not isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType))]
+        left = left.withColumn("_salt", F.pmod(F.xxhash64(*(spread or flat)), F.lit(salts)))
         right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         names.append("_salt")
     else:

@@ -12,7 +12,7 @@ from sessionvol.operators.normalize import normalized_volume
 from sessionvol.operators.volatility import daily_volatility
 from sessionvol.schemas import RAW
 from sessionvol.sources.scans import PARTITIONED_BY, read_raw
-from sessionvol.sources.sinks import clustered, raw_writer
+from sessionvol.sources.sinks import raw_writer
 
 LAYERS = ("raw", "staging", "marts")
 
@@ -47,8 +47,7 @@ class Layers:
     ``prefix`` is put before the database names; ``location`` is a folder for the
     databases (default: the session's warehouse).  Every build replaces what was there.
 
-    ``partitions`` is the number of range partitions of the tables with a row per bar or
-    day; the others are small.  ``buckets`` stores the
+    ``partitions`` is the number of range partitions of the raw tables of bars and days.  ``buckets`` stores the
     two marts that are joined by day in that many buckets of (ticker, trade_date): the
     regime curve then reads both without a shuffle.  It pays where the volatility is too
     large to broadcast; a single ticker-day stays in one bucket.
@@ -100,48 +99,42 @@ class Layers:
         return self.spark.table(self.name(layer, relation))
 
     def build_staging(self) -> None:
-        """Bars and metadata as views.  Days are a table: their blocks are computed once,
-        and a stored view could not hold them."""
+        """Three views; nothing is computed."""
         columns = ", ".join(f"{text} as `{c}`" for c, text in staging.intraday_columns(self.session).items())
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name('staging', 'stg_intraday_bars')} AS "
-            f"SELECT {columns} FROM {self.name('raw', 'intraday_bars')} "
-            f"WHERE {staging.intraday_condition(self.session)}"
-        )
-        newest = "max(struct(fetched_at, company_name, sector, industry, cast(market_cap as double) as " \
-                 "market_cap, market_cap_band, country, currency))"
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name('staging', 'stg_ticker_metadata')} AS "
-            "SELECT ticker, newest.company_name, newest.sector, newest.industry, newest.market_cap, "
-            "newest.market_cap_band, newest.country, newest.currency, newest.fetched_at "
-            f"FROM (SELECT ticker, {newest} AS newest FROM {self.name('raw', 'ticker_metadata')} "
-            "WHERE ticker != '' GROUP BY ticker)"
-        )
-        days = staging.stg_daily_bars(self.raw("daily_bars"))
-        self._save(days, "staging", "stg_daily_bars", ("ticker", "trade_date"))
+        views = {
+            "stg_intraday_bars": f"SELECT {columns} FROM {self.name('raw', 'intraday_bars')} "
+                                 f"WHERE {staging.intraday_condition(self.session)}",
+            "stg_daily_bars": staging.daily_sql(self.name("raw", "daily_bars")),
+            "stg_ticker_metadata": staging.metadata_sql(self.name("raw", "ticker_metadata")),
+        }
+        for view, text in views.items():
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.name('staging', view)} AS {text}")
 
     def _save(self, df: DataFrame, layer: str, relation: str, order: tuple[str, ...]) -> None:
+        """Every file is sorted by ``order``.  Bars and days are sorted in the partitions they come in, which
+        needs no pass to find ranges: bars come by month and ticker from the raw table, days by blocks of a ticker.  A curve has a row
+        per group and minute of the session and is one file."""
         if self.buckets and relation in JOINED_BY_DAY:
             day = ("ticker", "trade_date")
             ready = df.repartition(self.buckets, *day).sortWithinPartitions(*day, *order)
             writer = ready.write.bucketBy(self.buckets, *day).sortBy(*day)
+        elif relation in JOINED_BY_DAY:
+            writer = df.sortWithinPartitions(*order).write
         else:
-            partitions = self.partitions if "ticker" in order else None
-            writer = clustered(df, order, partitions).write
+            writer = df.repartition(1).sortWithinPartitions(*order).write
         writer.mode("overwrite").format("parquet").saveAsTable(self.name(layer, relation))
 
     def build_marts(self) -> None:
         """Normalised bars and volatility first; the four curves read their tables."""
         bars = normalized_volume(self.table("staging", "stg_intraday_bars"))
         self._save_mart("mart_normalized_volume", bars)
-        days = daily_volatility(self.table("staging", "stg_daily_bars"), precision=self.precision)
-        self._save_mart("mart_daily_volatility", days)
+        # From the raw days: the volatility computes its returns in the same blocks.
+        self._save_mart("mart_daily_volatility", daily_volatility(self.raw("daily_bars"), precision=self.precision))
         bars = self.table("marts", "mart_normalized_volume")
         days = self.table("marts", "mart_daily_volatility")
-        overall, by_sector, by_cap = curves.curves_together(bars)
-        self._save_mart("mart_volume_curve", overall)
-        self._save_mart("mart_volume_curve_by_sector", by_sector)
-        self._save_mart("mart_volume_curve_by_market_cap", by_cap)
+        self._save_mart("mart_volume_curve", curves.curve_overall(bars))
+        self._save_mart("mart_volume_curve_by_sector", curves.curve_by_sector(bars))
+        self._save_mart("mart_volume_curve_by_market_cap", curves.curve_by_cap(bars))
         by_regime = curves.curve_by_regime(bars, days, shared_buckets=bool(self.buckets))
         self._save_mart("mart_volume_curve_by_vol_regime", by_regime)
 

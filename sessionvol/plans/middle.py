@@ -265,12 +265,12 @@ def group_summary(
     for the second look: called with the brackets (keys, _from, _to), it must return at
     least the rows of ``df`` inside them.
     """
-    number = _number(value)
-    look = _first_look(_first_cells(df, keys, number, averages), keys, averages)
+    measure = number(value)
+    look = _first_look(_first_cells(df, keys, measure, averages), keys, averages)
     counts = None
     if look.largest:
         source = candidates(look.brackets.select(*keys, "_from", "_to")) if candidates else df
-        counts = _second_look(source.select(*keys, number.alias("_value")), look)
+        counts = _second_look(source.select(*keys, measure.alias("_value")), look)
     return _finished(look, counts, averages, sort_rows)
 
 
@@ -284,19 +284,19 @@ def group_summaries(
     """``group_summary`` for several sets of keys with two passes over ``df`` in all: the
     cells of all keys together are merged for each set."""
     keys = list(dict.fromkeys(key for key_set in key_sets for key in key_set))
-    number = _number(value)
-    cells = settle(_first_cells(df, keys, number, averages))
+    measure = number(value)
+    cells = settle(_first_cells(df, keys, measure, averages))
     looks = [_first_look(_merged(cells, key_set, averages), key_set, averages) for key_set in key_sets]
     counts = [None] * len(looks)
     if any(look.largest for look in looks):
-        counts = _second_looks(df.select(*keys, number.alias("_value")), keys, looks)
+        counts = _second_looks(df.select(*keys, measure.alias("_value")), keys, looks)
     return [
         _finished(look, counted, averages, sort_rows)
         for look, counted in zip(looks, counts, strict=True)
     ]
 
 
-def _number(value: str) -> Column:
+def number(value: str) -> Column:
     """The value as a double; NaN becomes NULL."""
     return F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from sessionvol.plans.joins import lookup_join
+from sessionvol.session import settle
+
 BLOCK_ROWS = 4096
 
 
@@ -15,7 +18,6 @@ def ordered_blocks(
     df: DataFrame,
     key: str,
     order: Sequence[str],
-    period: Column,
     lookback: int,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -26,28 +28,28 @@ def ordered_blocks(
     result inside a block as over the whole key.  Use ``block_window`` for the
     frames and ``own_rows`` afterwards.
 
-    A row's position is its rank within (key, period) plus the rows of the key's
-    earlier periods.  ``period`` must rise with the first order column; it bounds the
-    rows that are ranked together.  The periods are counted by a partial aggregation,
-    so only one row per (key, period) is ever grouped by key alone.  Key and period must
-    not be NULL.
+    Rows are range-partitioned by key and order and stored with their number in the
+    partition.  A row's position is that number, counted from the key's first row there, plus the
+    key's rows in the partitions before.  So no task holds a key, a period or equal rows
+    of any number; a NULL key is a key like the others.  Runs a job when called.
     """
     if block_rows < lookback:
         raise ValueError("a block must hold at least the rows it passes on")
-    rows = df.withColumn("_period", period)
-    earlier = Window.partitionBy(key).orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy(key, "_period")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(key, "_period", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    # The input partition's number splits equal rows, and is the same when a task is run again.
+    ranged = df.withColumn("_spread", F.spark_partition_id()).repartitionByRange(key, *order, "_spread")
+    rows = settle(
+        ranged.sortWithinPartitions(key, *order).drop("_spread").withColumn("_id", F.monotonically_increasing_id())
     )
-    rank = F.row_number().over(Window.partitionBy(key, "_period").orderBy(*order))
-    position = F.col("_start") + F.col("_rank") - 1
-    placed = (
-        rows.withColumn("_rank", rank)
-        .join(starts, [key, "_period"])
-        .select(*df.columns, position.alias("_position"))
+    part, number = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = rows.select(*df.columns, part.cast("int").alias("_part"), number.alias("_number"))
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        rows.groupBy(key, "_part")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_number").alias("_first"))
+        .select(key, "_part", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_start"))
     )
+    placed = lookup_join(rows, starts, [key, "_part"], "inner", null_safe=True, spread=("_number",))
+    placed = placed.select(*df.columns, (F.col("_start") + F.col("_number")).alias("_position"))
     block = F.floor(F.col("_position") / block_rows)
     own = F.struct(block.alias("block"), F.lit(False).alias("context"))
     next_one = F.struct((block + 1).alias("block"), F.lit(True).alias("context"))

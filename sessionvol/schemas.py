@@ -61,7 +61,7 @@ RAW = {
     "daily_bars": DAILY_BARS,
 }
 
-# Column that must be present, and the order of rows, in the written table.
+# Order of rows in the written table.
 SORTED_BY = {
     "intraday_bars": ("ticker", "bar_time"),
     "ticker_metadata": ("ticker",),

@@ -30,10 +30,23 @@ def feed_name(name: str) -> str:
     return (pair.group(1) if pair else name).strip().lower()
 
 
-def read_feed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """All tickers' CSV files in one scan, from folders named ``ticker=ABC``."""
-    reader = spark.read.schema(schema).options(header=True, basePath=path, mode="FAILFAST")
-    return reader.csv(path)
+def read_feed(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """All tickers' CSV files in one scan, from folders named ``ticker=ABC``.
+
+    ``columns`` maps lower-case names, as ``feed_name`` gives them, to types.  The order of columns is that of the
+    files' header: one header is read first, columns are found in it by name, and a file
+    with another header is an error.  Columns that are not named are left out.
+    """
+    options = {"header": True, "basePath": path}
+    found = [c for c in spark.read.options(inferSchema=False, **options).csv(path).columns if c != "ticker"]
+    names = [feed_name(c) for c in found]
+    lacking = [c for c in columns if c not in (*names, "ticker")]
+    if lacking:
+        raise ValueError(f"{path} has no column {', '.join(lacking)}; its header is {found}")
+    types = [f"`{c.replace('`', '``')}` {columns.get(n, 'string')}" for c, n in zip(found, names, strict=True)]
+    schema = ", ".join([*types, "ticker string"])
+    rows = spark.read.schema(schema).options(enforceSchema=False, mode="FAILFAST", **options).csv(path)
+    return rows.toDF(*names, "ticker").select(*columns, *(["ticker"] if "ticker" not in columns else []))
 
 
 def _stamp(df: DataFrame, name: str, run_time: datetime | str | None) -> DataFrame:
@@ -94,7 +107,10 @@ def ingest_daily(
 def ingest_metadata(
     feed: DataFrame, universe: DataFrame, run_time: datetime | str | None = None
 ) -> DataFrame:
-    """Raw metadata from vendor records: the universe's sector, defaults and the cap band."""
+    """Raw metadata from vendor records: the universe's sector, defaults and the cap band.
+
+    Records of tickers outside the universe are left out; ``foreign_tickers`` reports them.
+    """
     df = feed.toDF(*[feed_name(c) for c in feed.columns]).withColumnsRenamed(METADATA_NAMES)
     df = lookup_join(df.drop("sector"), universe.select("ticker", "sector"), ["ticker"], "inner")
     df = with_cap_band(with_metadata_defaults(df))

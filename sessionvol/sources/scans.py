@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -13,7 +14,7 @@ from sessionvol.schemas import RAW
 # Derived partition column of a raw table, and the column it is derived from.
 PARTITIONED_BY = {"intraday_bars": ("bar_month", "bar_time"), "daily_bars": ("trade_year", "trade_date")}
 
-CSV_TIME = "yyyy-MM-dd HH:mm:ss"
+CSV_TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"  # fractions are optional when read, always written
 _CSV = {"header": True, "timestampNTZFormat": CSV_TIME, "dateFormat": "yyyy-MM-dd", "mode": "FAILFAST"}
 
 
@@ -23,9 +24,17 @@ def partition_number(relation: str, moment: date | datetime | str) -> int:
     return moment.year * 100 + moment.month if relation == "intraday_bars" else moment.year
 
 
-def read_csv(spark: SparkSession, relation: str, *paths: str) -> DataFrame:
-    """CSV files with a header; a header that differs from the schema is an error."""
-    return spark.read.schema(RAW[relation]).options(enforceSchema=False, **_CSV).csv(list(paths))
+def read_csv(spark: SparkSession, relation: str, *paths: str, absent_is_empty: bool = False) -> DataFrame:
+    """CSV files with a header; a header that differs from the schema is an error.
+
+    ``absent_is_empty``: a folder that is not there has no rows, as ``write_csv`` leaves none behind.
+    """
+    try:
+        return spark.read.schema(RAW[relation]).options(enforceSchema=False, **_CSV).csv(list(paths))
+    except AnalysisException as error:
+        if absent_is_empty and error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], RAW[relation])
+        raise
 
 
 def read_raw(

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import subprocess
+import sys
 import uuid
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 
@@ -113,4 +116,31 @@ def test_shared_buckets_join_without_a_shuffle(spark, raw):
         plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    # Bars with a ticker and a day are joined where they lie; only those without are shuffled.
+    assert plan.count("Bucketed: true") >= 2
+    joins = plan.split("SortMergeJoin")
+    assert "Exchange" not in joins[1].split("Union")[0]
+
+
+def test_files_of_marts_are_sorted(spark, raw):
+    built = layers(spark)
+    built.build(raw)
+    views = {row.viewName for row in spark.sql(f"SHOW VIEWS IN {built.prefix}staging").collect()}
+    assert views == {"stg_intraday_bars", "stg_daily_bars", "stg_ticker_metadata"}
+    for mart, order in MARTS.items():
+        files = built.table("marts", mart).inputFiles()
+        assert files
+        for path in files:
+            rows = [tuple(r[c] for c in order) for r in spark.read.parquet(path).collect()]
+            assert rows == sorted(rows), mart
+
+
+def test_stores_in_the_folder_that_the_session_names(tmp_path):
+    """With spark.checkpoint.dir set, nothing is stored elsewhere."""
+    script = f"""
+from sessionvol.session import settle, spark_session
+spark = spark_session("named", "local[1]", spark__checkpoint__dir="{tmp_path}")
+print(settle(spark.range(5)).inputFiles()[0])
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, cwd=Path(__file__).parents[1], timeout=200)
+    assert f"{tmp_path}/" in done.stdout and list(tmp_path.rglob("settled-*"))

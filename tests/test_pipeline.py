@@ -58,3 +58,24 @@ def test_command(spark, feeds, tmp_path, capsys):
     assert "missing_feeds" in capsys.readouterr().out
     command.main(["build", out, "--prefix", "cmd_", "--location", new_folder(spark, "cmd")])
     assert "mart_volume_curve_by_sector" in capsys.readouterr().out
+
+
+def test_header_only_feed(spark, feeds, tmp_path):
+    """A daily feed without rows: the dataset is reported, its tables are empty, the rest is built."""
+    for folder in (tmp_path / "feeds" / "daily").iterdir():
+        (folder / "part.csv").write_text("Date,Open,High,Low,Close,Volume\n")
+    out = str(tmp_path / "csv")
+    reports = pipeline.ingest(spark, feeds, out, run_time="2024-02-02 03:04:05")
+    assert [r.relation for r in reports["empty_datasets"].collect()] == ["daily_bars"]
+    built = pipeline.build(spark, out, Layers(spark, prefix="none_", location=new_folder(spark, "none")))
+    assert built.table("staging", "stg_daily_bars").count() == 0
+    assert built.table("marts", "mart_daily_volatility").count() == 0
+    assert built.table("marts", "mart_volume_curve_by_vol_regime").count() == 0
+    assert built.table("marts", "mart_volume_curve").count() == 6
+
+
+def test_foreign_tickers_are_reported(spark, feeds, tmp_path):
+    few = spark.createDataFrame([("AAPL", "Technology")], "ticker string, sector string")
+    reports = pipeline.ingest(spark, feeds, str(tmp_path / "csv"), few, "2024-02-02 03:04:05")
+    found = {(r.feed, r.ticker): r.n_rows for r in reports["foreign_tickers"].collect()}
+    assert found == {("metadata", "XOM"): 1, ("metadata", "O"): 1, ("intraday", "XOM"): 24, ("daily", "XOM"): 12}

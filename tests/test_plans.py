@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 import sessionvol as sv
 from checks import fixtures, queries
 from checks.compare import plan
+from sessionvol.plans import ordered
+from sessionvol.plans.joins import salts_for
 from sessionvol.plans.ordered import ordered_blocks
 
 
@@ -55,18 +57,43 @@ def test_rows_are_never_windowed_by_ticker_alone(spark, sf_dir):
     assert windows and all("_rows" in what for what in by_ticker)
 
 
-def test_volatility_shuffles_only_what_it_needs(spark, sf_dir):
+def test_volatility_stores_only_what_it_needs(spark, sf_dir, monkeypatch):
     days = fixtures.raw(spark, sf_dir, "daily_bars")
-    scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan(sv.realized_volatility(days)))
+    stored = []
+    keep = ordered.settle
+    monkeypatch.setattr(ordered, "settle", lambda df: (stored.append(plan(df)), keep(df))[1])
+    sv.realized_volatility(days)
+    scans = re.findall(r"ReadSchema: struct<([^>]*)>", "".join(stored))
     assert sorted({c.split(":")[0] for s in scans for c in s.split(",")}) == [
         "close", "ingested_at", "ticker", "trade_date", "volume"
     ]
 
 
-def test_period_counts_are_combined_before_the_shuffle(spark, sf_dir):
+def test_positions_need_no_window_over_a_ticker(spark, sf_dir):
     days = fixtures.raw(spark, sf_dir, "daily_bars")
-    blocks = ordered_blocks(days, "ticker", ["trade_date"], F.month("trade_date"), 1)
-    assert "partial_count" in plan(blocks)
+    blocks = ordered_blocks(days, "ticker", ["trade_date"], 1)
+    assert "row_number" not in plan(blocks)
+
+
+def test_filter_reaches_the_scan_however_large_the_lookup(spark, sf_dir, monkeypatch):
+    """The same pushed filters and columns with a broadcast and with a salted join."""
+    staged = sv.stg_intraday_bars(fixtures.raw(spark, sf_dir, "intraday_bars"))
+
+    def scan() -> tuple[list[str], list[str]]:
+        chosen = sv.normalized_volume(staged, averages, size).where(F.col("sector").isin("S1", "S3"))
+        text = plan(chosen.select("sector", "minutes_since_open", "normalized_volume"))
+        bars = next(part for part in text.split("\n\n") if "Scan parquet" in part and "bar_time" in part)
+        return re.findall("In\\(sector[^)]*\\)", bars), sorted(re.findall("ReadSchema: .*", bars))
+
+    averages, size = sv.avg_daily_volume(sv.daily_total_volume(staged)), 0
+    small = scan()
+    size = 1 << 40
+    large = scan()
+    assert small[0] and small == large
+
+
+def test_salts_follow_the_size():
+    assert [salts_for(n, 100) for n in (1, 101, 400, 10**9)] == [8, 8, 32, 256]
 
 
 def test_curve_cells_are_combined_before_the_shuffle(normalized):

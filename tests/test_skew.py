@@ -103,7 +103,7 @@ def test_hot_key_is_spread_when_the_lookup_is_too_large_to_broadcast(spark, with
         F.sha2(n.cast("string"), 256).alias("payload"),
     )
     lookup = left.select("ticker").distinct().withColumn("x", F.length("ticker"))
-    joined = lookup_join(left, lookup, ["ticker"], limit=0)
+    joined = lookup_join(left, lookup, ["ticker"], limit=0, salts=8)
     spread = joined.where("ticker = 'HOT'").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in spread) == 66_667
     assert len(spread) >= 4 and max(r["count"] for r in spread) < 40_000

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from sessionvol.pipeline import FEEDS
 from sessionvol.plans.joins import lookup_join, measured_bytes
 from sessionvol.schemas import DAILY_BARS, INTRADAY_BARS, TICKER_METADATA
 from sessionvol.sources.feeds import (
@@ -111,8 +112,7 @@ def test_feed_folders_give_the_ticker(spark, instruments, tmp_path):
         (tmp_path / f"ticker={ticker}" / "f.csv").write_text(
             "Datetime,Open,High,Low,Close,Volume\n2024-01-10 09:30:00-05:00,1,1,1,1,5\n"
         )
-    schema = "Datetime string, Open double, High double, Low double, Close double, Volume bigint, ticker string"
-    df = ingest_intraday(read_feed(spark, str(tmp_path), schema), instruments, RUN)
+    df = ingest_intraday(read_feed(spark, str(tmp_path), FEEDS["intraday"]), instruments, RUN)
     assert {(r.ticker, r.bar_time.hour, r.market_cap_band) for r in df.collect()} == {
         ("A", 14, "mid"), ("Q", 14, "unknown")
     }
@@ -214,3 +214,49 @@ def test_default_universe(spark):
     assert df.count() == 55
     assert {r["count"] for r in df.groupBy("sector").count().collect()} == {5}
     assert default_universe(spark, {"x": ["A", "B"]}).count() == 2
+
+
+def vendor(folder, ticker, text):
+    (folder / f"ticker={ticker}").mkdir()
+    (folder / f"ticker={ticker}" / "f.csv").write_text(text)
+
+
+def test_columns_are_found_by_name(spark, instruments, tmp_path):
+    vendor(tmp_path, "A", "Datetime,Close,High,Low,Open,Volume\n2024-01-10 09:30:00-05:00,11,12,9,10,5\n")
+    row = ingest_intraday(read_feed(spark, str(tmp_path), FEEDS["intraday"]), instruments, RUN).first()
+    assert (row.open, row.high, row.low, row.close, row.volume) == (10, 12, 9, 11, 5)
+
+
+def test_metadata_columns_are_found_by_name(spark, tmp_path):
+    vendor(tmp_path, "A", "currency,sector,marketCap,country,longName,industry\nEUR,X,3e9,FR,A Inc,I\n")
+    universe = spark.createDataFrame([("A", "S")], "ticker string, sector string")
+    row = ingest_metadata(read_feed(spark, str(tmp_path), FEEDS["metadata"]), universe, RUN).first()
+    assert (row.company_name, row.market_cap, row.country, row.currency, row.industry, row.sector) == ("A Inc", 3e9, "FR", "EUR", "I", "S")
+
+
+def test_foreign_headers_are_errors(spark, tmp_path):
+    vendor(tmp_path, "A", "Datetime,Open,High,Low,Last,Volume\n2024-01-10 09:30:00,1,1,1,1,1\n")
+    with pytest.raises(ValueError, match="close"):
+        read_feed(spark, str(tmp_path), FEEDS["intraday"])
+    other = tmp_path / "mixed"
+    other.mkdir()
+    vendor(other, "A", "Datetime,Open,High,Low,Close,Volume\n2024-01-10 09:30:00,1,1,1,1,1\n")
+    vendor(other, "B", "Datetime,Close,High,Low,Open,Volume\n2024-01-10 09:30:00,1,1,1,1,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_feed(spark, str(other), FEEDS["intraday"]).collect()
+
+
+def test_csv_keeps_fractions_of_a_second(spark, bars, tmp_path):
+    df = bars(("A", "2024-01-10 14:30:00.250", 1), ("A", "2024-01-10 14:35:00.000001", 1), ("A", "2024-01-10 14:40:00", 1))
+    assert write_csv(df, str(tmp_path / "b"), "intraday_bars")
+    assert sorted(read_csv(spark, "intraday_bars", str(tmp_path / "b")).collect()) == sorted(df.collect())
+    old = tmp_path / "old"
+    old.mkdir()
+    (old / "f.csv").write_text(",".join(INTRADAY_BARS.fieldNames()) + "\nA,S,mid,2024-01-10 14:30:00,1,1,1,1,1,5m,2024-01-11 00:00:00\n")
+    assert read_csv(spark, "intraday_bars", str(old)).first().bar_time.minute == 30
+
+
+def test_absent_dataset(spark, tmp_path):
+    assert read_csv(spark, "daily_bars", str(tmp_path / "none"), absent_is_empty=True).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_csv(spark, "daily_bars", str(tmp_path / "none"))

@@ -11,6 +11,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import sessionvol as sv
+from sessionvol import session
+from sessionvol.plans import ordered
 from sessionvol.plans.ordered import block_window, ordered_blocks, own_rows
 
 
@@ -110,7 +112,7 @@ def test_blocks_equal_a_plain_window(spark, sizes, block, lookback):
     df = spark.createDataFrame(rows, "k string, t int, x double")
     frame = (-lookback, 0)
     plain = df.withColumn("s", F.sum("x").over(Window.partitionBy("k").orderBy("t").rowsBetween(*frame)))
-    blocks = ordered_blocks(df, "k", ["t"], F.floor(F.col("t") / 10), lookback, block)
+    blocks = ordered_blocks(df, "k", ["t"], lookback, block)
     cut = own_rows(blocks.withColumn("s", F.sum("x").over(block_window("k").rowsBetween(*frame))))
     order = ["k", "t"]
     assert cut.select(*plain.columns).orderBy(*order).collect() == plain.orderBy(*order).collect()
@@ -121,11 +123,47 @@ def test_blocks_are_bounded(spark):
         F.when(F.col("id") % 3 == 0, F.concat(F.lit("r"), F.col("id") % 50)).otherwise("hot").alias("k"),
         F.col("id").alias("t"),
     )
-    blocks = ordered_blocks(df, "k", ["t"], F.floor(F.col("t") / 1000), 20, 100)
+    blocks = ordered_blocks(df, "k", ["t"], 20, 100)
     assert blocks.groupBy("k", "_block").count().agg(F.max("count")).first()[0] <= 120
     assert own_rows(blocks).count() == 10_000
 
 
 def test_block_must_hold_the_lookback(spark):
     with pytest.raises(ValueError, match="block"):
-        ordered_blocks(spark.range(1), "id", ["id"], F.lit(1), 20, 10)
+        ordered_blocks(spark.range(1), "id", ["id"], 20, 10)
+
+
+def test_days_without_a_ticker_are_kept(spark, days):
+    raw = days(("A", 0, 10.0), ("A", 1, 11.0), ("B", 0, 5.0), ("B", 1, 6.0), (None, 0, 20.0), (None, 1, 30.0))
+    staged = sv.stg_daily_bars(raw)
+    assert staged.count() == 6
+    assert staged.where("ticker is null").orderBy("trade_date").first().daily_return is None
+    assert {r.daily_return for r in staged.where("ticker is null and trade_date > '2020-01-01'").collect()} == {0.5}
+    rated = sv.daily_volatility(raw)
+    assert rated.groupBy("ticker").count().count() == 3 and rated.where("ticker is null").count() == 1
+
+
+def test_many_loads_of_one_day_and_many_days_without_date(spark, monkeypatch):
+    """No task ranks them all: positions come from ranges, which split equal rows too."""
+    n = F.col("id")
+    days = spark.range(0, 200_000, 1, 16).select(
+        F.lit("A").alias("ticker"),
+        F.when(n % 2 == 0, F.lit("2024-01-01").cast("date")).alias("trade_date"),
+        *[F.lit(2.0).alias(c) for c in ("open", "high", "low", "close")],
+        F.lit(1).cast("bigint").alias("volume"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ingested_at"),
+    )
+    # So small a shuffle would be put together again.
+    stored = []
+    keep = session.settle
+    monkeypatch.setattr(ordered, "settle", lambda df: stored.append(keep(df)) or stored[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        blocks = ordered.ordered_blocks(days, "ticker", ["trade_date", "ingested_at", "close"], 20)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = stored[0].groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert files < 120_000
+    assert blocks.groupBy("_block").count().agg(F.max("count")).first()[0] <= 4096 + 20
+    own = own_rows(blocks.withColumn("p", F.col("_position")))
+    assert own.agg(F.count("*"), F.countDistinct("p"), F.max("p")).first()[:] == (200_000, 200_000, 199_999)
