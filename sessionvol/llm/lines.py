@@ -41,10 +41,10 @@ OFTEN = 1024
 BUCKET_BYTES, SHARE = 16 << 20, 0.8
 #: Tokens of a class from which on it has a second word of bits.
 LONG = 64
-#: A candidate that differs in so many bits at most is as good as certain: a class needs no other under that key.
-CLOSE = 4
+#: A candidate that differs in at most this share of the bits that it may is all but certain: a class needs no other under that key.
+CLOSE = 0.5
 #: Candidates of a class under one key, before the rest is looked at.
-FIRST = 64
+FIRST = 8
 #: Classes with a candidate, and documents that lose lines, that are sent to all tasks rather than joined by shuffle.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
@@ -276,8 +276,8 @@ def _deal(threshold: float, buckets: int, often: int, only):
     return K.lean(run)
 
 
-def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, most: int, close: int):
-    """Of one bucket: pairs (class, earlier class), in parts, each with whether it stands for more candidates, and whether both places are equal.
+def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, most: int, close: float):
+    """Of one bucket: pairs (class, earlier class), in parts, each with whether there may be more candidates, and whether both places are equal.
 
     With ``rest`` all candidates, for the classes that want them.
     """
@@ -322,7 +322,7 @@ def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, mo
             i, j = i[j < i], j[j < i]
             x, y = i, j
         apart, limit = np.abs(n[x] - n[y]), allowed[n[x] + n[y]]
-        good = (apart <= limit) & (at[x] + at[y] <= limit)
+        good = (limit > 0) & (apart <= limit) & (at[x] + at[y] <= limit)
         if huge:
             good |= np.maximum(n[x], n[y]) == 65535
         g = np.flatnonzero(good)
@@ -340,18 +340,16 @@ def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, mo
             if len(x):
                 tie = (doc[x] == doc[y]) & (line[x] == line[y])
                 found[x] += 1
-                yield s1[x], s1[y], np.zeros(len(x), bool), tie
-                if not rest:
-                    over = x[(found[x] >= most) | ((off <= close) & ~tie)]
-                    if len(over):
-                        yield s1[over], s1[over], np.ones(len(over), bool), np.zeros(len(over), bool)
-                        found[over] = -1 << 30
-                        i = i[found[i] >= 0]
+                over = (found[x] >= most) | ((off <= close * limit[good]) & ~tie) if not rest else np.zeros(len(x), bool)
+                yield s1[x], s1[y], over, tie
+                if over.any():
+                    found[x[over]] = -1 << 30
+                    i = i[found[i] >= 0]
         step += 1
 
 
-def _join(threshold: float, rest: bool, most: int, close: int):
-    """Buckets to distinct pairs; a row marked ``more`` says that class a has more candidates than those given."""
+def _join(threshold: float, rest: bool, most: int, close: float):
+    """Buckets to distinct pairs; one marked ``more`` says that class a may have more candidates than those given."""
 
     def run(batches):
         bucket, blobs = None, []
@@ -403,7 +401,7 @@ def _stored(df: DataFrame) -> DataFrame:
 
 
 def judged_classes(
-    docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST, close: int = CLOSE
+    docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST, close: float = CLOSE
 ) -> tuple[DataFrame, DataFrame]:
     """Lines that take part (K1, K2, ...), and their classes: s1, s2, first (place of the first line), stays. Runs jobs when called."""
     spark = docs.sparkSession
@@ -425,7 +423,7 @@ def judged_classes(
             _join(threshold, rest, candidates, close), "a long, b long, more boolean, tie boolean"
         )
         pairs = settle(found.distinct())
-        more, pairs = pairs.filter("more").select(F.col("a").alias("s1")).distinct(), pairs.filter("not more").drop("more")
+        more, pairs = pairs.filter("more").select(F.col("a").alias("s1")).distinct(), pairs.drop("more")
         ids = settle(pairs.select(F.col("a").alias("s1")).union(pairs.select("b")).distinct())
         some = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
         held = settle(lines.filter("codes is not null").select("s1", "s2", "codes").join(some, "s1", "left_semi").dropDuplicates(["s1", "s2"]))
@@ -502,7 +500,7 @@ def _replace(text_col: str):
     return out
 
 
-def _losses(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_words: int, candidates: int, close: int) -> DataFrame:
+def _losses(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_words: int, candidates: int, close: float) -> DataFrame:
     """Rows that lose lines: __llm_r1, __llm_r2 (the row key), __llm_stay (numbers of the lines that stay of those that take part)."""
     lines, judged = judged_classes(docs, id_col, text_col, threshold, min_words, candidates, close)
     key = [F.coalesce("first.doc_id", F.lit(0)).alias(K1), F.col(f"first.{K2}").alias(K2)]
@@ -521,7 +519,7 @@ def _joined(docs: DataFrame, losses: DataFrame, keys: list) -> DataFrame:
 
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST,
-    close: int = CLOSE,
+    close: float = CLOSE,
 ) -> DataFrame:
     """Per document: doc_id, n_lines (with a word), n_removed, removed (their numbers from 0, counting all lines), kept_sha256.
 
@@ -536,7 +534,7 @@ def dedup_lines(
 
 def remove_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST,
-    close: int = CLOSE,
+    close: float = CLOSE,
 ) -> DataFrame:
     """The rows of ``docs`` with all their columns, the text without lines that match an earlier one. A document all of whose lines go is
     left out; one without lines stays."""
