@@ -14,7 +14,7 @@ more bits than the sets may are dropped; the others are verified on their tokens
 
 A line goes if any earlier class is similar, so not all pairs of a large family are made: under each key a class is paired with earlier
 ones, from the first on, until one is CLOSE or there are FIRST. If those fail and there were more, all candidates of that class are verified
-in a second round, which looks at the keys of such classes only.
+in a second round, which looks at the keys of such classes only, and with 512 bits.
 
 Tokens are 40-bit codes. At scale: classes instead of copies are joined, so groups of copies cost one entry per
 batch; entries go in packed blocks to buckets whose number follows the bytes of the table; pairs of a frequent token are split by their other
@@ -44,7 +44,7 @@ LONG = 64
 #: A candidate that differs in at most this share of the bits that it may is all but certain: a class needs no other under that key.
 CLOSE = 0.5
 #: Candidates of a class under one key, before the rest is looked at.
-FIRST = 8
+FIRST = 2
 #: Classes with a candidate, and documents that lose lines, that are sent to all tasks rather than joined by shuffle.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
@@ -174,6 +174,9 @@ def _wide(five: np.ndarray) -> np.ndarray:
 
 #: Fields of an entry: key, class, place (document, line), two words of bits, tokens, place of the token, is every candidate wanted?
 _ENTRY = {"code": "<u4", "s1": "<i8", "doc": "<i8", "line": "<i4", "bits": "<u8", "bits2": "<u8", "n": "<u2", "at": "<u2", "all": "u1"}
+#: In the second round an entry has this many more words of bits, so that hardly any bits cancel out.
+_WORDS = 8
+_WIDE = {f"w{k}": "<u8" for k in range(_WORDS)}
 _LAST = np.iinfo(np.int64).max
 
 
@@ -182,9 +185,9 @@ def _planes(column: np.ndarray) -> bytes:
     return np.ascontiguousarray(column.view(np.uint8).reshape(len(column), -1).T).tobytes()
 
 
-def _columns(raw: bytes, n: int) -> dict[str, np.ndarray]:
+def _columns(raw: bytes, n: int, fields: dict[str, str]) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for name, kind in _ENTRY.items():
+    for name, kind in fields.items():
         size = np.dtype(kind).itemsize
         planes = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n)
         out[name] = np.ascontiguousarray(planes.T).reshape(-1).view(kind)
@@ -238,8 +241,15 @@ def _keys_of(threshold: float, often: int):
     return K.lean(run)
 
 
-def _deal(threshold: float, buckets: int, often: int, only):
-    """Lines to packed entries, one row per (batch, bucket); with ``only`` those of its keys."""
+def _words(codes: np.ndarray, begins: np.ndarray) -> dict[str, np.ndarray]:
+    """The bits of each line in _WORDS words."""
+    m = K.mix(K.mix(codes))
+    flip, word = np.uint64(1) << (m >> np.uint64(58)), (m >> np.uint64(55)) & np.uint64(_WORDS - 1)
+    return {f"w{k}": np.bitwise_xor.reduceat(np.where(word == k, flip, np.uint64(0)), begins) for k in range(_WORDS)}
+
+
+def _deal(threshold: float, buckets: int, often: int, only, rest: bool):
+    """Lines to packed entries, one row per (batch, bucket); with ``only`` those of its keys, with ``rest`` with more bits."""
 
     def run(batches):
         codec = pa.Codec("zstd", 1)
@@ -265,10 +275,13 @@ def _deal(threshold: float, buckets: int, often: int, only):
                 "n": np.minimum(n[line], 65535).astype(np.uint16), "at": np.minimum(at[order], 65535).astype(np.uint16),
                 "all": part.column("all").to_numpy(zero_copy_only=False).astype(np.uint8)[line],
             }
+            if rest:
+                data, offsets = K.buffer(part.column("codes"))
+                entries |= {f: x[line] for f, x in _words(_wide(data), offsets[:-1] // 5).items()}
             edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket)) if len(bucket) else [0]
             out = []
             for a, b in zip(edges[:-1], edges[1:]):
-                blob = b"".join(_planes(entries[f][a:b]) for f in _ENTRY)
+                blob = b"".join(_planes(column[a:b]) for column in entries.values())
                 out.append((int(bucket[a]), int(b - a), codec.compress(blob, asbytes=True)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["bucket", "n", "blob"])
@@ -282,9 +295,10 @@ def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, mo
     With ``rest`` all candidates, for the classes that want them.
     """
     codec = pa.Codec("zstd")
-    size = sum(np.dtype(k).itemsize for k in _ENTRY.values())
-    parts = [_columns(codec.decompress(blob, n * size, asbytes=True), n) for n, blob in blobs]
-    e = {f: np.concatenate([p[f] for p in parts]) for f in _ENTRY}
+    fields = _ENTRY | (_WIDE if rest else {})
+    size = sum(np.dtype(k).itemsize for k in fields.values())
+    parts = [_columns(codec.decompress(blob, n * size, asbytes=True), n, fields) for n, blob in blobs]
+    e = {f: np.concatenate([p[f] for p in parts]) for f in fields}
     del parts
     order = np.lexsort((e["line"], e["doc"], e["code"]))
     code, s1 = e["code"][order], e["s1"][order]
@@ -297,6 +311,7 @@ def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, mo
     order = order[np.repeat(length > 1, length)]  # a class alone under its key is done
     length = length[length > 1]
     s1, bits, bits2, n, at, wants, doc, line = (e[f][order] for f in ("s1", "bits", "bits2", "n", "at", "all", "doc", "line"))
+    words = [e[f][order] for f in _WIDE] if rest else []
     del e
     if not len(order):
         return
@@ -333,6 +348,8 @@ def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, mo
             long = (n[x] >= LONG) & (n[y] >= LONG)
             mixed = np.bitwise_count(bits[x] ^ bits2[x] ^ bits[y] ^ bits2[y])
             off = np.where(long, off + np.bitwise_count(bits2[x] ^ bits2[y]), mixed)
+            if rest:
+                off = sum(np.bitwise_count(w[x] ^ w[y]).astype(np.int32) for w in words)
             good = off <= limit
             if huge:
                 good |= np.maximum(n[x], n[y]) == 65535
@@ -418,7 +435,7 @@ def judged_classes(
     def round_of(rows: DataFrame, rest: bool, only=None) -> tuple[DataFrame, DataFrame]:
         """Classes with a similar earlier one, and classes that have more candidates."""
         rows = rows.filter("codes is not null").select("s1", "doc_id", "line", "n", "bits", "bits2", "codes", "all")
-        dealt = rows.mapInArrow(_deal(threshold, buckets, often, only), "bucket long, n long, blob binary")
+        dealt = rows.mapInArrow(_deal(threshold, buckets, often, only, rest), "bucket long, n long, blob binary")
         found = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
             _join(threshold, rest, candidates, close), "a long, b long, more boolean, tie boolean"
         )

@@ -114,7 +114,7 @@ def test_lines(documents, rows, threshold, min_words):
     assert {(r["doc_id"], r["kept_sha256"]) for r in digest.collect()} == {(k[0], plain.sha(v)) for k, v in want.items()}
 
 
-@pytest.mark.parametrize("often,candidates,close", [(1024, 8, 0.5), (4, 1, 64.0), (4, 1, 0.0)])
+@pytest.mark.parametrize("often,candidates,close", [(1024, 2, 0.5), (4, 1, 64.0), (4, 1, 0.0)])
 def test_lines_of_frequent_words(spark, monkeypatch, often, candidates, close):
     """All tokens are too frequent to be keys alone; classes whose first candidates fail get a second round."""
     monkeypatch.setattr(lines, "OFTEN", often)
