@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from sessionvol.llm import counting
 from sessionvol.llm import kernels as K
-from sessionvol.llm.rows import K1, K2, keyed, row_key, ship, shuffle_partitions, text_bytes
+from sessionvol.llm.rows import K1, K2, keyed, row_key, ship, shuffle_partitions
 from sessionvol.session import new_folder, settle
 
 COUNT_BITS = 20
@@ -56,13 +56,22 @@ def _cells(h: np.ndarray) -> np.ndarray:
 
 @K.lean
 def _count(batches):
-    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    """Texts to words by cell (0), and bytes (1)."""
+    counts, size = np.zeros(1 << COUNT_BITS, np.int64), np.zeros(1, np.int64)
     for batch in batches:
         data, offsets = K.buffer(batch.column("text"))
+        size += len(data)
+        cells, held = [], 0
         for a, b in K.chunks(offsets):
             words = K.Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], K.GRAPHIC)
-            counts += np.bincount(_cells(words.hashes()), minlength=len(counts))
-    yield from counting.send({0: counts})
+            cells.append(_cells(words.hashes()))
+            held += len(cells[-1])
+            if held > 1 << 21:
+                counts += np.bincount(np.concatenate(cells), minlength=len(counts))
+                cells, held = [], 0
+        if cells:
+            counts += np.bincount(np.concatenate(cells), minlength=len(counts))
+    yield from counting.send({0: counts, 1: size})
 
 
 def _ranks(counts: np.ndarray) -> np.ndarray:
@@ -424,8 +433,8 @@ def judged_classes(
     spark = docs.sparkSession
     ship(spark)
     texts = keyed(docs, id_col, text_col)
-    size = text_bytes(docs, text_col)[1]
-    counts = counting.total(texts.select("text").mapInArrow(_count, counting.SENT), {0: 1 << COUNT_BITS})[0]
+    found = counting.total(texts.select("text").mapInArrow(_count, counting.SENT), {0: 1 << COUNT_BITS, 1: 1})
+    counts, size = found[0], int(found[1][0])
     lines = _stored(texts.mapInArrow(_lines(spark.sparkContext.broadcast(counts), min_words), _LINES))
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", K2, "line")
     classes = settle(lines.groupBy("s1", "s2").agg(F.min(place).alias("first")))
