@@ -43,15 +43,16 @@ def sketch(h: np.ndarray, doc: np.ndarray, first: np.ndarray, k: int, sketches:
         grams[begin[r]] = K.mix(np.array([hash(tuple(h[first[r] : first[r + 1]].tolist())) & (2**64 - 1)], np.uint64))[0]
     salted = grams ^ K.mix(row.astype(np.uint64) + np.uint64(1))
     order = np.sort(salted)
+    label = np.zeros(len(grams), np.uint64)
     if (order[1:] == order[:-1]).any():
         by = np.argsort(salted, kind="stable")
         s = salted[by]
         new = np.append(True, s[1:] != s[:-1])
         start = np.flatnonzero(new)
         count = np.arange(len(s)) - np.repeat(start, np.diff(np.append(start, len(s))))
-        label = np.empty(len(s), np.uint64)
         label[by] = count.astype(np.uint64)
-        grams = K.mix(grams + label * np.uint64(0xD6E8FEB86659FD93))
+    # Labelled whether or not a text repeats a k-mer: a text's keys depend on the text alone.
+    grams = K.mix(grams + label * np.uint64(0xD6E8FEB86659FD93))
     out = np.zeros((len(size), sketches), np.uint64)
     some = np.flatnonzero(n)
     if not len(some):
