@@ -4,20 +4,21 @@ A text's k-mers are runs of ``k`` words, each labelled with how many times it oc
 ``sketches`` random orders the ``sampled`` smallest labelled k-mers are taken and put back in text order; their hash is one key. Equal keys are likely
 for texts of small edit distance, since both the k-mers and their order must agree.
 
-Texts with the same words are one class, and its smallest document (by id, then a hash of the text) stands for it. Under each key every class
-is a candidate with the smallest class that has the key, and with the one before it in order. Candidates are verified on their words: edit similarity, 1 - distance / longer length, of at least
-``threshold``, found by an alignment within the band of diagonals that this allows. Verified links make connected components; a
-component's smallest document is its class id.
-
-At scale: copies collapse before candidates are made; a key with m classes makes at most 2 m candidates, not m * m; links and
-components stay distributed. Words travel only for classes that have a candidate.
+Texts with the same words are one class, and its smallest document (by id, then a hash of the text) stands for it. Every two classes that share
+a key and whose lengths allow it are verified on their words, once, under the first key they share: edit similarity, 1 - distance / longer
+length, of at least ``threshold``, found by an alignment within the band of diagonals that this allows. Verified links make connected
+components; a component's smallest document is its class id.
+
+At scale: copies collapse before candidates are made. The pairs of a key of up to LIGHT classes are rows, and words are joined to them. A larger key's
+classes are dealt to blocks of bounded size, and every two blocks meet in one task (a tile) that verifies their pairs where they are and hands on,
+for each class, its number of links and one link to its part of the tile's graph: rows by class, not by pair. Links and components stay distributed.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionvol.llm import kernels as K
@@ -27,6 +28,11 @@ from sessionvol.session import settle
 
 #: Classes with a candidate whose keys are sent to all tasks rather than joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Classes of a key whose pairs are made as rows; larger keys are verified in tiles of two blocks of about so many classes and words.
+LIGHT = 16
+BLOCK_CLASSES, BLOCK_WORDS = 512, 1 << 19
+#: Counters of words of a class; those of two classes bound their edits from below.
+CELLS = 64
 
 
 def sketch(h: np.ndarray, doc: np.ndarray, first: np.ndarray, k: int, sketches: int, sampled: int):
@@ -131,6 +137,8 @@ def similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
     most = int((1 - threshold) * longer + 1e-9)  # edits allowed
     if abs(len(x) - len(y)) > most:
         return False
+    if len(x) == len(y) and np.count_nonzero(x != y) <= most:
+        return True
     # Sequences that share too few items are no candidates for an alignment.
     items, n = np.unique(np.concatenate([np.unique(x), np.unique(y)]), return_counts=True)
     shared = items[n > 1]
@@ -208,6 +216,96 @@ def _verify(threshold: float):
     return K.lean(run)
 
 
+def _grouped(batches):
+    """Tables of the rows of one tile each."""
+    held, last = [], None
+    for batch in batches:
+        if not len(batch):
+            continue
+        tile = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "x", "y")])
+        edges = [0, *(np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(axis=0)) + 1).tolist(), len(batch)]
+        for a, b in zip(edges, edges[1:]):
+            now = tuple(tile[:, a].tolist())
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _partners(table: pa.Table, threshold: float, cells: np.ndarray | None = None):
+    """Row by row of a tile: the rows after it that share this key and none before it, that a length, and cells of words, do not rule out.
+
+    A tile of two blocks pairs one with the other; a tile of one block pairs its rows.
+    """
+    x, y, j = (int(table.column(c)[0].as_py()) for c in ("x", "y", "j"))
+    n, block = table.column("n_words").to_numpy(), table.column("block").to_numpy()
+    keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(len(n), -1)[:, :j]
+    second = np.flatnonzero(block == y)
+    for i in np.flatnonzero(block == x).tolist():
+        js = second[second > i] if x == y else second
+        longer = np.maximum(n[js], n[i])
+        most = ((1 - threshold) * longer + 1e-9).astype(np.int64)
+        js, most = (v[np.abs(n[js] - n[i]) <= most] for v in (js, most))
+        use = ~(keys[js] == keys[i]).any(axis=1)
+        js, most = js[use], most[use]
+        if cells is not None and len(js):
+            apart = cells[js] - cells[i]
+            js = js[np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= most]
+        if len(js):
+            yield i, js
+
+
+def _pairs(threshold: float):
+    """Tiles to pairs (a, b)."""
+
+    def run(batches):
+        for table in _grouped(batches):
+            found = [(np.full(len(js), i), js) for i, js in _partners(table, threshold)]
+            if found:
+                names = table.column("class").combine_chunks()
+                a, b = (pa.array(np.concatenate(v)) for v in zip(*found))
+                yield pa.RecordBatch.from_arrays([names.take(a), names.take(b)], names=["a", "b"])
+
+    return K.lean(run)
+
+
+def _tiles(threshold: float):
+    """Tiles with words to their classes with a link: (class, one class for each connected part, number of links)."""
+
+    def run(batches):
+        for table in _grouped(batches):
+            data, offsets = K.buffer(table.column("words"))
+            data, at = data.view(np.uint64), (offsets // 8).tolist()
+            words = [data[a:b] for a, b in zip(at, at[1:])]
+            row = np.repeat(np.arange(len(words)), np.diff(at))
+            cells = np.bincount(row * CELLS + (data & np.uint64(CELLS - 1)).astype(np.int64), minlength=len(words) * CELLS)
+            cells = cells.reshape(-1, CELLS).astype(np.int32)
+            degree, parent = np.zeros(len(words), np.int64), list(range(len(words)))
+
+            def root(r, parent=parent):
+                while parent[r] != r:
+                    parent[r] = r = parent[parent[r]]
+                return r
+
+            for i, js in _partners(table, threshold, cells):
+                near = np.array([similar(words[i], words[r], threshold) for r in js.tolist()], bool)
+                js = js[near]
+                degree[i] += len(js)
+                degree[js] += 1
+                for r in js.tolist():
+                    parent[root(r)] = root(i)
+            some = np.flatnonzero(degree)
+            if len(some):
+                names = table.column("class").combine_chunks()
+                roots = pa.array([root(r) for r in some.tolist()])
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(some)), names.take(roots), pa.array(degree[some])], names=["a", "b", "n"])
+
+    return K.lean(run)
+
+
 def near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, sketches: int = 20, sampled: int = 2, threshold: float = 0.8
 ) -> DataFrame:
@@ -231,24 +329,35 @@ def near_copies(
         firsts.filter("not none").select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.col(f"first.{K1}").alias("f1"), F.col(f"first.{K2}").alias("f2"), "first"),
         (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & (F.col(K1) == F.col("f1")) & (F.col(K2) == F.col("f2")),
     ).dropDuplicates([K1, K2])
-    keyed_reps = settle(reps.select(F.col("first").alias("class"), "n_words", F.explode("keys").alias("key")))
-    least = keyed_reps.groupBy("key").agg(F.min("class").alias("lead"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    shared = keyed_reps.join(least, "key")
-    to_lead = shared.filter("class <> lead").select(F.col("class").alias("a"), F.col("lead").alias("b"))
-    near = threshold - 1e-9
-    # The neighbour in order of length is the likeliest partner of a class that isn't like the smallest one.
-    to_next = _neighbours(shared).filter(F.least("n_words", "n_other") >= near * F.greatest("n_words", "n_other")).select("a", "b")
-    candidates = settle(to_lead.union(to_next).distinct())
-    ends = candidates.select(F.col("a").alias("x")).union(candidates.select("b")).distinct().select(f"x.{K1}", f"x.{K2}")
-    ends = settle(ends)
+    reps = settle(reps.select(F.col("first").alias("class"), "n_words", "keys"))
+    keyed_reps = settle(reps.select("class", "n_words", F.posexplode("keys").alias("j", "key")))
+    crowd = keyed_reps.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n_words").alias("w")).filter("m > 1")
+    ends = keyed_reps.join(crowd, "key").select(F.col(f"class.{K1}").alias(K1), F.col(f"class.{K2}").alias(K2), "j", "key", "m", "w")
+    sides = reps.select("class", "n_words", "keys", F.col(f"class.{K1}").alias(K1), F.col(f"class.{K2}").alias(K2))
+    shared = settle(ends.join(sides, [K1, K2]))
+    ends = settle(shared.select(K1, K2).distinct())
     some = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
     words = settle(texts.join(some, [K1, K2], "left_semi").mapInArrow(_hashed_words, f"{K1} long, {K2} long, words binary").dropDuplicates([K1, K2]))
+    order = f"struct<unknown:boolean,doc_id:bigint,{K2}:bigint,{K1}:bigint>"
+
+    # Keys of few classes: pairs as rows.
+    light = shared.filter(F.col("m") <= LIGHT).select("key", F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(0).alias("block"), "j", "class", "n_words", "keys")
+    candidates = settle(_together(light).mapInArrow(_pairs(threshold), f"a {order}, b {order}"))
     side = lambda c: words.select(F.col(K1).alias(f"{c}1"), F.col(K2).alias(f"{c}2"), F.col("words").alias(f"words_{c}"))
     pairs = candidates.withColumns({f"{c}{i}": F.col(f"{c}.{k}") for c in "ab" for i, k in ((1, K1), (2, K2))})
-    order = f"struct<unknown:boolean,doc_id:bigint,{K2}:bigint,{K1}:bigint>"
-    links = settle(pairs.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"]).mapInArrow(_verify(threshold), f"a {order}, b {order}"))
+    few = settle(pairs.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"]).mapInArrow(_verify(threshold), f"a {order}, b {order}"))
+
+    # Crowded keys: every two blocks of a key meet in one tile, so no pair is left out.
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("w") / BLOCK_WORDS)).cast("int")
+    heavy = shared.filter(F.col("m") > LIGHT).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
+    heavy = heavy.join(words, [K1, K2]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    heavy = heavy.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "j", "class", "n_words", "keys", "words")
+    many = settle(_together(heavy).mapInArrow(_tiles(threshold), f"a {order}, b {order}, n long"))
+
+    links = few.union(many.select("a", "b").filter("a <> b"))
+    ones = few.select("a", F.lit(1).cast("long").alias("n"))
+    degree = ones.union(few.select("b", F.lit(1).cast("long"))).union(many.select("a", "n")).groupBy("a").agg(F.sum("n").alias("n_links"))
     roots = components(links)
-    degree = links.select("a").union(links.select(F.col("b").alias("a"))).groupBy("a").agg(F.count(F.lit(1)).alias("n_links"))
     classes = (
         firsts.join(roots, F.col("first") == F.col("node"), "left").join(degree, F.col("first") == F.col("a"), "left")
         .select("d1", "d2", "none", F.coalesce("root", "first").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
@@ -259,15 +368,9 @@ def near_copies(
     )
 
 
-def _neighbours(shared: DataFrame) -> DataFrame:
-    """Under each key, each class with the one before it by length; a key's classes are split by ranges of length first,
-    so that no task holds a whole key."""
-    band = F.floor(F.log2(F.col("n_words").cast("double")) * 4)
-    part = F.pmod(F.xxhash64("class"), F.greatest(F.lit(1), (F.col("m") / 2000).cast("int") + 1))
-    before = Window.partitionBy("key", "band", "part").orderBy("n_words", "class")
-    rows = shared.withColumn("band", band).withColumn("part", part)
-    found = rows.select(F.col("class").alias("a"), F.lag("class").over(before).alias("b"), "n_words", F.lag("n_words").over(before).alias("n_other"))
-    return found.filter(F.col("b").isNotNull())
+def _together(rows: DataFrame) -> DataFrame:
+    """The rows of a tile in one partition, one after the other."""
+    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
 
 
 def drop_near_copies(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from sessionvol.llm import nearcopies
 
@@ -39,3 +40,34 @@ def test_near_pair_in_unlike_partitions(spark):
     docs = parts.union(spark.createDataFrame(rows[1:], parts.schema).coalesce(1))
     found = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in nearcopies.near_copies(docs).collect()}
     assert found == {1: (1, 1), 2: (1, 1), 3: (3, 0)}
+
+
+def counted(docs: list[list[str]], threshold: float) -> list[int]:
+    """Links of each text by comparing all pairs."""
+    found = [0] * len(docs)
+    ids = {w: i for i, w in enumerate(sorted({w for d in docs for w in d}))}
+    coded = [np.array([ids[w] for w in d], np.uint64) for d in docs]
+    for i in range(len(docs)):
+        for j in range(i):
+            if nearcopies.similar(coded[i], coded[j], threshold):
+                found[i] += 1
+                found[j] += 1
+    return found
+
+
+@pytest.mark.parametrize("light, block", [(16, 512), (3, 7)])
+def test_all_links_under_crowded_keys(spark, monkeypatch, light, block):
+    monkeypatch.setattr(nearcopies, "LIGHT", light)
+    monkeypatch.setattr(nearcopies, "BLOCK_CLASSES", block)
+    draw = random.Random(4)
+    passage = made_words(draw, 150)
+    # One passage in unlike texts of like lengths, with near copies of some of them, and one family of near copies.
+    texts = [passage + made_words(draw, 100 + i % 5) for i in range(40)]
+    texts += [near_of(draw, t, 0.01) for t in texts[10:30]]
+    family = made_words(draw, 120)
+    texts += [near_of(draw, family, 0.02) for _ in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in nearcopies.near_copies(docs).collect()}
+    assert [found[i]["n_links"] for i in range(len(texts))] == counted(texts, 0.8)
+    assert [found[40 + i]["class_id"] for i in range(20)] == list(range(10, 30))
+    assert {found[i]["class_id"] for i in range(60, 90)} == {60}
