@@ -307,7 +307,7 @@ def _tiles(threshold: float):
 
 
 def near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, sketches: int = 20, sampled: int = 2, threshold: float = 0.8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, sketches: int = 32, sampled: int = 2, threshold: float = 0.8
 ) -> DataFrame:
     """Per document: row key, doc_id, class_id (doc_id of the class's first document), is_first, n_links (verified links of the document's
     text with other texts).
@@ -374,7 +374,7 @@ def _together(rows: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, sketches: int = 20, sampled: int = 2, threshold: float = 0.8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, sketches: int = 32, sampled: int = 2, threshold: float = 0.8
 ) -> DataFrame:
     """The rows, with all their columns, of the first document of each class; of rows equal in id and text one stays."""
     found = settle(near_copies(docs, id_col, text_col, k, sketches, sampled, threshold).select(K1, K2, "is_first"))

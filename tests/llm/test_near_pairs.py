@@ -71,3 +71,11 @@ def test_all_links_under_crowded_keys(spark, monkeypatch, light, block):
     assert [found[i]["n_links"] for i in range(len(texts))] == counted(texts, 0.8)
     assert [found[40 + i]["class_id"] for i in range(20)] == list(range(10, 30))
     assert {found[i]["class_id"] for i in range(60, 90)} == {60}
+
+
+def test_recall_at_the_threshold(spark):
+    draw = random.Random(6)
+    texts = [made_words(draw, 60) for _ in range(80)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(100 + i, " ".join(near_of(draw, t, 0.2))) for i, t in enumerate(texts)]
+    found = {r["doc_id"]: r for r in nearcopies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(found[100 + i]["class_id"] == i for i in range(80)) >= 79
