@@ -12,7 +12,8 @@ good key: if the first shared token is such a one, then so are all shared tokens
 the first n - ceil(t n) + 2; then pairs of frequent tokens are the keys. Every token flips one of 64 bits of its class, or of 128 if it has LONG tokens; candidates that differ in
 more bits than the sets may are dropped; the others are verified on their tokens.
 
-A line goes if any earlier class is similar, so not all pairs of a large family are made: under each key a class is paired with earlier
+``linked_lines`` makes and verifies all pairs of classes that share a key, and counts their links. To drop lines (``remove_lines``,
+``dedup_lines``) it is enough that any earlier class is similar, so there not all pairs of a large family are made: under each key a class is paired with earlier
 ones, from the first on, until one is CLOSE or there are FIRST. If those fail and there were more, all candidates of that class are verified
 in a second round, which looks at the keys of such classes only, and with 512 bits.
 
@@ -45,6 +46,8 @@ LONG = 64
 CLOSE = 0.5
 #: Candidates of a class under one key, before the rest is looked at.
 FIRST = 2
+#: Pairs that a task holds at a time, where all are made.
+PAIRS = 1 << 20
 #: Classes with a candidate, and documents that lose lines, that are sent to all tasks rather than joined by shuffle.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
@@ -298,10 +301,10 @@ def _deal(threshold: float, buckets: int, often: int, only, rest: bool):
     return K.lean(run)
 
 
-def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, most: int, close: float):
+def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, most: int, close: float, whole: bool = False):
     """Of one bucket: pairs (class, earlier class), in parts, each with whether there may be more candidates, and whether both places are equal.
 
-    With ``rest`` all candidates, for the classes that want them.
+    With ``rest`` all candidates, for the classes that want them; with ``whole`` all candidates of all classes.
     """
     codec = pa.Codec("zstd")
     fields = _ENTRY | (_WIDE if rest else {})
@@ -366,7 +369,7 @@ def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, mo
             if len(x):
                 tie = (doc[x] == doc[y]) & (line[x] == line[y])
                 found[x] += 1
-                over = (found[x] >= most) | ((off <= close * limit[good]) & ~tie) if not rest else np.zeros(len(x), bool)
+                over = (found[x] >= most) | ((off <= close * limit[good]) & ~tie) if not (rest or whole) else np.zeros(len(x), bool)
                 yield s1[x], s1[y], over, tie
                 if over.any():
                     found[x[over]] = -1 << 30
@@ -374,14 +377,23 @@ def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, mo
         step += 1
 
 
-def _join(threshold: float, rest: bool, most: int, close: float):
+def _join(threshold: float, rest: bool, most: int, close: float, whole: bool = False):
     """Buckets to distinct pairs; one marked ``more`` says that class a may have more candidates than those given."""
 
     def run(batches):
         bucket, blobs = None, []
 
         def done():
-            found = list(_candidates(blobs, threshold, rest, most, close)) if blobs else []
+            found, held = [], 0
+            for part in _candidates(blobs, threshold, rest, most, close, whole) if blobs else ():
+                found.append(part)
+                held += len(part[0])
+                if whole and held > PAIRS:  # a large family's pairs go on in parts
+                    yield from sent(found)
+                    found, held = [], 0
+            yield from sent(found)
+
+        def sent(found):
             if found:
                 a, b, more, tie = (np.concatenate(x) for x in zip(*found))
                 flags = more.astype(np.int64) + 2 * tie
@@ -427,9 +439,11 @@ def _stored(df: DataFrame) -> DataFrame:
 
 
 def judged_classes(
-    docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST, close: float = CLOSE
+    docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST, close: float = CLOSE,
+    whole: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Lines that take part (K1, K2, ...), and their classes: s1, s2, first (place of the first line), stays. Runs jobs when called."""
+    """Lines that take part (K1, K2, ...), and their classes: s1, s2, first (place of the first line), stays; with ``whole`` all links are
+    made, and n_links is the number of other classes that a class is similar to. Runs jobs when called."""
     spark = docs.sparkSession
     ship(spark)
     texts = keyed(docs, id_col, text_col)
@@ -442,11 +456,11 @@ def judged_classes(
     often = int(np.log2(OFTEN) * 6) + 2
 
     def round_of(rows: DataFrame, rest: bool, only=None) -> tuple[DataFrame, DataFrame]:
-        """Classes with a similar earlier one, and classes that have more candidates."""
+        """Links from classes to similar earlier ones, and classes that have more candidates."""
         rows = rows.filter("codes is not null").select("s1", "doc_id", "line", "n", "bits", "bits2", "codes", "all")
         dealt = rows.mapInArrow(_deal(threshold, buckets, often, only, rest), "bucket long, n long, blob binary")
         found = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-            _join(threshold, rest, candidates, close), "a long, b long, more boolean, tie boolean"
+            _join(threshold, rest, candidates, close, whole), "a long, b long, more boolean, tie boolean"
         )
         pairs = settle(found.distinct())
         more, pairs = pairs.filter("more").select(F.col("a").alias("s1")).distinct(), pairs.drop("more")
@@ -462,9 +476,17 @@ def judged_classes(
             order = lambda x: classes.select(F.col("s1").alias(x), F.col("s2").alias(f"{x}2"), F.col("first").alias(f"first_{x}"))
             tied = tied.join(order("a"), ["a", "a2"]).join(order("b"), ["b", "b2"]).filter("first_b < first_a")
             earlier = earlier.unionByName(tied.select(*earlier.columns))
-        return settle(earlier.select(F.col("a").alias("a1"), "a2").distinct()), more
-
-    gone, more = round_of(lines.withColumn("all", F.lit(False)), False)
+        return earlier, more
+
+    sources = lambda links: settle(links.select(F.col("a").alias("a1"), "a2").distinct())
+    links, more = round_of(lines.withColumn("all", F.lit(False)), False)
+    if whole:
+        links = settle(links.select("a", "a2", "b", "b2"))
+        ends = links.select("a", "a2", F.lit(True).alias("later")).union(links.select("b", "b2", F.lit(False)))
+        ends = ends.groupBy(F.col("a").alias("s1"), F.col("a2").alias("s2")).agg(F.count(F.lit(1)).alias("n_links"), F.max("later").alias("later"))
+        judged = classes.join(ends, ["s1", "s2"], "left").withColumn("stays", ~F.coalesce("later", F.lit(False)))
+        return lines, judged.withColumn("n_links", F.coalesce("n_links", F.lit(0))).drop("later")
+    gone = sources(links)
     late = settle(more.join(gone, more["s1"] == gone["a1"], "left_anti").withColumn("all", F.lit(True)))
     n_late = late.count()
     if n_late:
@@ -475,7 +497,7 @@ def judged_classes(
         if keys.count() <= BROADCAST_ROWS:
             only = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in keys.collect()], np.int64).view(np.uint64)))
         also, _ = round_of(again, True, only)
-        gone = gone.union(also).distinct()
+        gone = gone.union(sources(also)).distinct()
     gone = gone.select(F.col("a1").alias("s1"), F.col("a2").alias("s2"), F.lit(False).alias("found"))
     judged = classes.join(gone, ["s1", "s2"], "left").withColumn("stays", F.coalesce("found", F.lit(True))).drop("found")
     return lines, judged
@@ -513,7 +535,10 @@ def _digest(batch, texts, n_lines, removed):
     digests = [hashlib.sha256(t).hexdigest() for t in texts]
     columns = [batch.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(list(map(len, removed)), pa.int64())]
     columns += [pa.array(removed, pa.list_(pa.int32())), pa.array(digests, pa.string())]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_lines", "n_removed", "removed", "kept_sha256"])
+    names = ["doc_id", "n_lines", "n_removed", "removed", "kept_sha256"]
+    if "n_links" in batch.schema.names:
+        columns, names = [*columns, batch.column("n_links")], [*names, "n_links"]
+    return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _replace(text_col: str):
@@ -528,7 +553,10 @@ def _replace(text_col: str):
 
 def _losses(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_words: int, candidates: int, close: float) -> DataFrame:
     """Rows that lose lines: __llm_r1, __llm_r2 (the row key), __llm_stay (numbers of the lines that stay of those that take part)."""
-    lines, judged = judged_classes(docs, id_col, text_col, threshold, min_words, candidates, close)
+    return _lost(*judged_classes(docs, id_col, text_col, threshold, min_words, candidates, close))
+
+
+def _lost(lines: DataFrame, judged: DataFrame) -> DataFrame:
     key = [F.coalesce("first.doc_id", F.lit(0)).alias(K1), F.col(f"first.{K2}").alias(K2)]
     stay = judged.filter("stays").groupBy(*key).agg(F.collect_list("first.line").alias("stay"))
     every = lines.groupBy(K1, K2).agg(F.max("of").alias("n"))
@@ -558,6 +586,23 @@ def dedup_lines(
     return joined.mapInArrow(_apply("text", min_words, _digest), "doc_id long, n_lines long, n_removed long, removed array<int>, kept_sha256 string")
 
 
+def linked_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5) -> DataFrame:
+    """The columns of ``dedup_lines``, by the whole join, and n_links: for each line of the document that takes part, the number of classes of
+    other lines that its class is similar to, summed."""
+    lines, judged = judged_classes(docs, id_col, text_col, threshold, min_words, whole=True)
+    judged = settle(judged)
+    found = lines.join(judged.filter("n_links > 0").select("s1", "s2", "n_links"), ["s1", "s2"], "left")
+    # Rows equal in id and text have all their lines under one row key.
+    counted = found.groupBy(K1, K2).agg(F.sum("n_links").alias("n"), F.max("of").alias("of"), F.count(F.lit(1)).alias("rows")).filter("n > 0")
+    counted = settle(counted.select(K1, K2, F.expr("n * of div rows").alias("n_links")))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    linked = rows.select("*", *row_key("doc_id", "text")).join(counted, [K1, K2], "left")
+    linked = linked.select("doc_id", "text", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    joined = _joined(linked, _lost(lines, judged), row_key("doc_id", "text"))
+    schema = "doc_id long, n_lines long, n_removed long, removed array<int>, kept_sha256 string, n_links long"
+    return joined.mapInArrow(_apply("text", min_words, _digest), schema)
+
+
 def remove_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST,
     close: float = CLOSE,

@@ -47,7 +47,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(_read(spark, sf_dir, "documents"))
+    return lines.linked_lines(_read(spark, sf_dir, "documents"))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
