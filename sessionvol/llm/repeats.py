@@ -310,6 +310,11 @@ def _remove(keep_text: bool):
     return K.lean(run)
 
 
+def _lists(spans: DataFrame) -> DataFrame:
+    """The spans of each row key; rows equal in id and text have the same spans, which count once."""
+    return spans.select(K1, K2, "lo", "hi").distinct().groupBy(K1, K2).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+
+
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, minimiser: int = 5,
     minimum: int = 2, keep_text: bool = True,
@@ -321,8 +326,7 @@ def remove_repeats(
     A text of fewer words than ``window`` has no window and stays whole; NULL and empty texts have no words.
     Rows that repeat remove each other's windows. Texts come back as rows in no order.
     """
-    spans = repeated_spans(docs, id_col, text_col, window, minimiser, minimum)
-    spans = spans.groupBy(K1, K2).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    spans = _lists(repeated_spans(docs, id_col, text_col, window, minimiser, minimum))
     joined = keyed(docs, id_col, text_col).join(spans, [K1, K2], "left").select("doc_id", "text", "spans")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
     return joined.mapInArrow(_remove(keep_text), schema)
