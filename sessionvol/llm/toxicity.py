@@ -180,7 +180,7 @@ def train(
     """Learn from all given documents that have a label 0 or 1.
 
     Ratios are counted over all of them; the regression is fitted on about ``fit_rows`` of them, chosen by a hash
-    of the row. Without labels of both classes every score is the smoothed share of toxic texts. Runs jobs when called.
+    of the row: half of either class, or all of a class that has fewer and more of the other. The bias is corrected for the classes' shares. Without labels of both classes every score is the smoothed share of toxic texts. Runs jobs when called.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -193,7 +193,9 @@ def train(
         return Model(np.zeros(1 << BITS, np.float64), bias)
     r = ratios(counts[1], counts[0], n[1], n[0], smooth, sure, least)
     r[0] = 0
-    part = F.pmod(F.xxhash64(F.lit(7), "__llm_k1", "__llm_k2"), F.lit(1_000_000)) < int(1e6 * min(1, fit_rows / sum(n)))
+    rate = [min(1.0, max(fit_rows // 2, fit_rows - n[1 - c]) / n[c]) for c in (0, 1)]
+    bound = F.when(F.col("toxic") == 1, F.lit(int(2**40 * rate[1]))).otherwise(F.lit(int(2**40 * rate[0])))
+    part = F.pmod(F.xxhash64(F.lit(7), "__llm_k1", "__llm_k2"), F.lit(1 << 40)) < bound
     got = rows.filter(part).select("text", "toxic").mapInArrow(_sample(spark.sparkContext.broadcast(r != 0)), "toxic int, found binary").collect()
     y = np.array([x[0] for x in got], float)
     found = [np.frombuffer(x[1], np.int32) for x in got]
@@ -204,6 +206,7 @@ def train(
     column = np.zeros(1 << BITS, np.int64)
     column[used] = np.arange(len(used))
     w, b = regression(at, r[numbers], column[numbers], y, len(used), l2)
+    b += float(np.log(n[1] / y.sum()) - np.log(n[0] / (len(y) - y.sum())))  # as the classes are in all rows
     weights = np.zeros(1 << BITS)
     weights[used] = w * r[used]
     return Model(weights, b)
