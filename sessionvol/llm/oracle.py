@@ -102,5 +102,63 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coa
 FROM docs LEFT JOIN words_hit h USING (r) LEFT JOIN items_hit i USING (r)"""
 
 
+def _hard_negatives() -> str:
+    return """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT a, b, anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY score DESC, id)::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s USING (a, anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY score DESC, id) <= 5"""
+
+
+def _interaction() -> str:
+    letters = "ABCDE"
+    bit = "CASE {} WHEN 'A' THEN 1 WHEN 'B' THEN 2 WHEN 'C' THEN 4 WHEN 'D' THEN 8 ELSE 16 END"
+    orders = ", ".join(f"(SELECT unnest(string_split('{letters}', '')) AS x) {x}" for x in "abcde")
+    differ = " AND ".join(f"{x}.x <> {y}.x" for i, x in enumerate("abcde") for y in "abcde"[i + 1 :])
+    return f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents
+), firsts AS (
+  SELECT text, min(doc_id) AS least FROM docs GROUP BY text
+), judged AS (
+  SELECT part,
+    (CASE WHEN len(w) < 200 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 3 * length(d.text) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(d.text, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN least < d.doc_id THEN 16 ELSE 0 END) AS bits,
+    d.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, d.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+  FROM docs d JOIN firsts f ON d.text = f.text
+), cells AS (
+  SELECT part, bits, good, toxic, count(*) AS n FROM judged GROUP BY ALL
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM {orders} WHERE {differ}
+), steps AS (
+  SELECT filter_order, step, {bit.format("substr(filter_order, step, 1)")} AS own,
+    list_sum([0] || list_transform(string_split(substr(filter_order, 1, step - 1), ''), lambda x: CASE x WHEN '' THEN 0 WHEN 'A' THEN 1 WHEN 'B' THEN 2 WHEN 'C' THEN 4 WHEN 'D' THEN 8 ELSE 16 END))::INTEGER AS before
+  FROM orders, (SELECT unnest(range(1, 6))::INTEGER AS step)
+), counted AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN bits & own = 0 AND bits & before = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN bits & own <> 0 AND bits & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN bits & own <> 0 AND bits & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN bits = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN bits & own <> 0 AND bits & before = 0 AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN bits & own <> 0 AND bits & before = 0 AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY ALL
+)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM counted"""
+
+
 def registered() -> dict[str, str]:
-    return {"op3_quality": _quality(), "op4_repeats": _repeats(), "op9_benchmarks": _benchmarks()}
+    return {"op3_quality": _quality(), "op4_repeats": _repeats(), "op9_benchmarks": _benchmarks(), "op11_hard_negatives": _hard_negatives(), "op13_interaction": _interaction()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionvol.llm import benchmarks, chat, languages, lines, nearcopies, packing, pages, quality, repeats, toxicity
+from sessionvol.llm import audit, benchmarks, chat, languages, lines, nearcopies, negatives, packing, pages, quality, repeats, toxicity, urls
 
 HELD_OUT_FOLDS = 5
 
@@ -68,10 +68,30 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.near_copies(_read(spark, sf_dir, "documents")).select("doc_id", "class_id", "is_first", "n_links")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(_read(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+#: The rules of the query.
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages_table = _read(spark, sf_dir, "pages")
+    return urls.judge(pages_table, pages_table, "html", URL_RULES)
+
+
+def op13_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interaction(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_toxicity, op2_packing, op3_quality, op4_repeats, op5_chat, op6_lines, op7_language, op8_pages, op9_benchmarks, op10_near_copies,
+            op11_hard_negatives, op12_urls, op13_interaction,
         )
     }
