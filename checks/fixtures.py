@@ -7,6 +7,8 @@ grows with the tables.  ``checks.oracle`` holds the same derivations as SQL.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from sessionvol.operators.metadata import latest_metadata
 from sessionvol.plans.joins import lookup_join
 from sessionvol.schemas import DAILY_BARS, INTRADAY_BARS, TICKER_METADATA
 from sessionvol.session import new_folder
+from sessionvol.sources.feeds import feed_name
 from sessionvol.sources.scans import read_raw
 from sessionvol.sources.sinks import write_raw
 
@@ -178,6 +181,32 @@ def intraday_feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return feeds
 
 
+def vendor_files(spark: SparkSession, sf_dir: str, broken: bool = False) -> str:
+    """The intraday feeds as CSV files, one in the folder of each ticker; even and odd tickers order their columns differently.
+
+    ``broken``: tickers 3, 10, 17, ... call their close by another name, and tickers 2, 7, 12, ... have no number in the closes of bars of half past.
+    """
+    rows = reduce(DataFrame.unionByName, intraday_feeds(spark, sf_dir))
+    rows = rows.toDF(*[feed_name(c) for c in rows.columns])
+    number = F.substring("ticker", 2, 20).cast("bigint")
+    close = F.col("close").cast("string")
+    if broken:
+        close = F.when((number % 5 == 2) & F.col("datetime").contains(":30:00"), "n/a").otherwise(close)
+    rows = rows.withColumn("close", close)
+    last = F.when(F.lit(broken) & (number % 7 == 3), "Last").otherwise("Close")
+    orders = (("datetime", "open", "high", "low", "close", "volume"), ("datetime", "close", "high", "low", "open", "volume"))
+    line = [F.concat_ws(",", *[F.col(c).cast("string") for c in order]) for order in orders]
+    header = [F.concat_ws(",", *[last if c == "close" else F.lit(c.title()) for c in order]) for order in orders]
+    pick = lambda texts: F.when(number % 2 == 0, texts[0]).otherwise(texts[1]).alias("value")
+    lines = rows.select("ticker", F.col("datetime").alias("k"), pick(line))
+    heads = rows.select("ticker").distinct().select("ticker", F.lit("").alias("k"), pick(header))
+    folder = new_folder(spark, "vendor")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ready = heads.union(lines).repartition(parts, "ticker").sortWithinPartitions("ticker", "k").drop("k")
+    ready.write.partitionBy("ticker").text(folder)
+    return folder
+
+
 def daily_feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     days = raw(spark, sf_dir, "daily_bars")
     even = F.substring("ticker", 2, 20).cast("bigint") % 2 == 0

@@ -127,6 +127,12 @@ _FED = """
       TIMESTAMP '2024-02-02 03:04:05' AS ingested_at
     FROM raw_intraday f LEFT JOIN universe_metadata u USING (ticker)"""
 RELATIONS["fed"] = (("raw_intraday", "universe_metadata"), _FED)
+RELATIONS["failed"] = (("raw_intraday",), """
+    SELECT 'ticker=' || ticker AS file, ticker,
+      CASE WHEN any_value(n) % 7 = 3 THEN 'no column close' ELSE 'malformed rows' END AS reason,
+      CASE WHEN any_value(n) % 7 = 3 THEN 0 ELSE count(*) FILTER (WHERE minute(bar_time) = 30) END AS n_rows
+    FROM (SELECT *, CAST(substr(ticker, 2) AS BIGINT) AS n FROM raw_intraday)
+    GROUP BY ticker HAVING any_value(n) % 7 = 3 OR (any_value(n) % 5 = 2 AND count(*) FILTER (WHERE minute(bar_time) = 30) > 0)""")
 RELATIONS["metadata_feed"] = ((), """
     SELECT 'T' || CAST(c_custkey AS VARCHAR) AS ticker,
       CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS company_name,
@@ -258,6 +264,8 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "union_feeds": (("fed",), "SELECT * FROM fed"),
     "ingest_intraday": (("fed",), "SELECT * FROM fed"),
     "ingest_csv": (("fed",), "SELECT * FROM fed"),
+    "ingest_beside_failed": (("fed", "failed"), "SELECT * FROM fed WHERE ticker NOT IN (SELECT ticker FROM failed)"),
+    "failed_feeds": (("failed",), "SELECT * FROM failed"),
     "foreign_tickers": (("metadata_feed", "raw_daily", "universe"), """
         SELECT feed, ticker, count(*) AS n_rows
         FROM (SELECT 'metadata' AS feed, ticker FROM metadata_feed UNION ALL SELECT 'daily', ticker FROM raw_daily)

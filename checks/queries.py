@@ -21,9 +21,9 @@ from sessionvol.sources.feeds import (
     ingest_intraday,
     ingest_metadata,
     instruments,
-    read_feed,
     union_feeds,
 )
+from sessionvol.sources.quarantine import read_feed_files
 from sessionvol.sources.scans import read_csv, read_raw
 from sessionvol.sources.sinks import write_csv, write_raw
 
@@ -122,10 +122,12 @@ def universe_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sv.universe_join(fixtures.universe(spark, sf_dir), fixtures.raw(spark, sf_dir, "ticker_metadata"))
 
 
+def known_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return instruments(fixtures.universe(spark, sf_dir), fixtures.raw(spark, sf_dir, "ticker_metadata"))
+
+
 def feeds_intraday(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    known = instruments(
-        fixtures.universe(spark, sf_dir), fixtures.raw(spark, sf_dir, "ticker_metadata")
-    )
+    known = known_instruments(spark, sf_dir)
     return [ingest_intraday(f, known, RUN_TIME) for f in fixtures.intraday_feeds(spark, sf_dir)]
 
 
@@ -144,15 +146,22 @@ def union_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_feeds(feeds, "daily_bars")
 
 
-def csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as vendor CSV files, one folder per ticker and columns in the vendor's order, ingested."""
-    folder = new_folder(spark, "vendor")
-    rows = reduce(DataFrame.unionByName, fixtures.intraday_feeds(spark, sf_dir))
-    rows = rows.toDF(*[feed_name(c) for c in rows.columns])
-    order = [F.col(c).alias(c.title()) for c in ("datetime", "close", "high", "low", "open", "volume")]
-    rows.select(*order, "ticker").write.partitionBy("ticker").option("header", True).csv(folder)
-    known = instruments(fixtures.universe(spark, sf_dir), fixtures.raw(spark, sf_dir, "ticker_metadata"))
-    return ingest_intraday(read_feed(spark, folder, FEEDS["intraday"]), known, RUN_TIME)
+def one_intraday_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds' bars under each other as the vendor names them, ingested at once."""
+    feeds = [f.toDF(*[feed_name(c) for c in f.columns]) for f in fixtures.intraday_feeds(spark, sf_dir)]
+    return ingest_intraday(reduce(DataFrame.unionByName, feeds), known_instruments(spark, sf_dir), RUN_TIME)
+
+
+def csv_feed(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+    """The feed as vendor CSV files, one folder per ticker, ingested; failed files are left out."""
+    rows, _ = read_feed_files(spark, fixtures.vendor_files(spark, sf_dir, broken), FEEDS["intraday"])
+    return ingest_intraday(rows, known_instruments(spark, sf_dir), RUN_TIME)
+
+
+def failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failed ones of the vendor files, named by their folder."""
+    _, found = read_feed_files(spark, fixtures.vendor_files(spark, sf_dir, broken=True), FEEDS["intraday"])
+    return found.withColumn("file", F.regexp_replace("file", "^.*/(ticker=[^/]*)/[^/]*$", "$1"))
 
 
 def foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,8 +292,10 @@ QUERIES: dict[str, Query] = {
     "missing_feeds": missing,
     "feed_counts": lambda s, d: sv.feed_counts(fixtures.raw(s, d, "intraday_bars")),
     "union_feeds": union_intraday,
-    "ingest_intraday": union_intraday,
+    "ingest_intraday": one_intraday_feed,
     "ingest_csv": csv_feed,
+    "ingest_beside_failed": lambda s, d: csv_feed(s, d, broken=True),
+    "failed_feeds": failed,
     "foreign_tickers": foreign,
     "ingest_daily": union_daily,
     "ingest_metadata": new_metadata,

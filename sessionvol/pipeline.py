@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sessionvol.operators.metadata import feed_counts, foreign_tickers, missing_feeds
 from sessionvol.plans.layers import Layers
@@ -13,8 +15,8 @@ from sessionvol.sources.feeds import (
     ingest_intraday,
     ingest_metadata,
     instruments,
-    read_feed,
 )
+from sessionvol.sources.quarantine import read_feed_files
 from sessionvol.sources.scans import read_csv
 from sessionvol.sources.sinks import write_csv
 from sessionvol.sources.universe import default_universe
@@ -40,11 +42,14 @@ def ingest(
 ) -> dict[str, DataFrame]:
     """Vendor files below ``feeds`` to the three raw CSV datasets below ``out``.
 
-    Returns reports: bars per ticker, tickers without any, tickers of bars and metadata that the universe lacks, and the
+    A file that fails, by its header or a malformed line, is left out and reported (failed_feeds); the others go on.
+    Returns reports: bars per ticker, failed files, tickers without any bar, tickers of bars and metadata that the universe lacks, and the
     datasets that were empty and so left no files.
     """
     universe = universe if universe is not None else default_universe(spark)
-    vendor = {name: read_feed(spark, f"{feeds}/{name}", columns) for name, columns in FEEDS.items()}
+    read = {name: read_feed_files(spark, f"{feeds}/{name}", columns) for name, columns in FEEDS.items()}
+    vendor = {name: rows for name, (rows, _) in read.items()}
+    failed = [files.select(F.lit(name).alias("feed"), "*") for name, (_, files) in read.items()]
     metadata = ingest_metadata(vendor["metadata"], universe, run_time)
     known = instruments(universe, metadata)
     raw = {
@@ -55,6 +60,7 @@ def ingest(
     empty = [relation for relation, df in raw.items() if not write_csv(df, f"{out}/{relation}", relation)]
     return {
         "feed_counts": feed_counts(vendor["intraday"]),
+        "failed_feeds": reduce(DataFrame.union, failed),
         "missing_feeds": missing_feeds(universe, vendor["intraday"]),
         "foreign_tickers": foreign_tickers(universe, vendor),
         "empty_datasets": spark.createDataFrame([(relation,) for relation in empty], "relation string"),
