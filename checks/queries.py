@@ -105,6 +105,33 @@ def all_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, named)
 
 
+def sketched_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three curves with sketched medians; of these, whether the exact rank is within a hundredth of the middle."""
+    bars = normalized(spark, sf_dir)
+    groupings = (("all", F.lit("all")), ("sector", F.col("sector")), ("market_cap_band", F.col("market_cap_band")))
+    checked = []
+    for (name, grouping), curve in zip(groupings, sv.curves_sketched(bars), strict=True):
+        curve = settle(curve.withColumn("grouping", grouping).drop("upper_band", "lower_band", *([name] if name != "all" else [])))
+        value, middle = F.col("normalized_volume"), F.col("median_normalized_volume")
+        ranked = bars.withColumn("grouping", grouping).select("grouping", *SLOT, "normalized_volume").join(F.broadcast(curve), ["grouping", *SLOT])
+        share = lambda test: F.avg(F.when(test, 1.0).otherwise(0.0))
+        ranks = ranked.groupBy("grouping", *SLOT).agg(((share(value < middle) <= 0.51) & (share(value <= middle) >= 0.49)).alias("near_middle"))
+        checked.append(curve.drop("median_normalized_volume").join(ranks, ["grouping", *SLOT]))
+    return reduce(DataFrame.unionByName, checked)
+
+
+def loaded_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw days in two loads that overlap, the second one twice, merged."""
+    built = Layers(spark, prefix=f"sv_{uuid.uuid4().hex[:12]}_", location=new_folder(spark, "merged"))
+    built.create_databases()
+    days = fixtures.raw(spark, sf_dir, "daily_bars")
+    number = F.substring("ticker", 2, 20).cast("bigint")
+    built.load_raw("daily_bars", days.where(number % 3 < 2))
+    for _ in range(2):
+        built.load_raw("daily_bars", days.where(number % 3 > 0), mode="merge")
+    return built.raw("daily_bars")
+
+
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_sector = sv.curve_by_sector(normalized(spark, sf_dir), median=False)
     # A slot's mean over all bars is that over the sectors, weighted by their bars: the bars are read once.
@@ -281,6 +308,8 @@ QUERIES: dict[str, Query] = {
     "curve_by_cap": lambda s, d: sv.curve_by_cap(normalized(s, d)),
     "curve_by_regime": regime_curve,
     "curves_together": all_curves,
+    "curves_sketched": sketched_curves,
+    "merged_loads": loaded_twice,
     "vol_threshold": threshold,
     "daily_volatility": volatility,
     "daily_volatility_long": volatility_long(1),

@@ -7,8 +7,11 @@ from sessionvol.operators.curves import (
     curve_by_cap,
     curve_by_regime,
     curve_by_sector,
+    curve_from_cells,
     curve_overall,
+    curves_sketched,
     curves_together,
+    sketched_cells,
     volume_curve,
 )
 from sessionvol.operators.metadata import (
@@ -30,10 +33,10 @@ from sessionvol.session import spark_session
 
 __all__ = [
     "Layers", "NEW_YORK_SESSION", "TradingSession", "UTC_SESSION", "avg_daily_volume", "bars_with_regime",
-    "cap_band", "curve_by_cap", "curve_by_regime", "curve_by_sector", "curve_cap_pivot", "curve_overall", "curves_together",
+    "cap_band", "curve_by_cap", "curve_by_regime", "curve_by_sector", "curve_cap_pivot", "curve_from_cells", "curve_overall", "curves_sketched", "curves_together",
     "daily_total_volume", "daily_volatility", "database_name", "feed_counts", "foreign_tickers", "kpi_cards",
     "latest_metadata", "missing_feeds", "normalized_volume", "quality_checks", "realized_volatility",
-    "regime_close_gap", "sector_spikes", "spark_session", "stg_daily_bars", "stg_intraday_bars",
+    "regime_close_gap", "sector_spikes", "sketched_cells", "spark_session", "stg_daily_bars", "stg_intraday_bars",
     "stg_ticker_metadata", "universe_join", "vol_threshold", "volume_curve", "with_cap_band",
     "with_metadata_defaults",
 ]

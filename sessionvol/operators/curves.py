@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionvol.functions.values import REGIMES
 from sessionvol.plans.joins import lookup_join, measured_bytes
 from sessionvol.plans.middle import SORT_ROWS, group_summaries, group_summary, number
+from sessionvol.session import settle
 
+SKETCH_K = 1_000  # of KLL sketches: a rank error of about 0.3 hundredths
 APPROX_ACCURACY = 10_000  # the sketch's rank error is at most 1 / this
 
 SLOT = ("minutes_since_open", "bar_hour", "bar_minute")
@@ -78,6 +80,40 @@ def curves_together(normalized: DataFrame, sort_rows: int = SORT_ROWS) -> tuple[
     return _curve(*overall, bands=True), _curve(*by_sector), _curve(*by_cap)
 
 
+def sketched_cells(normalized: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """Per sector, cap band and slot: count, mean, variance and a KLL sketch of the shares, from one pass.
+
+    A sketch holds about 3 * ``k`` numbers however many rows it stands for, and is exact below ``k`` rows. Kept as a table,
+    cells of several days or loads can be merged, too.
+    """
+    value = number("normalized_volume")
+    return normalized.groupBy("sector", "market_cap_band", *SLOT).agg(
+        F.count(F.lit(1)).alias("rows"), F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("variance"),
+        F.kll_sketch_agg_double(value, F.lit(k)).alias("sketch"),
+    )
+
+
+def curve_from_cells(cells: DataFrame, by: Sequence[str] = (), bands: bool = False) -> DataFrame:
+    """A curve from ``sketched_cells``: its median is a sketched one, the rest is exact."""
+    keys = [*by, *SLOT]
+    group = Window.partitionBy(*keys)
+    whole = F.sum(F.col("n") * F.col("mean")).over(group) / F.nullif(F.sum("n").over(group), F.lit(0))
+    apart = F.col("mean") - F.col("_whole")
+    merged = cells.withColumn("_whole", whole).groupBy(*keys).agg(
+        F.sum("rows").alias("rows"), F.sum("n").alias("n"), F.max("_whole").alias("mean"),
+        F.sqrt(F.sum(F.col("n") * (F.col("variance") + apart * apart)) / F.nullif(F.sum("n"), F.lit(0))).alias("deviation"),
+        F.kll_merge_agg_double("sketch").alias("sketch"),
+    )
+    middle = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)))
+    return _curve(merged.withColumn("lower", middle).withColumn("upper", F.col("lower")), keys, bands)
+
+
+def curves_sketched(normalized: DataFrame, k: int = SKETCH_K) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Overall, sector and cap curve with sketched medians, from one pass over the bars."""
+    cells = settle(sketched_cells(normalized, k))
+    return curve_from_cells(cells, bands=True), curve_from_cells(cells, ["sector"]), curve_from_cells(cells, ["market_cap_band"])
+
+
 def curve_overall(normalized: DataFrame, **options) -> DataFrame:
     return volume_curve(normalized, bands=True, **options)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sessionvol.functions.clock import UTC_SESSION, TradingSession
 from sessionvol.operators.metadata import latest_sql
-from sessionvol.plans.ordered import BLOCK_ROWS, block_window, ordered_blocks
+from sessionvol.plans.ordered import BLOCK_ROWS, block_window, ordered_blocks, with_previous
 
 # NaN passes "> 0" in Spark, so it is named.
 TRADED = "volume > 0 and close > 0 and not isnan(close)"
@@ -76,9 +76,18 @@ def daily_sql(days: str) -> str:
         WHERE {TRADED}"""
 
 
-def stg_daily_bars(days: DataFrame) -> DataFrame:
-    """Traded days with the return on the previous traded day; the same text as the view of the layers."""
-    return days.sparkSession.sql(daily_sql("{days}"), days=days)
+def stg_daily_bars(days: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Traded days with the return on the previous traded day.
+
+    The same rows as the view of the layers, which stores nothing but reads the days twice.  Here the days are read once, stored in order,
+    and a ticker or a day of any number of rows is spread over tasks.  Runs a job when called.
+    """
+    traded = days.where(TRADED).withColumn("volume", F.col("volume").cast("bigint"))
+    found = with_previous(traded, "ticker", DAY_ORDER, "close", "_close_before", block_rows)
+    return found.select(
+        "ticker", "trade_date", "open", "high", "low", "close", "volume",
+        (F.col("close") / F.col("_close_before") - 1).alias("daily_return"), "ingested_at",
+    )
 
 
 def metadata_sql(metadata: str) -> str:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sessionvol.functions.clock import UTC_SESSION, TradingSession
 from sessionvol.operators import curves, staging
@@ -12,7 +15,8 @@ from sessionvol.operators.normalize import normalized_volume
 from sessionvol.operators.volatility import daily_volatility
 from sessionvol.schemas import RAW
 from sessionvol.sources.scans import PARTITIONED_BY, read_raw
-from sessionvol.sources.sinks import raw_writer
+from sessionvol.session import settle
+from sessionvol.sources.sinks import ordered_raw, raw_writer, with_partition, without_rows_of
 
 LAYERS = ("raw", "staging", "marts")
 
@@ -47,6 +51,9 @@ class Layers:
     ``prefix`` is put before the database names; ``location`` is a folder for the
     databases (default: the session's warehouse).  Every build replaces what was there.
 
+    A mart is written to a folder of its own version first and then published by one change of its table's location, so its former
+    rows can be read during a build and after one that failed.  The version before the present one is kept for readers that began with it.
+
     ``partitions`` is the number of range partitions of the raw tables of bars and days.  ``buckets`` stores the
     two marts that are joined by day in that many buckets of (ticker, trade_date): the
     regime curve then reads both without a shuffle.  It pays where the volatility is too
@@ -88,9 +95,39 @@ class Layers:
             )
 
     def load_raw(self, relation: str, df: DataFrame, mode: str = "overwrite") -> None:
-        """Write a raw table; ``mode='append'`` adds a load to it."""
+        """Write a raw table; ``mode='append'`` adds a load to it.
+
+        ``mode='merge'`` adds a load so that months or years stay in order: the partitions it has rows of are written anew from old and new rows,
+        range-sorted together; the others are not touched.  Stored rows that are equal to one of the load give way to it, so a load may be
+        repeated.
+        """
         partitions = self.partitions if relation in PARTITIONED_BY else None
-        raw_writer(df, relation, mode, partitions).saveAsTable(self.name("raw", relation))
+        name = self.name("raw", relation)
+        if mode != "merge" or not self.spark.catalog.tableExists(name):
+            raw_writer(df, relation, "overwrite" if mode == "merge" else mode, partitions).saveAsTable(name)
+            return
+        new = settle(with_partition(df.select(*RAW[relation].fieldNames()), relation) if relation in PARTITIONED_BY else df)
+        old = self.spark.table(name)
+        if relation not in PARTITIONED_BY:
+            merged = settle(without_rows_of(old, new).unionByName(new))
+            raw_writer(merged, relation, "overwrite").saveAsTable(name)
+            return
+        part = PARTITIONED_BY[relation][0]
+        touched = [row[part] for row in new.select(part).distinct().collect()]  # months or years
+        same = F.col(part).isin([p for p in touched if p is not None])
+        old = old.where(same | F.col(part).isNull() if None in touched else same)
+        # Stored first: Spark doesn't write to a table that it reads.
+        merged = settle(without_rows_of(old, new).unionByName(new))
+        frame = ordered_raw(merged.select(*RAW[relation].fieldNames()), relation, partitions)
+        # The setting, as Spark looks for no option of that name when it inserts; only the partitions with rows are replaced.
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        former = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "dynamic")
+        try:
+            frame.write.insertInto(name, overwrite=True)
+        finally:
+            self.spark.conf.set(setting, former)
+        self.spark.catalog.refreshTable(name)
 
     def raw(self, relation: str, **bounds) -> DataFrame:
         return read_raw(self.spark, relation, table=self.name("raw", relation), **bounds)
@@ -122,7 +159,59 @@ class Layers:
             writer = df.sortWithinPartitions(*order).write
         else:
             writer = df.repartition(1).sortWithinPartitions(*order).write
-        writer.mode("overwrite").format("parquet").saveAsTable(self.name(layer, relation))
+        self._publish(writer, layer, relation)
+
+    def _publish(self, writer, layer: str, relation: str) -> None:
+        """Write a new version beside the present one, then switch to it."""
+        name, version = self.name(layer, relation), uuid.uuid4().hex
+        database = database_name(layer, "default", self.prefix)
+        home = self.spark.catalog.getDatabase(database).locationUri.rstrip("/")
+        folder, beside = f"{home}/{relation}_versions/{version}", f"{name}__{version}"
+        try:
+            writer.format("parquet").option("path", folder).saveAsTable(beside)
+            if not self._alike(name, beside):
+                # The first build, or other columns or buckets: the table itself changes.
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+                self.spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+            else:
+                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        except BaseException:
+            self._remove_folder(folder)
+            raise
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        self.spark.catalog.refreshTable(name)
+        self._retire(f"{home}/{relation}_versions", folder)
+
+    def _described(self, name: str) -> dict[str, str]:
+        return {row[0]: row[1] for row in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+    def _alike(self, name: str, other: str) -> bool:
+        """Are both external tables with equal columns, buckets and sort columns?"""
+        try:
+            here, there = self._described(name), self._described(other)
+        except AnalysisException:
+            return False
+        facts = ("Type", "Provider", "Num Buckets", "Bucket Columns", "Sort Columns")
+        same = all(here.get(f) == there.get(f) for f in facts)
+        return same and here["Type"] == "EXTERNAL" and self.spark.table(name).schema == self.spark.table(other).schema
+
+    def _files(self, folder: str):
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _remove_folder(self, folder: str) -> None:
+        system, path = self._files(folder)
+        system.delete(path, True)
+
+    def _retire(self, versions: str, present: str) -> None:
+        """Remove all versions but the present one and the one before."""
+        system, path = self._files(versions)
+        found = sorted(system.listStatus(path), key=lambda f: f.getModificationTime(), reverse=True)
+        others = [f.getPath() for f in found if f.getPath().getName() != present.rsplit("/", 1)[1]]
+        for old in others[1:]:
+            system.delete(old, True)
 
     def build_marts(self) -> None:
         """Normalised bars and volatility first; the four curves read their tables."""

@@ -58,6 +58,45 @@ def ordered_blocks(
     return placed.select("*", F.inline(copies).alias("_block", "_context"))
 
 
+def with_previous(
+    df: DataFrame, key: str, order: Sequence[str], column: str, name: str, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """``df`` with ``name``: the value of ``column`` in the row of the same key before, by ``order``; NULL in a key's first row.
+
+    Rows are range-partitioned by key and order and stored, in one pass over ``df``.  In a partition the row before is found
+    within pieces of ``block_rows`` rows; over its border every piece gets the key and value of the last row before it, from the piece
+    before or the last partition that has rows.  So no key, equal rows of any number among them, has to be in one task, and
+    nothing is joined.  A NULL key is a key like the others.  Runs a job when called.
+    """
+    ranged = df.withColumn("_spread", F.spark_partition_id()).repartitionByRange(key, *order, "_spread")
+    rows = settle(
+        ranged.sortWithinPartitions(key, *order).drop("_spread").withColumn("_id", F.monotonically_increasing_id())
+    )
+    number = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    pair = F.struct(F.col(key).alias("k"), F.col(column).alias("v"))
+    rows = rows.withColumns({"_part": F.shiftright("_id", 33).cast("int"), "_number": number}).drop("_id")
+    piece = F.floor(F.col("_number") / block_rows)
+    own = rows.select(*df.columns, "_part", piece.alias("_piece"), "_number", pair.alias("_pair"), F.lit(True).alias("_own"))
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+
+    def carry(borders: DataFrame) -> DataFrame:
+        return borders.select(*blank, "_part", "_piece", "_number", "_pair", F.lit(False).alias("_own"))
+
+    inner = rows.where(F.col("_number") % block_rows == block_rows - 1)
+    inner = inner.select("_part", (piece + 1).alias("_piece"), "_number", pair.alias("_pair"))
+    # One row per range partition.
+    last = rows.groupBy("_part").agg(F.max_by(pair, "_number").alias("_pair"))
+    outer = last.select(
+        "_part", F.lit(0).cast("bigint").alias("_piece"), F.lit(-1).cast("bigint").alias("_number"),
+        F.lag("_pair").over(Window.orderBy("_part")).alias("_pair"),
+    ).where(F.col("_pair").isNotNull())
+    pieces = own.unionByName(carry(inner)).unionByName(carry(outer))
+    before = F.lag("_pair").over(Window.partitionBy("_part", "_piece").orderBy("_number"))
+    found = pieces.withColumn("_before", before).where("_own")
+    value = F.when(F.col("_before.k").eqNullSafe(F.col(key)), F.col("_before.v"))
+    return found.select(*df.columns, value.alias(name))
+
+
 def block_window(key: str) -> WindowSpec:
     return Window.partitionBy(key, "_block").orderBy("_position")
 

@@ -49,12 +49,22 @@ def raw_writer(
     ``partitions`` is the number of range partitions (default: the session's shuffle
     partitions); aim at a few hundred MB each.
     """
-    ready = df.select(*RAW[relation].fieldNames())
+    ready = ordered_raw(df.select(*RAW[relation].fieldNames()), relation, partitions).write.mode(mode)
+    return ready.partitionBy(PARTITIONED_BY[relation][0]) if relation in PARTITIONED_BY else ready
+
+
+def ordered_raw(df: DataFrame, relation: str, partitions: int | None = None) -> DataFrame:
+    """Rows in the order of a raw table's files, with its partition column."""
     if relation not in PARTITIONED_BY:
-        return clustered(ready, SORTED_BY[relation], partitions).write.mode(mode)
-    part = PARTITIONED_BY[relation][0]
-    ordered = clustered(with_partition(ready, relation), (part, *SORTED_BY[relation]), partitions)
-    return ordered.write.mode(mode).partitionBy(part)
+        return clustered(df, SORTED_BY[relation], partitions)
+    columns = (PARTITIONED_BY[relation][0], *SORTED_BY[relation])
+    return clustered(with_partition(df, relation), columns, partitions)
+
+
+def without_rows_of(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of ``old`` that are equal to none of ``new``, NULLs equal to each other."""
+    one = new.select(*[F.col(c).alias(f"_new_{c}") for c in old.columns]).distinct()
+    return old.join(one, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in old.columns], "left_anti")
 
 
 def write_raw(
