@@ -4,22 +4,21 @@ A line's tokens are its distinct words. Lines of at least ``min_words`` words ta
 document id and place, has a Jaccard similarity of ``threshold`` or more with it. Lines are judged on the input, so a removed line still
 removes later ones.
 
-The join. Tokens are put in one order for all lines: by their count in the corpus, rarest first (counted in 2 ** COUNT_BITS cells by
-hash), then by hash. Lines with the same tokens are one class. Two classes of n and m tokens with similarity t share
+The join. Tokens are put in one order for all lines, rarest first, then by hash. Frequent tokens, those in OFTEN places or more, are counted exactly; the others by hash in
+2 ** COUNT_BITS cells, which only orders them. Lines with the same tokens are one class. Two classes of n and m tokens with similarity t share
 a token among the first n - ceil(t n) + 1 of either (prefix filter); what comes before their first shared token is in one of
-them only (positional filter); n >= t m (length filter). A token found in more than OFTEN places is no
-good key: if the first shared token is such a one, then so are all shared tokens, and the classes share two of them among
-the first n - ceil(t n) + 2; then pairs of frequent tokens are the keys. Every token flips one of 64 bits of its class, or of 128 if it has LONG tokens; candidates that differ in
-more bits than the sets may are dropped; the others are verified on their tokens.
-
-``linked_lines`` makes and verifies all pairs of classes that share a key, and counts their links. To drop lines (``remove_lines``,
-``dedup_lines``) it is enough that any earlier class is similar, so there not all pairs of a large family are made: under each key a class is paired with earlier
-ones, from the first on, until one is CLOSE or there are FIRST. If those fail and there were more, all candidates of that class are verified
-in a second round, which looks at the keys of such classes only, and with 512 bits.
-
-Tokens are 40-bit codes. At scale: classes instead of copies are joined, so groups of copies cost one entry per
-batch; entries go in packed blocks to buckets whose number follows the bytes of the table; pairs of a frequent token are split by their other
-token. Only the places of kept lines are joined to the texts that lose some.
+them only (positional filter); n >= t m (length filter). A frequent token is no good key: if the first shared token is one, then so are all
+shared tokens, and classes that must share two of them share two among the first n - ceil(t n) + 2; then pairs of frequent tokens are the keys. Classes of LONG tokens or more
+have no pairs but single keys, together with their length (each length class meets itself and the next), so their keys grow with their tokens only. Every token flips
+one of 64 bits of its class, or of 128 if it has LONG tokens; classes that differ in more bits than the sets may are no candidates.
+
+First, small entries without tokens meet by key, and each class with a candidate under a key goes on, once for that key however many candidates it has (under a key of over
+HOT classes all go on). Then these classes meet by key with their tokens, keys of over BLOCK classes in tiles of two blocks, and every pair is verified under the first key that
+it shares, by a product of token matrices. What comes out is a row for each class: its number of links, and whether an earlier class is similar. No pair is ever a row.
+
+Tokens are compared by 40 bits of a hash: two words of one pair of lines are taken for each other in about one of 10 ** 12 cases. At scale: classes instead of copies are joined, so groups
+of copies cost one entry per batch; entries go in packed blocks to buckets whose number follows the bytes of the table. The list of frequent tokens is at most 2 ** FREQUENT_BITS
+long, as each holds so large a share of all words at least. Only the places of kept lines are joined to the texts that lose some.
 """
 
 from __future__ import annotations
@@ -37,50 +36,120 @@ from sessionvol.llm.rows import K1, K2, keyed, row_key, ship, shuffle_partitions
 from sessionvol.session import new_folder, settle
 
 COUNT_BITS = 20
-OFTEN = 1024
+#: Places from which on a token is frequent; in a very large corpus the 2 ** FREQUENT_BITS-th part of all words, if that is more.
+OFTEN, FREQUENT_BITS = 1024, 20
 #: Bytes of entries in a bucket, and entries' bytes per byte of text.
 BUCKET_BYTES, SHARE = 16 << 20, 0.8
-#: Tokens of a class from which on it has a second word of bits.
+#: Tokens of a class from which on it has a second word of bits, and keys of single tokens only.
 LONG = 64
-#: A candidate that differs in at most this share of the bits that it may is all but certain: a class needs no other under that key.
-CLOSE = 0.5
-#: Candidates of a class under one key, before the rest is looked at.
-FIRST = 2
-#: Pairs that a task holds at a time, where all are made.
-PAIRS = 1 << 20
+#: Classes of a key that are compared for candidates; under larger keys all are candidates.
+HOT = 4096
+#: Classes of a block of a key, and pairs that a task compares at a time.
+BLOCK, PAIRS = 16384, 1 << 20
 #: Classes with a candidate, and documents that lose lines, that are sent to all tasks rather than joined by shuffle.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
+_LAST = np.iinfo(np.int64).max
+_HASH = np.uint64((1 << 40) - 1)
+_FREQUENT = 2  # name of frequent tokens among the counts that tasks send
 
 
 def _cells(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
 
 
+def _summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order, and the sum of the counts of each."""
+    h, n = np.concatenate(hashes), np.concatenate(counts)
+    if not len(h):
+        return h, n
+    order = np.argsort(h, kind="stable")
+    h, n = h[order], n[order]
+    new = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    return h[new], np.add.reduceat(n, new)
+
+
 @K.lean
 def _count(batches):
-    """Texts to words by cell (0), and bytes (1)."""
+    """Texts to words by cell (0), bytes (1), and tokens that may be frequent (_FREQUENT, by the first byte of their hash)."""
     counts, size = np.zeros(1 << COUNT_BITS, np.int64), np.zeros(1, np.int64)
+    seen: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[np.ndarray] = []
+
+    def count_held():
+        h = np.concatenate(held)
+        counts[:] += np.bincount(_cells(h), minlength=len(counts))
+        token, n = np.unique(h, return_counts=True)
+        # A token of a frequent one's share is so often in one chunk of words at least.
+        use = n >= max(min(2, OFTEN), len(h) >> FREQUENT_BITS)
+        seen.append((token[use], n[use].astype(np.int64)))
+        if sum(len(t) for t, _ in seen) > 1 << 22:
+            seen[:] = [_summed(*map(list, zip(*seen)))]
+        held.clear()
+
     for batch in batches:
         data, offsets = K.buffer(batch.column("text"))
         size += len(data)
-        cells, held = [], 0
         for a, b in K.chunks(offsets):
-            words = K.Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], K.GRAPHIC)
-            cells.append(_cells(words.hashes()))
-            held += len(cells[-1])
-            if held > 1 << 21:
-                counts += np.bincount(np.concatenate(cells), minlength=len(counts))
-                cells, held = [], 0
-        if cells:
-            counts += np.bincount(np.concatenate(cells), minlength=len(counts))
+            held.append(K.Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], K.GRAPHIC).hashes())
+            if sum(map(len, held)) > 1 << 21:
+                count_held()
+    if held:
+        count_held()
     yield from counting.send({0: counts, 1: size})
+    if seen:
+        token, n = _summed(*map(list, zip(*seen)))
+        edges = np.searchsorted(token >> np.uint64(56), np.arange(257, dtype=np.uint64))
+        some = [k for k in range(256) if edges[k] < edges[k + 1]]
+        parts = [slice(edges[k], edges[k + 1]) for k in some]
+        columns = [[_FREQUENT] * len(some), some, [token[p].tobytes() for p in parts], [n[p].astype(np.int32).tobytes() for p in parts]]
+        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        if some:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["name", "slice", "at", "n"])
+
+
+def _frequent(often: int):
+    """Counts of possible frequent tokens to those that are."""
+
+    def run(batches):
+        parts: dict[int, list] = {}
+        for batch in batches:
+            for part, at, n in zip(*(batch.column(c).to_pylist() for c in ("slice", "at", "n"))):
+                parts.setdefault(part, []).append((np.frombuffer(at, np.uint64), np.frombuffer(n, np.int32).astype(np.int64)))
+        for found in parts.values():
+            token, n = _summed(*map(list, zip(*found)))
+            use = n >= often
+            yield pa.RecordBatch.from_arrays([pa.array([token[use].tobytes()]), pa.array([n[use].tobytes()])], names=["token", "n"])
+
+    return K.lean(run)
+
+
+def _rank(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(255, (np.log2(np.maximum(counts, 1)) * 6).astype(np.int64) + 1)
 
 
-def _ranks(counts: np.ndarray) -> np.ndarray:
-    """Rank of each cell's count, the eight highest of a code's bits."""
-    rank = np.minimum(255, (np.log2(np.maximum(counts, 1)) * 6).astype(np.int64) + 1)
-    return rank.astype(np.uint64) << np.uint64(32)
+class Order:
+    """The order of all tokens: a code's highest byte is the rank of its count, the rest its hash."""
+
+    def __init__(self, cells: np.ndarray, tokens: np.ndarray, counts: np.ndarray, often: int):
+        by = np.argsort(tokens)
+        self.tokens = tokens[by]
+        rest = cells.copy()
+        np.subtract.at(rest, _cells(self.tokens), counts[by])
+        self.often = int(_rank(np.array([often]))[0])
+        self.rare = np.minimum(_rank(rest), self.often - 1).astype(np.uint8)
+        self.ranks = np.maximum(_rank(counts[by]), self.often).astype(np.uint8)
+
+    def codes(self, h: np.ndarray) -> np.ndarray:
+        rank = self.rare[_cells(h)]
+        if len(self.tokens):
+            at = np.minimum(np.searchsorted(self.tokens, h), len(self.tokens) - 1)
+            hit = self.tokens[at] == h
+            rank = np.where(hit, self.ranks[at], rank)
+        return (rank.astype(np.uint64) << np.uint64(40)) | (h & _HASH)
+
+    def is_rare(self, codes: np.ndarray) -> np.ndarray:
+        return (codes >> np.uint64(40)) < np.uint64(self.often)
 
 
 class Lines:
@@ -100,14 +169,14 @@ class Lines:
         self.number = self.breaks[self.first] - self.before[self.row]
         self.part = self.size >= min_words
 
-    def codes(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def codes(self, order: Order) -> tuple[np.ndarray, np.ndarray]:
         """Ordered distinct codes of the lines that take part, one after the other, and where each line begins."""
         lines = np.flatnonzero(self.part)
         of = np.repeat(np.arange(len(self.first)), self.size)
         take = self.part[of]
         of = of[take]
         h = self.words.hashes()[take]
-        code = ranks[_cells(h)] | (h & np.uint64((1 << 32) - 1))
+        code = order.codes(h)
         place = np.zeros(len(self.first), np.int64)
         place[lines] = np.arange(len(lines))
         out, begins = [], []
@@ -122,7 +191,7 @@ class Lines:
             key = np.sort(local | code[edges[a] : edges[b]])
             key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
             begins.append(np.searchsorted(key, np.arange(b - a, dtype=np.uint64) << np.uint64(48)) + done)
-            out.append(key & np.uint64((1 << 40) - 1))
+            out.append(key & np.uint64((1 << 48) - 1))
             done += len(key)
         codes = np.concatenate(out) if out else np.zeros(0, np.uint64)
         return codes, np.append(np.concatenate(begins) if begins else np.zeros(0, np.int64), done).astype(np.int64)
@@ -131,17 +200,16 @@ class Lines:
 _LINES = f"{K1} long, {K2} long, doc_id long, line int, s1 long, s2 long, n int, bits long, bits2 long, codes binary, of int"
 
 
-def _lines(counts, min_words: int):
+def _lines(order, min_words: int):
     """Texts to their lines; the codes are given at the first line of each class in a batch only."""
 
     def run(batches):
-        ranks = _ranks(counts.value)
         for batch in batches:
             data, offsets = K.buffer(batch.column("text"))
             parts = []
             for a, b in K.chunks(offsets, 4 * K.CHUNK):
                 lines = Lines(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], min_words)
-                codes, at = lines.codes(ranks)
+                codes, at = lines.codes(order.value)
                 if len(at) < 2:
                     continue
                 m = K.mix(codes)
@@ -164,10 +232,10 @@ def _lines(counts, min_words: int):
             by = np.lexsort((number, doc, s2, s1))
             first = np.zeros(len(s1), bool)
             first[by[np.append(True, (s1[by][1:] != s1[by][:-1]) | (s2[by][1:] != s2[by][:-1]))]] = True
-            five = np.ascontiguousarray(codes[np.repeat(first, n)].view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+            six = np.ascontiguousarray(codes[np.repeat(first, n)].view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
             at = np.zeros(len(n) + 1, np.int32)
-            np.cumsum(np.where(first, n, 0) * 5, out=at[1:])
-            blobs = pa.Array.from_buffers(pa.binary(), len(n), [pa.array(first).buffers()[1], pa.py_buffer(at), pa.py_buffer(five)])
+            np.cumsum(np.where(first, n, 0) * 6, out=at[1:])
+            blobs = pa.Array.from_buffers(pa.binary(), len(n), [pa.array(first).buffers()[1], pa.py_buffer(at), pa.py_buffer(six)])
             keys = [batch.column(c).take(pa.array(row)) for c in (K1, K2, "doc_id")]
             numbers = [pa.array(x.view(np.int64)) for x in (s1, s2)], [pa.array(x.view(np.int64)) for x in (bits, more)]
             yield pa.RecordBatch.from_arrays(
@@ -178,18 +246,16 @@ def _lines(counts, min_words: int):
     return K.lean(run)
 
 
-def _wide(five: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(five) // 5, 8), np.uint8)
-    out[:, :5] = five.reshape(-1, 5)
+def _wide(six: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(six) // 6, 8), np.uint8)
+    out[:, :6] = six.reshape(-1, 6)
     return out.reshape(-1).view(np.uint64)
 
 
-#: Fields of an entry: key, class, place (document, line), two words of bits, tokens, place of the token, is every candidate wanted?
-_ENTRY = {"code": "<u4", "s1": "<i8", "doc": "<i8", "line": "<i4", "bits": "<u8", "bits2": "<u8", "n": "<u2", "at": "<u2", "all": "u1"}
-#: In the second round an entry has this many more words of bits, so that hardly any bits cancel out.
-_WORDS = 8
-_WIDE = {f"w{k}": "<u8" for k in range(_WORDS)}
-_LAST = np.iinfo(np.int64).max
+#: Fields of an entry: key, class, two words of bits, tokens, place of the (first) token, and the kind of key: 0 a single token, k > 0 a token and the one k places on,
+#: OWN and NEXT a token with the length class of its class and with the one above.
+_ENTRY = {"code": "<u4", "s1": "<i8", "bits": "<u8", "bits2": "<u8", "n": "<u4", "at": "<u4", "step": "<i4"}
+OWN, NEXT = -1, -2
 
 
 def _planes(column: np.ndarray) -> bytes:
@@ -207,17 +273,32 @@ def _columns(raw: bytes, n: int, fields: dict[str, str]) -> dict[str, np.ndarray
     return out
 
 
-def _entries(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, threshold: float, often: int):
-    """Keys of all classes: line, key, place of its (first) token."""
+def _shared_at_least(n, m, threshold: float):
+    """Tokens that sets of n and m share if they are similar."""
+    return np.ceil(threshold / (1 + threshold) * (n + m) - 1e-9).astype(np.int64)
+
+
+def _length_class(n: np.ndarray, threshold: float) -> np.ndarray:
+    """Similar sets are in one length class or in two that follow each other."""
+    edges, most = [1], int(n.max(initial=1))
+    while edges[-1] <= most:
+        edges.append(max(edges[-1] + 1, int(np.ceil(edges[-1] / threshold - 1e-9))))
+    return np.searchsorted(edges, n, "right")
+
+
+def _entries(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, threshold: float, order: Order):
+    """Keys of all classes: line, key, place of its (first) token, kind."""
     prefix = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
     reach = np.minimum(prefix + 1, n)  # the prefix that shares two tokens
     line = np.repeat(np.arange(len(n)), reach)
     at = np.arange(len(line)) - np.repeat(np.cumsum(reach) - reach, reach)
     code = codes[begin[line] + at]
-    rare = (code >> np.uint64(32)).astype(np.int64) < often
-    single = (at < prefix[line]) & (rare | (n[line] == 1))
-    lines, keys, places = [line[single]], [code[single]], [at[single]]
-    i = np.flatnonzero(~rare & (n[line] > 1))
+    rare = order.is_rare(code)
+    short = n[line] < LONG
+    one = _shared_at_least(n, np.ceil(threshold * n - 1e-9), threshold) <= 1  # sets that may be similar by one token
+    single = short & (at < prefix[line]) & (rare | one[line])
+    lines, keys, places, kinds = [line[single]], [code[single]], [at[single]], [np.zeros(int(single.sum()), np.int64)]
+    i = np.flatnonzero(short & ~rare)
     step = 1
     while len(i):  # pairs of frequent tokens of one line, by their distance
         i = i[i + step < len(line)]
@@ -225,8 +306,18 @@ def _entries(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, threshold: flo
         lines.append(line[i])
         keys.append(K.mix(code[i] * np.uint64(0x9E3779B97F4A7C15) + code[i + step]) | np.uint64(1 << 63))
         places.append(at[i])
+        kinds.append(np.full(len(i), step))
         step += 1
-    return tuple(map(np.concatenate, (lines, keys, places)))
+    # Sets that may be similar to one of LONG tokens have these keys besides.
+    far = np.flatnonzero((n[line] >= threshold * LONG - 1e-9) & (at < prefix[line]))
+    if len(far):
+        length = _length_class(n, threshold)[line[far]]
+        for kind, up in ((OWN, 0), (NEXT, 1)):
+            lines.append(line[far])
+            keys.append(K.mix(code[far] * np.uint64(0xD6E8FEB86659FD93) + (length + up).astype(np.uint64)) >> np.uint64(1) | np.uint64(1 << 62))
+            places.append(at[far])
+            kinds.append(np.full(len(far), kind))
+    return tuple(map(np.concatenate, (lines, keys, places, kinds)))
 
 
 def _first_of_batch(batch: pa.RecordBatch) -> np.ndarray:
@@ -237,31 +328,8 @@ def _first_of_batch(batch: pa.RecordBatch) -> np.ndarray:
     return np.sort(by[np.append(True, s1[by][1:] != s1[by][:-1])]) if len(s1) else by
 
 
-def _keys(batch: pa.RecordBatch, threshold: float, often: int):
-    data, offsets = K.buffer(batch.column("codes"))
-    n = batch.column("n").to_numpy().astype(np.int64)
-    return _entries(_wide(data), offsets[:-1] // 5, n, threshold, often)
-
-
-def _keys_of(threshold: float, often: int):
-    """Lines to the keys they have."""
-
-    def run(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_keys(batch, threshold, often)[1]).view(np.int64))], names=["key"])
-
-    return K.lean(run)
-
-
-def _words(codes: np.ndarray, begins: np.ndarray) -> dict[str, np.ndarray]:
-    """The bits of each line in _WORDS words."""
-    m = K.mix(K.mix(codes))
-    flip, word = np.uint64(1) << (m >> np.uint64(58)), (m >> np.uint64(55)) & np.uint64(_WORDS - 1)
-    return {f"w{k}": np.bitwise_xor.reduceat(np.where(word == k, flip, np.uint64(0)), begins) for k in range(_WORDS)}
-
-
-def _deal(threshold: float, buckets: int, often: int, only, rest: bool):
-    """Lines to packed entries, one row per (batch, bucket); with ``only`` those of its keys, with ``rest`` with more bits."""
+def _deal(threshold: float, buckets: int, order):
+    """Lines to packed entries, one row per (batch, bucket)."""
 
     def run(batches):
         codec = pa.Codec("zstd", 1)
@@ -270,26 +338,19 @@ def _deal(threshold: float, buckets: int, often: int, only, rest: bool):
             if not len(batch):
                 continue
             part = batch.take(pa.array(_first_of_batch(batch)))
-            line, key, at = _keys(part, threshold, often)
-            if only is not None:
-                use = np.isin(key, only.value)
-                line, key, at = line[use], key[use], at[use]
+            data, offsets = K.buffer(part.column("codes"))
+            n = part.column("n").to_numpy().astype(np.int64)
+            line, key, at, step = _entries(_wide(data), offsets[:-1] // 6, n, threshold, order.value)
             mixed = K.mix(key)
             bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            line, bucket = line[order], bucket[order]
-            n = part.column("n").to_numpy()
+            by = np.argsort(bucket, kind="stable")
+            line, bucket = line[by], bucket[by]
             entries = {
-                "code": mixed[order].astype(np.uint32),  # keys of one bucket that agree in 32 bits only make more candidates
-                "s1": part.column("s1").to_numpy()[line], "doc": part.column("doc_id").fill_null(_LAST).to_numpy()[line],
-                "line": part.column("line").to_numpy()[line], "bits": part.column("bits").to_numpy().view(np.uint64)[line],
+                "code": mixed[by].astype(np.uint32),  # keys of one bucket that agree in 32 bits only meet more classes
+                "s1": part.column("s1").to_numpy()[line], "bits": part.column("bits").to_numpy().view(np.uint64)[line],
                 "bits2": part.column("bits2").to_numpy().view(np.uint64)[line],
-                "n": np.minimum(n[line], 65535).astype(np.uint16), "at": np.minimum(at[order], 65535).astype(np.uint16),
-                "all": part.column("all").to_numpy(zero_copy_only=False).astype(np.uint8)[line],
+                "n": n[line].astype(np.uint32), "at": at[by].astype(np.uint32), "step": step[by].astype(np.int32),
             }
-            if rest:
-                data, offsets = K.buffer(part.column("codes"))
-                entries |= {f: x[line] for f, x in _words(_wide(data), offsets[:-1] // 5).items()}
             edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket)) if len(bucket) else [0]
             out = []
             for a, b in zip(edges[:-1], edges[1:]):
@@ -301,109 +362,67 @@ def _deal(threshold: float, buckets: int, often: int, only, rest: bool):
     return K.lean(run)
 
 
-def _candidates(blobs: list[tuple[int, bytes]], threshold: float, rest: bool, most: int, close: float, whole: bool = False):
-    """Of one bucket: pairs (class, earlier class), in parts, each with whether there may be more candidates, and whether both places are equal.
-
-    With ``rest`` all candidates, for the classes that want them; with ``whole`` all candidates of all classes.
-    """
+def _live(blobs: list[tuple[int, bytes]], threshold: float):
+    """Of one bucket: entries that have a candidate under their key (code, s1, at, step), and how many these are under that key."""
     codec = pa.Codec("zstd")
-    fields = _ENTRY | (_WIDE if rest else {})
-    size = sum(np.dtype(k).itemsize for k in fields.values())
-    parts = [_columns(codec.decompress(blob, n * size, asbytes=True), n, fields) for n, blob in blobs]
-    e = {f: np.concatenate([p[f] for p in parts]) for f in fields}
+    size = sum(np.dtype(k).itemsize for k in _ENTRY.values())
+    parts = [_columns(codec.decompress(blob, n * size, asbytes=True), n, _ENTRY) for n, blob in blobs]
+    e = {f: np.concatenate([p[f] for p in parts]) for f in _ENTRY}
     del parts
-    order = np.lexsort((e["line"], e["doc"], e["code"]))
-    code, s1 = e["code"][order], e["s1"][order]
-    by = np.lexsort((s1, code))  # keeps the order of places: a class counts at its first one
-    again = np.zeros(len(by), bool)
-    again[by[1:]] = (code[by][1:] == code[by][:-1]) & (s1[by][1:] == s1[by][:-1])
-    order, code = order[~again], code[~again]
+    by = np.lexsort((e["s1"], e["code"]))
+    code, s1 = e["code"][by], e["s1"][by]
+    new = np.append(True, (code[1:] != code[:-1]) | (s1[1:] != s1[:-1]))  # a class once for a key
+    by, code = by[new], code[new]
     begins = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
     length = np.diff(np.append(begins, len(code)))
-    order = order[np.repeat(length > 1, length)]  # a class alone under its key is done
+    by = by[np.repeat(length > 1, length)]  # a class alone under its key is done
     length = length[length > 1]
-    s1, bits, bits2, n, at, wants, doc, line = (e[f][order] for f in ("s1", "bits", "bits2", "n", "at", "all", "doc", "line"))
-    words = [e[f][order] for f in _WIDE] if rest else []
+    if not len(by):
+        return None
+    code, s1, bits, bits2, n, at, step = (e[f][by] for f in _ENTRY)
     del e
-    if not len(order):
-        return
-    n, at = n.astype(np.int32), at.astype(np.int32)
-    both = np.arange(2 * int(n.max()) + 1)
-    allowed = (both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9)).astype(np.int32)  # tokens that may differ
-    first = np.repeat(np.cumsum(length) - length, length)
-    end = first + np.repeat(length, length)
-    # Places are equal for documents of one id only; then either may be earlier.
-    same = (doc[1:] == doc[:-1]) & (line[1:] == line[:-1]) & (first[1:] == first[:-1])
-    ties, huge = bool(same.any()), bool((n == 65535).any())
-    i = np.flatnonzero(wants > 0) if rest else np.arange(len(s1))
-    found = np.zeros(len(s1), np.int32)
-    step = 0
+    n, at = n.astype(np.int64), at.astype(np.int64)
+    unshared = at + np.maximum(step - 1, 0)
+    long = n >= LONG
+    end = np.repeat(np.cumsum(length), length)
+    live = np.repeat(length > HOT, length)
+    group = np.repeat(np.arange(len(length)), length)
+    i = np.flatnonzero(~live)
+    far = 1
     while len(i):
-        j = first[i] + step
-        if ties:
-            i, j = i[j < end[i]], j[j < end[i]]
-            go = (j < i) | ((j > i) & (doc[j] == doc[i]) & (line[j] == line[i]))
-            wait = go | ((j == i) & (step + first[i] < end[i] - 1))
-            x, y, i = i[go], j[go], i[wait]
-        else:
-            i, j = i[j < i], j[j < i]
-            x, y = i, j
-        apart, limit = np.abs(n[x] - n[y]), allowed[n[x] + n[y]]
-        good = (limit > 0) & (apart <= limit) & (at[x] + at[y] <= limit)
-        if huge:
-            good |= np.maximum(n[x], n[y]) == 65535
-        g = np.flatnonzero(good)
-        if len(g):
-            x, y, limit = x[g], y[g], limit[g]
-            off = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int32)
-            # Only classes that both have a second word are compared in it; else both words together say less.
-            long = (n[x] >= LONG) & (n[y] >= LONG)
-            mixed = np.bitwise_count(bits[x] ^ bits2[x] ^ bits[y] ^ bits2[y])
-            off = np.where(long, off + np.bitwise_count(bits2[x] ^ bits2[y]), mixed)
-            if rest:
-                off = sum(np.bitwise_count(w[x] ^ w[y]).astype(np.int32) for w in words)
-            good = off <= limit
-            if huge:
-                good |= np.maximum(n[x], n[y]) == 65535
-            x, y, off = x[good], y[good], off[good]
-            if len(x):
-                tie = (doc[x] == doc[y]) & (line[x] == line[y])
-                found[x] += 1
-                over = (found[x] >= most) | ((off <= close * limit[good]) & ~tie) if not (rest or whole) else np.zeros(len(x), bool)
-                yield s1[x], s1[y], over, tie
-                if over.any():
-                    found[x[over]] = -1 << 30
-                    i = i[found[i] >= 0]
-        step += 1
-
-
-def _join(threshold: float, rest: bool, most: int, close: float, whole: bool = False):
-    """Buckets to distinct pairs; one marked ``more`` says that class a may have more candidates than those given."""
+        i = i[i + far < end[i]]
+        x = i[~(live[i] & live[i + far])]
+        y = x + far
+        total = n[x] + n[y]
+        limit = total - 2 * _shared_at_least(n[x], n[y], threshold)  # tokens that may differ
+        good = (np.abs(n[x] - n[y]) <= limit) & (unshared[x] + unshared[y] <= limit) & ((step[x] != NEXT) | (step[y] != NEXT))
+        x, y, limit = x[good], y[good], limit[good]
+        off = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int64)
+        # Only classes that both have a second word are compared in it; else both words together say less.
+        mixed = np.bitwise_count(bits[x] ^ bits2[x] ^ bits[y] ^ bits2[y])
+        off = np.where(long[x] & long[y], off + np.bitwise_count(bits2[x] ^ bits2[y]), mixed)
+        good = off <= limit
+        live[x[good]] = live[y[good]] = True
+        far += 1
+        if far % 32 == 0:  # keys whose classes all have one are done
+            open_groups = np.bincount(group[~live], minlength=len(length)) > 0
+            i = i[open_groups[group[i]]]
+    many = np.bincount(group[live], minlength=len(length))[group]
+    return tuple(v[live] for v in (code, s1, at, step, many))
+
+
+def _candidates(threshold: float):
+    """Buckets to live entries: key, s1, at, step, m (live classes under the key)."""
 
     def run(batches):
         bucket, blobs = None, []
 
         def done():
-            found, held = [], 0
-            for part in _candidates(blobs, threshold, rest, most, close, whole) if blobs else ():
-                found.append(part)
-                held += len(part[0])
-                if whole and held > PAIRS:  # a large family's pairs go on in parts
-                    yield from sent(found)
-                    found, held = [], 0
-            yield from sent(found)
-
-        def sent(found):
-            if found:
-                a, b, more, tie = (np.concatenate(x) for x in zip(*found))
-                flags = more.astype(np.int64) + 2 * tie
-                order = np.lexsort((flags, b, a))
-                a, b, flags = a[order], b[order], flags[order]
-                new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (flags[1:] != flags[:-1]))
-                a, b, flags = a[new], b[new], flags[new]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a), pa.array(b), pa.array((flags & 1) > 0), pa.array((flags & 2) > 0)], names=["a", "b", "more", "tie"]
-                )
+            found = _live(blobs, threshold) if blobs else None
+            if found and len(found[0]):
+                code, s1, at, step, many = found
+                key = (np.int64(bucket) << np.int64(32)) | code.astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (key, s1, at.astype(np.int32), step.astype(np.int32), many.astype(np.int64))], names=["key", "s1", "at", "step", "m"])
 
         for batch in batches:
             for b, n, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "n", "blob"))):
@@ -416,91 +435,213 @@ def _join(threshold: float, rest: bool, most: int, close: float, whole: bool = F
     return K.lean(run)
 
 
-def _verify(threshold: float):
+class Tile:
+    """Classes of one key, or of two of its blocks: their codes and what comes before (or between) the key's tokens."""
+
+    def __init__(self, codes: list[np.ndarray], at: np.ndarray, step: np.ndarray, rank: np.ndarray, threshold: float):
+        self.codes, self.at, self.step, self.rank, self.threshold = codes, at, step, rank, threshold
+        self.n = np.array([len(c) for c in codes])
+        self.early = [np.concatenate([c[:a], c[a + 1 : a + s]]) if s > 0 else c[:a] for c, a, s in zip(codes, at.tolist(), step.tolist())]
+        self.links, self.later = np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
+
+    def _having(self, rows: np.ndarray, token) -> np.ndarray:
+        return np.array([token in self.early[r] for r in rows.tolist()], bool)
+
+    def _split(self, x: np.ndarray, y: np.ndarray, same: bool, depth: int = 3):
+        """Parts of the pairs x by y (or of x, ``same``) without those that share a common early token: they meet under another key."""
+        rows = x if same else np.concatenate([x, y])
+        early = [self.early[r] for r in rows.tolist()] if depth and len(rows) >= 64 else []
+        flat = np.concatenate(early) if early else np.zeros(0, np.uint64)
+        token, n = np.unique(flat, return_counts=True)
+        if not len(token) or 2 * n.max() < len(rows):
+            yield x, y, same
+            return
+        token = token[np.argmax(n)]
+        has_x = self._having(x, token)
+        if same:
+            yield from self._split(x[~has_x], x[~has_x], True, depth - 1)
+            yield from self._split(x[~has_x], x[has_x], False, depth - 1)
+        else:
+            has_y = self._having(y, token)
+            yield from self._split(x[~has_x], y, False, depth - 1)
+            yield from self._split(x[has_x], y[~has_y], False, depth - 1)
+
+    def _strips(self, rows: np.ndarray, most: int, tokens: int):
+        """Rows in parts of at most so many rows, and of about so many tokens."""
+        low, total = 0, np.cumsum(self.n[rows])
+        while low < len(rows):
+            high = int(np.searchsorted(total, (total[low - 1] if low else 0) + tokens, "right"))
+            high = min(max(high, low + 1), low + most, len(rows))
+            yield rows[low:high]
+            low = high
+
+    @staticmethod
+    def _shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+        """Number of codes that each of ``a`` shares with each of ``b``."""
+        fa, fb = np.concatenate(a), np.concatenate(b)
+        words = np.intersect1d(fa, fb)
+        out = np.zeros((len(a), len(b)), np.float32)
+        row_a, row_b = (np.repeat(np.arange(len(v)), [len(c) for c in v]) for v in (a, b))
+        for k in range(0, len(words), 2048):
+            part = words[k : k + 2048]
+            sides = []
+            for flat, row, size in ((fa, row_a, len(a)), (fb, row_b, len(b))):
+                place = np.minimum(np.searchsorted(part, flat), len(part) - 1)
+                hit = part[place] == flat
+                side = np.zeros((size, len(part)), np.float32)
+                side[row[hit], place[hit]] = 1
+                sides.append(side)
+            out += sides[0] @ sides[1].T
+        return out
+
+    def compare(self, x: np.ndarray, y: np.ndarray, same: bool, frequent: bool) -> None:
+        """Verify the pairs of rows x by y, or those within x, whose first shared key this is."""
+        for x, y, same in self._split(x, y, same):
+            x, y = x[np.argsort(self.n[x], kind="stable")], y[np.argsort(self.n[y], kind="stable")]
+            side = max(1, int(PAIRS**0.5))
+            for a in self._strips(x, max(1, side // 2), 1 << 16):
+                for b in self._strips(y, 2 * side, 1 << 18):
+                    if self.n[b].min() > self.n[a].max() / self.threshold + 1e-6 or self.n[b].max() < self.threshold * self.n[a].min() - 1e-6:
+                        continue
+                    self._verify(a, b, same, frequent)
+
+    def _verify(self, a: np.ndarray, b: np.ndarray, same: bool, frequent: bool) -> None:
+        n, m = self.n[a][:, None], self.n[b][None, :]
+        shared = self._shared([self.codes[r] for r in a.tolist()], [self.codes[r] for r in b.tolist()])
+        link = shared >= self.threshold * (n + m - shared) - 1e-6
+        if same:
+            link &= a[:, None] < b[None, :]
+        kind_a, kind_b = self.step[a][:, None], self.step[b][None, :]
+        if (self.step[a] < 0).any():
+            link &= (np.maximum(n, m) >= LONG) & ((kind_a != NEXT) | (kind_b != NEXT))
+        elif frequent or (self.step[a] > 0).any():
+            link &= (_shared_at_least(n, m, self.threshold) >= 2) == (kind_a > 0)
+        if not link.any():
+            return
+        early_a, early_b = [self.early[r] for r in a.tolist()], [self.early[r] for r in b.tolist()]
+        if sum(map(len, early_a)) and sum(map(len, early_b)):
+            link &= self._shared(early_a, early_b) == 0
+        rank_a, rank_b = self.rank[a][:, None], self.rank[b][None, :]
+        np.add.at(self.links, a, link.sum(axis=1))
+        np.add.at(self.links, b, link.sum(axis=0))
+        self.later[a] |= (link & (rank_b < rank_a)).any(axis=1)
+        self.later[b] |= (link & (rank_a < rank_b)).any(axis=0)
+
+
+_TILE = f"key long, x int, y int, block int, s1 long, s2 long, at int, step int, unknown boolean, doc_id long, {K2} long, line int, codes binary"
+_FOUND = "s1 long, s2 long, n long, later boolean"
+
+
+def _tile_rows(batches):
+    """Tables of the rows of one tile each."""
+    held, last = [], None
+    for batch in batches:
+        if not len(batch):
+            continue
+        tile = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "x", "y")])
+        edges = [0, *(np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(axis=0)) + 1).tolist(), len(batch)]
+        for a, b in zip(edges, edges[1:]):
+            now = tuple(tile[:, a].tolist())
+            if held and now != last:
+                yield pa.Table.from_batches(held), last
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held), last
+
+
+def _verify_tiles(threshold: float, order):
+    """Tiles to their classes that have a link: how many, and whether one to an earlier class."""
+
     def run(batches):
-        for batch in batches:
-            a, b = (K.buffer(batch.column(c)) for c in ("codes_a", "codes_b"))
-            keep = np.zeros(len(batch), bool)
-            for i in range(len(batch)):
-                x, y = (_wide(d[o[i] : o[i + 1]]) for d, o in (a, b))
-                both = np.concatenate([x, y])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                keep[i] = shared >= threshold * (len(both) - shared) - 1e-9
-            yield batch.filter(pa.array(keep, pa.bool_())).drop_columns(["codes_a", "codes_b"])
+        found, held = [], 0
+        for table, (_, x, y) in _tile_rows(batches):
+            data, offsets = K.buffer(table.column("codes"))
+            wide = _wide(data)
+            codes = [wide[a:b] for a, b in zip((offsets // 6)[:-1].tolist(), (offsets // 6)[1:].tolist())]
+            at, step, block, line = (table.column(c).to_numpy().astype(np.int64) for c in ("at", "step", "block", "line"))
+            place = [line, table.column(K2).to_numpy(), table.column("doc_id").combine_chunks().fill_null(0).to_numpy(), table.column("unknown").to_numpy(zero_copy_only=False)]
+            rank = np.empty(len(codes), np.int64)
+            rank[np.lexsort(place)] = np.arange(len(codes))
+            # Different keys may have met under one code.
+            names = [(int(c[a]), int(c[a + s]) if s > 0 else 0, min(s, 0) and 1) for c, a, s in zip(codes, at.tolist(), step.tolist())]
+            groups: dict[tuple, list[int]] = {}
+            for r, name in enumerate(names):
+                groups.setdefault(name, []).append(r)
+            tile = Tile(codes, at, step, rank, threshold)
+            for name, rows in groups.items():
+                rows = np.array(rows)
+                frequent = not bool(order.value.is_rare(np.array([name[0]], np.uint64))[0])
+                # Single and paired keys never have one code's name: a pair names two tokens.
+                of_x, of_y = rows[block[rows] == x], rows[block[rows] == y]
+                if len(of_x) and len(of_y):
+                    tile.compare(of_x, of_y, x == y, frequent)
+            some = np.flatnonzero(tile.links)
+            if len(some):
+                s1, s2 = (table.column(c).to_numpy()[some] for c in ("s1", "s2"))
+                found.append((s1, s2, tile.links[some], tile.later[some]))
+                held += len(some)
+            if held > 1 << 16:
+                yield _found(found)
+                found, held = [], 0
+        if found:
+            yield _found(found)
 
     return K.lean(run)
 
 
+def _found(parts) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in zip(*parts)], names=["s1", "s2", "n", "later"])
+
+
 def _stored(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession, "lines")
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def judged_classes(
-    docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST, close: float = CLOSE,
-    whole: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """Lines that take part (K1, K2, ...), and their classes: s1, s2, first (place of the first line), stays; with ``whole`` all links are
-    made, and n_links is the number of other classes that a class is similar to. Runs jobs when called."""
+def _token_order(texts: DataFrame) -> tuple[Order, int]:
+    """The order of all tokens, and the bytes of all texts. The driver gets 2 ** COUNT_BITS cells and at most 2 ** FREQUENT_BITS tokens, whatever the input."""
+    sent = settle(texts.select("text").mapInArrow(_count, counting.SENT))
+    found = counting.total(sent.filter(F.col("name") < _FREQUENT), {0: 1 << COUNT_BITS, 1: 1})
+    often = max(OFTEN, int(found[0].sum()) >> FREQUENT_BITS)
+    rows = sent.filter(F.col("name") == _FREQUENT).repartition("slice").mapInArrow(_frequent(often), "token binary, n binary").collect()
+    tokens = np.concatenate([np.frombuffer(r[0], np.uint64) for r in rows] or [np.zeros(0, np.uint64)])
+    counts = np.concatenate([np.frombuffer(r[1], np.int64) for r in rows] or [np.zeros(0, np.int64)])
+    return Order(found[0], tokens, counts, often), int(found[1][0])
+
+
+def judged_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, min_words: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Lines that take part (K1, K2, ...), and their classes: s1, s2, first (place of the first line), stays, n_links (other classes that a class is similar to).
+    Runs jobs when called."""
     spark = docs.sparkSession
     ship(spark)
     texts = keyed(docs, id_col, text_col)
-    found = counting.total(texts.select("text").mapInArrow(_count, counting.SENT), {0: 1 << COUNT_BITS, 1: 1})
-    counts, size = found[0], int(found[1][0])
-    lines = _stored(texts.mapInArrow(_lines(spark.sparkContext.broadcast(counts), min_words), _LINES))
+    order, size = _token_order(texts)
+    order = spark.sparkContext.broadcast(order)
+    lines = _stored(texts.mapInArrow(_lines(order, min_words), _LINES))
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", K2, "line")
     classes = settle(lines.groupBy("s1", "s2").agg(F.min(place).alias("first")))
     buckets = max(4 * shuffle_partitions(spark), int(size * SHARE / BUCKET_BYTES) + 1)
-    often = int(np.log2(OFTEN) * 6) + 2
-
-    def round_of(rows: DataFrame, rest: bool, only=None) -> tuple[DataFrame, DataFrame]:
-        """Links from classes to similar earlier ones, and classes that have more candidates."""
-        rows = rows.filter("codes is not null").select("s1", "doc_id", "line", "n", "bits", "bits2", "codes", "all")
-        dealt = rows.mapInArrow(_deal(threshold, buckets, often, only, rest), "bucket long, n long, blob binary")
-        found = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-            _join(threshold, rest, candidates, close, whole), "a long, b long, more boolean, tie boolean"
-        )
-        pairs = settle(found.distinct())
-        more, pairs = pairs.filter("more").select(F.col("a").alias("s1")).distinct(), pairs.drop("more")
-        ids = settle(pairs.select(F.col("a").alias("s1")).union(pairs.select("b")).distinct())
-        some = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-        held = settle(lines.filter("codes is not null").select("s1", "s2", "codes").join(some, "s1", "left_semi").dropDuplicates(["s1", "s2"]))
-        side = lambda x: held.select(F.col("s1").alias(x), F.col("s2").alias(f"{x}2"), F.col("codes").alias(f"codes_{x}"))
-        checked = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "a2", "b", "b2", "tie", "codes_a", "codes_b")
-        links = settle(checked.mapInArrow(_verify(threshold), "a long, a2 long, b long, b2 long, tie boolean"))
-        earlier = links.filter("not tie")
-        tied = links.filter("tie")
-        if not tied.isEmpty():
-            order = lambda x: classes.select(F.col("s1").alias(x), F.col("s2").alias(f"{x}2"), F.col("first").alias(f"first_{x}"))
-            tied = tied.join(order("a"), ["a", "a2"]).join(order("b"), ["b", "b2"]).filter("first_b < first_a")
-            earlier = earlier.unionByName(tied.select(*earlier.columns))
-        return earlier, more
-
-    sources = lambda links: settle(links.select(F.col("a").alias("a1"), "a2").distinct())
-    links, more = round_of(lines.withColumn("all", F.lit(False)), False)
-    if whole:
-        links = settle(links.select("a", "a2", "b", "b2"))
-        ends = links.select("a", "a2", F.lit(True).alias("later")).union(links.select("b", "b2", F.lit(False)))
-        ends = ends.groupBy(F.col("a").alias("s1"), F.col("a2").alias("s2")).agg(F.count(F.lit(1)).alias("n_links"), F.max("later").alias("later"))
-        judged = classes.join(ends, ["s1", "s2"], "left").withColumn("stays", ~F.coalesce("later", F.lit(False)))
-        return lines, judged.withColumn("n_links", F.coalesce("n_links", F.lit(0))).drop("later")
-    gone = sources(links)
-    late = settle(more.join(gone, more["s1"] == gone["a1"], "left_anti").withColumn("all", F.lit(True)))
-    n_late = late.count()
-    if n_late:
-        late = F.broadcast(late) if n_late <= BROADCAST_ROWS else late
-        again = lines.join(late, "s1", "left").withColumn("all", F.coalesce("all", F.lit(False)))
-        keys = settle(lines.filter("codes is not null").join(late, "s1", "left_semi").select("codes", "n").mapInArrow(_keys_of(threshold, often), "key long").distinct())
-        only = None
-        if keys.count() <= BROADCAST_ROWS:
-            only = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in keys.collect()], np.int64).view(np.uint64)))
-        also, _ = round_of(again, True, only)
-        gone = gone.union(sources(also)).distinct()
-    gone = gone.select(F.col("a1").alias("s1"), F.col("a2").alias("s2"), F.lit(False).alias("found"))
-    judged = classes.join(gone, ["s1", "s2"], "left").withColumn("stays", F.coalesce("found", F.lit(True))).drop("found")
-    return lines, judged
+
+    rows = lines.filter("codes is not null").select("s1", "doc_id", "line", "n", "bits", "bits2", "codes")
+    dealt = rows.mapInArrow(_deal(threshold, buckets, order), "bucket long, n long, blob binary")
+    live = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(threshold), "key long, s1 long, at int, step int, m long")
+    live = settle(live)
+    ids = settle(live.select("s1").distinct())
+    some = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    held = lines.filter("codes is not null").select("s1", "s2", "codes").join(some, "s1", "left_semi").dropDuplicates(["s1", "s2"])
+    held = settle(held.join(classes, ["s1", "s2"]).select("s1", "s2", "codes", "first.*"))
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    tiles = live.join(held, "s1").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("s1", "s2"), "blocks").cast("int"))
+    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).select(*[c.split(" ")[0] for c in _TILE.split(", ")])
+    dealt = tiles.repartition(shuffle_partitions(spark), "key", "x", "y").sortWithinPartitions("key", "x", "y")
+    links = dealt.mapInArrow(_verify_tiles(threshold, order), _FOUND)
+    links = links.groupBy("s1", "s2").agg(F.sum("n").alias("n_links"), F.max("later").alias("later"))
+    judged = classes.join(settle(links), ["s1", "s2"], "left")
+    return lines, judged.withColumn("stays", ~F.coalesce("later", F.lit(False))).withColumn("n_links", F.coalesce("n_links", F.lit(0))).drop("later")
 
 
 def _apply(text_col: str, min_words: int, out):
@@ -551,12 +692,8 @@ def _replace(text_col: str):
     return out
 
 
-def _losses(docs: DataFrame, id_col: str, text_col: str, threshold: float, min_words: int, candidates: int, close: float) -> DataFrame:
-    """Rows that lose lines: __llm_r1, __llm_r2 (the row key), __llm_stay (numbers of the lines that stay of those that take part)."""
-    return _lost(*judged_classes(docs, id_col, text_col, threshold, min_words, candidates, close))
-
-
 def _lost(lines: DataFrame, judged: DataFrame) -> DataFrame:
+    """Rows that lose lines: __llm_r1, __llm_r2 (the row key), __llm_stay (numbers of the lines that stay of those that take part)."""
     key = [F.coalesce("first.doc_id", F.lit(0)).alias(K1), F.col(f"first.{K2}").alias(K2)]
     stay = judged.filter("stays").groupBy(*key).agg(F.collect_list("first.line").alias("stay"))
     every = lines.groupBy(K1, K2).agg(F.max("of").alias("n"))
@@ -572,15 +709,16 @@ def _joined(docs: DataFrame, losses: DataFrame, keys: list) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST,
-    close: float = CLOSE,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int | None = None,
+    close: float | None = None,
 ) -> DataFrame:
     """Per document: doc_id, n_lines (with a word), n_removed, removed (their numbers from 0, counting all lines), kept_sha256.
 
     Lines end at \\n and are removed with one line end. Documents without an id come last in the order; equal ids are ordered by a hash of
     the text. NULL and empty texts have no lines. Lines of fewer than ``min_words`` words stay. Rows equal in id and text keep the same lines.
+    All candidates are verified; ``candidates`` and ``close``, which once limited them, change nothing.
     """
-    losses = _losses(docs, id_col, text_col, threshold, min_words, candidates, close)
+    losses = _lost(*judged_classes(docs, id_col, text_col, threshold, min_words))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     joined = _joined(rows, losses, row_key("doc_id", "text"))
     return joined.mapInArrow(_apply("text", min_words, _digest), "doc_id long, n_lines long, n_removed long, removed array<int>, kept_sha256 string")
@@ -589,7 +727,7 @@ def dedup_lines(
 def linked_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5) -> DataFrame:
     """The columns of ``dedup_lines``, by the whole join, and n_links: for each line of the document that takes part, the number of classes of
     other lines that its class is similar to, summed."""
-    lines, judged = judged_classes(docs, id_col, text_col, threshold, min_words, whole=True)
+    lines, judged = judged_classes(docs, id_col, text_col, threshold, min_words)
     judged = settle(judged)
     found = lines.join(judged.filter("n_links > 0").select("s1", "s2", "n_links"), ["s1", "s2"], "left")
     # Rows equal in id and text have all their lines under one row key.
@@ -604,11 +742,11 @@ def linked_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def remove_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int = FIRST,
-    close: float = CLOSE,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5, candidates: int | None = None,
+    close: float | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` with all their columns, the text without lines that match an earlier one. A document all of whose lines go is
-    left out; one without lines stays."""
-    losses = _losses(docs, id_col, text_col, threshold, min_words, candidates, close)
+    left out; one without lines stays. ``candidates`` and ``close`` change nothing (see ``dedup_lines``)."""
+    losses = _lost(*judged_classes(docs, id_col, text_col, threshold, min_words))
     joined = _joined(docs, losses, row_key(id_col, text_col))
     return joined.mapInArrow(_apply(text_col, min_words, _replace(text_col)), docs.schema)
