@@ -29,6 +29,9 @@ def spark_session(app: str = "sessionvol", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_folders: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
@@ -52,7 +55,30 @@ def new_folder(spark: SparkSession, label: str) -> str:
     All paths of an application lie in one folder, to be removed when it has ended.
     """
     application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark).rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
+    _folders.append(folder)
+    return folder
+
+
+def folders_since(mark: int = 0) -> list[str]:
+    """The paths that ``new_folder`` has given out, from the ``mark``-th on, that were not removed."""
+    return [f for f in _folders[mark:] if f]
+
+
+def folder_mark() -> int:
+    """Where ``folders_since`` begins for folders that are made from now on."""
+    return len(_folders)
+
+
+def remove_folders(spark: SparkSession, *folders: str) -> None:
+    """Remove intermediate tables that nothing reads any more; only paths that ``new_folder`` has given out."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in folders:
+        if folder not in _folders:
+            raise ValueError(f"{folder} is not a folder of this application")
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+        _folders[_folders.index(folder)] = ""
 
 
 def settle(df: DataFrame) -> DataFrame:
