@@ -9,11 +9,11 @@ The join. Tokens are put in one order for all lines, rarest first, then by hash.
 a token among the first n - ceil(t n) + 1 of either (prefix filter); what comes before their first shared token is in one of
 them only (positional filter); n >= t m (length filter). A frequent token is no good key: if the first shared token is one, then so are all
 shared tokens, and classes that must share two of them share two among the first n - ceil(t n) + 2; then pairs of frequent tokens are the keys. Classes of LONG tokens or more
-have no pairs but single keys, together with their length (each length class meets itself and the next), so their keys grow with their tokens only. Every token flips
+have no such pairs but the frequent token together with their length (each length class meets itself and the next), so their keys grow with their tokens only. Every token flips
 one of 64 bits of its class, or of 128 if it has LONG tokens; classes that differ in more bits than the sets may are no candidates.
 
 First, small entries without tokens meet by key, and each class with a candidate under a key goes on, once for that key however many candidates it has (under a key of over
-HOT classes all go on). Then these classes meet by key with their tokens, keys of over BLOCK classes in tiles of two blocks, and every pair is verified under the first key that
+HOT classes all go on). Of keys under which the same classes go on only the first one stays. Then these classes meet by key with their tokens, keys of over BLOCK classes in tiles of two blocks, and every pair is verified under the first key that
 it shares, by a product of token matrices. What comes out is a row for each class: its number of links, and whether an earlier class is similar. No pair is ever a row.
 
 Tokens are compared by 40 bits of a hash: two words of one pair of lines are taken for each other in about one of 10 ** 12 cases. At scale: classes instead of copies are joined, so groups
@@ -33,14 +33,15 @@ from pyspark.sql import functions as F
 from sessionvol.llm import counting
 from sessionvol.llm import kernels as K
 from sessionvol.llm.rows import K1, K2, keyed, row_key, ship, shuffle_partitions
-from sessionvol.session import new_folder, settle
+from sessionvol.plans.joins import lookup_join
+from sessionvol.session import folder_mark, folders_since, new_folder, remove_folders, settle
 
 COUNT_BITS = 20
 #: Places from which on a token is frequent; in a very large corpus the 2 ** FREQUENT_BITS-th part of all words, if that is more.
 OFTEN, FREQUENT_BITS = 1024, 20
 #: Bytes of entries in a bucket, and entries' bytes per byte of text.
 BUCKET_BYTES, SHARE = 16 << 20, 0.8
-#: Tokens of a class from which on it has a second word of bits, and keys of single tokens only.
+#: Tokens of a class from which on it has a second word of bits, and no pairs of tokens as keys.
 LONG = 64
 #: Classes of a key that are compared for candidates; under larger keys all are candidates.
 HOT = 4096
@@ -296,7 +297,7 @@ def _entries(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, threshold: flo
     rare = order.is_rare(code)
     short = n[line] < LONG
     one = _shared_at_least(n, np.ceil(threshold * n - 1e-9), threshold) <= 1  # sets that may be similar by one token
-    single = short & (at < prefix[line]) & (rare | one[line])
+    single = (at < prefix[line]) & (rare | (short & one[line]))
     lines, keys, places, kinds = [line[single]], [code[single]], [at[single]], [np.zeros(int(single.sum()), np.int64)]
     i = np.flatnonzero(short & ~rare)
     step = 1
@@ -308,8 +309,8 @@ def _entries(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, threshold: flo
         places.append(at[i])
         kinds.append(np.full(len(i), step))
         step += 1
-    # Sets that may be similar to one of LONG tokens have these keys besides.
-    far = np.flatnonzero((n[line] >= threshold * LONG - 1e-9) & (at < prefix[line]))
+    # Frequent tokens of sets that have LONG tokens, or may be similar to one that has.
+    far = np.flatnonzero(~rare & (n[line] >= threshold * LONG - 1e-9) & (at < prefix[line]))
     if len(far):
         length = _length_class(n, threshold)[line[far]]
         for kind, up in ((OWN, 0), (NEXT, 1)):
@@ -363,7 +364,8 @@ def _deal(threshold: float, buckets: int, order):
 
 
 def _live(blobs: list[tuple[int, bytes]], threshold: float):
-    """Of one bucket: entries that have a candidate under their key (code, s1, at, step), and how many these are under that key."""
+    """Of one bucket: entries that have a candidate under their key (code, s1, at, step), how many these are under that key, and of each key's
+    entries: two fingerprints, the order of the key among the tokens of its smallest class, and which entry is that class's."""
     codec = pa.Codec("zstd")
     size = sum(np.dtype(k).itemsize for k in _ENTRY.values())
     parts = [_columns(codec.decompress(blob, n * size, asbytes=True), n, _ENTRY) for n, blob in blobs]
@@ -407,22 +409,33 @@ def _live(blobs: list[tuple[int, bytes]], threshold: float):
         if far % 32 == 0:  # keys whose classes all have one are done
             open_groups = np.bincount(group[~live], minlength=len(length)) > 0
             i = i[open_groups[group[i]]]
-    many = np.bincount(group[live], minlength=len(length))[group]
-    return tuple(v[live] for v in (code, s1, at, step, many))
+    code, s1, at, step, group = (v[live] for v in (code, s1, at, step, group))
+    if not len(code):
+        return None
+    new = np.append(True, group[1:] != group[:-1])
+    begins = np.flatnonzero(new)
+    many = np.diff(np.append(begins, len(group)))
+    which = np.cumsum(new) - 1
+    kind = np.where(step > 0, 1, np.where(step < 0, 1 - step, 0)).astype(np.uint64)
+    each = K.mix(s1.view(np.uint64) ^ (kind << np.uint64(62)))
+    prints = [np.add.reduceat(K.mix(each ^ np.uint64(salt)), begins).view(np.int64)[which] for salt in (0x9FB21C651E98DF25, 0xD8F2A1B3C4E5F607)]
+    place = (at[begins] << np.int64(31)) + np.maximum(step[begins], 0)  # entries of a key are in the order of their classes
+    return code, s1, at, step, many[which], *prints, place[which], new
 
 
 def _candidates(threshold: float):
-    """Buckets to live entries: key, s1, at, step, m (live classes under the key)."""
+    """Buckets to live entries: key, s1, at, step, m (live classes under the key), and what _live says of the key."""
 
     def run(batches):
         bucket, blobs = None, []
 
         def done():
             found = _live(blobs, threshold) if blobs else None
-            if found and len(found[0]):
-                code, s1, at, step, many = found
+            if found:
+                code, s1, at, step, many, print1, print2, place, lead = found
                 key = (np.int64(bucket) << np.int64(32)) | code.astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (key, s1, at.astype(np.int32), step.astype(np.int32), many.astype(np.int64))], names=["key", "s1", "at", "step", "m"])
+                columns = (key, s1, at.astype(np.int32), step.astype(np.int32), many.astype(np.int64), print1, print2, place, lead)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=["key", "s1", "at", "step", "m", "print1", "print2", "place", "lead"])
 
         for batch in batches:
             for b, n, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "n", "blob"))):
@@ -529,6 +542,7 @@ class Tile:
 
 
 _TILE = f"key long, x int, y int, block int, s1 long, s2 long, at int, step int, unknown boolean, doc_id long, {K2} long, line int, codes binary"
+_LIVE = "key long, s1 long, at int, step int, m long, print1 long, print2 long, place long, lead boolean"
 _FOUND = "s1 long, s2 long, n long, later boolean"
 
 
@@ -620,19 +634,27 @@ def judged_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float
     texts = keyed(docs, id_col, text_col)
     order, size = _token_order(texts)
     order = spark.sparkContext.broadcast(order)
+    mark = folder_mark()
     lines = _stored(texts.mapInArrow(_lines(order, min_words), _LINES))
+    folder = folders_since(mark)[0]
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", K2, "line")
     classes = settle(lines.groupBy("s1", "s2").agg(F.min(place).alias("first")))
     buckets = max(4 * shuffle_partitions(spark), int(size * SHARE / BUCKET_BYTES) + 1)
 
     rows = lines.filter("codes is not null").select("s1", "doc_id", "line", "n", "bits", "bits2", "codes")
     dealt = rows.mapInArrow(_deal(threshold, buckets, order), "bucket long, n long, blob binary")
-    live = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(threshold), "key long, s1 long, at int, step int, m long")
+    live = settle(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(threshold), _LIVE))
+    # Of keys with the same classes the first one is enough: all pairs under the others share its tokens, too.
+    groups = live.filter("lead").groupBy("m", "print1", "print2").agg(F.min(F.struct("place", "key")).alias("first"))
+    live = lookup_join(live.select("key", "s1", "at", "step", "m"), groups.select(F.col("first.key").alias("key")), ["key"], "inner", spread=("s1",))
     live = settle(live)
     ids = settle(live.select("s1").distinct())
     some = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     held = lines.filter("codes is not null").select("s1", "s2", "codes").join(some, "s1", "left_semi").dropDuplicates(["s1", "s2"])
     held = settle(held.join(classes, ["s1", "s2"]).select("s1", "s2", "codes", "first.*"))
+    slim = _stored(lines.select(K1, K2, "doc_id", "line", "s1", "s2", "of"))
+    remove_folders(spark, folder)  # the codes of all other classes
+    lines = slim
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     tiles = live.join(held, "s1").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("s1", "s2"), "blocks").cast("int"))
     tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -692,20 +714,29 @@ def _replace(text_col: str):
     return out
 
 
-def _lost(lines: DataFrame, judged: DataFrame) -> DataFrame:
-    """Rows that lose lines: __llm_r1, __llm_r2 (the row key), __llm_stay (numbers of the lines that stay of those that take part)."""
+def _lost(lines: DataFrame, judged: DataFrame, links: bool = False) -> DataFrame:
+    """Rows that lose lines: __llm_r1, __llm_r2 (the row key), __llm_stay (numbers of the lines that stay of those that take part); with
+    ``links`` also rows with links, and their number as __llm_links (rows that lose nothing have a NULL __llm_stay)."""
     key = [F.coalesce("first.doc_id", F.lit(0)).alias(K1), F.col(f"first.{K2}").alias(K2)]
     stay = judged.filter("stays").groupBy(*key).agg(F.collect_list("first.line").alias("stay"))
-    every = lines.groupBy(K1, K2).agg(F.max("of").alias("n"))
-    found = every.join(stay, [K1, K2], "left").filter(F.coalesce(F.size("stay"), F.lit(0)) < F.col("n"))
-    found = settle(found.select(F.col(K1).alias("__llm_r1"), F.col(K2).alias("__llm_r2"), F.coalesce("stay", F.array().cast("array<int>")).alias("__llm_stay")))
-    size = found.agg(F.sum(F.size("__llm_stay") * 4 + 32)).first()[0] or 0
+    if links:
+        linked = lines.join(judged.filter("n_links > 0").select("s1", "s2", "n_links"), ["s1", "s2"], "left")
+        # Rows equal in id and text have all their lines under one row key.
+        every = linked.groupBy(K1, K2).agg(F.max("of").alias("n"), F.sum("n_links").alias("all_links"), F.count(F.lit(1)).alias("rows"))
+        every = every.withColumn("links", F.coalesce(F.expr("all_links * n div rows"), F.lit(0)))
+    else:
+        every = lines.groupBy(K1, K2).agg(F.max("of").alias("n")).withColumn("links", F.lit(0).cast("long"))
+    loses = F.coalesce(F.size("stay"), F.lit(0)) < F.col("n")
+    found = every.join(stay, [K1, K2], "left").filter(loses | (F.col("links") > 0))
+    kept = F.when(loses, F.coalesce("stay", F.array().cast("array<int>")))
+    found = settle(found.select(F.col(K1).alias("__llm_r1"), F.col(K2).alias("__llm_r2"), kept.alias("__llm_stay"), F.col("links").alias("__llm_links")))
+    size = found.agg(F.sum(F.coalesce(F.size("__llm_stay"), F.lit(0)) * 4 + 48)).first()[0] or 0
     return F.broadcast(found) if size <= BROADCAST_BYTES else found
 
 
 def _joined(docs: DataFrame, losses: DataFrame, keys: list) -> DataFrame:
     found = docs.select("*", *keys).join(losses, (F.col(K1) == F.col("__llm_r1")) & (F.col(K2) == F.col("__llm_r2")), "left")
-    return found.withColumn("__llm_whole", F.col("__llm_r1").isNull()).drop(K1, K2, "__llm_r1", "__llm_r2")
+    return found.withColumn("__llm_whole", F.col("__llm_stay").isNull()).drop(K1, K2, "__llm_r1", "__llm_r2")
 
 
 def dedup_lines(
@@ -720,7 +751,7 @@ def dedup_lines(
     """
     losses = _lost(*judged_classes(docs, id_col, text_col, threshold, min_words))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    joined = _joined(rows, losses, row_key("doc_id", "text"))
+    joined = _joined(rows, losses, row_key("doc_id", "text")).drop("__llm_links")
     return joined.mapInArrow(_apply("text", min_words, _digest), "doc_id long, n_lines long, n_removed long, removed array<int>, kept_sha256 string")
 
 
@@ -728,15 +759,9 @@ def linked_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """The columns of ``dedup_lines``, by the whole join, and n_links: for each line of the document that takes part, the number of classes of
     other lines that its class is similar to, summed."""
     lines, judged = judged_classes(docs, id_col, text_col, threshold, min_words)
-    judged = settle(judged)
-    found = lines.join(judged.filter("n_links > 0").select("s1", "s2", "n_links"), ["s1", "s2"], "left")
-    # Rows equal in id and text have all their lines under one row key.
-    counted = found.groupBy(K1, K2).agg(F.sum("n_links").alias("n"), F.max("of").alias("of"), F.count(F.lit(1)).alias("rows")).filter("n > 0")
-    counted = settle(counted.select(K1, K2, F.expr("n * of div rows").alias("n_links")))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    linked = rows.select("*", *row_key("doc_id", "text")).join(counted, [K1, K2], "left")
-    linked = linked.select("doc_id", "text", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    joined = _joined(linked, _lost(lines, judged), row_key("doc_id", "text"))
+    joined = _joined(rows, _lost(lines, settle(judged), links=True), row_key("doc_id", "text"))
+    joined = joined.withColumn("n_links", F.coalesce("__llm_links", F.lit(0))).drop("__llm_links")
     schema = "doc_id long, n_lines long, n_removed long, removed array<int>, kept_sha256 string, n_links long"
     return joined.mapInArrow(_apply("text", min_words, _digest), schema)
 
@@ -748,5 +773,5 @@ def remove_lines(
     """The rows of ``docs`` with all their columns, the text without lines that match an earlier one. A document all of whose lines go is
     left out; one without lines stays. ``candidates`` and ``close`` change nothing (see ``dedup_lines``)."""
     losses = _lost(*judged_classes(docs, id_col, text_col, threshold, min_words))
-    joined = _joined(docs, losses, row_key(id_col, text_col))
+    joined = _joined(docs, losses, row_key(id_col, text_col)).drop("__llm_links")
     return joined.mapInArrow(_apply(text_col, min_words, _replace(text_col)), docs.schema)

@@ -41,8 +41,12 @@ def links_by_key(sets, order, threshold, crowd):
     links, later = np.zeros(len(sets), np.int64), np.zeros(len(sets), bool)
     if found is None:
         return links, later
-    code, s1, at, step, many = found
-    for k in np.unique(code).tolist():
+    code, s1, at, step, many, print1, print2, place, lead = found
+    firsts = {}
+    for r in np.flatnonzero(lead).tolist():
+        group = (many[r], print1[r], print2[r])
+        firsts[group] = min(firsts.get(group, (1 << 62, 0)), (place[r], code[r]))
+    for k in sorted(k for _, k in firsts.values()):
         rows = np.flatnonzero(code == k)
         assert (many[rows] == len(rows)).all()
         own = s1[rows]
