@@ -45,6 +45,8 @@ BUCKET_BYTES, SHARE = 16 << 20, 0.8
 LONG = 64
 #: Classes of a key that are compared for candidates; under larger keys all are candidates.
 HOT = 4096
+#: Classes that are compared by one matrix.
+FEW = 128
 #: Classes of a block of a key, and pairs that a task compares at a time.
 BLOCK, PAIRS = 16384, 1 << 20
 #: Classes with a candidate, and documents that lose lines, that are sent to all tasks rather than joined by shuffle.
@@ -454,16 +456,19 @@ class Tile:
     def __init__(self, codes: list[np.ndarray], at: np.ndarray, step: np.ndarray, rank: np.ndarray, threshold: float):
         self.codes, self.at, self.step, self.rank, self.threshold = codes, at, step, rank, threshold
         self.n = np.array([len(c) for c in codes])
-        self.early = [np.concatenate([c[:a], c[a + 1 : a + s]]) if s > 0 else c[:a] for c, a, s in zip(codes, at.tolist(), step.tolist())]
         self.links, self.later = np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
 
+    def _early(self, r: int) -> np.ndarray:
+        code, at, step = self.codes[r], self.at[r], self.step[r]
+        return np.concatenate([code[:at], code[at + 1 : at + step]]) if step > 0 else code[:at]
+
     def _having(self, rows: np.ndarray, token) -> np.ndarray:
-        return np.array([token in self.early[r] for r in rows.tolist()], bool)
+        return np.array([token in self._early(r) for r in rows.tolist()], bool)
 
     def _split(self, x: np.ndarray, y: np.ndarray, same: bool, depth: int = 3):
         """Parts of the pairs x by y (or of x, ``same``) without those that share a common early token: they meet under another key."""
         rows = x if same else np.concatenate([x, y])
-        early = [self.early[r] for r in rows.tolist()] if depth and len(rows) >= 64 else []
+        early = [self._early(r) for r in rows.tolist()] if depth and len(rows) >= 64 else []
         flat = np.concatenate(early) if early else np.zeros(0, np.uint64)
         token, n = np.unique(flat, return_counts=True)
         if not len(token) or 2 * n.max() < len(rows):
@@ -507,8 +512,28 @@ class Tile:
             out += sides[0] @ sides[1].T
         return out
 
+    def compare_few(self, rows: np.ndarray, frequent: bool) -> None:
+        """``compare`` within a few rows, with one matrix for all."""
+        flat = np.concatenate([self.codes[r] for r in rows.tolist()])
+        n = self.n[rows]
+        row, words = np.repeat(np.arange(len(rows)), n), np.unique(flat, return_inverse=True)[1]
+        side = np.zeros((len(rows), int(words.max()) + 1), np.float32)
+        side[row, words] = 1
+        link = self._linked(side @ side.T, rows, rows, frequent)
+        link &= np.arange(len(rows))[:, None] < np.arange(len(rows))[None, :]
+        if link.any():
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            at, step = self.at[rows][row], self.step[rows][row]
+            late = (place >= at) & ((step <= 0) | (place == at) | (place >= at + step))
+            side[row[late], words[late]] = 0
+            link &= side @ side.T == 0
+            self._note(link, rows, rows)
+
     def compare(self, x: np.ndarray, y: np.ndarray, same: bool, frequent: bool) -> None:
         """Verify the pairs of rows x by y, or those within x, whose first shared key this is."""
+        if same and len(x) <= FEW and int(self.n[x].sum()) * len(x) <= 1 << 20:
+            self.compare_few(x, frequent)
+            return
         for x, y, same in self._split(x, y, same):
             x, y = x[np.argsort(self.n[x], kind="stable")], y[np.argsort(self.n[y], kind="stable")]
             side = max(1, int(PAIRS**0.5))
@@ -518,28 +543,36 @@ class Tile:
                         continue
                     self._verify(a, b, same, frequent)
 
-    def _verify(self, a: np.ndarray, b: np.ndarray, same: bool, frequent: bool) -> None:
+    def _linked(self, shared: np.ndarray, a: np.ndarray, b: np.ndarray, frequent: bool) -> np.ndarray:
+        """Are sets with so many shared codes similar, and may they meet under a key of this kind?"""
         n, m = self.n[a][:, None], self.n[b][None, :]
-        shared = self._shared([self.codes[r] for r in a.tolist()], [self.codes[r] for r in b.tolist()])
         link = shared >= self.threshold * (n + m - shared) - 1e-6
-        if same:
-            link &= a[:, None] < b[None, :]
         kind_a, kind_b = self.step[a][:, None], self.step[b][None, :]
         if (self.step[a] < 0).any():
             link &= (np.maximum(n, m) >= LONG) & ((kind_a != NEXT) | (kind_b != NEXT))
         elif frequent or (self.step[a] > 0).any():
             link &= (_shared_at_least(n, m, self.threshold) >= 2) == (kind_a > 0)
-        if not link.any():
-            return
-        early_a, early_b = [self.early[r] for r in a.tolist()], [self.early[r] for r in b.tolist()]
-        if sum(map(len, early_a)) and sum(map(len, early_b)):
-            link &= self._shared(early_a, early_b) == 0
+        return link
+
+    def _note(self, link: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         rank_a, rank_b = self.rank[a][:, None], self.rank[b][None, :]
         np.add.at(self.links, a, link.sum(axis=1))
         np.add.at(self.links, b, link.sum(axis=0))
         self.later[a] |= (link & (rank_b < rank_a)).any(axis=1)
         self.later[b] |= (link & (rank_a < rank_b)).any(axis=0)
 
+    def _verify(self, a: np.ndarray, b: np.ndarray, same: bool, frequent: bool) -> None:
+        shared = self._shared([self.codes[r] for r in a.tolist()], [self.codes[r] for r in b.tolist()])
+        link = self._linked(shared, a, b, frequent)
+        if same:
+            link &= a[:, None] < b[None, :]
+        if not link.any():
+            return
+        early_a, early_b = [self._early(r) for r in a.tolist()], [self._early(r) for r in b.tolist()]
+        if sum(map(len, early_a)) and sum(map(len, early_b)):
+            link &= self._shared(early_a, early_b) == 0
+        self._note(link, a, b)
+
 
 _TILE = f"key long, x int, y int, block int, s1 long, s2 long, at int, step int, unknown boolean, doc_id long, {K2} long, line int, codes binary"
 _LIVE = "key long, s1 long, at int, step int, m long, print1 long, print2 long, place long, lead boolean"
@@ -547,22 +580,19 @@ _FOUND = "s1 long, s2 long, n long, later boolean"
 
 
 def _tile_rows(batches):
-    """Tables of the rows of one tile each."""
-    held, last = [], None
+    """Tables of whole tiles, and where each tile begins and ends in them."""
+    rest = None
     for batch in batches:
         if not len(batch):
             continue
-        tile = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "x", "y")])
-        edges = [0, *(np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(axis=0)) + 1).tolist(), len(batch)]
-        for a, b in zip(edges, edges[1:]):
-            now = tuple(tile[:, a].tolist())
-            if held and now != last:
-                yield pa.Table.from_batches(held), last
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = now
-    if held:
-        yield pa.Table.from_batches(held), last
+        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        tile = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "x", "y")])
+        edges = [0, *(np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(axis=0)) + 1).tolist()]
+        if len(edges) > 1:
+            yield table.slice(0, edges[-1]).combine_chunks(), edges
+        rest = table.slice(edges[-1])
+    if rest is not None:
+        yield rest.combine_chunks(), [0, len(rest)]
 
 
 def _verify_tiles(threshold: float, order):
@@ -570,31 +600,34 @@ def _verify_tiles(threshold: float, order):
 
     def run(batches):
         found, held = [], 0
-        for table, (_, x, y) in _tile_rows(batches):
+        for table, edges in _tile_rows(batches):
             data, offsets = K.buffer(table.column("codes"))
-            wide = _wide(data)
-            codes = [wide[a:b] for a, b in zip((offsets // 6)[:-1].tolist(), (offsets // 6)[1:].tolist())]
-            at, step, block, line = (table.column(c).to_numpy().astype(np.int64) for c in ("at", "step", "block", "line"))
-            place = [line, table.column(K2).to_numpy(), table.column("doc_id").combine_chunks().fill_null(0).to_numpy(), table.column("unknown").to_numpy(zero_copy_only=False)]
+            wide, ends = _wide(data), (offsets // 6).tolist()
+            codes = [wide[a:b] for a, b in zip(ends, ends[1:])]
+            at, step, block, line, xs, ys = (table.column(c).to_numpy().astype(np.int64) for c in ("at", "step", "block", "line", "x", "y"))
+            place = [line, table.column(K2).to_numpy(), table.column("doc_id").combine_chunks().fill_null(0).to_numpy(), table.column("unknown").to_numpy()]
             rank = np.empty(len(codes), np.int64)
             rank[np.lexsort(place)] = np.arange(len(codes))
-            # Different keys may have met under one code.
-            names = [(int(c[a]), int(c[a + s]) if s > 0 else 0, min(s, 0) and 1) for c, a, s in zip(codes, at.tolist(), step.tolist())]
-            groups: dict[tuple, list[int]] = {}
-            for r, name in enumerate(names):
-                groups.setdefault(name, []).append(r)
-            tile = Tile(codes, at, step, rank, threshold)
-            for name, rows in groups.items():
-                rows = np.array(rows)
-                frequent = not bool(order.value.is_rare(np.array([name[0]], np.uint64))[0])
-                # Single and paired keys never have one code's name: a pair names two tokens.
-                of_x, of_y = rows[block[rows] == x], rows[block[rows] == y]
-                if len(of_x) and len(of_y):
-                    tile.compare(of_x, of_y, x == y, frequent)
-            some = np.flatnonzero(tile.links)
+            first = wide[np.array(ends[:-1], np.int64) + at]  # the (first) token of the key
+            second = wide[np.array(ends[:-1], np.int64) + at + np.maximum(step, 0)]
+            common = ~order.value.is_rare(first)
+            tiles = Tile(codes, at, step, rank, threshold)
+            for lo, hi in zip(edges, edges[1:]):
+                x, y = int(xs[lo]), int(ys[lo])
+                groups = [np.arange(lo, hi)]
+                kind = np.sign(step[lo:hi]) if (first[lo:hi] != first[lo]).any() or (second[lo:hi] != second[lo]).any() or (np.sign(step[lo:hi]) != np.sign(step[lo])).any() else None
+                if kind is not None:  # different keys have met under one code
+                    names = np.stack([first[lo:hi].astype(np.int64), second[lo:hi].astype(np.int64), kind])
+                    which = np.unique(names, axis=1, return_inverse=True)[1].reshape(-1)
+                    groups = [lo + np.flatnonzero(which == k) for k in range(which.max() + 1)]
+                for rows in groups:
+                    of_x, of_y = (rows, rows) if x == y else (rows[block[rows] == x], rows[block[rows] == y])
+                    if len(of_x) and len(of_y) and (x != y or len(rows) > 1):
+                        tiles.compare(of_x, of_y, x == y, bool(common[rows[0]]))
+            some = np.flatnonzero(tiles.links)
             if len(some):
                 s1, s2 = (table.column(c).to_numpy()[some] for c in ("s1", "s2"))
-                found.append((s1, s2, tile.links[some], tile.later[some]))
+                found.append((s1, s2, tiles.links[some], tiles.later[some]))
                 held += len(some)
             if held > 1 << 16:
                 yield _found(found)
@@ -638,7 +671,7 @@ def judged_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float
     lines = _stored(texts.mapInArrow(_lines(order, min_words), _LINES))
     folder = folders_since(mark)[0]
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", K2, "line")
-    classes = settle(lines.groupBy("s1", "s2").agg(F.min(place).alias("first")))
+    classes = settle(lines.groupBy("s1", "s2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")))
     buckets = max(4 * shuffle_partitions(spark), int(size * SHARE / BUCKET_BYTES) + 1)
 
     rows = lines.filter("codes is not null").select("s1", "doc_id", "line", "n", "bits", "bits2", "codes")
@@ -667,13 +700,13 @@ def judged_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float
 
 
 def _apply(text_col: str, min_words: int, out):
-    """Kept lines of each text to ``out`` of the batch, the texts, the number of lines and the removed ones."""
+    """Each text without its lost lines to ``out`` of the batch, the texts, the number of lines and the removed ones."""
 
     def run(batches):
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text_col))
             data, offsets = K.buffer(column)
-            stay, whole = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__llm_stay", "__llm_whole"))
+            lost = batch.column(batch.schema.get_field_index("__llm_gone")).to_pylist()
             n_lines, removed, texts = [], [], []
             for a, b in K.chunks(offsets):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
@@ -683,13 +716,13 @@ def _apply(text_col: str, min_words: int, out):
                 for r in range(b - a):
                     x, y = row_first[r], row_first[r + 1]
                     raw, gone = flat[at[r] : at[r + 1]], set()
-                    if not whole[a + r]:
-                        gone = set(lines.number[x:y][lines.part[x:y]].tolist()) - set(stay[a + r])
+                    if lost[a + r]:
+                        gone = set(lost[a + r])
                         raw = b"\n".join(t for k, t in enumerate(raw.split(b"\n")) if k not in gone)
                     n_lines.append(int(y - x))
                     removed.append(sorted(gone))
                     texts.append(raw)
-            yield out(batch.drop_columns(["__llm_stay", "__llm_whole"]), texts, n_lines, removed)
+            yield out(batch.drop_columns(["__llm_gone"]), texts, n_lines, removed)
 
     return K.lean(run)
 
@@ -714,29 +747,28 @@ def _replace(text_col: str):
     return out
 
 
-def _lost(lines: DataFrame, judged: DataFrame, links: bool = False) -> DataFrame:
-    """Rows that lose lines: __llm_r1, __llm_r2 (the row key), __llm_stay (numbers of the lines that stay of those that take part); with
-    ``links`` also rows with links, and their number as __llm_links (rows that lose nothing have a NULL __llm_stay)."""
-    key = [F.coalesce("first.doc_id", F.lit(0)).alias(K1), F.col(f"first.{K2}").alias(K2)]
-    stay = judged.filter("stays").groupBy(*key).agg(F.collect_list("first.line").alias("stay"))
-    if links:
-        linked = lines.join(judged.filter("n_links > 0").select("s1", "s2", "n_links"), ["s1", "s2"], "left")
-        # Rows equal in id and text have all their lines under one row key.
-        every = linked.groupBy(K1, K2).agg(F.max("of").alias("n"), F.sum("n_links").alias("all_links"), F.count(F.lit(1)).alias("rows"))
-        every = every.withColumn("links", F.coalesce(F.expr("all_links * n div rows"), F.lit(0)))
-    else:
-        every = lines.groupBy(K1, K2).agg(F.max("of").alias("n")).withColumn("links", F.lit(0).cast("long"))
-    loses = F.coalesce(F.size("stay"), F.lit(0)) < F.col("n")
-    found = every.join(stay, [K1, K2], "left").filter(loses | (F.col("links") > 0))
-    kept = F.when(loses, F.coalesce("stay", F.array().cast("array<int>")))
-    found = settle(found.select(F.col(K1).alias("__llm_r1"), F.col(K2).alias("__llm_r2"), kept.alias("__llm_stay"), F.col("links").alias("__llm_links")))
-    size = found.agg(F.sum(F.coalesce(F.size("__llm_stay"), F.lit(0)) * 4 + 48)).first()[0] or 0
+def _lost(lines: DataFrame, judged: DataFrame) -> DataFrame:
+    """Rows that lose lines or have links: __llm_r1, __llm_r2 (the row key), __llm_gone (numbers of the lines that go), __llm_links."""
+    some = judged.filter("places > 1 OR NOT stays OR n_links > 0").select(
+        "s1", "s2", "stays", "n_links", F.col("first.doc_id").alias("first_doc"), F.col(f"first.{K2}").alias("first_k2"), F.col("first.line").alias("first_line")
+    )
+    marked = lookup_join(lines, some, ["s1", "s2"], "left", spread=(K1, K2, "line"))
+    first = F.col("first_doc").eqNullSafe(F.col("doc_id")) & (F.col("first_k2") == F.col(K2)) & (F.col("first_line") == F.col("line"))
+    found = marked.groupBy(K1, K2).agg(
+        F.collect_set(F.when(F.col("stays").isNotNull() & ~(F.col("stays") & first), F.col("line"))).alias("gone"),
+        F.sum("n_links").alias("links"), F.max("of").alias("of"), F.count(F.lit(1)).alias("rows"),
+    )
+    # Rows equal in id and text have all their lines under one row key.
+    links = F.coalesce(F.expr("links * of div rows"), F.lit(0))
+    found = found.select(F.col(K1).alias("__llm_r1"), F.col(K2).alias("__llm_r2"), F.col("gone").alias("__llm_gone"), links.alias("__llm_links"))
+    found = settle(found.filter((F.size("__llm_gone") > 0) | (F.col("__llm_links") > 0)))
+    size = found.agg(F.sum(F.size("__llm_gone") * 4 + 48)).first()[0] or 0
     return F.broadcast(found) if size <= BROADCAST_BYTES else found
 
 
 def _joined(docs: DataFrame, losses: DataFrame, keys: list) -> DataFrame:
     found = docs.select("*", *keys).join(losses, (F.col(K1) == F.col("__llm_r1")) & (F.col(K2) == F.col("__llm_r2")), "left")
-    return found.withColumn("__llm_whole", F.col("__llm_stay").isNull()).drop(K1, K2, "__llm_r1", "__llm_r2")
+    return found.drop(K1, K2, "__llm_r1", "__llm_r2")
 
 
 def dedup_lines(
@@ -760,7 +792,7 @@ def linked_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     other lines that its class is similar to, summed."""
     lines, judged = judged_classes(docs, id_col, text_col, threshold, min_words)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    joined = _joined(rows, _lost(lines, settle(judged), links=True), row_key("doc_id", "text"))
+    joined = _joined(rows, _lost(lines, judged), row_key("doc_id", "text"))
     joined = joined.withColumn("n_links", F.coalesce("__llm_links", F.lit(0))).drop("__llm_links")
     schema = "doc_id long, n_lines long, n_removed long, removed array<int>, kept_sha256 string, n_links long"
     return joined.mapInArrow(_apply("text", min_words, _digest), schema)
