@@ -373,8 +373,15 @@ def _live(blobs: list[tuple[int, bytes]], threshold: float):
     parts = [_columns(codec.decompress(blob, n * size, asbytes=True), n, _ENTRY) for n, blob in blobs]
     e = {f: np.concatenate([p[f] for p in parts]) for f in _ENTRY}
     del parts
-    by = np.lexsort((e["s1"], e["code"]))
+    # One sort by key and half of the class; whole classes only where halves agree.
+    joint = (e["code"].astype(np.uint64) << np.uint64(32)) | (e["s1"].view(np.uint64) & np.uint64(0xFFFFFFFF))
+    by = np.argsort(joint)
     code, s1 = e["code"][by], e["s1"][by]
+    halves = (code[1:] == code[:-1]) & (s1[1:] != s1[:-1]) & (joint[by][1:] == joint[by][:-1])
+    if halves.any():
+        by = np.lexsort((e["s1"], e["code"]))
+        code, s1 = e["code"][by], e["s1"][by]
+    del joint
     new = np.append(True, (code[1:] != code[:-1]) | (s1[1:] != s1[:-1]))  # a class once for a key
     by, code = by[new], code[new]
     begins = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
@@ -644,7 +651,9 @@ def _found(parts) -> pa.RecordBatch:
 
 def _stored(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession, "lines")
-    df.write.option("compression", "zstd").parquet(path)
+    # Codes and hashes hardly repeat: looking for repeats only costs time.
+    plain = {f"parquet.enable.dictionary#{c}": "false" for c in ("codes", "s1", "s2", "bits", "bits2")}
+    df.write.options(compression="zstd", **plain).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -699,7 +708,19 @@ def judged_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float
     return lines, judged.withColumn("stays", ~F.coalesce("later", F.lit(False))).withColumn("n_links", F.coalesce("n_links", F.lit(0))).drop("later")
 
 
-def _apply(text_col: str, min_words: int, out):
+def _lines_with_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Number of lines with a word of each text."""
+    if not len(data):
+        return np.zeros(len(offsets) - 1, np.int64)
+    begins = np.zeros(len(data), bool)
+    begins[offsets[:-1][offsets[:-1] < len(data)]] = True
+    begins[1:] |= data[:-1] == 0x0A
+    begins = np.flatnonzero(begins)
+    some = np.logical_or.reduceat(K.GRAPHIC[data], begins)
+    return np.diff(np.searchsorted(begins[some], offsets))
+
+
+def _apply(text_col: str, out):
     """Each text without its lost lines to ``out`` of the batch, the texts, the number of lines and the removed ones."""
 
     def run(batches):
@@ -710,16 +731,13 @@ def _apply(text_col: str, min_words: int, out):
             n_lines, removed, texts = [], [], []
             for a, b in K.chunks(offsets):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                lines = Lines(part, at, min_words)
-                flat = part.tobytes()
-                row_first = np.searchsorted(lines.row, np.arange(b - a + 1))
+                flat, ends = part.tobytes(), at.tolist()
+                n_lines += _lines_with_words(part, at).tolist()
                 for r in range(b - a):
-                    x, y = row_first[r], row_first[r + 1]
-                    raw, gone = flat[at[r] : at[r + 1]], set()
+                    raw, gone = flat[ends[r] : ends[r + 1]], set()
                     if lost[a + r]:
                         gone = set(lost[a + r])
                         raw = b"\n".join(t for k, t in enumerate(raw.split(b"\n")) if k not in gone)
-                    n_lines.append(int(y - x))
                     removed.append(sorted(gone))
                     texts.append(raw)
             yield out(batch.drop_columns(["__llm_gone"]), texts, n_lines, removed)
@@ -784,7 +802,7 @@ def dedup_lines(
     losses = _lost(*judged_classes(docs, id_col, text_col, threshold, min_words))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     joined = _joined(rows, losses, row_key("doc_id", "text")).drop("__llm_links")
-    return joined.mapInArrow(_apply("text", min_words, _digest), "doc_id long, n_lines long, n_removed long, removed array<int>, kept_sha256 string")
+    return joined.mapInArrow(_apply("text", _digest), "doc_id long, n_lines long, n_removed long, removed array<int>, kept_sha256 string")
 
 
 def linked_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_words: int = 5) -> DataFrame:
@@ -795,7 +813,7 @@ def linked_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = _joined(rows, _lost(lines, judged), row_key("doc_id", "text"))
     joined = joined.withColumn("n_links", F.coalesce("__llm_links", F.lit(0))).drop("__llm_links")
     schema = "doc_id long, n_lines long, n_removed long, removed array<int>, kept_sha256 string, n_links long"
-    return joined.mapInArrow(_apply("text", min_words, _digest), schema)
+    return joined.mapInArrow(_apply("text", _digest), schema)
 
 
 def remove_lines(
@@ -806,4 +824,4 @@ def remove_lines(
     left out; one without lines stays. ``candidates`` and ``close`` change nothing (see ``dedup_lines``)."""
     losses = _lost(*judged_classes(docs, id_col, text_col, threshold, min_words))
     joined = _joined(docs, losses, row_key(id_col, text_col)).drop("__llm_links")
-    return joined.mapInArrow(_apply(text_col, min_words, _replace(text_col)), docs.schema)
+    return joined.mapInArrow(_apply(text_col, _replace(text_col)), docs.schema)
