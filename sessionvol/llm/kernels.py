@@ -191,3 +191,19 @@ def covered(starts: np.ndarray, k: int, n: int) -> np.ndarray:
     np.add.at(change, starts, 1)
     np.add.at(change, starts + k, -1)
     return np.cumsum(change[:-1]) > 0
+
+
+def tiles(batches):
+    """Tables of whole tiles (equal key, x, y, in order), and where each tile begins and ends in them."""
+    rest = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        tile = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "x", "y")])
+        edges = [0, *(np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(axis=0)) + 1).tolist()]
+        if len(edges) > 1:
+            yield table.slice(0, edges[-1]).combine_chunks(), edges
+        rest = table.slice(edges[-1])
+    if rest is not None:
+        yield rest.combine_chunks(), [0, len(rest)]

@@ -586,28 +586,12 @@ _LIVE = "key long, s1 long, at int, step int, m long, print1 long, print2 long,
 _FOUND = "s1 long, s2 long, n long, later boolean"
 
 
-def _tile_rows(batches):
-    """Tables of whole tiles, and where each tile begins and ends in them."""
-    rest = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-        tile = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "x", "y")])
-        edges = [0, *(np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(axis=0)) + 1).tolist()]
-        if len(edges) > 1:
-            yield table.slice(0, edges[-1]).combine_chunks(), edges
-        rest = table.slice(edges[-1])
-    if rest is not None:
-        yield rest.combine_chunks(), [0, len(rest)]
-
-
 def _verify_tiles(threshold: float, order):
     """Tiles to their classes that have a link: how many, and whether one to an earlier class."""
 
     def run(batches):
         found, held = [], 0
-        for table, edges in _tile_rows(batches):
+        for table, edges in K.tiles(batches):
             data, offsets = K.buffer(table.column("codes"))
             wide, ends = _wide(data), (offsets // 6).tolist()
             codes = [wide[a:b] for a, b in zip(ends, ends[1:])]

@@ -9,9 +9,13 @@ a key and whose lengths allow it are verified on their words, once, under the fi
 length, of at least ``threshold``, found by an alignment within the band of diagonals that this allows. Verified links make connected
 components; a component's smallest document is its class id.
 
-At scale: copies collapse before candidates are made. The pairs of a key of up to LIGHT classes are rows, and words are joined to them. A larger key's
-classes are dealt to blocks of bounded size, and every two blocks meet in one task (a tile) that verifies their pairs where they are and hands on,
-for each class, its number of links and one link to its part of the tile's graph: rows by class, not by pair. Links and components stay distributed.
+In a crowded key not every pair needs an alignment of its own. Edit distance obeys the triangle inequality, so the distances of all classes to one of them (a pivot) decide
+most pairs: at most their sum, at least their difference. The other pairs are aligned, so every link is found and counted.
+
+At scale: small entries (key, class) meet in buckets, where copies collapse, and only classes that share a key go on, of keys with the same classes only the first.
+They meet by key with their words; large keys are dealt to blocks of bounded size, and every two blocks meet in one task (a tile), which hands on,
+for each class, its number of links and one link to its part of the tile's graph: rows by class, not by pair. Links and components stay distributed. Words are
+compared by 40 bits of a hash.
 """
 
 from __future__ import annotations
@@ -23,14 +27,20 @@ from pyspark.sql import functions as F
 
 from sessionvol.llm import kernels as K
 from sessionvol.llm.components import components
-from sessionvol.llm.rows import K1, K2, keyed, row_key, ship
+from sessionvol.llm.rows import K1, K2, keyed, row_key, ship, shuffle_partitions
+from sessionvol.plans.joins import lookup_join
 from sessionvol.session import settle
 
 #: Classes with a candidate whose keys are sent to all tasks rather than joined by shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Classes of a key whose pairs are made as rows; larger keys are verified in tiles of two blocks of about so many classes and words.
-LIGHT = 16
-BLOCK_CLASSES, BLOCK_WORDS = 512, 1 << 19
+#: Classes and words of a block of a key.
+LIGHT, BLOCK_CLASSES, BLOCK_WORDS = 16, 16384, 1 << 22
+#: Bytes of entries in a bucket.
+BUCKET_BYTES = 16 << 20
+#: Pairs from which on pivots are tried, and pairs that a task compares at a time.
+PIVOT, PAIRS = 64, 1 << 21
+#: Words of a text whose alignment runs on whole numbers; longer ones go by furthest reaching points.
+SHORT = 8192
 #: Counters of words of a class; those of two classes bound their edits from below.
 CELLS = 64
 
@@ -63,21 +73,29 @@ def sketch(h: np.ndarray, doc: np.ndarray, first: np.ndarray, k: int, sketches:
     some = np.flatnonzero(n)
     if not len(some):
         return out
-    starts = begin[some]
-    of = np.repeat(np.arange(len(some)), n[some])
+    count, top = n[some], np.uint64(2**64 - 1)
+    of = np.repeat(np.arange(len(some)), count)
+    # The smallest values of a long text are looked for below a bound that few of its values are below.
+    few = np.repeat(np.where(count > 64, top // count.astype(np.uint64) * np.uint64(24), top), count)
     for j in range(sketches):
         mult = np.uint64(int(K.mix(np.array([j + 1], np.uint64))[0]) | 1)
         v = grams * mult
         v ^= v >> np.uint64(29)
         v *= np.uint64(0xBF58476D1CE4E5B9)
+        at = np.flatnonzero(v <= few)
+        held = np.bincount(of[at], minlength=len(some))
+        if (held < np.minimum(count, sampled)).any():
+            at, held = np.arange(len(v)), count
+        v, row = v[at], of[at]
+        starts = np.cumsum(held) - held
         places, values = [], []
         for _ in range(sampled):
             low = np.minimum.reduceat(v, starts)
-            hit = np.flatnonzero(v == low[of])
-            at_first = hit[np.append(True, of[hit][1:] != of[hit][:-1])] if len(hit) else hit
-            places.append(at_first)
-            values.append(np.where(low == np.uint64(2**64 - 1), np.uint64(0), low))
-            v[at_first] = np.uint64(2**64 - 1)
+            hit = np.flatnonzero(v == low[row])
+            first_hit = hit[np.append(True, row[hit][1:] != row[hit][:-1])]
+            places.append(first_hit)
+            values.append(np.where(low == top, np.uint64(0), low))
+            v[first_hit] = top
         order = np.argsort(np.stack(places), axis=0, kind="stable")
         chosen = np.take_along_axis(np.stack(values), order, axis=0)
         key = np.full(len(some), j + 1, np.uint64)
@@ -94,44 +112,186 @@ def _word_groups(column):
         yield a, b, words, words.hashes()
 
 
-def _sketches(k: int, sketches: int, sampled: int):
+def _digests(words, h) -> list[np.ndarray]:
+    """Two hashes of the sequence of words of each text; 0 without words."""
+    place = np.arange(len(h), dtype=np.uint64) - words.first[words.doc].astype(np.uint64)
+    some = np.flatnonzero(np.diff(words.first))
+    out = [np.zeros(len(words.first) - 1, np.uint64) for _ in range(2)]
+    for d, salt in zip(out, (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47)):
+        if len(some):
+            d[some] = K.mix(np.add.reduceat(K.mix(h ^ K.mix(place + np.uint64(salt))), words.first[:-1][some]))
+    return out
+
+
+@K.lean
+def _named(batches):
+    """Texts to their number of words and the digests that name their class."""
+    for batch in batches:
+        keys = [batch.column(c) for c in (K1, K2, "doc_id")]
+        for a, b, words, h in _word_groups(batch.column("text")):
+            d1, d2 = (pa.array(d.view(np.int64)) for d in _digests(words, h))
+            yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in keys), pa.array(np.diff(words.first)), d1, d2], names=[K1, K2, "doc_id", "n_words", "d1", "d2"])
+
+
+#: Fields of an entry: key, class, words, number of the key.
+_ENTRY = {"key": "<u8", "d1": "<i8", "d2": "<i8", "n": "<u4", "j": "<u1"}
+
+
+def _deal(k: int, sketches: int, sampled: int, buckets: int):
+    """Texts to packed entries of their keys, one row per (group of texts, bucket); a class once in a group."""
+
     def run(batches):
+        codec = pa.Codec("zstd", 1)
+        held: list[list[np.ndarray]] = []
+
+        def sent():
+            got, d1, d2, n = map(np.concatenate, zip(*held))
+            held.clear()
+            entry = {
+                "key": got.reshape(-1), "d1": np.repeat(d1, sketches), "d2": np.repeat(d2, sketches), "n": np.repeat(n, sketches),
+                "j": np.tile(np.arange(sketches, dtype=np.uint8), len(n)),
+            }
+            bucket = (K.mix(entry["key"]) % np.uint64(buckets)).astype(np.int64)
+            by = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
+            rows = [(b, int(edges[b + 1] - edges[b]), by[edges[b] : edges[b + 1]]) for b in np.flatnonzero(np.diff(edges)).tolist()]
+            blobs = [codec.compress(b"".join(np.ascontiguousarray(entry[f][at].astype(t)).tobytes() for f, t in _ENTRY.items()), asbytes=True) for _, _, at in rows]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array(blobs, pa.binary())], names=["bucket", "n", "blob"])
+
         for batch in batches:
-            keys = [batch.column(c) for c in (K1, K2, "doc_id")]
-            for a, b, words, h in _word_groups(batch.column("text")):
+            for _, _, words, h in _word_groups(batch.column("text")):
+                d1, d2 = _digests(words, h)
                 n = np.diff(words.first)
-                place = np.arange(len(h), dtype=np.uint64) - words.first[words.doc].astype(np.uint64)
-                d = [np.zeros(b - a, np.uint64), np.zeros(b - a, np.uint64)]
                 some = np.flatnonzero(n)
-                for i, salt in enumerate((0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47)):
-                    if len(some):
-                        each = K.mix(h ^ K.mix(place + np.uint64(salt)))
-                        d[i][some] = K.mix(np.add.reduceat(each, words.first[:-1][some]))
+                if not len(some):
+                    continue
                 got = sketch(h, words.doc, words.first, k, sketches, sampled)
-                rows = [c.slice(a, b - a) for c in keys]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, got.size + 1, sketches, dtype=np.int32)), pa.array(got.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [*rows, pa.array(n), pa.array(d[0].view(np.int64)), pa.array(d[1].view(np.int64)), lists],
-                    names=[K1, K2, "doc_id", "n_words", "d1", "d2", "keys"],
-                )
+                one = some[np.unique(np.stack([d1[some], d2[some]]), axis=1, return_index=True)[1]]
+                held.append([got[one], d1[one].view(np.int64), d2[one].view(np.int64), n[one].astype(np.uint32)])
+                if sum(len(x[0]) for x in held) * sketches > 1 << 19:
+                    yield sent()
+        if held:
+            yield sent()
 
     return K.lean(run)
 
 
+_LIVE = "key long, d1 long, d2 long, j int, m long, w long, print1 long, print2 long, lead boolean"
+
+
 @K.lean
-def _hashed_words(batches):
+def _shared(batches):
+    """Buckets to the classes that share a key with another one, and of each key: classes, words, two fingerprints of its classes."""
+    bucket, blobs = None, []
+    codec = pa.Codec("zstd")
+    size = sum(np.dtype(t).itemsize for t in _ENTRY.values())
+
+    def done():
+        parts = []
+        for n, blob in blobs:
+            raw, at, part = codec.decompress(blob, n * size, asbytes=True), 0, {}
+            for f, t in _ENTRY.items():
+                part[f] = np.frombuffer(raw, t, n, at)
+                at += n * np.dtype(t).itemsize
+            parts.append(part)
+        e = {f: np.concatenate([p[f] for p in parts]) for f in _ENTRY}
+        by = np.lexsort((e["d2"], e["d1"], e["key"]))
+        e = {f: v[by] for f, v in e.items()}
+        same_key = e["key"][1:] == e["key"][:-1]
+        use = np.append(True, ~(same_key & (e["d1"][1:] == e["d1"][:-1]) & (e["d2"][1:] == e["d2"][:-1])))
+        e = {f: v[use] for f, v in e.items()}
+        begins = np.flatnonzero(np.append(True, e["key"][1:] != e["key"][:-1]))
+        length = np.diff(np.append(begins, len(e["key"])))
+        use = np.repeat(length > 1, length)
+        if not use.any():
+            return
+        e = {f: v[use] for f, v in e.items()}
+        length = length[length > 1]
+        begins = np.cumsum(length) - length
+        mixed = K.mix(e["d1"].view(np.uint64) ^ K.mix(e["d2"].view(np.uint64)))
+        prints = [np.add.reduceat(K.mix(mixed ^ np.uint64(salt)), begins).view(np.int64) for salt in (0x9FB21C651E98DF25, 0xD8F2A1B3C4E5F607)]
+        of_key = [length, np.add.reduceat(e["n"].astype(np.int64), begins), *prints]
+        lead = np.zeros(len(use[use]), bool)
+        lead[begins] = True
+        columns = [e["key"].view(np.int64), e["d1"], e["d2"], e["j"].astype(np.int32), *(np.repeat(v, length) for v in of_key), lead]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[c.split(" ")[0] for c in _LIVE.split(", ")])
+
     for batch in batches:
-        for a, b, words, h in _word_groups(batch.column("text")):
-            raw = h.tobytes()
-            edges = (words.first * 8).tolist()
-            blobs = [raw[x:y] for x, y in zip(edges, edges[1:])]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in (K1, K2)), pa.array(blobs, pa.binary())], names=[K1, K2, "words"])
+        for b, n, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "n", "blob"))):
+            if b != bucket:
+                if blobs:
+                    yield from done()
+                bucket, blobs = b, []
+            blobs.append((n, blob))
+    if blobs:
+        yield from done()
+
+
+def _words_and_keys(k: int, sketches: int, sampled: int):
+    """Texts to their words (five bytes each) and 32 bits of each of their keys."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b, words, h in _word_groups(batch.column("text")):
+                raw = np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+                edges = (words.first * 5).tolist()
+                keys = sketch(h, words.doc, words.first, k, sketches, sampled).astype(np.uint32)
+                columns = [pa.array([raw[x:y] for x, y in zip(edges, edges[1:])], pa.binary()), pa.array([r.tobytes() for r in keys], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in (K1, K2)), *columns], names=[K1, K2, "words", "keys"])
+
+    return K.lean(run)
+
+
+def allowed(n, m, threshold: float):
+    """Edits that texts of n and m words may differ in."""
+    return ((1 - threshold) * np.maximum(n, m) + 1e-9).astype(np.int64)
+
+
+class Pattern:
+    """A text to be aligned with others, as one whole number for each of its words: the places where it stands."""
+
+    def __init__(self, x: np.ndarray):
+        self.n, self.at = len(x), {}
+        for i, word in enumerate(x.tolist()):
+            self.at[word] = self.at.get(word, 0) | 1 << i
+
+    def edits(self, y: np.ndarray, most: int) -> int:
+        """The edit distance to ``y`` if it is at most ``most``, else more than that.
+
+        Column by column over the rows of a band of ``most`` diagonals to either side, a bit for each row's difference to the one above (G. Myers, 1999); outside the band
+        the largest possible differences are taken, which no path of so few edits can use.
+        """
+        m, n = self.n, len(y)
+        if abs(m - n) > most:
+            return most + 1
+        if not m:
+            return n
+        low, high = 0, min(m, most)
+        score, up, down = high, (1 << high) - 1, 0
+        for column, word in enumerate(y.tolist(), 1):
+            if high < m:
+                up |= 1 << (high - low)
+                score += 1
+                high += 1
+            mask = (1 << (high - low)) - 1
+            equal = (self.at.get(word, 0) >> low) & mask
+            zero = ((((equal & up) + up) ^ up) | equal | down) & mask
+            right_up, right_down = (down | ~(zero | up)) & mask, up & zero
+            last = high - low - 1
+            score += (right_up >> last) - (right_down >> last)
+            right_up, right_down = (right_up << 1 | 1) & mask, (right_down << 1) & mask
+            up, down = (right_down | ~(zero | right_up)) & mask, right_up & zero
+            if column > most:
+                low += 1
+                up >>= 1
+                down >>= 1
+        return score if high == m else most + 1
 
 
 def similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
     """Is the edit similarity of two sequences at least ``threshold``?
 
-    Furthest reaching points by number of edits, on the diagonals of the band only.
+    Equal beginnings and ends aside, an alignment in the band that so many edits can reach.
     """
     longer = max(len(x), len(y))
     most = int((1 - threshold) * longer + 1e-9)  # edits allowed
@@ -154,10 +314,11 @@ def similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
     x, y = x[: len(x) - tail], y[: len(y) - tail]
     if not len(x) or not len(y):
         return max(len(x), len(y)) <= most
-    return _banded(x, y, most)
+    return Pattern(x).edits(y, most) <= most if min(len(x), len(y)) <= SHORT else _banded(x, y, most)
 
 
 def _banded(x: np.ndarray, y: np.ndarray, most: int) -> bool:
+    """Furthest reaching points by number of edits, on the diagonals of the band only: for long texts."""
     n, m = len(x), len(y)
     goal = m - n
     reach = np.full(2 * most + 3, -1, np.int64)  # by diagonal j - i, from -most - 1 on: furthest i
@@ -203,111 +364,142 @@ def _banded(x: np.ndarray, y: np.ndarray, most: int) -> bool:
     return False
 
 
-def _verify(threshold: float):
-    def run(batches):
-        for batch in batches:
-            a, b = (K.buffer(batch.column(c)) for c in ("words_a", "words_b"))
-            keep = [
-                similar(a[0][a[1][i] : a[1][i + 1]].view(np.uint64), b[0][b[1][i] : b[1][i + 1]].view(np.uint64), threshold)
-                for i in range(len(batch))
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return K.lean(run)
-
-
-def _grouped(batches):
-    """Tables of the rows of one tile each."""
-    held, last = [], None
-    for batch in batches:
-        if not len(batch):
-            continue
-        tile = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "x", "y")])
-        edges = [0, *(np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(axis=0)) + 1).tolist(), len(batch)]
-        for a, b in zip(edges, edges[1:]):
-            now = tuple(tile[:, a].tolist())
-            if held and now != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = now
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _partners(table: pa.Table, threshold: float, cells: np.ndarray | None = None):
-    """Row by row of a tile: the rows after it that share this key and none before it, that a length, and cells of words, do not rule out.
-
-    A tile of two blocks pairs one with the other; a tile of one block pairs its rows.
-    """
-    x, y, j = (int(table.column(c)[0].as_py()) for c in ("x", "y", "j"))
-    n, block = table.column("n_words").to_numpy(), table.column("block").to_numpy()
-    keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(len(n), -1)[:, :j]
-    second = np.flatnonzero(block == y)
-    for i in np.flatnonzero(block == x).tolist():
-        js = second[second > i] if x == y else second
-        longer = np.maximum(n[js], n[i])
-        most = ((1 - threshold) * longer + 1e-9).astype(np.int64)
-        js, most = (v[np.abs(n[js] - n[i]) <= most] for v in (js, most))
-        use = ~(keys[js] == keys[i]).any(axis=1)
-        js, most = js[use], most[use]
-        if cells is not None and len(js):
-            apart = cells[js] - cells[i]
-            js = js[np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= most]
-        if len(js):
-            yield i, js
-
-
-def _pairs(threshold: float):
-    """Tiles to pairs (a, b)."""
-
-    def run(batches):
-        for table in _grouped(batches):
-            found = [(np.full(len(js), i), js) for i, js in _partners(table, threshold)]
-            if found:
-                names = table.column("class").combine_chunks()
-                a, b = (pa.array(np.concatenate(v)) for v in zip(*found))
-                yield pa.RecordBatch.from_arrays([names.take(a), names.take(b)], names=["a", "b"])
-
-    return K.lean(run)
+class Tile:
+    """Classes of one key, or of two of its blocks: their words, the keys before this one, and what is found of them."""
+
+    def __init__(self, words: list[np.ndarray], keys: np.ndarray, threshold: float):
+        self.words, self.keys, self.threshold = words, keys, threshold
+        self.n = np.array([len(w) for w in words])
+        self.links, self.parent = np.zeros(len(words), np.int64), list(range(len(words)))
+        self._cells: np.ndarray | None = None
+
+    def root(self, r: int) -> int:
+        parent = self.parent
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    def cells(self) -> np.ndarray:
+        if self._cells is None:
+            flat, row = np.concatenate(self.words), np.repeat(np.arange(len(self.words)), self.n)
+            counts = np.bincount(row * CELLS + (flat & np.uint64(CELLS - 1)).astype(np.int64), minlength=len(self.words) * CELLS)
+            self._cells = counts.reshape(-1, CELLS).astype(np.int32)
+        return self._cells
+
+    def compare(self, x: np.ndarray, y: np.ndarray, same: bool, depth: int = 6) -> None:
+        """Verify the pairs of rows x by y, or those within x, that share no key before this one."""
+        rows = x if same else np.concatenate([x, y])
+        if depth and len(rows) >= 64 and self.keys.shape[1]:
+            value, n, column = 0, 0, 0
+            for c in range(self.keys.shape[1]):  # the most common earlier key: pairs that both have it met there
+                v, counts = np.unique(self.keys[rows, c], return_counts=True)
+                if counts.max() > n:
+                    value, n, column = v[np.argmax(counts)], counts.max(), c
+            if 3 * n >= len(rows):
+                has = self.keys[:, column] == value
+                rest = x[~has[x]]
+                if same:
+                    self.compare(rest, rest, True, depth - 1)
+                    self.compare(rest, x[has[x]], False, depth - 1)
+                else:
+                    self.compare(rest, y, False, depth - 1)
+                    self.compare(x[has[x]], y[~has[y]], False, depth - 1)
+                return
+        if not len(x) or not len(y):
+            return
+        step = max(1, PAIRS // len(y))
+        for k in range(0, len(x), step):
+            self._pairs(x[k : k + step], y, same)
+
+    def _pairs(self, x: np.ndarray, y: np.ndarray, same: bool) -> None:
+        most = allowed(self.n[x][:, None], self.n[y][None, :], self.threshold)
+        ask = np.abs(self.n[x][:, None] - self.n[y][None, :]) <= most
+        if same:
+            ask &= x[:, None] < y[None, :]
+        for c in range(self.keys.shape[1]):
+            if not ask.any():
+                return
+            ask &= self.keys[x, c][:, None] != self.keys[y, c][None, :]
+        for _ in range(8):
+            n_open = int(ask.sum())
+            if n_open < PIVOT:
+                break
+            by_x, by_y = ask.sum(axis=1), ask.sum(axis=0)
+            pivot = x[np.argmax(by_x)] if by_x.max() >= by_y.max() else y[np.argmax(by_y)]
+            if max(by_x.max(), by_y.max()) < 8 or self.n[pivot] > SHORT:
+                break
+            pattern = Pattern(self.words[pivot])
+            bound = 2 * int(allowed(self.n[pivot], self.n[pivot], self.threshold)) + 2
+            far = {r: pattern.edits(self.words[r], bound) if self.n[r] <= SHORT else -1 for r in np.concatenate([x[by_x > 0], y[by_y > 0]]).tolist()}
+            d_x, d_y = (np.array([far.get(r, -1) for r in rows.tolist()]) for rows in (x, y))
+            known = (d_x >= 0)[:, None] & (d_y >= 0)[None, :] & ask
+            near_x, near_y = (d_x <= bound)[:, None], (d_y <= bound)[None, :]
+            link = known & near_x & near_y & (d_x[:, None] + d_y[None, :] <= most)
+            # A distance over the bound is at least one more than it.
+            apart = np.where(near_x & near_y, np.abs(d_x[:, None] - d_y[None, :]), np.where(near_x, bound + 1 - d_x[:, None], np.where(near_y, bound + 1 - d_y[None, :], 0)))
+            self._note(x, y, link)
+            ask &= ~(link | (known & (apart > most)))
+            if int(ask.sum()) > 0.8 * n_open:
+                break
+        at_x, at_y = np.nonzero(ask)
+        if not len(at_x):
+            return
+        cells = self.cells()
+        keep = np.ones(len(at_x), bool)
+        for k in range(0, len(at_x), 1 << 16):
+            part = slice(k, k + (1 << 16))
+            off = cells[x[at_x[part]]] - cells[y[at_y[part]]]
+            keep[part] = np.maximum(np.maximum(off, 0).sum(axis=1), np.maximum(-off, 0).sum(axis=1)) <= most[at_x[part], at_y[part]]
+        link = np.zeros_like(ask)
+        for a, b in zip(at_x[keep].tolist(), at_y[keep].tolist()):
+            link[a, b] = similar(self.words[x[a]], self.words[y[b]], self.threshold)
+        self._note(x, y, link)
+
+    def _note(self, x: np.ndarray, y: np.ndarray, link: np.ndarray) -> None:
+        np.add.at(self.links, x, link.sum(axis=1))
+        np.add.at(self.links, y, link.sum(axis=0))
+        # One link of each row to an open part is enough for the parts: rows by their first partner, then partners by their first row.
+        for a in np.flatnonzero(link.any(axis=1)).tolist():
+            mine = self.root(int(x[a]))
+            for r in {self.root(int(r)) for r in y[link[a]].tolist()}:
+                self.parent[r] = mine
+                mine = self.root(mine)
+
+
+_TILE = f"key long, x int, y int, block int, j int, unknown boolean, doc_id long, {K2} long, {K1} long, words binary, keys binary"
 
 
 def _tiles(threshold: float):
-    """Tiles with words to their classes with a link: (class, one class for each connected part, number of links)."""
+    """Tiles to their classes with a link: (class, one class for each connected part, number of links)."""
 
     def run(batches):
-        for table in _grouped(batches):
+        for table, edges in K.tiles(batches):
+            names = pa.StructArray.from_arrays([table.column(c).combine_chunks() for c in ("unknown", "doc_id", K2, K1)], names=["unknown", "doc_id", K2, K1])
+            j, block, xs, ys = (table.column(c).to_numpy().astype(np.int64) for c in ("j", "block", "x", "y"))
             data, offsets = K.buffer(table.column("words"))
-            data, at = data.view(np.uint64), (offsets // 8).tolist()
-            words = [data[a:b] for a, b in zip(at, at[1:])]
-            row = np.repeat(np.arange(len(words)), np.diff(at))
-            cells = np.bincount(row * CELLS + (data & np.uint64(CELLS - 1)).astype(np.int64), minlength=len(words) * CELLS)
-            cells = cells.reshape(-1, CELLS).astype(np.int32)
-            degree, parent = np.zeros(len(words), np.int64), list(range(len(words)))
-
-            def root(r, parent=parent):
-                while parent[r] != r:
-                    parent[r] = r = parent[parent[r]]
-                return r
-
-            for i, js in _partners(table, threshold, cells):
-                near = np.array([similar(words[i], words[r], threshold) for r in js.tolist()], bool)
-                js = js[near]
-                degree[i] += len(js)
-                degree[js] += 1
-                for r in js.tolist():
-                    parent[root(r)] = root(i)
-            some = np.flatnonzero(degree)
-            if len(some):
-                names = table.column("class").combine_chunks()
-                roots = pa.array([root(r) for r in some.tolist()])
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(some)), names.take(roots), pa.array(degree[some])], names=["a", "b", "n"])
+            raw, key_at = K.buffer(table.column("keys"))
+            keys = raw.view(np.uint32).reshape(len(table), -1)
+            for lo, hi in zip(edges, edges[1:]):
+                part = data[offsets[lo] : offsets[hi]].reshape(-1, 5)
+                wide = np.zeros((len(part), 8), np.uint8)
+                wide[:, :5] = part
+                flat, at = wide.reshape(-1).view(np.uint64), ((offsets[lo : hi + 1] - offsets[lo]) // 5).tolist()
+                tile = Tile([flat[a:b] for a, b in zip(at, at[1:])], keys[lo:hi, : j[lo]], threshold)
+                rows, x, y = np.arange(hi - lo), xs[lo], ys[lo]
+                if x == y:
+                    tile.compare(rows, rows, True)
+                else:
+                    tile.compare(rows[block[lo:hi] == x], rows[block[lo:hi] == y], False)
+                some = np.flatnonzero(tile.links)
+                if len(some):
+                    roots = pa.array([lo + tile.root(r) for r in some.tolist()])
+                    yield pa.RecordBatch.from_arrays([names.take(pa.array(lo + some)), names.take(roots), pa.array(tile.links[some])], names=["a", "b", "n"])
 
     return K.lean(run)
 
 
 def near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, sketches: int = 32, sampled: int = 2, threshold: float = 0.8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, sketches: int = 48, sampled: int = 3, threshold: float = 0.8
 ) -> DataFrame:
     """Per document: row key, doc_id, class_id (doc_id of the class's first document), is_first, n_links (verified links of the document's
     text with other texts).
@@ -318,63 +510,49 @@ def near_copies(
     spark = docs.sparkSession
     ship(spark)
     texts = keyed(docs, id_col, text_col)
-    schema = f"{K1} long, {K2} long, doc_id long, n_words long, d1 long, d2 long, keys array<long>"
-    rows = settle(texts.mapInArrow(_sketches(k, sketches, sampled), schema))
+    rows = settle(texts.mapInArrow(_named, f"{K1} long, {K2} long, doc_id long, n_words long, d1 long, d2 long"))
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", K2, K1)
     # One class for each sequence of words; texts without words keep their own.
     named = rows.withColumn("d1", F.when(F.col("n_words") == 0, F.col(K1)).otherwise(F.col("d1")))
     named = named.withColumn("d2", F.when(F.col("n_words") == 0, F.col(K2)).otherwise(F.col("d2")))
     firsts = settle(named.groupBy("d1", "d2", (F.col("n_words") == 0).alias("none")).agg(F.min(place).alias("first")))
-    reps = named.filter("n_words > 0").join(
-        firsts.filter("not none").select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.col(f"first.{K1}").alias("f1"), F.col(f"first.{K2}").alias("f2"), "first"),
-        (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & (F.col(K1) == F.col("f1")) & (F.col(K2) == F.col("f2")),
-    ).dropDuplicates([K1, K2])
-    reps = settle(reps.select(F.col("first").alias("class"), "n_words", "keys"))
-    keyed_reps = settle(reps.select("class", "n_words", F.posexplode("keys").alias("j", "key")))
-    crowd = keyed_reps.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n_words").alias("w")).filter("m > 1")
-    ends = keyed_reps.join(crowd, "key").select(F.col(f"class.{K1}").alias(K1), F.col(f"class.{K2}").alias(K2), "j", "key", "m", "w")
-    sides = reps.select("class", "n_words", "keys", F.col(f"class.{K1}").alias(K1), F.col(f"class.{K2}").alias(K2))
-    shared = settle(ends.join(sides, [K1, K2]))
-    ends = settle(shared.select(K1, K2).distinct())
-    some = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
-    words = settle(texts.join(some, [K1, K2], "left_semi").mapInArrow(_hashed_words, f"{K1} long, {K2} long, words binary").dropDuplicates([K1, K2]))
-    order = f"struct<unknown:boolean,doc_id:bigint,{K2}:bigint,{K1}:bigint>"
 
-    # Keys of few classes: pairs as rows.
-    light = shared.filter(F.col("m") <= LIGHT).select("key", F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(0).alias("block"), "j", "class", "n_words", "keys")
-    candidates = settle(_together(light).mapInArrow(_pairs(threshold), f"a {order}, b {order}"))
-    side = lambda c: words.select(F.col(K1).alias(f"{c}1"), F.col(K2).alias(f"{c}2"), F.col("words").alias(f"words_{c}"))
-    pairs = candidates.withColumns({f"{c}{i}": F.col(f"{c}.{k}") for c in "ab" for i, k in ((1, K1), (2, K2))})
-    few = settle(pairs.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"]).mapInArrow(_verify(threshold), f"a {order}, b {order}"))
+    entries = firsts.filter("not none").count() * sketches * sum(np.dtype(t).itemsize for t in _ENTRY.values())
+    buckets = max(shuffle_partitions(spark), int(entries / BUCKET_BYTES) + 1)
+    dealt = texts.select("text").mapInArrow(_deal(k, sketches, sampled, buckets), "bucket long, n long, blob binary")
+    live = settle(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared, _LIVE))
+    # Of keys with the same classes the first one is enough: all pairs under the others share it, too.
+    groups = live.filter("lead").groupBy("m", "print1", "print2").agg(F.min(F.struct("j", "key")).alias("first"))
+    live = settle(lookup_join(live.select("key", "d1", "d2", "j", "m", "w"), groups.select(F.col("first.key").alias("key")), ["key"], "inner", spread=("d1", "d2")))
 
-    # Crowded keys: every two blocks of a key meet in one tile, so no pair is left out.
+    classes = settle(live.select("d1", "d2").distinct().join(firsts.filter("not none"), ["d1", "d2"]).select("d1", "d2", "first.*"))
+    ends = classes.select(K1, K2)
+    some = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
+    words = texts.join(some, [K1, K2], "left_semi").mapInArrow(_words_and_keys(k, sketches, sampled), f"{K1} long, {K2} long, words binary, keys binary")
+    held = settle(words.dropDuplicates([K1, K2]).join(classes, [K1, K2]))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("w") / BLOCK_WORDS)).cast("int")
-    heavy = shared.filter(F.col("m") > LIGHT).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
-    heavy = heavy.join(words, [K1, K2]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    heavy = heavy.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "j", "class", "n_words", "keys", "words")
-    many = settle(_together(heavy).mapInArrow(_tiles(threshold), f"a {order}, b {order}, n long"))
-
-    links = few.union(many.select("a", "b").filter("a <> b"))
-    ones = few.select("a", F.lit(1).cast("long").alias("n"))
-    degree = ones.union(few.select("b", F.lit(1).cast("long"))).union(many.select("a", "n")).groupBy("a").agg(F.sum("n").alias("n_links"))
+    tiles = live.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("d1", "d2"), "blocks").cast("int")).join(held, ["d1", "d2"])
+    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).select(*[c.split(" ")[0] for c in _TILE.split(", ")])
+    dealt = tiles.repartition(shuffle_partitions(spark), "key", "x", "y").sortWithinPartitions("key", "x", "y")
+    order = f"struct<unknown:boolean,doc_id:bigint,{K2}:bigint,{K1}:bigint>"
+    many = settle(dealt.mapInArrow(_tiles(threshold), f"a {order}, b {order}, n long"))
+
+    links = many.select("a", "b").filter("a <> b")
+    degree = many.groupBy("a").agg(F.sum("n").alias("n_links"))
     roots = components(links)
-    classes = (
+    found = (
         firsts.join(roots, F.col("first") == F.col("node"), "left").join(degree, F.col("first") == F.col("a"), "left")
         .select("d1", "d2", "none", F.coalesce("root", "first").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
-    return named.withColumn("none", F.col("n_words") == 0).join(classes, ["d1", "d2", "none"]).select(
+    return named.withColumn("none", F.col("n_words") == 0).join(found, ["d1", "d2", "none"]).select(
         K1, K2, "doc_id", F.col("root.doc_id").alias("class_id"),
         ((F.col(K1) == F.col(f"root.{K1}")) & (F.col(K2) == F.col(f"root.{K2}"))).alias("is_first"), "n_links",
     )
 
 
-def _together(rows: DataFrame) -> DataFrame:
-    """The rows of a tile in one partition, one after the other."""
-    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-
-
 def drop_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, sketches: int = 32, sampled: int = 2, threshold: float = 0.8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, sketches: int = 48, sampled: int = 3, threshold: float = 0.8
 ) -> DataFrame:
     """The rows, with all their columns, of the first document of each class; of rows equal in id and text one stays."""
     found = settle(near_copies(docs, id_col, text_col, k, sketches, sampled, threshold).select(K1, K2, "is_first"))

@@ -79,3 +79,55 @@ def test_recall_at_the_threshold(spark):
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(100 + i, " ".join(near_of(draw, t, 0.2))) for i, t in enumerate(texts)]
     found = {r["doc_id"]: r for r in nearcopies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert sum(found[100 + i]["class_id"] == i for i in range(80)) >= 79
+
+
+def distance(a: list, b: list) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(new[-1] + 1, row[j + 1] + 1, row[j] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_edits_in_a_band():
+    draw = random.Random(1)
+    for _ in range(4000):
+        a = [draw.randrange(draw.choice((2, 4, 30))) for _ in range(draw.randint(0, 14))]
+        b = list(a)
+        for _ in range(draw.randint(0, 6)):
+            at = draw.randint(0, len(b))
+            b[at : at + draw.randint(0, 2)] = [draw.randrange(4)] * draw.randint(0, 2)
+        most, want = draw.randint(0, 12), distance(a, b)
+        got = nearcopies.Pattern(np.array(a, np.uint64)).edits(np.array(b, np.uint64), most)
+        assert got == want if want <= most else got > most
+
+
+@pytest.mark.parametrize("pairs, short", [(1 << 21, 8192), (300, 8192), (1 << 21, 30)])
+def test_pivots_decide_as_alignments_do(monkeypatch, pairs, short):
+    """Families with near and far members, some of which met under earlier keys; long texts have no pivots."""
+    monkeypatch.setattr(nearcopies, "PAIRS", pairs)
+    monkeypatch.setattr(nearcopies, "SHORT", short)
+    draw = random.Random(2)
+    texts = []
+    for size in (40, 41, 120):
+        base = [draw.randrange(10**6) for _ in range(size)]
+        for _ in range(35):
+            near = list(base)
+            for _ in range(draw.choice((0, 1, 3, size // 10, size // 5, size // 4))):
+                near[draw.randrange(len(near))] = draw.randrange(10**6)
+            texts.append(np.array(near[: draw.randint(size - 4, size)], np.uint64))
+    early = np.array([[draw.choice((0, 0, 0, 1000 + k)), draw.choice((0, 2000 + k))] for k in range(len(texts))], np.uint32)
+    tile = nearcopies.Tile(texts, early, 0.8)
+    tile.compare(np.arange(len(texts)), np.arange(len(texts)), True)
+    want, part = [0] * len(texts), list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            most = int(0.2 * max(len(texts[i]), len(texts[j])) + 1e-9)
+            if (early[i] != early[j]).all() and distance(texts[i].tolist(), texts[j].tolist()) <= most:
+                want[i] += 1
+                want[j] += 1
+                part = [part[i] if p == part[j] else p for p in part]
+    assert tile.links.tolist() == want
+    assert all((tile.root(i) == tile.root(j)) == (part[i] == part[j]) for i in range(len(texts)) for j in range(i))
