@@ -2,8 +2,8 @@
 
 Every letter, and the gap between words, has a random vector of +1 and -1, drawn from its code point. An n-gram's
 vector is the product of its letters' vectors, each rotated by its place from the end (binding and permutation). A text's
-vector is the sum of its n-grams' vectors (bundling), a language's prototype the sum over its learning texts' unit shares; both are
-compared by cosine. Letters are lower-cased; everything that is no letter separates words.
+vector is the sum of its n-grams' vectors (bundling), a language's prototype the sum over its learning texts, so a long text weighs as its
+n-grams do; both are compared by cosine. Letters are lower-cased; everything that is no letter separates words.
 
 Sums are linear, so texts are bundled as products of count matrices with the n-gram vectors.
 
@@ -206,23 +206,20 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
     return keyed(docs, id_col, text_col).mapInArrow(_predict(sent), schema)
 
 
-def _known(profiles, text_col: str, min_score: float, min_bytes: int):
+def _known(profiles, text_col: str):
     def run(batches):
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text_col))
-            names, scores = profiles.value.predict(column)
-            size = np.diff(K.buffer(column)[1])
-            known = np.array([n != UNKNOWN for n in names], bool)
-            yield batch.filter(pa.array(known & ((scores >= min_score) | (size < min_bytes)), pa.bool_()))
+            names, _ = profiles.value.predict(batch.column(batch.schema.get_field_index(text_col)))
+            yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
 
     return K.lean(run)
 
 
-def keep_known(docs: DataFrame, profiles: Profiles, text_col: str = "text", min_score: float = 0.05, min_bytes: int = 500) -> DataFrame:
-    """The rows, with all their columns, whose language is known.
+def keep_known(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose language is known: NULL texts and those without letters go, whatever their length.
 
-    Turned away are texts without letters, and texts of ``min_bytes`` or more that are like no language: an unrelated text's cosine is about 0,
-    give or take 0.03, while short ones may have few of a language's n-grams.
+    No text goes for a low cosine: that of an unrelated text is about 0, give or take 1 / sqrt(dimensions), but so may be that of a short text
+    with few of its language's n-grams.
     """
     ship(docs.sparkSession)
-    return docs.mapInArrow(_known(docs.sparkSession.sparkContext.broadcast(profiles), text_col, min_score, min_bytes), docs.schema)
+    return docs.mapInArrow(_known(docs.sparkSession.sparkContext.broadcast(profiles), text_col), docs.schema)
