@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from sessionvol.llm import kernels as K
 from sessionvol.llm.rows import K1, K2, row_key, ship
+from sessionvol.session import settle
 
 #: Bytes of item texts whose automaton is sent to all tasks at once.
 BLOCK_BYTES = 4 << 20
@@ -202,12 +203,19 @@ _SPANS = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64()), ("longest",
 _HITS = f"{K1} long, {K2} long, spans array<struct<lo:long,hi:long,longest:long>>, items array<string>"
 
 
+def _owned(block, column):
+    """``find``, with the ids of the items that have the texts found."""
+    automaton, owners = block
+    n_words, spans, texts = find(automaton, column)
+    return n_words, spans, [{o for k in found for o in owners[int(k)]} for found in texts]
+
+
 def _one_pass(automaton, text_col: str, apply):
     """All texts against the only block of items."""
 
     def run(batches):
         for batch in batches:
-            yield apply(batch, *find(automaton.value, batch.column(batch.schema.get_field_index(text_col))))
+            yield apply(batch, *_owned(automaton.value, batch.column(batch.schema.get_field_index(text_col))))
 
     return K.lean(run)
 
@@ -217,7 +225,7 @@ def _hits(automaton):
 
     def run(batches):
         for batch in batches:
-            _, spans, items = find(automaton.value, batch.column("text"))
+            _, spans, items = _owned(automaton.value, batch.column("text"))
             i = [k for k, s in enumerate(spans) if s]
             lists = [[{"lo": p, "hi": q, "longest": n} for p, q, n in spans[k]] for k in i]
             keys = [batch.column(c).take(pa.array(i, pa.int64())) for c in (K1, K2)]
@@ -289,24 +297,28 @@ def match(
     """``apply`` of every batch of ``docs`` and what its texts have of the items.
 
     Rows of items that share an id are one item with several texts; an item without an id counts as the
-    item ''. Runs one job over the items when called.
+    item ''. Items of equal text share one text, which is sent once. Runs jobs over the items when called.
     """
     spark = docs.sparkSession
     ship(spark)
     known = items.select(
         F.coalesce(F.col(f"`{item_id_col}`").cast("string"), F.lit("")).alias("item"), F.col(f"`{item_text_col}`").alias("text")
     ).filter(F.octet_length("text") > 0)
-    size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Equal texts are one, with the ids of all items that have it.
+    texts = settle(known.groupBy("text").agg(F.sort_array(F.collect_set("item")).alias("owners")))
+    owners = F.aggregate("owners", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x) + 1)
+    size = texts.agg(F.sum(F.octet_length("text") + owners)).first()[0] or 0
     n_blocks = size // block_bytes + 1
     block = F.pmod(F.xxhash64("text"), F.lit(n_blocks))
     found = []
     for k in range(n_blocks):
-        rows = known.filter(block == k).collect()  # about block_bytes
-        automaton = spark.sparkContext.broadcast(Automaton(sorted((r[0], r[1]) for r in rows), window))
+        rows = sorted(texts.filter(block == k).collect())  # about block_bytes
+        automaton = Automaton([(str(i), r[0]) for i, r in enumerate(rows)], window)
+        automaton = spark.sparkContext.broadcast((automaton, [r[1] for r in rows]))
         if n_blocks == 1:
             return docs.mapInArrow(_one_pass(automaton, text_col, apply), schema)
-        texts = docs.select(*key, F.col(f"`{text_col}`").alias("text"))
-        found.append(texts.mapInArrow(_hits(automaton), _HITS))
+        read = docs.select(*key, F.col(f"`{text_col}`").alias("text"))
+        found.append(read.mapInArrow(_hits(automaton), _HITS))
     hits = reduce(DataFrame.union, found).distinct().groupBy(K1, K2).agg(
         F.collect_list("spans").alias("__llm_spans"), F.collect_list("items").alias("__llm_items")
     )

@@ -3,19 +3,22 @@
 A conversation becomes one or more training strings of at most ``budget`` tokens. Prefix sums of the turns' tokens choose the spans:
 a window takes as many whole turns as fit beside the system turn, which every window repeats, and beside limited history: the
 last turns before it, at most ``history`` tokens of them. Repeated turns are context only; under the loss mask is each
-assistant text once, in the window that first has it. A turn that is larger than the budget alone has a window to itself.
+assistant text once, in the window that first has it. A turn beside which the system turn doesn't fit has a window without it, so a window is over the budget only if
+it is one turn that is so alone.
 
-The template: ``<s>[TURN role]text[/TURN]`` for each turn, ``</s>`` at the end. Strings that look like its marks in roles and
-texts get a backslash behind their first character, and one more if they have some there, so that reading back is exact.
+The template: ``<s>[TURN role]text[/TURN]`` for each turn, ``</s>`` at the end; tokens are counted on its strings, marks and escapes included. Strings that look like its marks in
+roles and texts get a backslash behind their first character, and one more if they have some there, so that reading back is exact.
 
 At scale: turns are dealt by conversation, sorted, and read as a stream. A task holds the turns of the open window and the
-history, never a conversation.
+history, never a conversation; one conversation is one task's stream.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,16 +42,25 @@ def unescape(text: str) -> str:
 
 
 def escape_role(role: str) -> str:
-    return re.sub(r"([\\\]])", r"\\\1", role)
+    return re.sub(r"([\\\]])", r"\\\1", escape(role))
 
 
 def unescape_role(role: str) -> str:
-    return re.sub(r"\\(.)", r"\1", role, flags=re.S)
+    return unescape(re.sub(r"\\(.)", r"\1", role, flags=re.S))
+
+
+def words_and_marks(text: str) -> int:
+    """The default unit of budgets."""
+    return len(re.findall(r"\w+|[^\w\s]", text))
 
 
 def n_tokens(text: str) -> int:
-    """Words and marks of a turn, the unit of budgets; any other counter may be given."""
-    return len(re.findall(r"\w+|[^\w\s]", text)) + 4
+    """Words and marks of a turn's text and of the least marks around it."""
+    return words_and_marks(text) + 4
+
+
+def formatted(turn: tuple[str, str]) -> str:
+    return f"[TURN {escape_role(turn[0])}]{escape(turn[1])}[/TURN]"
 
 
 class Window:
@@ -79,35 +91,44 @@ def read_back(text: str) -> list[tuple[str, str]]:
     return [(unescape_role(r), unescape(t)) for r, t in _TURN.findall(text)]
 
 
-def _windows(turns, budget: int, history: int):
+def _windows(
+    turns: Iterable[tuple[str, str]], budget: int, history: int, count: Callable[[str], int] = words_and_marks
+) -> Iterator[Window]:
     """Windows of one conversation, from an iterator over its turns (role, text)."""
-    system, window, used, own = None, None, 0, 0
-    recent: list[tuple[tuple[str, str], int]] = []
-    for k, turn in enumerate(turns):
-        n = n_tokens(turn[1])
-        if window is not None and used + n > budget:
-            yield window
-            back, room = [], min(history, budget - (own + n))
-            for t, m in reversed(recent):  # prefix sums, from the last turn on
-                if m > room:
-                    break
-                room -= m
-                back.append((t, m))
-            window = Window(system, [t for t, _ in reversed(back)])
-            used = own + sum(m for _, m in back)
-            recent = back[::-1]
-        if window is None:
-            window = Window(None, [])
-        window.add(turn)
-        used += n
-        if k == 0 and turn[0] == "system":
-            system, own = turn, n
-        else:
-            recent.append((turn, n))
-            while len(recent) > 1 and sum(m for _, m in recent) - recent[0][1] >= history:
-                recent.pop(0)
-    if window is not None:
+    turns, frame = iter(turns), count("<s>") + count("</s>")
+    held: list[tuple[str, str]] = []  # the open window's turns, and those before it that may be history
+    sums = [0]  # prefix sums of their tokens
+
+    def more() -> bool:
+        for turn in turns:
+            held.append(turn)
+            sums.append(sums[-1] + count(formatted(turn)))
+            return True
+        return False
+
+    system, own, start, oldest = None, 0, 0, 0
+    if more() and held[0][0] == "system":
+        system, own, oldest = held[0], sums[1], 1
+    first = True
+    while start < len(held) or more():
+        cost = sums[start + 1] - sums[start]
+        lead = None if first or frame + own + cost > budget else system
+        used = frame + (own if lead else 0)
+        back = start
+        if not first:
+            back = max(min(oldest, start), bisect_left(sums, sums[start] - max(0, min(history, budget - used - cost)), 0, start + 1))
+        used += sums[start] - sums[back]
+        while sums[-1] - sums[start] + used <= budget and more():
+            pass
+        end = max(start + 1, bisect_right(sums, sums[start] + budget - used) - 1)
+        window = Window(lead, held[back:start])
+        for turn in held[start:end]:
+            window.add(turn)
         yield window
+        # What is left are the turns that may be history, and those read beyond the window.
+        keep = max(min(oldest, end), bisect_left(sums, sums[end] - history, 0, end + 1))
+        held, sums = held[keep:], [x - sums[keep] for x in sums[keep:]]
+        start, oldest, first = end - keep, max(0, oldest - keep), False
 
 
 _WINDOW = "conv_id long, window int, text string, n_turns int, n_repeated int, mask array<struct<lo:long,hi:long>>"
@@ -125,13 +146,13 @@ def _stream(batches):
         yield conv, ((r[1], r[2]) for r in turns)
 
 
-def _format(budget: int, history: int):
+def _format(budget: int, history: int, count: Callable[[str], int]):
     def run(batches):
         names = ["conv_id", "window", "text", "n_turns", "n_repeated", "mask"]
         kinds = [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))]
         out, size = [], 0
         for conv, turns in _stream(batches):
-            for k, w in enumerate(_windows(turns, budget, history)):
+            for k, w in enumerate(_windows(turns, budget, history, count)):
                 mask = [{"lo": a, "hi": b} for a, b in w.mask]
                 out.append((conv, k, w.text(), w.repeated + w.fresh, w.repeated, mask))
                 size += w.length
@@ -146,13 +167,13 @@ def _format(budget: int, history: int):
 
 def format_windows(
     turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
-    budget: int = 512, history: int = 128,
+    budget: int = 512, history: int = 128, count: Callable[[str], int] = words_and_marks,
 ) -> DataFrame:
     """Formatted windows: conv_id, window, text, n_turns, n_repeated (leading turns that are context only), mask (spans of
     characters of ``text`` under the loss).
 
     Turns are taken in order of the turn number, NULL first, equal numbers in order of role and text. NULL roles and texts are empty.
-    Rows that repeat are turns of their own. Rows without a conversation id form one conversation.
+    ``count`` gives the tokens of a formatted piece of text, such as a tokenizer's. Rows that repeat are turns of their own. Rows without a conversation id form one conversation.
     """
     ship(turns.sparkSession)
     rows = turns.select(
@@ -160,7 +181,7 @@ def format_windows(
         F.coalesce(F.col(f"`{role_col}`"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return dealt.mapInArrow(_format(budget, history), _WINDOW)
+    return dealt.mapInArrow(_format(budget, history, count), _WINDOW)
 
 
 @K.lean

@@ -2,7 +2,8 @@
 
 Markup is stripped: scripts, styles and comments go whole, block elements break lines, everything else leaves its text. Each line has
 a length; lines in elements that announce themselves as menus, headers, footers, sidebars, notices, adverts, forms or reader
-comments have length 0, and where a page marks its main text (``article``, ``main``), so have lines outside it.
+comments have length 0, and where a page marks its main text (``article``, ``main``), so have lines outside it, unless there is more text
+outside than inside: then the marked block is a teaser or the like, and the page counts as one without marks.
 
 Lengths are summed over windows of WINDOW consecutive lines. A surge point is a line with text where the window's sum rises over a threshold; the dive point
 after it is where a whole window is empty. Text lines between them are kept. With marked main text the threshold is one
@@ -40,9 +41,11 @@ MAIN = {"article", "main"}
 #: Words of class, id or role that mark such a block.
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|banner|nav|navbar|navigation|menu|breadcrumb|breadcrumbs"
-    r"|sidebar|side|aside|footer|masthead|cookie|cookies|consent|notice|popup|modal|newsletter|subscribe|signup|login|share|sharing|social"
-    r"|related|recommended|comment|comments|disqus|reply|replies|respond|discussion|complementary|contentinfo|search|toolbar|pagination|pager|skip)(?:$|[\s_-])"
+    r"|sidebar|side[_-]?(?:bar|nav|menu|panel|col|column)|aside|footer|masthead|cookie|cookies|consent|notice|popup|modal|newsletter|subscribe|signup|login|share|sharing|social"
+    r"|related[_-](?:posts|articles|links|stories|content|items|reading|topics|pages)|recommended|comment|comments|disqus|reply|replies|respond|discussion|complementary|contentinfo|search|toolbar|pagination|pager|skip)(?:$|[\s_-])"
 )
+#: Such words that mark a block only if they are a whole class, id or role: "side-by-side" and "related-work" are text.
+MARKED_ALONE = {"side", "related"}
 _TOKEN = re.compile(r"<(?:!--(.*?)(?:--!?>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?/][^>]*>)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
@@ -56,13 +59,15 @@ def _aside(name: str, attributes: str, in_main: bool) -> bool:
         return False
     for key, *values in _ATTRIBUTE.findall(attributes):
         value, key = "".join(values).lower(), key.lower()
-        if key == "hidden" or (key == "aria-hidden" and value == "true") or (key in ("class", "id", "role") and MARKED.search(value)):
+        if key == "hidden" or (key == "aria-hidden" and value == "true") or (
+            key in ("class", "id", "role") and (MARKED.search(value) or not MARKED_ALONE.isdisjoint(value.split()))
+        ):
             return True
     return False
 
 
 def lines(page: str) -> tuple[list[tuple[str, int, int]], bool]:
-    """Lines as (text, length for the distribution, characters in links), and whether main text is marked."""
+    """Lines as (text, length for the distribution, characters in links), and whether most text is in marked main text."""
     out: list[tuple[str, int, int, bool]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # name, opens an aside, opens main text
@@ -120,9 +125,12 @@ def lines(page: str) -> tuple[list[tuple[str, int, int]], bool]:
             if aside or main or name in BLOCKS:
                 stack.append((name, aside, main))
     close()
-    if marked:
+    plain = [(t, 0 if 2 * k > n else n, k) for t, n, k, main in out]
+    inside = sum(n for _, n, _, main in out if main)
+    outside = sum(n for (_, n, _), (*_, main) in zip(plain, out) if not main)
+    if marked and inside >= outside:
         return [(t, n if main else 0, k) for t, n, k, main in out], True
-    return [(t, 0 if 2 * k > n else n, k) for t, n, k, main in out], False
+    return plain, False
 
 
 def main_text(page: str, window: int = WINDOW, threshold: int = THRESHOLD) -> str:

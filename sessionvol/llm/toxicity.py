@@ -4,7 +4,7 @@ A text's features are its distinct n-grams of folded characters (lower case, whi
 2 ** BITS numbers. The log-count ratio of a feature is log of (its smoothed share of toxic texts over its smoothed share of clean
 texts), counted over all labelled training texts. Features whose ratio is small, or not clearly different from
 0 by its own standard error, are left out of the model. Logistic regression on the scaled features is fitted on a bounded sample of the
-labelled texts (``fit_rows``), each class in proportion.
+labelled texts (``fit_rows`` and ``fit_bytes``), half of either class where there are so many; the bias is corrected for that.
 
 At scale: counting is one pass over the labelled texts that sends one small vector block per task and feature range; the model has a
 fixed size and is sent to all tasks; scoring reads each text once and shuffles nothing.
@@ -24,6 +24,7 @@ from sessionvol.llm import counting
 from sessionvol.llm import kernels as K
 from sessionvol.llm import letters as L
 from sessionvol.llm.rows import keyed, ship
+from sessionvol.session import settle
 
 BITS = 20
 SIZES = (4, 5, 6)
@@ -175,12 +176,12 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    fit_rows: int = 8_000, smooth: float = 1.0, sure: float = 3.0, least: float = 0.8, l2: float = 0.01,
+    fit_rows: int = 8_000, fit_bytes: int = 128 << 20, smooth: float = 1.0, sure: float = 3.0, least: float = 0.8, l2: float = 0.01,
 ) -> Model:
     """Learn from all given documents that have a label 0 or 1.
 
     Ratios are counted over all of them; the regression is fitted on about ``fit_rows`` of them, chosen by a hash
-    of the row: half of either class, or all of a class that has fewer and more of the other. The bias is corrected for the classes' shares. Without labels of both classes every score is the smoothed share of toxic texts. Runs jobs when called.
+    of the row: half of either class, or all of a class that has fewer and more of the other; of very long texts fewer, so that their features are about ``fit_bytes`` on the driver. The bias is corrected for the classes' shares. Without labels of both classes every score is the smoothed share of toxic texts. Runs jobs when called.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -194,9 +195,16 @@ def train(
     r = ratios(counts[1], counts[0], n[1], n[0], smooth, sure, least)
     r[0] = 0
     rate = [min(1.0, max(fit_rows // 2, fit_rows - n[1 - c]) / n[c]) for c in (0, 1)]
-    bound = F.when(F.col("toxic") == 1, F.lit(int(2**40 * rate[1]))).otherwise(F.lit(int(2**40 * rate[0])))
-    part = F.pmod(F.xxhash64(F.lit(7), "__llm_k1", "__llm_k2"), F.lit(1 << 40)) < bound
-    got = rows.filter(part).select("text", "toxic").mapInArrow(_sample(spark.sparkContext.broadcast(r != 0)), "toxic int, found binary").collect()
+    use = spark.sparkContext.broadcast(r != 0)
+
+    def chosen(share: float) -> DataFrame:
+        bound = F.when(F.col("toxic") == 1, F.lit(int(2**40 * rate[1] * share))).otherwise(F.lit(int(2**40 * rate[0] * share)))
+        part = F.pmod(F.xxhash64(F.lit(7), "__llm_k1", "__llm_k2"), F.lit(1 << 40)) < bound
+        return rows.filter(part).select("text", "toxic").mapInArrow(_sample(use), "toxic int, found binary")
+
+    got = settle(chosen(1.0))
+    size = got.agg(F.sum(F.octet_length("found") + 64)).first()[0] or 0
+    got = (got if size <= fit_bytes else chosen(fit_bytes / size)).collect()  # of long texts the same share of either class
     y = np.array([x[0] for x in got], float)
     found = [np.frombuffer(x[1], np.int32) for x in got]
     if not 0 < y.sum() < len(y):

@@ -265,6 +265,32 @@ def test_windows_read_back(turns, budget, history):
     assert loss == [t for role, t in turns if role == "assistant"]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["system", "user", "assistant", "</s>[TURN x", "[/TURN]"]), pieces), max_size=9), st.integers(1, 60), st.integers(0, 30))
+def test_windows_keep_the_budget(turns, budget, history):
+    back = []
+    for k, w in enumerate(chat._windows(iter(turns), budget, history, len)):
+        mine = chat.read_back(w.text())
+        cost = len(w.text())
+        assert cost == sum(len(chat.formatted(t)) for t in mine) + 7
+        assert cost <= budget or len(mine) == 1
+        fresh = mine[w.repeated :]
+        told = mine[: w.repeated]
+        if k and turns[0][0] == "system" and 7 + len(chat.formatted(turns[0])) + len(chat.formatted(fresh[0])) <= budget:
+            assert told[0] == turns[0]
+            told = told[1:]
+        past = back[1:] if turns[0][0] == "system" else back
+        assert told == past[len(past) - len(told) :] and sum(len(chat.formatted(t)) for t in told) <= history
+        if len(told) < len(past):  # one more would be too much
+            longer = sum(len(chat.formatted(t)) for t in past[len(past) - len(told) - 1 :])
+            lead = mine[: w.repeated - len(told)]
+            assert longer > history or longer + 7 + sum(len(chat.formatted(t)) for t in [*lead, fresh[0]]) > budget
+        back += fresh
+        if len(back) < len(turns):  # and so would one more turn
+            assert cost + len(chat.formatted(turns[len(back)])) > budget
+    assert back == turns
+
+
 def test_chat_cases(spark):
     rows = [(1, 0, None, None), (1, 0, None, None), (None, 2, "user", "x"), (None, None, "assistant", "y"), (2, 1, "assistant", "late"), (2, 0, "user", "w " * 900)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("window", F.lit(1)).withColumn("mask", F.lit("z"))
