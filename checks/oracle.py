@@ -250,7 +250,7 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
             ("'all'", "overall"), ("sector", "by_sector"), ("market_cap_band", "by_cap")))),
     "curves_sketched": (("overall", "by_sector", "by_cap"), " UNION ALL ".join(
         f"SELECT {name} AS \"grouping\", {_SLOT}, round(avg_normalized_volume, 10) AS avg_normalized_volume, "
-        f"round(stddev_normalized_volume, 10) AS stddev_normalized_volume, TRUE AS near_middle FROM {source}" for name, source in (
+        f"round(stddev_normalized_volume, 10) AS stddev_normalized_volume, CAST(1 AS INTEGER) AS near_middle FROM {source}" for name, source in (
             ("'all'", "overall"), ("sector", "by_sector"), ("market_cap_band", "by_cap")))),
     "merged_loads": (("raw_daily",), "SELECT * FROM raw_daily"),
     "vol_threshold": (("threshold",), "SELECT * FROM threshold"),

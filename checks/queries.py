@@ -115,7 +115,7 @@ def sketched_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
         value, middle = F.col("normalized_volume"), F.col("median_normalized_volume")
         ranked = bars.withColumn("grouping", grouping).select("grouping", *SLOT, "normalized_volume").join(F.broadcast(curve), ["grouping", *SLOT])
         share = lambda test: F.avg(F.when(test, 1.0).otherwise(0.0))
-        ranks = ranked.groupBy("grouping", *SLOT).agg(((share(value < middle) <= 0.51) & (share(value <= middle) >= 0.49)).alias("near_middle"))
+        ranks = ranked.groupBy("grouping", *SLOT).agg(((share(value < middle) <= 0.51) & (share(value <= middle) >= 0.49)).cast("int").alias("near_middle"))
         checked.append(curve.drop("median_normalized_volume").join(ranks, ["grouping", *SLOT]))
     return reduce(DataFrame.unionByName, checked)
 
