@@ -193,7 +193,7 @@ def test_packing_rounds(spark):
 @pytest.mark.parametrize("name", list(oracle.registered()))
 def test_sql(spark, sf_dir, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings", "labels"):
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     want = connection.sql(oracle.registered()[name])
     got = queries.registered()[name](spark, sf_dir)
