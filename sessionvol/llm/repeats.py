@@ -10,6 +10,10 @@ At scale: the number of buckets follows the bytes of the table, so that a bucket
 BUCKET_BYTES of packed words. A minimiser with more super-k-mers than a quarter of a bucket's share (there are
 at most four such per bucket, which bounds the broadcast list) is hot; its windows are dealt one by one by
 their own hash instead. Equal strings are packed once per task, with the list of their places.
+
+A window at very many places is heavy. Its words are known to every task, which compares them byte by byte and marks
+the places itself: they are sent on as spans, from any partition to any other, and meet in no bucket. The heavy windows are at most HEAVY_MOST;
+further ones are counted in their buckets like the rest.
 """
 
 from __future__ import annotations
@@ -30,15 +34,23 @@ from sessionvol.session import settle
 BUCKET_BYTES = 16 << 20
 #: A minimiser of fewer super-k-mers is never hot.
 HOT_LEAST = 1000
+#: A window at fewer places is never heavy.
+HEAVY_LEAST = 1000
+#: Heavy windows that the tasks know (some 300 bytes each).
+HEAVY_MOST = 50_000
 #: Bytes of words whose strings are packed together.
 PACK_BYTES = 8 << 20
 #: Packed strings have about this many bytes per byte of text: a super-k-mer of n windows repeats window - 1 words.
 BLOW_UP = 3.3
 
 
-def _super_kmers(words: K.Words, h: np.ndarray, window: int, minimiser: int, buckets: int, hot: np.ndarray):
-    """First word, number of windows and bucket of each super-k-mer of a group of texts."""
+def _super_kmers(
+    words: K.Words, h: np.ndarray, window: int, minimiser: int, buckets: int, hot: np.ndarray, heavy: np.ndarray | None = None
+):
+    """First word, number of windows and bucket of each super-k-mer of a group of texts; windows in ``heavy`` are left out."""
     good = K.within(words.doc, window)
+    if heavy is not None:
+        good[heavy] = False
     if not len(good):
         none = np.zeros(0, np.int64)
         return none, none, none, none.view(np.uint64)
@@ -46,6 +58,8 @@ def _super_kmers(words: K.Words, h: np.ndarray, window: int, minimiser: int, buc
     bucket = (low % np.uint64(buckets)).astype(np.int64)
     cut = np.ones(len(good), bool)
     cut[1:] = (low[1:] != low[:-1]) | ~good[:-1] | (words.doc[1 : len(good)] != words.doc[: len(good) - 1])
+    if heavy is not None:
+        cut[heavy] = True
     if len(hot):
         found = np.minimum(np.searchsorted(hot, low), len(hot) - 1)
         single = hot[found] == low
@@ -67,24 +81,80 @@ def _groups(column: pa.Array) -> Iterator[tuple[int, K.Words]]:
         yield a, K.Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], K.GRAPHIC)
 
 
+def _frequent(values: list[np.ndarray], buckets: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of all values, and those over a share of them with their counts: sums over groups miss at most that share."""
+    found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *values]), return_counts=True)
+    use = n >= max(2, n.sum() / (16 * buckets))
+    return int(n.sum()), found[use].view(np.int64), n[use]
+
+
 def _count_minimisers(window: int, minimiser: int, buckets: int):
-    """Counts by batch, without those under a quarter of a hot share: the sum misses at most that share."""
+    """Counts of minimisers (by super-k-mer) and of windows, by PACK_BYTES of text."""
 
     def run(batches):
         for batch in batches:
-            lows = [np.zeros(0, np.uint64)]
+            lows, own, size = [], [], 0
             for _, words in _groups(batch.column("text")):
-                lows.append(_super_kmers(words, words.hashes(), window, minimiser, 1, np.zeros(0, np.uint64))[3])
-            low, n = np.unique(np.concatenate(lows), return_counts=True)
-            use = n >= n.sum() / (16 * buckets)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(n.sum())]), pa.array([low[use].view(np.int64)]), pa.array([n[use]])],
-                names=["n", "low", "many"],
-            )
+                h = words.hashes()
+                lows.append(_super_kmers(words, h, window, minimiser, 1, np.zeros(0, np.uint64))[3])
+                good = K.within(words.doc, window)
+                own.append(K.runs_hash(h, window)[good])
+                size += len(words.data)
+                if size > PACK_BYTES:
+                    yield _counted(lows, own, buckets)
+                    lows, own, size = [], [], 0
+            if lows:
+                yield _counted(lows, own, buckets)
+
+    return K.lean(run)
+
+
+def _counted(lows: list[np.ndarray], own: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    n, low, many = _frequent(lows, buckets)
+    windows, win, times = _frequent(own, buckets)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([n]), pa.array([low]), pa.array([many]), pa.array([windows]), pa.array([win]), pa.array([times])],
+        names=["n", "low", "many", "windows", "win", "times"],
+    )
+
+
+def _examples(window: int, minimum: int, wanted: np.ndarray):
+    """The words of wanted windows (by hash, sorted), where ``minimum`` equal ones stand in one group of texts."""
+
+    def run(batches):
+        sent: set[int] = set()
+        for batch in batches:
+            out = []
+            for _, words in _groups(batch.column("text")):
+                good = K.within(words.doc, window)
+                own = K.runs_hash(words.hashes(), window)
+                at = np.flatnonzero(_member(own, wanted) & good)
+                if not len(at):
+                    continue
+                order = at[np.argsort(own[at], kind="stable")]
+                new = np.flatnonzero(np.diff(own[order], prepend=own[order[0]] ^ np.uint64(1)) != 0)
+                size = np.diff(np.append(new, len(order)))
+                some = [(a, x) for a, x, n in zip(new.tolist(), own[order[new]].tolist(), size.tolist(), strict=True) if n >= minimum and x not in sent]
+                if not some:
+                    continue
+                tidy, starts, ends = words.tidy()
+                flat = tidy.tobytes()
+                for a, x in some:
+                    found = {flat[starts[i] : ends[i + window - 1]] for i in order[a : a + minimum].tolist()}
+                    if len(found) == 1:
+                        sent.add(x)
+                        out.append((int(np.uint64(x).view(np.int64)), found.pop()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["win", "words"])
 
     return K.lean(run)
 
 
+def _member(x: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Is each value one of the sorted values ``of``?"""
+    return of[np.minimum(np.searchsorted(of, x), len(of) - 1)] == x if len(of) else np.zeros(len(x), bool)
+
+
 def _blobs(found: dict[int, tuple[dict[bytes, int], list]], k1: np.ndarray, k2: np.ndarray, codec: pa.Codec) -> pa.RecordBatch:
     out = []
     for b, (known, places) in found.items():
@@ -96,26 +166,63 @@ def _blobs(found: dict[int, tuple[dict[bytes, int], list]], k1: np.ndarray, k2:
     return pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["bucket", "size", "blob"])
 
 
-def _pack(window: int, minimiser: int, buckets: int, hot: np.ndarray):
-    """Texts to one row per (PACK_BYTES of words, bucket): packed strings, and the places they come from."""
+def _heavy_places(
+    words: K.Words, own: np.ndarray, flat: bytes, starts: np.ndarray, ends: np.ndarray, window: int, heavy: dict[int, bytes], wanted: np.ndarray
+) -> np.ndarray:
+    """First words of the windows that are a heavy one, byte by byte."""
+    at = np.flatnonzero(_member(own, wanted) & K.within(words.doc, window))
+    same = [
+        flat[lo:hi] == heavy[x]
+        for lo, hi, x in zip(starts[at].tolist(), ends[at + window - 1].tolist(), own[at].tolist(), strict=True)
+    ]
+    return at[np.array(same, bool)]
+
+
+def _spans(words: K.Words, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first word and end of the spans that windows at ``at`` (in order) cover; neighbours are one span."""
+    row = words.doc[at]
+    cut = np.ones(len(at), bool)
+    cut[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
+    a = np.flatnonzero(cut)
+    z = np.append(a[1:], len(at)) - 1
+    base = words.first[row[a]]
+    return row[a], at[a] - base, at[z] + window - base
+
+
+def _pack(window: int, minimiser: int, buckets: int, heavy: dict[int, bytes], hot: np.ndarray):
+    """Texts to one row per (PACK_BYTES of words, bucket): packed strings, and the places they come from.
+
+    The spans of heavy windows go in rows of their own, under a negative number for each group of texts.
+    """
 
     def run(batches):
         codec = pa.Codec("zstd", 3)
+        wanted = np.sort(np.fromiter(heavy, np.uint64, len(heavy)))
         for batch in batches:
             k1, k2 = (batch.column(c).to_numpy() for c in (K1, K2))
             found: dict[int, tuple[dict[bytes, int], list]] = {}
             size = 0
             for a, words in _groups(batch.column("text")):
-                first, count, bucket, _ = _super_kmers(words, words.hashes(), window, minimiser, buckets, hot)
-                if not len(first):
-                    continue
+                h = words.hashes()
                 tidy, starts, ends = words.tidy()
                 flat = tidy.tobytes()
+                at = None
+                if heavy:
+                    at = _heavy_places(words, K.runs_hash(h, window), flat, starts, ends, window, heavy, wanted)
+                    if len(at):
+                        row, lo, hi = _spans(words, at, window)
+                        blob = np.concatenate((k1[row + a], k2[row + a], lo, hi)).tobytes()
+                        to = -1 - int(K.mix(k2[row[:1] + a].view(np.uint64))[0] % np.uint64(buckets))
+                        packed = codec.compress(blob, asbytes=True)
+                        yield pa.RecordBatch.from_arrays([pa.array([to]), pa.array([len(blob)]), pa.array([packed])], names=["bucket", "size", "blob"])
+                first, count, bucket, _ = _super_kmers(words, h, window, minimiser, buckets, hot, at)
+                if not len(first):
+                    continue
                 rows = words.doc[first]
-                at = first - words.first[rows]
+                place_of = first - words.first[rows]
                 for lo, hi, b, row, place in zip(
                     starts[first].tolist(), ends[first + count + window - 2].tolist(), bucket.tolist(),
-                    (rows + a).tolist(), at.tolist(), strict=True,
+                    (rows + a).tolist(), place_of.tolist(), strict=True,
                 ):
                     known, places = found.setdefault(b, ({}, []))
                     places.append((known.setdefault(flat[lo:hi], len(known)), row, place))
@@ -224,6 +331,10 @@ def _count(window: int, minimum: int):
 
         for batch in batches:
             for b, size, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "size", "blob")), strict=True):
+                if b < 0:  # spans of heavy windows
+                    part = np.frombuffer(codec.decompress(blob, size, asbytes=True), np.int64).reshape(4, -1)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in part], names=[K1, K2, "lo", "hi"])
+                    continue
                 if b != bucket:
                     yield from done()
                     bucket, blobs = b, []
@@ -238,7 +349,8 @@ def repeated_spans(
 ) -> DataFrame:
     """Spans of words in windows found at ``minimum`` or more places: K1, K2 (row key), lo, hi.
 
-    Spans of one row may overlap or touch. Runs two jobs when called: bytes of text and hot minimisers.
+    Spans of one row may overlap or touch. Runs two jobs when called (bytes of text; frequent minimisers and windows), and a third where
+    there are heavy windows (their words).
     """
     spark = docs.sparkSession
     ship(spark)
@@ -246,20 +358,34 @@ def repeated_spans(
     _, size = text_bytes(docs, text_col)
     buckets = max(4 * shuffle_partitions(spark), int(size * BLOW_UP / BUCKET_BYTES) + 1)
     local = texts.select("text").mapInArrow(
-        _count_minimisers(window, minimiser, buckets), "n long, low array<long>, many array<long>"
+        _count_minimisers(window, minimiser, buckets),
+        "n long, low array<long>, many array<long>, windows long, win array<long>, times array<long>",
     )
     counts = settle(local)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = (
-        counts.select(F.explode(F.arrays_zip("low", "many")).alias("x"))
-        .groupBy("x.low").agg(F.sum("x.many").alias("n"))
-        .filter(F.col("n") > max(total / (4 * buckets), HOT_LEAST))
-        .select("low").collect()  # at most 4 * buckets rows, as each holds that share of all
-    )
-    hot = np.sort(np.array([r[0] for r in hot], np.int64).view(np.uint64))
-    packed = texts.mapInArrow(_pack(window, minimiser, buckets, hot), "bucket long, size long, blob binary")
+    total, windows = (x or 0 for x in counts.agg(F.sum("n"), F.sum("windows")).first())
+
+    def frequent(value: str, number: str, least: float, most: int | None = None) -> np.ndarray:
+        found = (
+            counts.select(F.explode(F.arrays_zip(value, number)).alias("x"))
+            .groupBy(F.col(f"x.{value}").alias("value")).agg(F.sum(f"x.{number}").alias("n")).filter(F.col("n") > least)
+        )
+        if most:
+            found = found.orderBy(F.desc("n"), "value").limit(most)
+        return np.sort(np.array([r[0] for r in found.select("value").collect()], np.int64).view(np.uint64))
+
+    # At most 4 * buckets of either, as each holds that share of all.
+    hot = frequent("low", "many", max(total / (4 * buckets), HOT_LEAST))
+    often = frequent("win", "times", max(windows / (4 * buckets), HEAVY_LEAST), HEAVY_MOST)
+    heavy: dict[int, bytes] = {}
+    if len(often):
+        examples = settle(texts.select("text").mapInArrow(_examples(window, minimum, often), "win long, words binary"))
+        one = examples.groupBy("win").agg(F.min("words").alias("words")).collect()
+        heavy = {int(np.int64(r["win"]).view(np.uint64)): bytes(r["words"]) for r in one}
+    packed = texts.mapInArrow(_pack(window, minimiser, buckets, heavy, hot), "bucket long, size long, blob binary")
+    # Partitions follow the buckets, and each gets its share of them.
+    partitions = max(shuffle_partitions(spark), buckets // 4)
     return (
-        packed.repartition(F.col("bucket")).sortWithinPartitions("bucket")
+        packed.repartitionById(partitions, F.pmod("bucket", F.lit(partitions)).cast("int")).sortWithinPartitions("bucket")
         .mapInArrow(_count(window, minimum), f"{K1} long, {K2} long, lo long, hi long")
     )
 

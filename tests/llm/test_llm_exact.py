@@ -46,6 +46,32 @@ def test_repeats_hot_minimisers(spark, monkeypatch):
     assert seen[0] > 0
 
 
+@pytest.mark.parametrize("most, forget", [(50_000, False), (3, False), (50_000, True)])
+def test_repeats_heavy_windows(spark, monkeypatch, most, forget):
+    """Windows at very many places: marked where they stand, all of them, a few, or beside others with the same hash."""
+    draw = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(50))
+    loop = "la la la " * 40
+    texts = [f"{' '.join(f'w{draw.randrange(10**6)}' for _ in range(20))} {passage} x{i} y{i} {loop * (i % 3 == 0)}z{i}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    found = repeats._pack
+
+    def pack(window, minimiser, buckets, heavy, hot):
+        seen.append(len(heavy))
+        if forget:  # as if the words of every other one were those of another window with the same hash
+            heavy = {x: b"other words" if i % 2 else w for i, (x, w) in enumerate(heavy.items())}
+        return found(window, minimiser, buckets, heavy, hot)
+
+    monkeypatch.setattr(repeats, "_pack", pack)
+    monkeypatch.setattr(repeats, "HEAVY_LEAST", 20)
+    monkeypatch.setattr(repeats, "HEAVY_MOST", most)
+    got = repeats.remove_repeats(docs, window=12, minimiser=3)
+    want = Counter((i, *x) for i, x in enumerate(plain.repeats(texts, 12)))
+    assert result(got, "doc_id", "n_words", "n_removed", "kept_sha256") == want
+    assert 0 < seen[0] <= most
+
+
 def test_repeats_equal_hashes(monkeypatch):
     """Windows whose hashes are equal by accident are told apart by their bytes."""
     flat = b"aa bb aa cc bb"
