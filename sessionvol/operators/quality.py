@@ -1,10 +1,10 @@
-"""Counts of rows that break a stated rule, one aggregate pass per relation."""
+"""Counts of rows that break a stated rule: one aggregate pass per relation, or taken while its rows are written."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sessionvol.functions.clock import UTC_SESSION, TradingSession
@@ -47,19 +47,44 @@ def rules(session: TradingSession = UTC_SESSION) -> dict[str, dict[str, str]]:
     }
 
 
+COUNTED = "relation string, rule string, checked bigint, violations bigint"
+
+
+def _measures(conditions: dict[str, str]) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("checked"),
+        *[F.count_if(~F.coalesce(F.expr(text), F.lit(False))).alias(rule) for rule, text in conditions.items()],
+    ]
+
+
+def watched(df: DataFrame, relation: str, session: TradingSession = UTC_SESSION) -> tuple[DataFrame, Observation | None]:
+    """The frame, and a watch that counts the relation's violations among its rows when they are written.
+
+    Give what is written, behind the last shuffle: every row is then counted once, also where tasks are run again.
+    """
+    conditions = rules(session).get(relation)
+    if not conditions:
+        return df, None
+    watch = Observation()
+    return df.observe(watch, *_measures(conditions)), watch
+
+
+def watched_checks(spark: SparkSession, counts: dict[str, dict[str, int]], session: TradingSession = UTC_SESSION) -> DataFrame:
+    """The rows of ``quality_checks`` from what watches have counted, by relation."""
+    rows = [
+        (relation, rule, counts[relation].get("checked") or 0, counts[relation].get(rule) or 0)
+        for relation, conditions in rules(session).items() if relation in counts for rule in conditions
+    ]
+    return spark.createDataFrame(rows, COUNTED)
+
+
 def quality_checks(relations: dict[str, DataFrame], session: TradingSession = UTC_SESSION) -> DataFrame:
     """relation, rule, checked, violations for every relation given.  NULL breaks a rule."""
     reports = []
     for relation, conditions in rules(session).items():
         if relation not in relations:
             continue
-        counted = relations[relation].agg(
-            F.count(F.lit(1)).alias("checked"),
-            *[
-                F.count_if(~F.coalesce(F.expr(text), F.lit(False))).alias(rule)
-                for rule, text in conditions.items()
-            ],
-        )
+        counted = relations[relation].agg(*_measures(conditions))
         pairs = ", ".join(f"'{rule}', `{rule}`" for rule in conditions)
         reports.append(
             counted.selectExpr(

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sessionvol.functions.clock import UTC_SESSION, TradingSession
 from sessionvol.operators import curves, staging
 from sessionvol.operators.normalize import normalized_volume
+from sessionvol.operators.quality import quality_checks, watched, watched_checks
 from sessionvol.operators.volatility import daily_volatility
 from sessionvol.schemas import RAW
 from sessionvol.sources.scans import PARTITIONED_BY, read_raw
@@ -34,6 +35,9 @@ MARTS = {
 # Marts that are joined by ticker and day, and can share buckets on them.
 JOINED_BY_DAY = ("mart_normalized_volume", "mart_daily_volatility")
 
+# Mart -> relation whose rules are counted while it is written: it has one row for each of that relation's rows.
+WATCHED = {"mart_normalized_volume": "stg_intraday_bars", "mart_daily_volatility": "mart_daily_volatility"}
+
 # Time of the load, for rows inserted without one.
 _NOW = "cast(to_utc_timestamp(current_timestamp(), current_timezone()) as timestamp_ntz)"
 _STAMPS = ("ingested_at", "fetched_at")
@@ -67,6 +71,13 @@ class Layers:
     precision: int | None = None
     partitions: int | None = None
     buckets: int | None = None
+    _watches: dict[str, Observation] = field(default_factory=dict, repr=False)
+
+    def _watch(self, df: DataFrame, relation: str) -> DataFrame:
+        df, watch = watched(df, relation, self.session)
+        if watch:
+            self._watches[relation] = watch
+        return df
 
     def name(self, layer: str, relation: str) -> str:
         return f"{database_name(layer, 'default', self.prefix)}.{relation}"
@@ -104,7 +115,8 @@ class Layers:
         partitions = self.partitions if relation in PARTITIONED_BY else None
         name = self.name("raw", relation)
         if mode != "merge" or not self.spark.catalog.tableExists(name):
-            raw_writer(df, relation, "overwrite" if mode == "merge" else mode, partitions).saveAsTable(name)
+            kind = "overwrite" if mode == "merge" else mode
+            raw_writer(df, relation, kind, partitions, lambda rows: self._watch(rows, f"raw_{relation}")).saveAsTable(name)
             return
         new = settle(with_partition(df.select(*RAW[relation].fieldNames()), relation) if relation in PARTITIONED_BY else df)
         old = self.spark.table(name)
@@ -153,10 +165,10 @@ class Layers:
         per group and minute of the session and is one file."""
         if self.buckets and relation in JOINED_BY_DAY:
             day = ("ticker", "trade_date")
-            ready = df.repartition(self.buckets, *day).sortWithinPartitions(*day, *order)
+            ready = self._watch(df.repartition(self.buckets, *day).sortWithinPartitions(*day, *order), WATCHED[relation])
             writer = ready.write.bucketBy(self.buckets, *day).sortBy(*day)
         elif relation in JOINED_BY_DAY:
-            writer = df.sortWithinPartitions(*order).write
+            writer = self._watch(df.sortWithinPartitions(*order), WATCHED[relation]).write
         else:
             writer = df.repartition(1).sortWithinPartitions(*order).write
         self._publish(writer, layer, relation)
@@ -230,10 +242,19 @@ class Layers:
     def _save_mart(self, mart: str, df: DataFrame) -> None:
         self._save(df, "marts", mart, MARTS[mart])
 
-    def build(self, raw: dict[str, DataFrame]) -> None:
-        """All layers from raw frames."""
+    def build(self, raw: dict[str, DataFrame]) -> DataFrame:
+        """All layers from raw frames; returns the rows of ``quality_checks``.
+
+        Violations are counted while the tables are written, without another scan: those of the raw tables and of the volatility in
+        their own writes, those of the staged bars in the write of the mart that has a row for each.  Only the staged metadata,
+        which no table is made from, are read for their rules, when the result is.
+        """
+        self._watches.clear()
         self.create_databases()
         for relation, df in raw.items():
             self.load_raw(relation, df)
         self.build_staging()
         self.build_marts()
+        counts = {relation: watch.get for relation, watch in self._watches.items()}
+        metadata = quality_checks({"stg_ticker_metadata": self.table("staging", "stg_ticker_metadata")}, self.session)
+        return watched_checks(self.spark, counts, self.session).unionByName(metadata)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
@@ -42,14 +42,16 @@ def with_partition(df: DataFrame, relation: str) -> DataFrame:
 
 
 def raw_writer(
-    df: DataFrame, relation: str, mode: str = "overwrite", partitions: int | None = None
+    df: DataFrame, relation: str, mode: str = "overwrite", partitions: int | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrameWriter:
     """Writer of a raw table: bars by month, days by year, sorted by ticker and time inside.
 
     ``partitions`` is the number of range partitions (default: the session's shuffle
-    partitions); aim at a few hundred MB each.
+    partitions); aim at a few hundred MB each.  ``watch`` is applied to the rows as they are written.
     """
-    ready = ordered_raw(df.select(*RAW[relation].fieldNames()), relation, partitions).write.mode(mode)
+    rows = ordered_raw(df.select(*RAW[relation].fieldNames()), relation, partitions)
+    ready = (watch(rows) if watch else rows).write.mode(mode)
     return ready.partitionBy(PARTITIONED_BY[relation][0]) if relation in PARTITIONED_BY else ready
 
 

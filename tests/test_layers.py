@@ -76,6 +76,33 @@ def test_build(spark, raw, buckets):
                 assert x == (pytest.approx(y, rel=1e-12) if isinstance(y, float) else y), mart
 
 
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_build_counts_violations_while_it_writes(spark, raw, bars, days, monkeypatch, buckets):
+    """The rows that a scan of every relation would give, also with rows that break rules, and on empty tables."""
+    bad = bars(("A", "2020-01-01 15:00:00", -5), ("B", "2020-01-02 15:00:00", 0, 1.0, "S", "huge"), (None, "2020-01-02 15:05:00", None))
+    raw = raw | {
+        "intraday_bars": raw["intraday_bars"].unionByName(bad).unionByName(bad).repartition(5),
+        "daily_bars": raw["daily_bars"].unionByName(days(("C", 1, -1.0), ("C", 2, None, -3))),
+    }
+    for given in (raw, {name: df.limit(0) for name, df in raw.items()}):
+        built = layers(spark, buckets=buckets)
+        counted = []
+        with monkeypatch.context() as patched:
+            # During the build nothing but the metadata is asked by a scan.
+            patched.setattr("sessionvol.plans.layers.quality_checks", lambda found, session: counted.append(set(found)) or sv.quality_checks(found, session))
+            got = built.build(given)
+        assert counted == [{"stg_ticker_metadata"}]
+        want = sv.quality_checks({
+            "raw_intraday_bars": built.raw("intraday_bars"), "raw_daily_bars": built.raw("daily_bars"),
+            "stg_intraday_bars": built.table("staging", "stg_intraday_bars"), "stg_ticker_metadata": built.table("staging", "stg_ticker_metadata"),
+            "mart_daily_volatility": built.table("marts", "mart_daily_volatility"),
+        })
+        assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
+        if given is raw:
+            found = {(r.relation, r.rule): r.violations for r in got.collect()}
+            assert found["raw_intraday_bars", "volume_not_negative"] == 4 and found["raw_intraday_bars", "known_cap_band"] == 2
+
+
 def test_rebuild_replaces_and_append_adds(spark, raw):
     built = layers(spark)
     built.build(raw)
