@@ -135,12 +135,11 @@ def bars_with_regime(
     """Bars of rated days with the day's regime.  Unrated bars drop out.
 
     ``size``: bytes of ``volatility``, if it was measured before.  ``salts=0``: join by
-    key alone, as for tables in shared buckets of (ticker, trade_date).
+    key alone, as for tables in shared buckets of (ticker, trade_date), or of these and
+    ``bar_hour`` where ``volatility`` has a row for each hour.
     """
-    days = volatility.select(
-        "ticker", "trade_date", "vol_regime", F.col("realized_vol_20d").alias("realized_vol")
-    )
-    keys = ["ticker", "trade_date"]
+    keys = ["ticker", "trade_date", *(["bar_hour"] if "bar_hour" in volatility.columns else [])]
+    days = volatility.select(*keys, "vol_regime", F.col("realized_vol_20d").alias("realized_vol"))
     if salts == 0:
         # Plain equality keeps the buckets; the few bars without a ticker or a day are joined apart.
         apart = F.col("ticker").isNull() | F.col("trade_date").isNull()
@@ -163,8 +162,8 @@ def curve_by_regime(
     ``volatility`` is read up to three times: give a table or what ``daily_volatility``
     returns.  The second look of the median first cuts the bars to the value ranges of
     their slot, so that only a few bars in a hundred go through the join again.
-    ``shared_buckets``: both are tables in the same buckets of (ticker, trade_date) and
-    are joined where they lie.
+    ``shared_buckets``: both are tables in the same buckets of (ticker, trade_date), or with the volatility once
+    for each ``bar_hour`` in buckets of all three, and are joined where they lie.
     """
     size = measured_bytes(volatility)
 

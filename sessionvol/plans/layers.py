@@ -15,6 +15,7 @@ from sessionvol.operators.normalize import normalized_volume
 from sessionvol.operators.quality import quality_checks, watched, watched_checks
 from sessionvol.operators.volatility import daily_volatility
 from sessionvol.schemas import RAW
+from sessionvol.plans.joins import BROADCAST_BYTES, measured_bytes
 from sessionvol.sources.scans import PARTITIONED_BY, read_raw
 from sessionvol.session import settle
 from sessionvol.sources.sinks import ordered_raw, raw_writer, with_partition, without_rows_of
@@ -32,8 +33,15 @@ MARTS = {
 }
 
 
-# Marts that are joined by ticker and day, and can share buckets on them.
-JOINED_BY_DAY = ("mart_normalized_volume", "mart_daily_volatility")
+# Marts with a row per bar or day.
+LONG_MARTS = ("mart_normalized_volume", "mart_daily_volatility")
+
+# The volatility once for each hour of the session: joined with the bars in shared buckets, where it is too large to broadcast.
+BY_HOUR = "mart_daily_volatility_by_hour"
+
+# Table -> columns it is sorted by in shared buckets of SHARED.
+SHARED = ("ticker", "trade_date", "bar_hour")
+BUCKETED = {"mart_normalized_volume": (*SHARED, "bar_time"), BY_HOUR: SHARED}
 
 # Mart -> relation whose rules are counted while it is written: it has one row for each of that relation's rows.
 WATCHED = {"mart_normalized_volume": "stg_intraday_bars", "mart_daily_volatility": "mart_daily_volatility"}
@@ -59,9 +67,9 @@ class Layers:
     rows can be read during a build and after one that failed.  The version before the present one is kept for readers that began with it.
 
     ``partitions`` is the number of range partitions of the raw tables of bars and days.  ``buckets`` stores the
-    two marts that are joined by day in that many buckets of (ticker, trade_date): the
-    regime curve then reads both without a shuffle.  It pays where the volatility is too
-    large to broadcast; a single ticker-day stays in one bucket.
+    bars in that many buckets of (ticker, trade_date, bar_hour).  Where the volatility is too large to broadcast, it is stored
+    in the same buckets, once for each hour, and the regime curve reads both without a shuffle; the hour spreads
+    a ticker-day over several buckets, so that no task gets all bars of a hot one.
     """
 
     spark: SparkSession
@@ -163,11 +171,11 @@ class Layers:
         """Every file is sorted by ``order``.  Bars and days are sorted in the partitions they come in, which
         needs no pass to find ranges: bars come by month and ticker from the raw table, days by blocks of a ticker.  A curve has a row
         per group and minute of the session and is one file."""
-        if self.buckets and relation in JOINED_BY_DAY:
-            day = ("ticker", "trade_date")
-            ready = self._watch(df.repartition(self.buckets, *day).sortWithinPartitions(*day, *order), WATCHED[relation])
-            writer = ready.write.bucketBy(self.buckets, *day).sortBy(*day)
-        elif relation in JOINED_BY_DAY:
+        if self.buckets and relation in BUCKETED:
+            ready = df.repartition(self.buckets, *SHARED).sortWithinPartitions(*BUCKETED[relation])
+            ready = self._watch(ready, WATCHED.get(relation, ""))
+            writer = ready.write.bucketBy(self.buckets, *SHARED).sortBy(*SHARED)
+        elif relation in LONG_MARTS:
             writer = self._watch(df.sortWithinPartitions(*order), WATCHED[relation]).write
         else:
             writer = df.repartition(1).sortWithinPartitions(*order).write
@@ -236,9 +244,21 @@ class Layers:
         self._save_mart("mart_volume_curve", curves.curve_overall(bars))
         self._save_mart("mart_volume_curve_by_sector", curves.curve_by_sector(bars))
         self._save_mart("mart_volume_curve_by_market_cap", curves.curve_by_cap(bars))
-        by_regime = curves.curve_by_regime(bars, days, shared_buckets=bool(self.buckets))
+        if self.buckets and measured_bytes(days) > BROADCAST_BYTES:
+            by_regime = curves.curve_by_regime(bars, self.volatility_by_hour(), shared_buckets=True)
+        else:
+            by_regime = curves.curve_by_regime(bars, days)
         self._save_mart("mart_volume_curve_by_vol_regime", by_regime)
 
+    def volatility_by_hour(self) -> DataFrame:
+        """Stores the volatility mart once for each hour that bars have, in their buckets, and returns that table."""
+        found = self.table("marts", "mart_normalized_volume").select("bar_hour").distinct().collect()  # 24 at most
+        hours = F.array(*[F.lit(row["bar_hour"]) for row in found]) if found else F.array().cast("array<int>")
+        days = self.table("marts", "mart_daily_volatility").withColumn("bar_hour", F.explode(hours))
+        days = days.select(*SHARED, "vol_regime", "realized_vol_20d")
+        self._save(days, "marts", BY_HOUR, SHARED)
+        return self.table("marts", BY_HOUR)
+
     def _save_mart(self, mart: str, df: DataFrame) -> None:
         self._save(df, "marts", mart, MARTS[mart])
 

@@ -7,10 +7,11 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import sessionvol as sv
 from sessionvol.operators.curves import bars_with_regime
-from sessionvol.plans.layers import LAYERS, MARTS
+from sessionvol.plans.layers import BY_HOUR, LAYERS, MARTS
 from sessionvol.session import new_folder
 
 
@@ -132,21 +133,46 @@ def test_raw_tables_stamp_the_load_time(spark, raw):
 
 
 def test_shared_buckets_join_without_a_shuffle(spark, raw):
-    built = layers(spark, buckets=4)
-    built.build(raw)
+    """Neither a shuffle, nor all bars of a hot ticker-day in one task."""
+    start = "timestamp_ntz'2020-01-03 14:30:00'"
+    hot = spark.range(100_000).selectExpr(
+        "'A' ticker", "'S' sector", "'large' market_cap_band", f"{start} + make_dt_interval(0, 0, 0, pmod(id * 7, 23400)) bar_time",
+        "1.0 open", "1.0 high", "1.0 low", "1.0 close", "1 + pmod(id, 9) volume", "'5m' `interval`", f"{start} ingested_at",
+    )
+    bars = raw["intraday_bars"]
+    hot = hot.select(*[hot[f.name].cast(f.dataType).alias(f.name) for f in bars.schema.fields])
+    built = layers(spark, buckets=16)
+    built.build(raw | {"intraday_bars": bars.unionByName(hot)})
+    by_hour = built.volatility_by_hour()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        joined = bars_with_regime(
-            built.table("marts", "mart_normalized_volume"), built.table("marts", "mart_daily_volatility"),
-            size=1 << 50, salts=0,
-        )
+        joined = bars_with_regime(built.table("marts", "mart_normalized_volume"), by_hour, size=1 << 50, salts=0)
         plan = joined._jdf.queryExecution().executedPlan().toString()
+        tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # Bars with a ticker and a day are joined where they lie; only those without are shuffled.
     assert plan.count("Bucketed: true") >= 2
     joins = plan.split("SortMergeJoin")
     assert "Exchange" not in joins[1].split("Union")[0]
+    assert sum(tasks) >= 100_000 and max(tasks) < 60_000 and sum(n > 10_000 for n in tasks) >= 3
+
+
+@pytest.mark.parametrize("limit", [-1, None])
+def test_regime_curve_in_shared_buckets(spark, raw, monkeypatch, limit):
+    """Joined by the hour's rows or by a broadcast: the same curve."""
+    if limit is not None:
+        monkeypatch.setattr("sessionvol.plans.layers.BROADCAST_BYTES", limit)
+    built = layers(spark, buckets=4)
+    built.build(raw)
+    assert spark.catalog.tableExists(built.name("marts", BY_HOUR)) == (limit is not None)
+    want = sv.curve_by_regime(sv.normalized_volume(sv.stg_intraday_bars(raw["intraday_bars"])), sv.daily_volatility(raw["daily_bars"]))
+    key = MARTS["mart_volume_curve_by_vol_regime"]
+    got = built.table("marts", "mart_volume_curve_by_vol_regime").orderBy(*key).collect()
+    assert got and [tuple(r[:2]) for r in got] == [tuple(r[:2]) for r in want.orderBy(*key).collect()]
+    for a, b in zip(got, want.orderBy(*key).collect(), strict=True):
+        for x, y in zip(a, b, strict=True):
+            assert x == (pytest.approx(y, rel=1e-12) if isinstance(y, float) else y)
 
 
 def test_files_of_marts_are_sorted(spark, raw):
