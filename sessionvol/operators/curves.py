@@ -80,6 +80,25 @@ def curves_together(normalized: DataFrame, sort_rows: int = SORT_ROWS) -> tuple[
     return _curve(*overall, bands=True), _curve(*by_sector), _curve(*by_cap)
 
 
+def curves_in_one_build(
+    normalized: DataFrame, volatility: DataFrame, shared_buckets: bool = False, sort_rows: int = SORT_ROWS
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Overall, sector, cap and regime curve, from two passes over the bars instead of eight.
+
+    Bars get their day's regime, or none; the cells of (sector, band, regime, slot) are stored once and merged for each curve.
+    ``volatility`` and ``shared_buckets`` are those of ``curve_by_regime``.
+    """
+    size = measured_bytes(volatility)
+    bars = bars_with_regime(normalized, volatility, size, salts=0 if shared_buckets else None, rated_only=False)
+    key_sets = [list(SLOT), ["sector", *SLOT], ["market_cap_band", *SLOT], ["vol_regime", *SLOT]]
+    overall, by_sector, by_cap, by_regime = group_summaries(bars, key_sets, "normalized_volume", ["realized_vol"], sort_rows)
+    rated = by_regime.where(F.col("vol_regime").isNotNull())
+    return (
+        _curve(overall, key_sets[0], bands=True), _curve(by_sector, key_sets[1]), _curve(by_cap, key_sets[2]),
+        _curve(rated, key_sets[3], averages=["realized_vol"]),
+    )
+
+
 def sketched_cells(normalized: DataFrame, k: int = SKETCH_K) -> DataFrame:
     """Per sector, cap band and slot: count, mean, variance and a KLL sketch of the shares, from one pass.
 
@@ -130,9 +149,9 @@ def curve_by_cap(normalized: DataFrame, **options) -> DataFrame:
 
 
 def bars_with_regime(
-    normalized: DataFrame, volatility: DataFrame, size: int | None = None, salts: int | None = None
+    normalized: DataFrame, volatility: DataFrame, size: int | None = None, salts: int | None = None, rated_only: bool = True
 ) -> DataFrame:
-    """Bars of rated days with the day's regime.  Unrated bars drop out.
+    """Bars of rated days with the day's regime.  Unrated bars drop out, unless ``rated_only`` is false: then their regime is NULL.
 
     ``size``: bytes of ``volatility``, if it was measured before.  ``salts=0``: join by
     key alone, as for tables in shared buckets of (ticker, trade_date), or of these and
@@ -148,7 +167,7 @@ def bars_with_regime(
         )
     else:
         joined = lookup_join(normalized, days, keys, null_safe=True, size=size, salts=salts, spread=("bar_time",))
-    return joined.where(F.col("vol_regime").isNotNull()).select(
+    return (joined.where(F.col("vol_regime").isNotNull()) if rated_only else joined).select(
         "ticker", "sector", "market_cap_band", *SLOT, "trade_date", "normalized_volume",
         "vol_regime", "realized_vol",
     )

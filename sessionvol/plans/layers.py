@@ -70,6 +70,8 @@ class Layers:
     bars in that many buckets of (ticker, trade_date, bar_hour).  Where the volatility is too large to broadcast, it is stored
     in the same buckets, once for each hour, and the regime curve reads both without a shuffle; the hour spreads
     a ticker-day over several buckets, so that no task gets all bars of a hot one.
+    ``together`` builds the four curves from two passes over the bars instead of eight; it pays where reading the bars is most of
+    the work.
     """
 
     spark: SparkSession
@@ -79,6 +81,7 @@ class Layers:
     precision: int | None = None
     partitions: int | None = None
     buckets: int | None = None
+    together: bool = False
     _watches: dict[str, Observation] = field(default_factory=dict, repr=False)
 
     def _watch(self, df: DataFrame, relation: str) -> DataFrame:
@@ -241,14 +244,18 @@ class Layers:
         self._save_mart("mart_daily_volatility", daily_volatility(self.raw("daily_bars"), precision=self.precision))
         bars = self.table("marts", "mart_normalized_volume")
         days = self.table("marts", "mart_daily_volatility")
+        by_hour = self.buckets and measured_bytes(days) > BROADCAST_BYTES
+        if by_hour:
+            days = self.volatility_by_hour()
+        if self.together:
+            built = curves.curves_in_one_build(bars, days, shared_buckets=bool(by_hour))
+            for mart, curve in zip([m for m in MARTS if m.startswith("mart_volume_curve")], built, strict=True):
+                self._save_mart(mart, curve)
+            return
         self._save_mart("mart_volume_curve", curves.curve_overall(bars))
         self._save_mart("mart_volume_curve_by_sector", curves.curve_by_sector(bars))
         self._save_mart("mart_volume_curve_by_market_cap", curves.curve_by_cap(bars))
-        if self.buckets and measured_bytes(days) > BROADCAST_BYTES:
-            by_regime = curves.curve_by_regime(bars, self.volatility_by_hour(), shared_buckets=True)
-        else:
-            by_regime = curves.curve_by_regime(bars, days)
-        self._save_mart("mart_volume_curve_by_vol_regime", by_regime)
+        self._save_mart("mart_volume_curve_by_vol_regime", curves.curve_by_regime(bars, days, shared_buckets=bool(by_hour)))
 
     def volatility_by_hour(self) -> DataFrame:
         """Stores the volatility mart once for each hour that bars have, in their buckets, and returns that table."""

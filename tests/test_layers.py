@@ -158,6 +158,29 @@ def test_shared_buckets_join_without_a_shuffle(spark, raw):
     assert sum(tasks) >= 100_000 and max(tasks) < 60_000 and sum(n > 10_000 for n in tasks) >= 3
 
 
+@pytest.mark.parametrize("options, limit", [({}, None), ({"buckets": 4}, -1)])
+def test_four_curves_from_two_passes(spark, raw, bars, days, monkeypatch, options, limit):
+    """Built together, also with bars of unrated days and without a ticker, the curves are those that are built one by one."""
+    if limit is not None:
+        monkeypatch.setattr("sessionvol.plans.layers.BROADCAST_BYTES", limit)
+    odd = bars(("Z", "2020-01-01 15:00:00", 5), (None, "2020-01-02 15:00:00", 7), ("A", "2021-05-05 15:00:00", 3))
+    frame = raw["intraday_bars"].unionByName(odd)
+    built = layers(spark, together=True, **options)
+    built.build(raw | {"intraday_bars": frame})
+    shares, rated = sv.normalized_volume(sv.stg_intraday_bars(frame)), sv.daily_volatility(raw["daily_bars"])
+    wanted = {
+        "mart_volume_curve": sv.curve_overall(shares), "mart_volume_curve_by_sector": sv.curve_by_sector(shares),
+        "mart_volume_curve_by_market_cap": sv.curve_by_cap(shares), "mart_volume_curve_by_vol_regime": sv.curve_by_regime(shares, rated),
+    }
+    for mart, df in wanted.items():
+        got = built.table("marts", mart)
+        assert got.columns == df.columns
+        for x, y in zip(got.orderBy(*MARTS[mart]).collect(), df.orderBy(*MARTS[mart]).collect(), strict=True):
+            assert tuple(x) == pytest.approx(tuple(y), rel=1e-9, abs=1e-12) if not isinstance(x[0], str) else (
+                x[0] == y[0] and tuple(x[1:]) == pytest.approx(tuple(y[1:]), rel=1e-9, abs=1e-12)
+            ), mart
+
+
 @pytest.mark.parametrize("limit", [-1, None])
 def test_regime_curve_in_shared_buckets(spark, raw, monkeypatch, limit):
     """Joined by the hour's rows or by a broadcast: the same curve."""
