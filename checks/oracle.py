@@ -243,11 +243,15 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "curve_by_sector": (("by_sector",), f"SELECT sector, {_SLOT}, {_CURVE} FROM by_sector"),
     "curve_by_cap": (("by_cap",), f"SELECT market_cap_band, {_SLOT}, {_CURVE} FROM by_cap"),
     "curve_by_regime": (("by_regime",), f"""
-        SELECT vol_regime, {_SLOT}, {_CURVE}, round(avg_realized_vol, 9) AS avg_realized_vol
+        SELECT vol_regime, {_SLOT}, {_CURVE}, round(avg_realized_vol + 1e-11, 9) AS avg_realized_vol
         FROM by_regime"""),
     "curves_together": (("overall", "by_sector", "by_cap"), " UNION ALL ".join(
         f"SELECT {name} AS \"grouping\", {_SLOT}, {_CURVE} FROM {source}" for name, source in (
             ("'all'", "overall"), ("sector", "by_sector"), ("market_cap_band", "by_cap")))),
+    "curves_in_one_build": (("overall", "by_sector", "by_cap", "by_regime"), " UNION ALL ".join(
+        f"SELECT {name} AS \"grouping\", {_SLOT}, {_CURVE}, {realized} AS avg_realized_vol FROM {source}" for name, source, realized in (
+            ("vol_regime", "by_regime", "round(avg_realized_vol + 1e-11, 9)"), ("'all'", "overall", "CAST(NULL AS DOUBLE)"),
+            ("sector", "by_sector", "CAST(NULL AS DOUBLE)"), ("market_cap_band", "by_cap", "CAST(NULL AS DOUBLE)")))),
     "curves_sketched": (("overall", "by_sector", "by_cap"), " UNION ALL ".join(
         f"SELECT {name} AS \"grouping\", {_SLOT}, round(avg_normalized_volume, 10) AS avg_normalized_volume, "
         f"round(stddev_normalized_volume, 10) AS stddev_normalized_volume, CAST(1 AS INTEGER) AS near_middle FROM {source}" for name, source in (
@@ -299,7 +303,7 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "mart_volume_curve_by_sector": (("by_sector",), f"SELECT sector, {_SLOT}, {_CURVE} FROM by_sector"),
     "mart_volume_curve_by_market_cap": (("by_cap",), f"SELECT market_cap_band, {_SLOT}, {_CURVE} FROM by_cap"),
     "mart_volume_curve_by_vol_regime": (("by_regime",), f"""
-        SELECT vol_regime, {_SLOT}, {_CURVE}, round(avg_realized_vol, 9) AS avg_realized_vol
+        SELECT vol_regime, {_SLOT}, {_CURVE}, round(avg_realized_vol + 1e-11, 9) AS avg_realized_vol
         FROM by_regime"""),
     # Groups of fewer rows than the sketch's accuracy have their lower middle value as sketched median.
     "curve_overall_approx": (("normalized",), """
@@ -338,6 +342,7 @@ FINAL: dict[str, tuple[tuple[str, ...], str]] = {
         FROM by_sector GROUP BY sector"""),
     "quality_checks": (("raw_intraday", "stg_intraday", "raw_daily", "latest_metadata", "volatility"),
                        _rules()),
+    "build_checks": (("raw_intraday", "stg_intraday", "raw_daily", "latest_metadata", "volatility"), _rules()),
 }
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -211,10 +210,9 @@ class Layers:
 
     def _alike(self, name: str, other: str) -> bool:
         """Are both external tables with equal columns, buckets and sort columns?"""
-        try:
-            here, there = self._described(name), self._described(other)
-        except AnalysisException:
+        if not self.spark.catalog.tableExists(name):
             return False
+        here, there = self._described(name), self._described(other)
         facts = ("Type", "Provider", "Num Buckets", "Bucket Columns", "Sort Columns")
         same = all(here.get(f) == there.get(f) for f in facts)
         return same and here["Type"] == "EXTERNAL" and self.spark.table(name).schema == self.spark.table(other).schema
@@ -282,6 +280,10 @@ class Layers:
             self.load_raw(relation, df)
         self.build_staging()
         self.build_marts()
+        return self.checks()
+
+    def checks(self) -> DataFrame:
+        """The rows of ``quality_checks`` as the last build has counted them."""
         counts = {relation: watch.get for relation, watch in self._watches.items()}
         metadata = quality_checks({"stg_ticker_metadata": self.table("staging", "stg_ticker_metadata")}, self.session)
         return watched_checks(self.spark, counts, self.session).unionByName(metadata)
