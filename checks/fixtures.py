@@ -181,6 +181,11 @@ def intraday_feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return feeds
 
 
+# Options of a write of very many small files: a local file system puts no checksum file beside each, as a vendor doesn't. Creating that one
+# takes as long as the file itself. Other file systems don't know these options.
+MANY_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def vendor_files(spark: SparkSession, sf_dir: str, broken: bool = False) -> str:
     """The intraday feeds as CSV files, one in the folder of each ticker; even and odd tickers order their columns differently.
 
@@ -203,7 +208,7 @@ def vendor_files(spark: SparkSession, sf_dir: str, broken: bool = False) -> str:
     folder = new_folder(spark, "vendor")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ready = heads.union(lines).repartition(parts, "ticker").sortWithinPartitions("ticker", "k").drop("k")
-    ready.write.partitionBy("ticker").text(folder)
+    ready.write.options(**MANY_FILES).partitionBy("ticker").text(folder)
     return folder
 
 

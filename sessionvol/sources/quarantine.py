@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionvol.plans.joins import lookup_join
-from sessionvol.session import settle
+from sessionvol.session import settle, with_settings
 
 #: Columns of these names must hold a time or a day, whatever type they are read as.
 TIMES = ("datetime", "date")
 _FIELD = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # a comma outside quotes
 _FIRST_OF_TUPLE = r"""^\(\s*['"]?([^,'"]+)['"]?\s*,.*\)$"""
 FAILED = "file string, ticker string, reason string, n_rows bigint"
+OPEN_COST = 256 * 1024  # bytes of text that are read in the time a small file takes to open: a task gets up to 512 files, not 32
 
 
 def header_names(header: Column) -> Column:
@@ -34,6 +35,16 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("value", "ticker", F.col("_metadata.file_path").alias("file"), F.struct(start.alias("start"), F.monotonically_increasing_id().alias("line")).alias("place"))
 
 
+def _stored_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``_lines`` in one table: files are listed and opened once, however many there are.
+
+    Folders are listed by a few tasks for each core, not by one task for each folder up to 10,000, and small files are read many to a task.
+    """
+    listing = 4 * spark.sparkContext.defaultParallelism
+    with with_settings(spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=listing, spark__sql__files__openCostInBytes=OPEN_COST):
+        return settle(_lines(spark, path))
+
+
 def read_feed_files(
     spark: SparkSession, path: str, columns: dict[str, str], times: Sequence[str] = TIMES
 ) -> tuple[DataFrame, DataFrame]:
@@ -44,10 +55,11 @@ def read_feed_files(
     field that isn't of its column's type, or something else than a time in a column of ``times``. Empty fields are NULL, empty lines and
     lines that repeat the header are none. A file without any line isn't seen; its ticker has no rows.
 
-    Two scans of the files: for the headers, one row each, combined in the tasks; and for the rows, which are stored as Parquet before failed files
+    One scan of the files, whose lines are stored as Parquet: opening a file costs more than its lines. From these the headers, one row
+    each, combined in the tasks; and the rows, which are stored before failed files
     are taken out by an anti-join. So any number of files, and files of any size, are read in parallel. Runs jobs when called.
     """
-    lines = _lines(spark, path)
+    lines = _stored_lines(spark, path)
     wanted = [c for c in columns if c != "ticker"]
     heads = lines.groupBy("file", "ticker").agg(F.min_by("value", "place").alias("header"))
     names = heads.withColumn("names", header_names(F.col("header")))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
+from checks import fixtures
+from checks.compare import plan
 from sessionvol import pipeline
 from sessionvol.pipeline import FEEDS
 from sessionvol.sources.quarantine import header_names, read_feed_files
@@ -77,6 +81,26 @@ def test_a_large_file_is_read_in_parts(spark, put):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_files_are_opened_once(spark, put, monkeypatch):
+    """One scan of the files, small ones many to a task, with the session's settings left as they were."""
+    for number in range(200):
+        put(f"T{number}", HEADER + ROW * (1 + number % 3) + ("?\n" if number == 7 else ""))
+    stored, keep, former = [], quarantine.settle, spark.conf.getAll
+    monkeypatch.setattr(quarantine, "settle", lambda df: (stored.append(plan(df)), keep(df))[1])
+    rows, failed = read(spark, put)
+    assert len(rows) == 397 and failed == {("f.csv", "T7"): ("malformed rows", 1)}
+    assert sum("Scan text" in text for text in stored) == 1
+    assert spark.conf.getAll == former
+
+
+def test_vendor_files_come_alone(spark, sf_dir):
+    """One file in the folder of each ticker, and nothing that a vendor doesn't send."""
+    folder = Path(fixtures.vendor_files(spark, sf_dir).removeprefix("file:"))
+    tickers = fixtures.raw(spark, sf_dir, "intraday_bars").select("ticker").distinct().count()
+    sent = [p for p in folder.rglob("*") if p.is_file() and p.parent != folder]
+    assert len(sent) == len({p.parent for p in sent}) == tickers
+
+
 def test_header_names(spark):
     text = 'Date Time , "(\'Close\', \'A, B\')","Say ""x""",(\'OPEN\'; 2)'
     row = spark.createDataFrame([(text,)], "h string").select(header_names(quarantine.F.col("h")).alias("n")).first()
