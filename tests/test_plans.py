@@ -11,7 +11,7 @@ import sessionvol as sv
 from checks import fixtures, queries
 from checks.compare import plan
 from sessionvol.plans import ordered
-from sessionvol.plans.joins import salts_for
+from sessionvol.plans.joins import lookup_join, salts_for
 from sessionvol.plans.ordered import ordered_blocks
 
 
@@ -96,6 +96,22 @@ def test_salts_follow_the_size():
     assert [salts_for(n, 100) for n in (1, 101, 400, 10**9)] == [8, 8, 32, 256]
 
 
+@pytest.mark.parametrize("adaptive, copies", [("true", 8), ("false", 256)])
+def test_a_lookup_is_not_shuffled_more_often_the_larger_it_is(spark, adaptive, copies):
+    """Not the square of its size is shuffled where adaptive execution splits hot keys."""
+    left = spark.range(1_000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    lookup = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        joined = lookup_join(left, lookup, ["k"], size=1 << 40)
+        last = re.search(r"explode\(sequence\(0, (\d+)", joined._jdf.queryExecution().analyzed().toString()).group(1)
+        rows = joined.agg(F.count(F.lit(1)).alias("n"), F.count("x").alias("found"), F.sum("x").alias("x")).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert int(last) + 1 == copies
+    assert rows == (1_000, 715, sum(2 * (n % 7) for n in range(1_000) if n % 7 < 5))
+
+
 def test_curve_cells_are_combined_before_the_shuffle(normalized):
     totals = sv.daily_total_volume(normalized)
     assert "partial_sum" in plan(totals)
