@@ -13,7 +13,8 @@ In a crowded key not every pair needs an alignment of its own. Edit distance obe
 most pairs: at most their sum, at least their difference. The other pairs are aligned, so every link is found and counted.
 
 At scale: small entries (key, class) meet in buckets, where copies collapse, and only classes that share a key go on, of keys with the same classes only the first.
-They meet by key with their words; large keys are dealt to blocks of bounded size, and every two blocks meet in one task (a tile), which hands on,
+They meet by key, large keys dealt to blocks of bounded size, and every two blocks in one task (a tile): first with their numbers of words and the keys before
+this one, which tell the classes that have a pair to be verified there. Only these meet again with their words, in the same tile, which hands on,
 for each class, its number of links and one link to its part of the tile's graph: rows by class, not by pair. Links and components stay distributed. Words are
 compared by 40 bits of a hash.
 """
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionvol.llm import kernels as K
@@ -227,8 +228,12 @@ def _shared(batches):
         yield from done()
 
 
+_CLASS = f"d1 long, d2 long, unknown boolean, doc_id long, {K2} long, {K1} long"
+
+
 def _words_and_keys(k: int, sketches: int, sampled: int):
-    """Texts to their words (five bytes each) and 32 bits of each of their keys."""
+    """First texts of classes to their number of words, their words (five bytes each) and 32 bits of each of their keys."""
+    names = _names(_CLASS)
 
     def run(batches):
         for batch in batches:
@@ -236,8 +241,8 @@ def _words_and_keys(k: int, sketches: int, sampled: int):
                 raw = np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
                 edges = (words.first * 5).tolist()
                 keys = sketch(h, words.doc, words.first, k, sketches, sampled).astype(np.uint32)
-                columns = [pa.array([raw[x:y] for x, y in zip(edges, edges[1:])], pa.binary()), pa.array([r.tobytes() for r in keys], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in (K1, K2)), *columns], names=[K1, K2, "words", "keys"])
+                columns = [pa.array(np.diff(words.first)), pa.array([raw[x:y] for x, y in zip(edges, edges[1:])], pa.binary()), pa.array([r.tobytes() for r in keys], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in names), *columns], names=[*names, "n", "words", "keys"])
 
     return K.lean(run)
 
@@ -364,30 +369,15 @@ def _banded(x: np.ndarray, y: np.ndarray, most: int) -> bool:
     return False
 
 
-class Tile:
-    """Classes of one key, or of two of its blocks: their words, the keys before this one, and what is found of them."""
-
-    def __init__(self, words: list[np.ndarray], keys: np.ndarray, threshold: float):
-        self.words, self.keys, self.threshold = words, keys, threshold
-        self.n = np.array([len(w) for w in words])
-        self.links, self.parent = np.zeros(len(words), np.int64), list(range(len(words)))
-        self._cells: np.ndarray | None = None
+class Meeting:
+    """Classes of one key, or of two of its blocks: their numbers of words, the keys before this one, and which have a pair to be verified here."""
 
-    def root(self, r: int) -> int:
-        parent = self.parent
-        while parent[r] != r:
-            parent[r] = r = parent[parent[r]]
-        return r
-
-    def cells(self) -> np.ndarray:
-        if self._cells is None:
-            flat, row = np.concatenate(self.words), np.repeat(np.arange(len(self.words)), self.n)
-            counts = np.bincount(row * CELLS + (flat & np.uint64(CELLS - 1)).astype(np.int64), minlength=len(self.words) * CELLS)
-            self._cells = counts.reshape(-1, CELLS).astype(np.int32)
-        return self._cells
+    def __init__(self, n: np.ndarray, keys: np.ndarray, threshold: float):
+        self.n, self.keys, self.threshold = n, keys, threshold
+        self.paired = np.zeros(len(n), bool)
 
     def compare(self, x: np.ndarray, y: np.ndarray, same: bool, depth: int = 6) -> None:
-        """Verify the pairs of rows x by y, or those within x, that share no key before this one."""
+        """Take the pairs of rows x by y, or those within x, that share no key before this one."""
         rows = x if same else np.concatenate([x, y])
         if depth and len(rows) >= 64 and self.keys.shape[1]:
             value, n, column = 0, 0, 0
@@ -411,15 +401,50 @@ class Tile:
         for k in range(0, len(x), step):
             self._pairs(x[k : k + step], y, same)
 
-    def _pairs(self, x: np.ndarray, y: np.ndarray, same: bool) -> None:
+    def _asked(self, x: np.ndarray, y: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Of each pair: the edits allowed, and whether it is to be verified."""
         most = allowed(self.n[x][:, None], self.n[y][None, :], self.threshold)
         ask = np.abs(self.n[x][:, None] - self.n[y][None, :]) <= most
         if same:
             ask &= x[:, None] < y[None, :]
         for c in range(self.keys.shape[1]):
             if not ask.any():
-                return
+                break
             ask &= self.keys[x, c][:, None] != self.keys[y, c][None, :]
+        return most, ask
+
+    def _pairs(self, x: np.ndarray, y: np.ndarray, same: bool) -> None:
+        if self.paired[x].all() and self.paired[y].all():
+            return
+        _, ask = self._asked(x, y, same)
+        self.paired[x] |= ask.any(axis=1)
+        self.paired[y] |= ask.any(axis=0)
+
+
+class Tile(Meeting):
+    """Classes that meet, with their words, and what is found of them."""
+
+    def __init__(self, words: list[np.ndarray], keys: np.ndarray, threshold: float):
+        super().__init__(np.array([len(w) for w in words]), keys, threshold)
+        self.words = words
+        self.links, self.parent = np.zeros(len(words), np.int64), list(range(len(words)))
+        self._cells: np.ndarray | None = None
+
+    def root(self, r: int) -> int:
+        parent = self.parent
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    def cells(self) -> np.ndarray:
+        if self._cells is None:
+            flat, row = np.concatenate(self.words), np.repeat(np.arange(len(self.words)), self.n)
+            counts = np.bincount(row * CELLS + (flat & np.uint64(CELLS - 1)).astype(np.int64), minlength=len(self.words) * CELLS)
+            self._cells = counts.reshape(-1, CELLS).astype(np.int32)
+        return self._cells
+
+    def _pairs(self, x: np.ndarray, y: np.ndarray, same: bool) -> None:
+        most, ask = self._asked(x, y, same)
         for _ in range(8):
             n_open = int(ask.sum())
             if n_open < PIVOT:
@@ -466,9 +491,46 @@ class Tile:
                 mine = self.root(mine)
 
 
+_OPEN = "key long, x int, y int, block int, j int, d1 long, d2 long"
+_MEETING = f"{_OPEN}, n long, keys binary"
 _TILE = f"key long, x int, y int, block int, j int, unknown boolean, doc_id long, {K2} long, {K1} long, words binary, keys binary"
 
 
+def _names(schema: str) -> list[str]:
+    return [c.split(" ")[0] for c in schema.split(", ")]
+
+
+def _meet(meeting: Meeting, block: np.ndarray, x: int, y: int) -> None:
+    """All pairs of a block, or those of two."""
+    rows = np.arange(len(block))
+    if x == y:
+        meeting.compare(rows, rows, True)
+    else:
+        meeting.compare(rows[block == x], rows[block == y], False)
+
+
+def _open(threshold: float):
+    """Classes by tile to those that have a pair to be verified there."""
+
+    def run(batches):
+        for table, edges in K.tiles(batches):
+            j, block, xs, ys, n = (table.column(c).to_numpy().astype(np.int64) for c in ("j", "block", "x", "y", "n"))
+            raw, key_at = K.buffer(table.column("keys"))
+            paired = []
+            for lo, hi in zip(edges, edges[1:]):
+                meeting = Meeting(n[lo:hi], raw[key_at[lo] : key_at[hi]].view(np.uint32).reshape(hi - lo, j[lo]), threshold)
+                _meet(meeting, block[lo:hi], xs[lo], ys[lo])
+                paired.append(meeting.paired)
+            yield from table.select(_names(_OPEN)).filter(pa.array(np.concatenate(paired))).to_batches()
+
+    return K.lean(run)
+
+
+def _early() -> Column:
+    """The keys before the one numbered j."""
+    return F.substring("keys", F.lit(1), 4 * F.col("j"))
+
+
 def _tiles(threshold: float):
     """Tiles to their classes with a link: (class, one class for each connected part, number of links)."""
 
@@ -478,18 +540,13 @@ def _tiles(threshold: float):
             j, block, xs, ys = (table.column(c).to_numpy().astype(np.int64) for c in ("j", "block", "x", "y"))
             data, offsets = K.buffer(table.column("words"))
             raw, key_at = K.buffer(table.column("keys"))
-            keys = raw.view(np.uint32).reshape(len(table), -1)
             for lo, hi in zip(edges, edges[1:]):
                 part = data[offsets[lo] : offsets[hi]].reshape(-1, 5)
                 wide = np.zeros((len(part), 8), np.uint8)
                 wide[:, :5] = part
                 flat, at = wide.reshape(-1).view(np.uint64), ((offsets[lo : hi + 1] - offsets[lo]) // 5).tolist()
-                tile = Tile([flat[a:b] for a, b in zip(at, at[1:])], keys[lo:hi, : j[lo]], threshold)
-                rows, x, y = np.arange(hi - lo), xs[lo], ys[lo]
-                if x == y:
-                    tile.compare(rows, rows, True)
-                else:
-                    tile.compare(rows[block[lo:hi] == x], rows[block[lo:hi] == y], False)
+                tile = Tile([flat[a:b] for a, b in zip(at, at[1:])], raw[key_at[lo] : key_at[hi]].view(np.uint32).reshape(hi - lo, j[lo]), threshold)
+                _meet(tile, block[lo:hi], xs[lo], ys[lo])
                 some = np.flatnonzero(tile.links)
                 if len(some):
                     roots = pa.array([lo + tile.root(r) for r in some.tolist()])
@@ -526,14 +583,19 @@ def near_copies(
     live = settle(lookup_join(live.select("key", "d1", "d2", "j", "m", "w"), groups.select(F.col("first.key").alias("key")), ["key"], "inner", spread=("d1", "d2")))
 
     classes = settle(live.select("d1", "d2").distinct().join(firsts.filter("not none"), ["d1", "d2"]).select("d1", "d2", "first.*"))
-    ends = classes.select(K1, K2)
-    some = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
-    words = texts.join(some, [K1, K2], "left_semi").mapInArrow(_words_and_keys(k, sketches, sampled), f"{K1} long, {K2} long, words binary, keys binary")
-    held = settle(words.dropDuplicates([K1, K2]).join(classes, [K1, K2]))
+    some = F.broadcast(classes) if classes.count() <= BROADCAST_ROWS else classes
+    held = texts.select(K1, K2, "text").join(some, [K1, K2]).select(*_names(_CLASS), "text")
+    held = settle(held.mapInArrow(_words_and_keys(k, sketches, sampled), f"{_CLASS}, n long, words binary, keys binary"))
+    # Rows equal in id and text have all come: each class once.
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("w") / BLOCK_WORDS)).cast("int")
-    tiles = live.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("d1", "d2"), "blocks").cast("int")).join(held, ["d1", "d2"])
-    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).select(*[c.split(" ")[0] for c in _TILE.split(", ")])
+    met = live.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("d1", "d2"), "blocks").cast("int"))
+    met = met.join(held.select("d1", "d2", "n", "keys").dropDuplicates(["d1", "d2"]), ["d1", "d2"]).withColumn("keys", _early())
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).select(*_names(_MEETING))
+    dealt = met.repartition(shuffle_partitions(spark), "key", "x", "y").sortWithinPartitions("key", "x", "y")
+    paired = settle(dealt.mapInArrow(_open(threshold), _OPEN))
+    words = held.drop("n").dropDuplicates(["d1", "d2"])
+    tiles = paired.join(words, ["d1", "d2"]).withColumn("keys", _early()).select(*_names(_TILE))
     dealt = tiles.repartition(shuffle_partitions(spark), "key", "x", "y").sortWithinPartitions("key", "x", "y")
     order = f"struct<unknown:boolean,doc_id:bigint,{K2}:bigint,{K1}:bigint>"
     many = settle(dealt.mapInArrow(_tiles(threshold), f"a {order}, b {order}, n long"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import uuid
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sessionvol.llm import nearcopies
@@ -131,3 +133,56 @@ def test_pivots_decide_as_alignments_do(monkeypatch, pairs, short):
                 part = [part[i] if p == part[j] else p for p in part]
     assert tile.links.tolist() == want
     assert all((tile.root(i) == tile.root(j)) == (part[i] == part[j]) for i in range(len(texts)) for j in range(i))
+
+
+def test_words_go_only_where_a_pair_meets_first(spark, monkeypatch, tmp_path):
+    """A family shares most of its keys, but each of its pairs is verified under one of them."""
+    draw, folder, tiles = random.Random(5), str(tmp_path), nearcopies._tiles
+
+    def counting(threshold):
+        run = tiles(threshold)
+
+        def counted(batches):
+            def seen():
+                for batch in batches:
+                    with open(f"{folder}/{uuid.uuid4().hex}", "w") as file:
+                        file.write(str(len(batch)))
+                    yield batch
+
+            yield from run(seen())
+
+        return counted
+
+    monkeypatch.setattr(nearcopies, "_tiles", counting)
+    family = made_words(draw, 120)
+    texts = [" ".join(near_of(draw, family, 0.02)) for _ in range(30)] + [" ".join(made_words(draw, 90)) for _ in range(10)]
+    texts += [" ".join(family + made_words(draw, 150))]  # shares keys, but is too long
+    docs = spark.createDataFrame([*enumerate(texts), (3, texts[3])], "doc_id long, text string")  # and one row comes twice
+    found = {r["doc_id"]: r["n_links"] for r in nearcopies.near_copies(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == counted([t.split() for t in texts], 0.8)
+
+    (_, _, words, h), = nearcopies._word_groups(pa.array(texts))
+    keys, n = nearcopies.sketch(h, words.doc, words.first, 2, 48, 3), np.diff(words.first)
+    needed, shared = set(), set()
+    for i in range(len(texts)):
+        for j in range(i):
+            both = np.flatnonzero(keys[i] == keys[j]).tolist()
+            shared |= {(k, keys[i, k], r) for k in both for r in (i, j)}
+            if both and abs(n[i] - n[j]) <= nearcopies.allowed(n[i], n[j], 0.8):
+                needed |= {(both[0], keys[i, both[0]], r) for r in (i, j)}
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == len(needed) < len(shared) / 2
+
+
+@pytest.mark.parametrize("pairs", [1 << 21, 300])
+def test_rows_with_a_pair_to_be_verified(monkeypatch, pairs):
+    monkeypatch.setattr(nearcopies, "PAIRS", pairs)
+    draw = random.Random(9)
+    for rows in (2, 9, 90, 200):
+        n = np.array([draw.randint(1, 400) for _ in range(rows)])
+        early = np.array([[draw.choice((0, 0, 0, 1000 + k)), draw.choice((0, 0, 0, 2000 + k))] for k in range(rows)], np.uint32)
+        block = np.array([draw.randrange(2) for _ in range(rows)])
+        for x, y in ((0, 0), (0, 1)):
+            meeting = nearcopies.Meeting(n, early, 0.8)
+            nearcopies._meet(meeting, np.zeros(rows, int) if x == y else block, x, y)
+            met = [[i != j and (x == y or block[i] != block[j]) and (early[i] != early[j]).all() and abs(n[i] - n[j]) <= int(0.2 * max(n[i], n[j]) + 1e-9) for j in range(rows)] for i in range(rows)]
+            assert meeting.paired.tolist() == [any(row) for row in met]
