@@ -228,12 +228,11 @@ def _shared(batches):
         yield from done()
 
 
-_CLASS = f"d1 long, d2 long, unknown boolean, doc_id long, {K2} long, {K1} long"
+_HELD = f"d1 long, d2 long, unknown boolean, doc_id long, {K2} long, {K1} long, n long, words binary, keys binary"
 
 
 def _words_and_keys(k: int, sketches: int, sampled: int):
-    """First texts of classes to their number of words, their words (five bytes each) and 32 bits of each of their keys."""
-    names = _names(_CLASS)
+    """First texts of classes to the class, its first document, number of words, words (five bytes each) and 32 bits of each of the keys."""
 
     def run(batches):
         for batch in batches:
@@ -241,8 +240,10 @@ def _words_and_keys(k: int, sketches: int, sampled: int):
                 raw = np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
                 edges = (words.first * 5).tolist()
                 keys = sketch(h, words.doc, words.first, k, sketches, sampled).astype(np.uint32)
-                columns = [pa.array(np.diff(words.first)), pa.array([raw[x:y] for x, y in zip(edges, edges[1:])], pa.binary()), pa.array([r.tobytes() for r in keys], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in names), *columns], names=[*names, "n", "words", "keys"])
+                doc_id, k1, k2 = (batch.column(c).slice(a, b - a) for c in ("doc_id", K1, K2))
+                columns = [*(pa.array(d.view(np.int64)) for d in _digests(words, h)), doc_id.is_null(), doc_id, k2, k1, pa.array(np.diff(words.first))]
+                columns += [pa.array([raw[x:y] for x, y in zip(edges, edges[1:])], pa.binary()), pa.array([r.tobytes() for r in keys], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=_names(_HELD))
 
     return K.lean(run)
 
@@ -582,10 +583,9 @@ def near_copies(
     groups = live.filter("lead").groupBy("m", "print1", "print2").agg(F.min(F.struct("j", "key")).alias("first"))
     live = settle(lookup_join(live.select("key", "d1", "d2", "j", "m", "w"), groups.select(F.col("first.key").alias("key")), ["key"], "inner", spread=("d1", "d2")))
 
-    classes = settle(live.select("d1", "d2").distinct().join(firsts.filter("not none"), ["d1", "d2"]).select("d1", "d2", "first.*"))
-    some = F.broadcast(classes) if classes.count() <= BROADCAST_ROWS else classes
-    held = texts.select(K1, K2, "text").join(some, [K1, K2]).select(*_names(_CLASS), "text")
-    held = settle(held.mapInArrow(_words_and_keys(k, sketches, sampled), f"{_CLASS}, n long, words binary, keys binary"))
+    ends = settle(live.select("d1", "d2").distinct().join(firsts.filter("not none"), ["d1", "d2"]).select(f"first.{K1}", f"first.{K2}"))
+    some = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
+    held = settle(texts.join(some, [K1, K2], "left_semi").mapInArrow(_words_and_keys(k, sketches, sampled), _HELD))
     # Rows equal in id and text have all come: each class once.
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("w") / BLOCK_WORDS)).cast("int")
     met = live.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("d1", "d2"), "blocks").cast("int"))
