@@ -10,7 +10,8 @@ length, of at least ``threshold``, found by an alignment within the band of diag
 components; a component's smallest document is its class id.
 
 In a crowded key not every pair needs an alignment of its own. Edit distance obeys the triangle inequality, so the distances of all classes to one of them (a pivot) decide
-most pairs: at most their sum, at least their difference. The other pairs are aligned, so every link is found and counted.
+most pairs: at most their sum, at least their difference. A pivot is a class in the middle of the others, and its distances are kept for all pairs of the tile.
+The other pairs are aligned, many of like lengths at a time, so every link is found and counted.
 
 At scale: small entries (key, class) meet in buckets, where copies collapse, and only classes that share a key go on, of keys with the same classes only the first.
 They meet by key, large keys dealt to blocks of bounded size, and every two blocks in one task (a tile): first with their numbers of words and the keys before
@@ -40,6 +41,10 @@ LIGHT, BLOCK_CLASSES, BLOCK_WORDS = 16, 16384, 1 << 22
 BUCKET_BYTES = 16 << 20
 #: Pairs from which on pivots are tried, and pairs that a task compares at a time.
 PIVOT, PAIRS = 64, 1 << 21
+#: Most pivots of a tile; classes of which one becomes a pivot, and those that it is held against.
+PIVOTS, MIDDLE, AROUND = 16, 64, 256
+#: Pairs that are aligned at a time, the fewest for which this pays, and the longest texts that it pays for.
+ALIGNED, FEWEST, LONGEST = 256, 16, 1024
 #: Words of a text whose alignment runs on whole numbers; longer ones go by furthest reaching points.
 SHORT = 8192
 #: Counters of words of a class; those of two classes bound their edits from below.
@@ -370,6 +375,52 @@ def _banded(x: np.ndarray, y: np.ndarray, most: int) -> bool:
     return False
 
 
+def edits_of_pairs(codes: np.ndarray, x: np.ndarray, n: np.ndarray, y: np.ndarray, m: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """The edit distance of each pair of texts if it is at most the pair's ``most``, else one more.
+
+    ``codes`` are the words of all texts as small numbers; the texts of a pair begin at ``x`` and ``y`` there and have ``n`` and ``m`` words. The table of
+    distances is filled by antidiagonals, all pairs at a time, within the diagonals that a path of so few edits can reach and come back from.
+    """
+    goal = m - n
+    out = (most + 1).astype(np.int64)
+    use = np.flatnonzero(np.abs(goal) <= most)
+    if not len(use):
+        return out
+    x, n, y, m, goal, limit = x[use], n[use], y[use], m[use], goal[use], most[use]
+    rows, columns, pairs = int(n.max()), int(m.max()), len(use)
+    low, high = int(((limit - goal) // 2).max()), int(((limit + goal) // 2).max())  # diagonals j - i from -low to high
+    # Words of a shorter text are followed by any others: they stand behind the cell that is asked for. Row 0 stands before the first word.
+    at = np.arange(-1, max(rows, columns))[:, None]
+    left = codes[np.clip(x + at[: rows + 1], 0, len(codes) - 1)]
+    right = codes[np.clip(y + at[: columns + 1], 0, len(codes) - 1)][::-1].copy()
+    far = np.iinfo(codes.dtype).max // 2
+    before, last, now = (np.full((rows + 3, pairs), far, codes.dtype) for _ in range(3))  # the cell of row i at i + 1
+    differ = np.empty((min(rows, (low + high) // 2 + 1) + 2, pairs), codes.dtype)
+    last[1] = 0
+    ends = n + m
+    by = np.argsort(ends, kind="stable")
+    upto = np.searchsorted(ends[by], np.arange(int(ends.max()) + 1), "right").tolist()  # pairs whose last cell is in an antidiagonal or before it
+    done = upto[0]
+    found = np.zeros(pairs, np.int64)  # two empty texts
+    for s in range(1, int(ends.max()) + 1):
+        top, bottom = max(0, s - columns, -((high - s) // 2)), min(rows, s, (s + low) // 2)
+        if top <= bottom:
+            d, cell = differ[: bottom + 1 - top], now[top + 1 : bottom + 2]
+            np.bitwise_xor(left[top : bottom + 1], right[columns - s + top : columns - s + bottom + 1], out=d)
+            np.minimum(d, 1, out=d)
+            d += before[top : bottom + 1]
+            np.minimum(last[top : bottom + 1], last[top + 1 : bottom + 2], out=cell)
+            cell += 1
+            np.minimum(cell, d, out=cell)
+        now[top] = now[bottom + 2] = far
+        if upto[s] > done:
+            hit = by[done : upto[s]]
+            found[hit], done = now[n[hit] + 1, hit], upto[s]
+        before, last, now = last, now, before
+    out[use] = np.minimum(found, out[use])
+    return out
+
+
 class Meeting:
     """Classes of one key, or of two of its blocks: their numbers of words, the keys before this one, and which have a pair to be verified here."""
 
@@ -428,14 +479,14 @@ class Tile(Meeting):
     def __init__(self, words: list[np.ndarray], keys: np.ndarray, threshold: float):
         super().__init__(np.array([len(w) for w in words]), keys, threshold)
         self.words = words
-        self.links, self.parent = np.zeros(len(words), np.int64), list(range(len(words)))
+        self.links, self.part = np.zeros(len(words), np.int64), np.arange(len(words))
+        #: Class, the most that is told of its distances, and those to all classes: -1 where not known, -2 where not yet found.
+        self.pivots: list[tuple[int, int, np.ndarray]] = []
         self._cells: np.ndarray | None = None
+        self._codes: tuple[np.ndarray, np.ndarray] | None = None
 
     def root(self, r: int) -> int:
-        parent = self.parent
-        while parent[r] != r:
-            parent[r] = r = parent[parent[r]]
-        return r
+        return int(self.part[r])
 
     def cells(self) -> np.ndarray:
         if self._cells is None:
@@ -444,52 +495,115 @@ class Tile(Meeting):
             self._cells = counts.reshape(-1, CELLS).astype(np.int32)
         return self._cells
 
+    def codes(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words as numbers from 0, and where each class's begin."""
+        if self._codes is None:
+            different, codes = np.unique(np.concatenate(self.words), return_inverse=True)
+            self._codes = codes.astype(np.uint16 if len(different) < 1 << 16 else np.uint32), np.cumsum(self.n) - self.n
+        return self._codes
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Edits that each pair needs at least, by its counters of words."""
+        out, cells = np.zeros(len(x), np.int64), self.cells()
+        for k in range(0, len(x), 1 << 16):
+            part = slice(k, k + (1 << 16))
+            off = cells[x[part]] - cells[y[part]]
+            out[part] = np.maximum(np.maximum(off, 0).sum(axis=1), np.maximum(-off, 0).sum(axis=1))
+        return out
+
+    def _aligned(self, x: np.ndarray, y: np.ndarray, most: np.ndarray):
+        """Groups of pairs of like lengths, with the edits of each if at most ``most``, else one more. Pairs that are too few or too long for that are in no group."""
+        longer = np.maximum(self.n[x], self.n[y])
+        by = np.flatnonzero(longer <= LONGEST)
+        by = by[np.argsort(longer[by], kind="stable")]
+        begin = 0
+        while len(by) - begin >= FEWEST:
+            end = min(begin + ALIGNED, int(np.searchsorted(longer[by], longer[by[begin]] * 5 // 4 + 8, "right")))
+            if end - begin >= FEWEST:
+                codes, first = self.codes()
+                g = by[begin:end]
+                yield g, edits_of_pairs(codes, first[x[g]], self.n[x[g]], first[y[g]], self.n[y[g]], most[g])
+            begin = end
+
+    def _pivot(self, rows: np.ndarray) -> bool:
+        """One more pivot in the middle of some classes; False if there is none."""
+        rows = rows[self.n[rows] <= SHORT]
+        if not len(rows) or len(self.pivots) == PIVOTS:
+            return False
+        some, around = (rows[np.unique(np.linspace(0, len(rows) - 1, n).astype(np.int64))] for n in (MIDDLE, AROUND))
+        some = np.setdiff1d(some, [p[0] for p in self.pivots])
+        if not len(some):
+            return False
+        off = self.apart(np.repeat(some, len(around)), np.tile(around, len(some))).reshape(len(some), len(around))
+        reach = allowed(self.n[some], self.n[some], self.threshold)
+        pivot = some[np.argmin(np.minimum(off / np.maximum(reach, 1)[:, None], 1).sum(axis=1))]
+        self.pivots.append((int(pivot), 2 * int(allowed(self.n[pivot], self.n[pivot], self.threshold)) + 2, np.full(len(self.n), -2, np.int32)))
+        return True
+
+    def _reach(self, k: int, rows: np.ndarray) -> None:
+        """The distances of classes to the pivot numbered k, those over its bound as one more."""
+        pivot, bound, far = self.pivots[k]
+        rows = rows[far[rows] == -2]
+        far[rows[self.n[rows] > SHORT]] = -1
+        rows = rows[self.n[rows] <= SHORT]
+        off = self.apart(np.full(len(rows), pivot), rows) > bound
+        far[rows[off]] = bound + 1
+        rows = rows[~off]
+        for g, edits in self._aligned(np.full(len(rows), pivot), rows, np.full(len(rows), bound)):
+            far[rows[g]] = edits
+        rows = rows[far[rows] == -2]
+        if len(rows):
+            pattern = Pattern(self.words[pivot])
+            far[rows] = [min(pattern.edits(self.words[r], bound), bound + 1) for r in rows.tolist()]
+
     def _pairs(self, x: np.ndarray, y: np.ndarray, same: bool) -> None:
         most, ask = self._asked(x, y, same)
-        for _ in range(8):
-            n_open = int(ask.sum())
-            if n_open < PIVOT:
-                break
-            by_x, by_y = ask.sum(axis=1), ask.sum(axis=0)
-            pivot = x[np.argmax(by_x)] if by_x.max() >= by_y.max() else y[np.argmax(by_y)]
-            if max(by_x.max(), by_y.max()) < 8 or self.n[pivot] > SHORT:
+        k = 0
+        while (n_open := int(ask.sum())) >= PIVOT:
+            rows = np.union1d(x[ask.any(axis=1)], y[ask.any(axis=0)])
+            fresh = k == len(self.pivots)
+            # Distances to a pivot are to cost less than they can save.
+            if n_open < 2 * len(rows) or fresh and not self._pivot(rows):
                 break
-            pattern = Pattern(self.words[pivot])
-            bound = 2 * int(allowed(self.n[pivot], self.n[pivot], self.threshold)) + 2
-            far = {r: pattern.edits(self.words[r], bound) if self.n[r] <= SHORT else -1 for r in np.concatenate([x[by_x > 0], y[by_y > 0]]).tolist()}
-            d_x, d_y = (np.array([far.get(r, -1) for r in rows.tolist()]) for rows in (x, y))
+            self._reach(k, rows)
+            _, bound, far = self.pivots[k]
+            k += 1
+            d_x, d_y = far[x], far[y]
             known = (d_x >= 0)[:, None] & (d_y >= 0)[None, :] & ask
             near_x, near_y = (d_x <= bound)[:, None], (d_y <= bound)[None, :]
             link = known & near_x & near_y & (d_x[:, None] + d_y[None, :] <= most)
             # A distance over the bound is at least one more than it.
-            apart = np.where(near_x & near_y, np.abs(d_x[:, None] - d_y[None, :]), np.where(near_x, bound + 1 - d_x[:, None], np.where(near_y, bound + 1 - d_y[None, :], 0)))
+            apart = np.abs(d_x[:, None] - d_y[None, :]) > most
+            apart &= known & (near_x | near_y)
             self._note(x, y, link)
-            ask &= ~(link | (known & (apart > most)))
-            if int(ask.sum()) > 0.8 * n_open:
+            ask &= ~(link | apart)
+            if fresh and n_open - int(ask.sum()) < len(rows):
                 break
         at_x, at_y = np.nonzero(ask)
         if not len(at_x):
             return
-        cells = self.cells()
-        keep = np.ones(len(at_x), bool)
-        for k in range(0, len(at_x), 1 << 16):
-            part = slice(k, k + (1 << 16))
-            off = cells[x[at_x[part]]] - cells[y[at_y[part]]]
-            keep[part] = np.maximum(np.maximum(off, 0).sum(axis=1), np.maximum(-off, 0).sum(axis=1)) <= most[at_x[part], at_y[part]]
+        most = most[at_x, at_y]
+        a, b = x[at_x], y[at_y]
+        keep = self.apart(a, b) <= most
+        at_x, at_y, a, b, most = (v[keep] for v in (at_x, at_y, a, b, most))
+        alike, left = np.zeros(len(a), bool), np.ones(len(a), bool)
+        for g, edits in self._aligned(a, b, most):
+            alike[g], left[g] = edits <= most[g], False
+        for r in np.flatnonzero(left).tolist():
+            alike[r] = similar(self.words[a[r]], self.words[b[r]], self.threshold)
         link = np.zeros_like(ask)
-        for a, b in zip(at_x[keep].tolist(), at_y[keep].tolist()):
-            link[a, b] = similar(self.words[x[a]], self.words[y[b]], self.threshold)
+        link[at_x, at_y] = alike
         self._note(x, y, link)
 
     def _note(self, x: np.ndarray, y: np.ndarray, link: np.ndarray) -> None:
-        np.add.at(self.links, x, link.sum(axis=1))
-        np.add.at(self.links, y, link.sum(axis=0))
-        # One link of each row to an open part is enough for the parts: rows by their first partner, then partners by their first row.
+        self.links[x] += link.sum(axis=1)
+        self.links[y] += link.sum(axis=0)
+        # The smallest class of a part stands for it.
         for a in np.flatnonzero(link.any(axis=1)).tolist():
-            mine = self.root(int(x[a]))
-            for r in {self.root(int(r)) for r in y[link[a]].tolist()}:
-                self.parent[r] = mine
-                mine = self.root(mine)
+            own, parts = self.part[x[a]], self.part[y[link[a]]]
+            if (parts != own).any():
+                parts = np.unique(np.append(parts, own))
+                self.part[np.isin(self.part, parts)] = parts[0]
 
 
 _OPEN = "key long, x int, y int, block int, j int, d1 long, d2 long"

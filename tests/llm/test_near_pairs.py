@@ -135,6 +135,56 @@ def test_pivots_decide_as_alignments_do(monkeypatch, pairs, short):
     assert all((tile.root(i) == tile.root(j)) == (part[i] == part[j]) for i in range(len(texts)) for j in range(i))
 
 
+@pytest.mark.parametrize("kind", [np.uint16, np.uint32])
+def test_edits_of_many_pairs(kind):
+    """Edited copies and unrelated texts, in both orders, of lengths that differ."""
+    draw = random.Random(7)
+    for _ in range(40):
+        base = [draw.randrange(draw.choice((3, 30))) for _ in range(draw.randint(1, 30))]
+        texts = [[draw.randrange(5) for _ in range(draw.randint(1, 30))]]
+        for _ in range(12):
+            near = list(base)
+            for _ in range(draw.randint(0, 8)):
+                at = draw.randint(0, len(near))
+                near[at : at + draw.randint(0, 2)] = [draw.randrange(30)] * draw.randint(0, 2)
+            texts.append(near or [0])
+        n = np.array([len(t) for t in texts])
+        first, codes = np.cumsum(n) - n, np.concatenate(texts).astype(kind)
+        x, y, most = (np.array([draw.randrange(k) for _ in range(60)]) for k in (len(texts), len(texts), 14))
+        want = [min(distance(texts[a], texts[b]), m + 1) for a, b, m in zip(x, y, most)]
+        assert nearcopies.edits_of_pairs(codes, first[x], n[x], first[y], n[y], most).tolist() == want
+
+
+def test_pairs_of_a_crowded_key_are_not_aligned_one_by_one(monkeypatch):
+    """Most of a family are near its first text, some as far as is allowed; the order in which they stand must not matter."""
+    draw = random.Random(11)
+    base = [draw.randrange(10**6) for _ in range(100)]
+    texts = []
+    for k in range(160):
+        near = list(base)
+        for _ in range(draw.choice((2, 3, 5)) if k % 4 else draw.randint(8, 20)):
+            near[draw.randrange(len(near))] = draw.randrange(10**6)
+        if k % 3 == 0:
+            del near[draw.randrange(len(near))]
+        texts.append(np.array(near, np.uint64))
+    links = [0] * len(texts)
+    for i, x in enumerate(texts):
+        pattern = nearcopies.Pattern(x)
+        for j in range(i):
+            if pattern.edits(texts[j], 20) <= int(0.2 * max(len(x), len(texts[j])) + 1e-9):
+                links[i] += 1
+                links[j] += 1
+    alone, similar, pattern = [], nearcopies.similar, nearcopies.Pattern
+    monkeypatch.setattr(nearcopies, "similar", lambda *pair: alone.append(1) or similar(*pair))
+    monkeypatch.setattr(nearcopies, "PAIRS", 2000)  # pairs of many parts, whose pivots are the same
+    monkeypatch.setattr(nearcopies, "Pattern", lambda x: alone.append(1) or pattern(x))
+    tile = nearcopies.Tile(texts, np.zeros((len(texts), 0), np.uint32), 0.8)
+    rows = np.arange(len(texts))
+    tile.compare(rows, rows, True)
+    assert tile.links.tolist() == links
+    assert len(alone) < 100  # of 12,720 pairs
+
+
 def test_words_go_only_where_a_pair_meets_first(spark, monkeypatch, tmp_path):
     """A family shares most of its keys, but each of its pairs is verified under one of them."""
     draw, folder, tiles = random.Random(5), str(tmp_path), nearcopies._tiles
